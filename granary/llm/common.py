@@ -35,4 +35,7 @@ def word_count(text: Column) -> Column:
 
 def without_spaces(text: Column) -> Column:
     """The text with every character of SPACES deleted; null counts as empty."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS + "+", "")
+    out = F.coalesce(text, F.lit(""))
+    for space in SPACES:
+        out = F.replace(out, F.lit(space), F.lit(""))
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import without_spaces
+from granary.llm.common import cut, without_spaces
 
 
 def _preference():
@@ -22,7 +22,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     together with its text count in group_size, and all rows with the id that stays are kept.
     Other columns are not read, so their names can't clash. An empty table gives no rows.
 
-    Plan: the hash groups hold ids and counts only and are combined before the shuffle. Texts of
+    Plan: ids, lengths and hashes are kept apart from the texts, so that texts are read twice in all. The
+    hash groups hold ids and counts only and are combined before the shuffle. Texts of
     repeated hashes are then joined with the text of the group's keeper and compared byte by byte; a
     hot group is split by the adaptive skew join as nothing above that join needs its rows together.
     Rows whose bytes differ from the keeper's (hash collisions) are grouped by their text instead.
@@ -30,12 +31,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.coalesce(F.col(text_col), F.lit(""))
     whole = docs.select(F.col(id_col).alias("doc_id"), F.length(text).alias("n_code"), without_spaces(text).alias("norm"))
     hashed = whole.withColumn("h", F.unhex(F.md5("norm")))
-    keys = hashed.select("doc_id", "n_code", "h", F.sha2("norm", 256).alias("text_sha256"))
+    keys = cut(hashed.select("doc_id", "n_code", "h", F.sha2("norm", 256).alias("text_sha256")))
     groups = keys.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min(_preference()).alias("best"))
     groups = groups.select("h", "size", F.col("best.doc_id").alias("best_id"))
 
     repeated = groups.filter("size > 1").select("h", "best_id")
-    members = hashed.join(repeated, "h")
+    members = cut(hashed.join(repeated, "h"))
     keepers = members.filter(F.col("doc_id").eqNullSafe(F.col("best_id"))).groupBy("h").agg(F.max("norm").alias("keeper"))
     collided = members.join(keepers, "h").filter("norm <> keeper").select("h", "doc_id", "n_code", "norm")
     classes = collided.groupBy("h", "norm").agg(F.count(F.lit(1)).alias("own_size"), F.min(_preference()).alias("own"))
