@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,3 +40,10 @@ def without_spaces(text: Column) -> Column:
     for space in SPACES:
         out = F.replace(out, F.lit(space), F.lit(""))
     return out
+
+
+def join_known(left: DataFrame, right: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
+    """Joins on equal columns, nulls included; no other column may be in both. Keeps the left side's columns once."""
+    other = right.select(*[F.col(c).alias(f"_right_{c}" if c in columns else c) for c in right.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in columns]
+    return left.join(other, reduce(Column.__and__, same), how).drop(*[f"_right_{c}" for c in columns])

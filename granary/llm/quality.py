@@ -28,9 +28,9 @@ LEAST_ROWS = 200
 #: Each ratio in thousandths: its formula, the least spread, and spreads allowed above and below the median.
 RATIOS = {
     "symbols": ("1000 * n_symbols div greatest(n_words, 1)", 25, 4, None),
-    "word_length": ("1000 * word_chars div greatest(n_words, 1)", 250, 8, 8),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 75, 4, None),
-    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 60, 4, None),
+    "word_length": ("1000 * word_chars div greatest(n_words, 1)", 300, 8, 8),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 150, 4, None),
+    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 75, 4, None),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 _HAS_WORD = re.compile(r"[^\x20\x09-\x0D]").search

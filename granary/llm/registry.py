@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from granary.llm import exact_dedup
+import public_tokenizers
+
+from granary.llm import bpe, exact_dedup, mixing, quality
 from granary.llm.common import documents
 
 
@@ -10,8 +12,21 @@ def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op7_source_mixing(spark, sf_dir):
+    return mixing.taken_words(documents(spark, sf_dir))
+
+
+def op8_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encode_and_decode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
+def op10_quality_rules(spark, sf_dir):
+    return quality.quality_rules(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_exact_dedup,)}
+    return {f.__name__: f for f in (op5_exact_dedup, op7_source_mixing, op8_bpe, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
