@@ -19,7 +19,9 @@ WEIGHTS = (5, 2, 1)
 #: No source gives more than so many times its size.
 MOST_PASSES = 3
 #: Rows of a block at which a source gets more blocks, and the most blocks of a source (powers of two).
-BLOCK_ROWS, MOST_BLOCKS = 64, 1024
+BLOCK_ROWS, MOST_BLOCKS = 8, 1024
+#: A pass that is taken in part chooses from at least so many rows, in so many rounds.
+SPARE_ROWS, ROUNDS = 128, 4
 #: Output shards, a power of two.
 SHARDS = 16
 SEED = "mix-1"
@@ -119,11 +121,33 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
     return leaves.groupBy("s.source").agg(F.transform(shares, lambda x: x["n"]).alias("quota"))
 
 
+def _chosen(near: DataFrame) -> DataFrame:
+    """source and runs: which rows to take of the blocks that have room for a part of their words.
+
+    near: source, room, size, key, id. Each round takes rows in key order for as long as they fit;
+    the next round goes on behind the first row that didn't, with the rows that fit what is left. A run
+    takes the rows after `after` and up to `upto` with at most `most` words. The default window frame
+    holds all rows of a key, so rows that repeat an id stand or fall together.
+    """
+    block = Window.partitionBy("source")
+    at = F.struct("key", "id")
+    rows = near.withColumn("after", F.lit(None).cast("struct<key:bigint,id:bigint>"))
+    for k in range(ROUNDS):
+        fits = (F.col("after").isNull() | (at > F.col("after"))) & (F.col("size") <= F.col("room"))
+        rows = rows.withColumn("sum", F.sum(F.when(fits, F.col("size")).otherwise(0)).over(block.orderBy("key", "id")))
+        rows = rows.withColumn("taken", fits & (F.col("sum") <= F.col("room")))
+        rows = rows.withColumn("upto", F.max(F.when(F.col("taken"), at)).over(block)).withColumn("used", F.max(F.when(F.col("taken"), F.col("sum"))).over(block))
+        rows = rows.withColumn(f"run{k}", F.when(F.col("upto").isNotNull(), F.struct("after", "upto", F.col("room").alias("most"))))
+        rows = rows.withColumn("room", F.col("room") - F.coalesce("used", F.lit(0))).withColumn("after", F.coalesce("upto", "after"))
+    runs = F.array_compact(F.array(*[F.max(f"run{k}") for k in range(ROUNDS)]))
+    return rows.groupBy("source").agg(runs.alias("runs"))
+
+
 def block_plan(rows: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, shards: int = SHARDS) -> DataFrame:
     """What to take of each block: source, blocks, block, source_size, target, whole, part.
 
     rows: doc_id, source, size. whole lists (pass, shard) of the passes that take the block's rows. part
-    is null, or (pass, shard, key, id) of the pass that takes only the rows up to that key.
+    is null, or (pass, shard, runs) of the pass that takes only some of its rows.
     """
     fine = cut(rows.groupBy("source", F.pmod(_key("doc_id"), F.lit(MOST_BLOCKS)).alias("cell")).agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")))
     totals = fine.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("n").alias("n"))
@@ -135,47 +159,51 @@ def block_plan(rows: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, shards
     per_source = per_source.select("source", "source_size", "target", blocks.alias("blocks"), passes.alias("passes"))
     per_source = cut(per_source.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")))
 
-    cells = join_known(fine.select("source", "cell", "words"), per_source, "source")
+    cells = join_known(fine.withColumnRenamed("n", "rows"), per_source, "source")
     keys = [*per_source.columns, F.pmod("cell", "blocks").alias("block")]
-    sized = cells.groupBy(*keys).agg(F.sum("words").alias("words"))
-    permuted = Window.partitionBy("source").orderBy(_key("source", "block", "passes"), "block")
-    sized = sized.withColumn("before", F.sum("words").over(permuted) - F.col("words"))
-    # 0: not in the last pass, 1: its rows up to a key, 2: whole
-    last = F.when(F.col("before") + F.col("words") <= F.col("rest"), 2).when(F.col("before") < F.col("rest"), 1).otherwise(0)
-    sized = cut(sized.withColumn("last", F.when(F.col("words") == 0, 0).otherwise(last)))
+    sized = cells.groupBy(*keys).agg(F.sum("words").alias("words"), F.sum("rows").alias("rows"))
+    source = Window.partitionBy("source")
+    permuted = source.orderBy(_key("source", "block", "passes"), "block")
+    sized = sized.withColumn("before", F.sum("words").over(permuted) - F.col("words")).withColumn("rows_before", F.sum("rows").over(permuted) - F.col("rows"))
+    # the block that the part of a pass ends in, and the blocks behind it that rows may come from
+    ends = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))
+    sized = sized.withColumn("end", F.max(F.when(ends, F.struct("rows_before", (F.col("rest") - F.col("before")).alias("room")))).over(source))
+    # 0: not in the last pass, 1: some of its rows, 2: whole
+    near = ends | ((F.col("before") >= F.col("rest")) & (F.col("rows_before") < F.col("end.rows_before") + SPARE_ROWS))
+    last = F.when(F.col("words") == 0, 0).when(F.col("before") + F.col("words") <= F.col("rest"), 2).when(near, 1).otherwise(0)
+    sized = cut(sized.withColumn("last", last).withColumn("room", F.col("end.room")).drop("end", "rows", "rows_before"))
 
     count = F.col("passes") + (F.col("last") > 0).cast("int")
     taken = sized.filter(count > 0).select("source", "block", "passes", "last", F.explode(F.sequence(F.lit(0), count - 1)).alias("pass"))
     dealt = Window.partitionBy("source").orderBy(_key("source", "pass", "block"), "block", "pass")
     taken = cut(taken.withColumn("place", F.row_number().over(dealt)))
     quotas = cut(shard_quotas(taken.groupBy("source").agg(F.count(F.lit(1)).alias("n")), shards))
-    ends = F.transform(F.sequence(F.lit(1), F.lit(shards)), lambda i: F.aggregate(F.slice("quota", 1, i), F.lit(0), lambda a, x: a + x))
-    ended = F.size(F.filter(ends, lambda e: e < F.col("place")))
+    upto = F.transform(F.sequence(F.lit(1), F.lit(shards)), lambda i: F.aggregate(F.slice("quota", 1, i), F.lit(0), lambda a, x: a + x))
+    ended = F.size(F.filter(upto, lambda e: e < F.col("place")))
     taken = join_known(taken, quotas, "source").withColumn("to", F.struct("pass", ended.alias("shard")))
     split = (F.col("pass") == F.col("passes")) & (F.col("last") == 1)
     placed = taken.groupBy("source", "block").agg(F.array_sort(F.collect_list(F.when(~split, F.col("to")))).alias("whole"), F.max(F.when(split, F.col("to"))).alias("split"))
 
-    # rows of the blocks that are split, at most one block of each source, in the order of their keys
-    partial = sized.filter("last = 1").select("source", "blocks", "block", (F.col("rest") - F.col("before")).alias("room"))
+    # rows of the blocks that are taken in part: of each source one block, or more if that has few rows
+    partial = sized.filter("last = 1").select("source", "blocks", "block", "room")
     near = join_known(rows, partial, "source").filter(F.pmod(_key("doc_id"), F.col("blocks")) == F.col("block"))
-    near = near.select("source", "block", "room", "size", _key("doc_id", F.lit("row")).alias("key"), F.coalesce("doc_id", F.lit(0)).alias("id"))
-    # the default frame holds all rows of a key, so rows that repeat an id stand or fall together
-    upto = F.sum("size").over(Window.partitionBy("source", "block").orderBy("key", "id"))
-    fits = near.withColumn("upto", upto).filter("upto <= room").groupBy("source", "block").agg(F.max(F.struct("key", "id")).alias("end"))
+    near = near.select("source", "room", "size", _key("doc_id", F.lit("row")).alias("key"), F.coalesce("doc_id", F.lit(0)).alias("id"))
+    ends = _chosen(near)
 
     out = join_known(sized, placed, "source", "block", how="left")
-    out = join_known(out, fits, "source", "block", how="left")
-    part = F.when(F.col("split").isNotNull() & F.col("end").isNotNull(), F.struct("split.pass", "split.shard", "end.key", "end.id"))
+    out = join_known(out, ends, "source", how="left")
+    part = F.when(F.col("split").isNotNull() & F.col("runs").isNotNull(), F.struct("split.pass", "split.shard", "runs"))
     whole = F.coalesce("whole", F.array().cast("array<struct<pass:int,shard:int>>"))
     return cut(out.select("source", "blocks", "block", "source_size", "target", whole.alias("whole"), part.alias("part")))
 
 
-def _placements(doc_id: Column, at: str) -> Column:
+def _placements(doc_id: Column, size: Column, at: str) -> Column:
     """(pass, shard) of every time a row is taken."""
     key = F.struct(_key(doc_id, F.lit("row")).alias("key"), F.coalesce(doc_id, F.lit(0)).alias("id"))
-    last = F.struct(F.col(f"{at}.part.key").alias("key"), F.col(f"{at}.part.id").alias("id"))
-    also = F.array(F.struct(F.col(f"{at}.part.pass").alias("pass"), F.col(f"{at}.part.shard").alias("shard")))
-    return F.when(F.col(f"{at}.part").isNotNull() & (key <= last), F.concat(f"{at}.whole", also)).otherwise(F.col(f"{at}.whole"))
+    part = F.col(f"`{at}`.part")
+    taken = F.exists(part["runs"], lambda r: (r["after"].isNull() | (key > r["after"])) & (key <= r["upto"]) & (size <= r["most"]))
+    also = F.array(F.struct(part["pass"].alias("pass"), part["shard"].alias("shard")))
+    return F.when(part.isNotNull() & taken, F.concat(F.col(f"`{at}`.whole"), also)).otherwise(F.col(f"`{at}`.whole"))
 
 
 def _joined(rows: DataFrame, plan: DataFrame, id_col: str, source_col: str, at: str) -> DataFrame:
@@ -198,13 +226,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     size is the number of words (null text: 0). placements lists pass and shard of every time the mix
     takes the row, none if it doesn't. Whole rows are taken, so a source gives its target to within less
-    than one row. Null sources are one source; rows with one id, in one source, are taken alike; rows of
+    than one row, and never more. Null sources are one source; rows with one id, in one source, are taken alike; rows of
     a corpus without words are not taken; an empty table gives no rows. The draws depend on ids, sources
     and SEED alone: reruns agree.
     """
     rows = _rows(docs, id_col, text_col, source_col)
     found = _joined(rows, block_plan(rows, **how), "doc_id", "source", "_b")
-    return found.select("doc_id", rows["source"], "size", "_b.source_size", "_b.target", _placements(rows["doc_id"], "_b").alias("placements"))
+    return found.select("doc_id", rows["source"], "size", "_b.source_size", "_b.target", _placements(rows["doc_id"], F.col("size"), "_b").alias("placements"))
 
 
 def taken_words(docs: DataFrame) -> DataFrame:
@@ -218,7 +246,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     plan = block_plan(_rows(docs, id_col, text_col, source_col), **how)
     at = max(docs.columns, key=len, default="") + "_b"
     out = _joined(docs, plan, id_col, source_col, at)
-    out = out.select(*[docs[c] for c in docs.columns], F.explode(_placements(docs[id_col].cast("long"), at)).alias(at))
+    out = out.select(*[docs[c] for c in docs.columns], F.explode(_placements(docs[id_col].cast("long"), word_count(docs[text_col]), at)).alias(at))
     return out.select(*docs.columns, *([F.col(f"`{at}`.shard").alias(shard_col)] if shard_col else []))
 
 
