@@ -14,7 +14,7 @@ import struct
 import ahocorasick
 from pyspark.sql import DataFrame
 
-from granary.llm.pieces import TextEncoder
+from granary.llm.pieces import TextEncoder, by_pattern
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 PAIRS_KEPT = 1_000_000
@@ -134,7 +134,7 @@ def encoder(content: bytes, pattern: str) -> tuple[ByteBPE, TextEncoder]:
     key = hashlib.sha256(content + pattern.encode()).digest()
     if key not in _built:
         bpe = ByteBPE(read_ranks(content))
-        _built[key] = bpe, TextEncoder(pattern, bpe.encode_piece)
+        _built[key] = bpe, TextEncoder(by_pattern(pattern, bpe.encode_piece))
     return _built[key]
 
 

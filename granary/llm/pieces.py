@@ -32,18 +32,20 @@ class Memo(dict):
 
 
 class TextEncoder:
-    """Encodes texts piece by piece; encode_piece gives the packed ids of one match of the pattern."""
+    """Encodes texts through a memo of what stands between two spaces; `whole` encodes any text, packed as bytes."""
 
-    def __init__(self, pattern: str, encode_piece: Callable[[str], bytes]):
-        self.find = regex.compile(pattern).findall
-        self.pieces = Memo(encode_piece)
-        self.after_space = Memo(lambda chunk: self._cut(" " + chunk))
-
-    def _cut(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.find(text)))
+    def __init__(self, whole: Callable[[str], bytes]):
+        self.whole = whole
+        self.after_space = Memo(lambda chunk: whole(" " + chunk))
 
     def encode(self, text: str) -> bytes:
         if "  " in text or " \n" in text or "\n " in text or text[-1:] == " " or _ODD_SPACE.search(text):
-            return self._cut(text)
+            return self.whole(text)
         first, *rest = text.split(" ")
-        return self._cut(first) + b"".join(map(self.after_space.__getitem__, rest))
+        return self.whole(first) + b"".join(map(self.after_space.__getitem__, rest))
+
+
+def by_pattern(pattern: str, encode_piece: Callable[[str], bytes]) -> Callable[[str], bytes]:
+    """Encodes each match of the pattern by itself, through a memo of the matches."""
+    find, pieces = regex.compile(pattern).findall, Memo(encode_piece)
+    return lambda text: b"".join(map(pieces.__getitem__, find(text)))

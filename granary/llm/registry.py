@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from granary.llm import bpe, exact_dedup, mixing, quality
+from granary.llm import bpe, exact_dedup, mixing, quality, sharding, wavelet
 from granary.llm.common import documents
 
 
@@ -12,6 +12,10 @@ def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op6_vector_sharding(spark, sf_dir):
+    return sharding.shard_law(documents(spark, sf_dir))
+
+
 def op7_source_mixing(spark, sf_dir):
     return mixing.taken_words(documents(spark, sf_dir))
 
@@ -21,12 +25,16 @@ def op8_bpe(spark, sf_dir):
     return bpe.encode_and_decode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op9_wavelet_tokens(spark, sf_dir):
+    return wavelet.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_exact_dedup, op7_source_mixing, op8_bpe, op10_quality_rules)}
+    return {f.__name__: f for f in (op5_exact_dedup, op6_vector_sharding, op7_source_mixing, op8_bpe, op9_wavelet_tokens, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
