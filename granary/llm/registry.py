@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from granary.llm import bpe, exact_dedup, mixing, quality, sharding, wavelet
+from granary.llm import bpe, exact_dedup, html_text, mixing, quality, sharding, wavelet
 from granary.llm.common import documents
 
 
+def op1_html_text(spark, sf_dir):
+    return html_text.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -34,7 +38,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_exact_dedup, op6_vector_sharding, op7_source_mixing, op8_bpe, op9_wavelet_tokens, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_html_text, op5_exact_dedup, op6_vector_sharding, op7_source_mixing, op8_bpe, op9_wavelet_tokens, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
