@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from granary.llm import bpe, exact_dedup, html_text, mixing, quality, sharding, wavelet
+from granary.llm import bpe, exact_dedup, html_text, mixing, near_dedup, quality, sharding, wavelet
 from granary.llm.common import documents
 
 
@@ -12,6 +12,10 @@ def op1_html_text(spark, sf_dir):
     return html_text.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op4_minhash_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -38,7 +42,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_html_text, op5_exact_dedup, op6_vector_sharding, op7_source_mixing, op8_bpe, op9_wavelet_tokens, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_html_text, op4_minhash_near_dedup, op5_exact_dedup, op6_vector_sharding, op7_source_mixing, op8_bpe, op9_wavelet_tokens, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
