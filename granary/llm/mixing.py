@@ -59,6 +59,11 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES) -
     return rows.select(*sizes.columns, "target")
 
 
+def _let(value: Column, body) -> Column:
+    """body of a value that is worked out once; an expression inside a lambda is worked out at every call."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _drawn(chance: Column, picks: Column, good: Column, rest: Column) -> Column:
     """How many of `good` blocks are among `picks` drawn from `good + rest`: hypergeometric, at that chance.
 
@@ -67,29 +72,25 @@ def _drawn(chance: Column, picks: Column, good: Column, rest: Column) -> Column:
     """
     low, high = F.greatest(F.lit(0), picks - rest), F.least(picks, good)
     counts = F.when(high > low, F.sequence(low + 1, high)).otherwise(F.array().cast("array<int>"))
-    step = lambda k: F.log(((good - k + 1) * (picks - k + 1)).cast("double")) - F.log((k * (rest - picks + k)).cast("double"))
-
-    def walk(start, merge):
-        return F.aggregate(counts, start, merge)
-
-    top = walk(
-        F.struct(F.lit(0.0).alias("log"), F.lit(0.0).alias("most")),
-        lambda a, k: F.struct((a["log"] + step(k)).alias("log"), F.greatest(a["most"], a["log"] + step(k)).alias("most")),
-    )["most"]
-    total = walk(
-        F.struct(F.lit(0.0).alias("log"), F.exp(-top).alias("sum")),
-        lambda a, k: F.struct((a["log"] + step(k)).alias("log"), (a["sum"] + F.exp(a["log"] + step(k) - top)).alias("sum")),
-    )["sum"]
-    wanted = chance * total
-    reached = walk(
-        F.struct(F.lit(0.0).alias("log"), F.exp(-top).alias("sum"), F.lit(0).alias("n")),
-        lambda a, k: F.struct(
-            (a["log"] + step(k)).alias("log"),
-            (a["sum"] + F.exp(a["log"] + step(k) - top)).alias("sum"),
-            (a["n"] + (a["sum"] <= wanted).cast("int")).alias("n"),
-        ),
-    )["n"]
-    return F.least(low + reached, high)
+
+    def ratio(k):
+        return F.log(((good - k + 1).cast("double") * (picks - k + 1)) / (k.cast("double") * (rest - picks + k)))
+
+    def walk(start: dict, merge) -> Column:
+        """Folds over the counts with log, the logarithm of a count's probability relative to the lowest count's."""
+        first = F.struct(F.lit(0.0).alias("log"), *[v.alias(k) for k, v in start.items()])
+        return F.aggregate(counts, first, lambda a, k: _let(a["log"] + ratio(k), lambda log: F.struct(log.alias("log"), *[v.alias(n) for n, v in merge(a, log).items()])))
+
+    def reached(top, wanted):
+        at = walk(
+            {"sum": F.exp(-top), "n": F.lit(0)},
+            lambda a, log: {"sum": a["sum"] + F.exp(log - top), "n": a["n"] + (a["sum"] <= wanted).cast("int")},
+        )
+        return F.least(low + at["n"], high)
+
+    top = walk({"most": F.lit(0.0)}, lambda a, log: {"most": F.greatest(a["most"], log)})["most"]
+    total = lambda t: walk({"sum": F.exp(-t)}, lambda a, log: {"sum": a["sum"] + F.exp(log - t)})["sum"]
+    return _let(top, lambda t: _let(chance * total(t), lambda wanted: reached(t, wanted)))
 
 
 def shard_quotas(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -108,8 +109,8 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
 
         def draw(acc, x):
             k = _drawn(_chance(F.col("node"), x["source"]), acc["picks"], x["n"], acc["rest"] - x["n"])
-            taken = F.concat(acc["taken"], F.array(k))
-            return F.struct((acc["rest"] - x["n"]).alias("rest"), (acc["picks"] - F.element_at(taken, -1)).alias("picks"), taken.alias("taken"))
+            left = (acc["rest"] - x["n"]).alias("rest")
+            return _let(k, lambda k: F.struct(left, (acc["picks"] - k).alias("picks"), F.concat(acc["taken"], F.array(k)).alias("taken")))
 
         node = node.withColumn("taken", F.aggregate("q", start, draw)["taken"])
         part = lambda n: F.zip_with("q", "taken", lambda x, t: F.struct(x["none"].alias("none"), x["source"].alias("source"), n(x, t).alias("n")))
