@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from granary.llm import bpe, exact_dedup, html_text, mixing, near_dedup, quality, sharding, wavelet
+from granary.llm import bpe, exact_dedup, html_text, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, wavelet
 from granary.llm.common import documents
 
 
@@ -12,6 +12,14 @@ def op1_html_text(spark, sf_dir):
     return html_text.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.line_report(documents(spark, sf_dir))
+
+
+def op3_substring_dedup(spark, sf_dir):
+    return substring_dedup.removed_spans(documents(spark, sf_dir))
+
+
 def op4_minhash_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
@@ -42,8 +50,8 @@ def op10_quality_rules(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_html_text, op4_minhash_near_dedup, op5_exact_dedup, op6_vector_sharding, op7_source_mixing, op8_bpe, op9_wavelet_tokens, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_html_text, op2_line_dedup, op3_substring_dedup, op4_minhash_near_dedup, op5_exact_dedup, op6_vector_sharding, op7_source_mixing, op8_bpe, op9_wavelet_tokens, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_line_dedup": line_dedup.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}
