@@ -80,19 +80,19 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH raw AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
-flat AS (SELECT doc_id, unnest(range(len(parts))) AS at, unnest(parts) AS part FROM raw),
-words AS (SELECT doc_id, at, trim(part, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line FROM flat),
-lines AS (SELECT doc_id, at, line, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS nth FROM words WHERE line <> ''),
+flat AS (SELECT doc_id, unnest(range(len(parts))) AS pos, unnest(parts) AS part FROM raw),
+words AS (SELECT doc_id, pos, trim(part, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line FROM flat),
+lines AS (SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS nth FROM words WHERE line <> ''),
 wins AS (
-  SELECT doc_id, nth, at AS a1, lead(at, 1) OVER w AS a2, lead(at, 2) OVER w AS a3,
+  SELECT doc_id, nth, pos AS a1, lead(pos, 1) OVER w AS a2, lead(pos, 2) OVER w AS a3,
          md5(line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w) AS h
   FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY nth)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, nth) AS r FROM wins WHERE a3 IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, unnest([a1, a2, a3]) AS at FROM ranked WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest([a1, a2, a3]) AS pos FROM ranked WHERE r > 1),
 kept AS (
-  SELECT f.doc_id, count(g.at) AS n_removed, count(*) AS n_lines,
-         coalesce(string_agg(g.at::VARCHAR, ',' ORDER BY f.at), '') AS places,
-         coalesce(string_agg(f.part, chr(10) ORDER BY f.at) FILTER (WHERE g.at IS NULL), '') AS text
-  FROM flat f LEFT JOIN gone g USING (doc_id, at) GROUP BY f.doc_id)
+  SELECT f.doc_id, count(g.pos) AS n_removed, count(*) AS n_lines,
+         coalesce(string_agg(g.pos::VARCHAR, ',' ORDER BY f.pos), '') AS places,
+         coalesce(string_agg(f.part, chr(10) ORDER BY f.pos) FILTER (WHERE g.pos IS NULL), '') AS text
+  FROM flat f LEFT JOIN gone g USING (doc_id, pos) GROUP BY f.doc_id)
 SELECT doc_id, n_lines, n_removed, places, sha256(text) AS text_sha256 FROM kept
 """
