@@ -12,20 +12,28 @@ from collections.abc import Callable
 
 import regex
 
+#: Fixed value: the pattern of byte-level pre-tokenizers.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ODD_SPACE = re.compile(r"[^\S \n]")
 
 
 class Memo(dict):
-    """Results of a function of a string; forgets everything when it is full, so that memory stays bounded."""
+    """Results of a function of a string, in bounded memory.
+
+    When it is full, what it holds becomes the older generation, and what is asked for again moves back.
+    """
 
     def __init__(self, function: Callable[[str], bytes], most: int = 400_000, longest: int = 64):
         super().__init__()
-        self.function, self.most, self.longest = function, most, longest
+        self.function, self.most, self.longest, self.older = function, most, longest, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.function(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
         if len(key) <= self.longest:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value

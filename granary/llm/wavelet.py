@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.common import join_known
-from granary.llm.pieces import TextEncoder
+from granary.llm.pieces import BYTE_LEVEL, TextEncoder, by_pattern
 
 #: Tokens at which a shard is closed, and bits that one entry of a rank directory covers.
 SHARD_TOKENS, RANK_BITS = 2_000_000, 512
@@ -117,6 +117,13 @@ class WaveletMatrix:
 _tokenizers: dict[str, tuple[TextEncoder, int]] = {}
 
 
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + k for k, b in enumerate(hidden)}
+
+
 def tokenizer(content: str) -> tuple[TextEncoder, int]:
     """Encoder of whole texts, ids packed as unsigned 32-bit integers, and the bits of an id; built once in each process."""
     if content not in _tokenizers:
@@ -125,16 +132,19 @@ def tokenizer(content: str) -> tuple[TextEncoder, int]:
         made = Tokenizer.from_str(content)
         made.encode_special_tokens = True  # their strings in a text are ordinary text
 
-        def whole(text: str) -> bytes:
-            ids = made.encode(text, add_special_tokens=False).ids
+        def packed(ids: list[int]) -> bytes:
             return struct.pack(f"<{len(ids)}I", *ids)
 
-        # with byte-level pieces, a single space between two others always begins a piece
         settings = json.loads(content)
-        apart = (settings["pre_tokenizer"] or {}).get("type") == "ByteLevel" and settings["normalizer"] is None
-        encoder = TextEncoder(whole)
-        if not apart:
-            encoder.encode = whole
+        first, normal = settings["pre_tokenizer"] or {}, settings["normalizer"]
+        if normal is None and first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space"):
+            # the library's model encodes each piece that isn't known yet; its alphabet has a letter for each byte
+            letters, model = _byte_letters(), made.model
+            piece = lambda text: packed([x.id for x in model.tokenize(text.encode().decode("latin-1").translate(letters))])
+            encoder = TextEncoder(by_pattern(BYTE_LEVEL, piece))
+        else:
+            encoder = TextEncoder(lambda text: packed(made.encode(text, add_special_tokens=False).ids))
+            encoder.encode = encoder.whole
         _tokenizers[content] = encoder, max(made.get_vocab_size() - 1, 1).bit_length()
     return _tokenizers[content]
 
