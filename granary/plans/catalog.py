@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-MODULES: list = []
+from granary.plans import claims, matching, nested, selection, stats, store, text
+
+MODULES = (selection, stats, store, claims, nested, text, matching)
 
 
 def queries() -> dict:
-    return {name: run for m in MODULES for name, run in m.QUERIES.items()}
+    return {name: run for m in MODULES for name, run in m.R.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
+    return {name: sql for m in MODULES for name, sql in m.R.oracles.items()}
