@@ -33,33 +33,34 @@ def _windows(lines: Column) -> Column:
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and places (from 0, ascending) of the lines to remove, for the documents that lose any.
+    """doc_id, text_key and places (from 0, ascending) of the lines to remove, for the documents that lose any.
 
     Only lines with a word make windows; blank lines lie between them and are never removed. Lines are
     compared without the white space around them. Windows are ranked by doc_id, null last, then by place;
     the first one of equal windows stays. A text of fewer than LINES lines with a word, or null, has no
-    window. Every removed line's text remains somewhere in an earlier place. Rows that repeat an id are one
-    document's rows: their windows rank alike, so the copies don't remove each other's lines.
+    window. Every removed line's text remains somewhere in an earlier place. Rows that repeat an id,
+    null ids as well, rank alike by place, so equal rows don't remove each other's lines; text_key, a hash
+    of the text, tells which of them the places belong to.
 
     Windows leave their document as a hash, an id and a place. First occurrences are minima, combined
     before the shuffle, of the repeated hashes only; windows meet them in a join that the adaptive skew
     join splits where a window is very common.
     """
-    lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), _lines(F.col(text_col)).alias("lines")).filter(F.size("lines") >= LINES)
-    found = lines.select("doc_id", F.explode(_windows(F.col("lines"))).alias("w")).select("doc_id", "w.h", "w.at", "w.nth")
+    lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), _lines(F.col(text_col)).alias("lines")).filter(F.size("lines") >= LINES)
+    found = lines.select("doc_id", "text_key", F.explode(_windows(F.col("lines"))).alias("w")).select("doc_id", "text_key", "w.h", "w.at", "w.nth")
     found = cut(found)
     # ids and places are two numbers each: their least pair is the place at the least id
     firsts = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nth")).alias("first"))
     firsts = firsts.filter("n > 1").select("h", F.col("first.doc_id").alias("first_id"), F.col("first.nth").alias("first_nth"))
     later = found.join(firsts, "h").filter(~(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("nth") == F.col("first_nth"))))
-    covered = later.select("doc_id", F.explode("at").alias("place")).distinct()
-    return covered.groupBy("doc_id").agg(F.array_sort(F.collect_list("place")).alias("places"))
+    covered = later.select("doc_id", "text_key", F.explode("at").alias("place")).distinct()
+    return covered.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list("place")).alias("places"))
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows and columns, texts without the lines that repeated_lines names."""
-    gone = repeated_lines(docs, id_col, text_col).select(F.col("doc_id").alias("_gone_id"), F.col("places").alias("_places"))
-    rows = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone_id"]), "left")
+    gone = repeated_lines(docs, id_col, text_col).select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key"), F.col("places").alias("_places"))
+    rows = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_key"]), "left")
     left = F.filter(F.split(docs[text_col], "\n"), lambda x, i: ~F.array_contains("_places", i))
     text = F.when(F.col("_places").isNull(), docs[text_col]).otherwise(F.array_join(left, "\n"))
     return rows.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
@@ -68,8 +69,8 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
 def line_report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, places and the SHA-256 of the text that is left."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    gone = repeated_lines(docs).select(F.col("doc_id").alias("gone_id"), F.col("places").alias("gone_places"))
-    rows = texts.join(gone, texts["doc_id"].eqNullSafe(gone["gone_id"]), "left")
+    gone = repeated_lines(docs).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), F.col("places").alias("gone_places"))
+    rows = texts.join(gone, texts["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64("text") == gone["gone_key"]), "left")
     places = F.coalesce("gone_places", F.array().cast("array<int>"))
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(places, i)), "\n")
     return rows.select(

@@ -56,67 +56,68 @@ def _found(texts: DataFrame) -> DataFrame:
     """One row per distinct unit of every document, and places of the unit in it: the first, and all later ones."""
     import pyarrow as pa
 
-    names = ["doc_id", "h1", "h2", "begin", "end", "more"]
+    names = ["doc_id", "text_key", "h1", "h2", "begin", "end", "more"]
 
     def run(batches):
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text, key in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 own: dict[bytes, list[int]] = {}
                 for digest, a, b in units(text):
                     own.setdefault(digest, []).extend((a, b))
                 for digest, places in own.items():
                     first, second = np.frombuffer(digest, np.int64).tolist()
-                    rows.append((doc_id, first, second, places[0], places[1], places[2:] or None))
-            columns = list(zip(*rows)) or [()] * 6
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())]
+                    rows.append((doc_id, key, first, second, places[0], places[1], places[2:] or None))
+            columns = list(zip(*rows)) or [()] * 7
+            kinds = [pa.int64()] * 6 + [pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return texts.mapInArrow(run, "doc_id long, h1 long, h2 long, begin long, end long, more array<int>")
+    return texts.mapInArrow(run, "doc_id long, text_key long, h1 long, h2 long, begin long, end long, more array<int>")
 
 
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per removed unit: doc_id, begin, end, first_id.
+    """One row per removed unit: doc_id, text_key, begin, end, first_id.
 
     Of equal units the one in the smallest doc_id stays, and there the first; first_id is that document,
     the same one's if it repeats the unit itself. Null ids rank last. A null or empty text has no units.
-    Rows that repeat an id are one document's rows and don't remove each other's units.
+    Rows that repeat an id, null ids as well, don't remove each other's units; text_key, a hash of the
+    text, tells which of them the offsets belong to.
 
     A document's own repeats are settled where it is read. Of each of its units one row goes on; counts
     and least ids are combined before the shuffle. The join that brings the least id back to the rows is
     split by the adaptive skew join where a unit is very common.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(text_col).alias("text_key"))
     found = cut(_found(texts))
     seen = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     later = found.join(seen, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("first_id")))
-    across = later.select("doc_id", "begin", "end", "first_id", "more")
+    across = later.select("doc_id", "text_key", "begin", "end", "first_id")
     place = lambda i, name: F.get("more", i).cast("long").alias(name)
     pairs = F.transform(F.expr("sequence(0, size(more) div 2 - 1)").cast("array<int>"), lambda i: F.struct(place(2 * i, "begin"), place(2 * i + 1, "end")))
-    within = found.filter("more IS NOT NULL").select("doc_id", F.explode(pairs).alias("p")).select("doc_id", "p.begin", "p.end", F.col("doc_id").alias("first_id"))
-    return across.drop("more").union(within)
+    within = found.filter("more IS NOT NULL").select("doc_id", "text_key", F.explode(pairs).alias("p"))
+    return across.union(within.select("doc_id", "text_key", "p.begin", "p.end", F.col("doc_id").alias("first_id")))
 
 
 def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, begin, end, first_id, n_units: the removed units of each document, overlapping ones as one span.
+    """doc_id, text_key, begin, end, first_id, n_units: the removed units of each document, overlapping ones as one span.
 
     first_id is the smallest id among the documents that keep a unit of the span. A document's spans are
     disjoint and lie in the original text: begin and end count its code points, end is the first one kept.
     """
     units_gone = repeated_units(docs, id_col, text_col)
-    order = Window.partitionBy("doc_id").orderBy("begin", F.desc("end"))
+    order = Window.partitionBy("doc_id", "text_key").orderBy("begin", F.desc("end"))
     reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     starts = units_gone.withColumn("fresh", (reached.isNull() | (F.col("begin") >= reached)).cast("int"))
     spans = starts.withColumn("span", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     sums = [F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("first_id").alias("first_id"), F.count(F.lit(1)).alias("n_units")]
-    return spans.groupBy("doc_id", "span").agg(*sums).drop("span")
+    return spans.groupBy("doc_id", "text_key", "span").agg(*sums).drop("span")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spans_col: str | None = None) -> DataFrame:
     """The input rows and columns, texts without their removed spans; if named, a column keeps the spans' offsets."""
     spans = removed_spans(docs, id_col, text_col)
-    gone = spans.groupBy(F.col("doc_id").alias("_gone_id")).agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("_spans"))
-    rows = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone_id"]), "left")
+    gone = spans.groupBy(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("_spans"))
+    rows = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_key"]), "left")
     # what lies between the spans, from the end of one to the begin of the next
     begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("_spans", lambda x: x["end"]))
     ends = F.concat(F.transform("_spans", lambda x: x["begin"]), F.array(F.length(docs[text_col]).cast("long")))
