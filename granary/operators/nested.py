@@ -18,9 +18,9 @@ SCHEMAS = {
 
 def project(body: Column, endpoint: str) -> Column:
     """The endpoint's fields of a response: results keep their number and order, what is no object is null; missing results are empty."""
-    shape = f"struct<total_results:bigint,results:array<{SCHEMAS[endpoint]}>>"
-    parsed = F.from_json(body, shape, {"mode": "PERMISSIVE"})
-    results = F.coalesce(parsed["results"], F.array().cast(f"array<{SCHEMAS[endpoint]}>"))
+    parsed = F.from_json(body, "struct<total_results:bigint,results:array<string>>")
+    element = lambda x: F.when(F.ltrim(x).startswith("{"), F.from_json(x, SCHEMAS[endpoint]))
+    results = F.transform(F.coalesce(parsed["results"], F.array().cast("array<string>")), element)
     return F.struct(parsed["total_results"].alias("total_results"), results.alias("results"))
 
 

@@ -42,10 +42,12 @@ def check_format(spark: SparkSession, path: str) -> int:
     mark = spark._jvm.org.apache.hadoop.fs.Path(fs_path, "_FORMAT")
     if not fs.exists(mark):
         raise ValueError(f"{path} holds entries without a format mark")
-    found = spark.read.text(str(mark)).first()
-    if found is None or not found[0].strip().isdigit() or int(found[0]) > FORMAT_VERSION:
+    stream = fs.open(mark)  # Spark's readers pass over names with an underscore
+    found = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream)).readLine()
+    stream.close()
+    if found is None or not found.strip().isdigit() or int(found) > FORMAT_VERSION:
         raise ValueError(f"{path} has a foreign format mark")
-    return int(found[0])
+    return int(found)
 
 
 def append_journal(rows: DataFrame, path: str) -> None:
