@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, app: str = "granary") -> SparkSession:
@@ -29,3 +30,11 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, a
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One input table; Parquet column pruning and filter pushdown follow from the plan above it."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows of df without their lineage, in the shared folder of spark.checkpoint.dir; a session without one gets a temporary folder."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp("granary"))
+    return df.checkpoint()
