@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.text import binomial, damerau_levenshtein, edit_threshold, normalize, phonetic_codes, sounds_alike, token_set
+from granary.session import cut
 
 EXACT, TOKENS, MISSPELLED, SOUNDS = 1, 2, 3, 4
 
@@ -73,9 +74,10 @@ def grade(asked: DataFrame, deck: DataFrame) -> DataFrame:
     credit is refused if a rival card fits at least as well: ties block. Cards that ask for the same genus
     are no rivals; for partial credit no card of the genus is. If nothing fits, the strongest rival is named.
     """
+    deck = cut(deck)  # read by every rule; the UDFs in it run once
     cards = deck.select("card_id", "genus", "answer_rank").distinct()
     rows = asked.withColumn("normal", normalize(F.col("answer")))
-    found = candidates(rows.select(F.col("normal").alias("answer")).filter("answer <> ''").distinct(), deck)
+    found = cut(candidates(cut(rows.select(F.col("normal").alias("answer")).filter("answer <> ''").distinct()), deck))
 
     own = found.groupBy("answer", "card_id").agg(
         F.min(F.when(~F.col("as_partial"), F.struct("level", "distance"))).alias("full"),
