@@ -5,7 +5,8 @@ its value. An empty bin takes the value of a bin picked by a hash of its own num
 is filled. Texts that agree in a band of bins share a bucket, and in a bucket only a hub is compared with
 the others, so candidates grow with a bucket's size and not with its square. Links are confirmed on the
 full shingle sets. Buckets whose members are still in different components get another hub, without the
-ones before, until a round joins nothing.
+ones before, for a few rounds. What is still divided then is compared exactly: two sets of different
+components that are similar enough share one of their rarest shingles, early in the order of rarity.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from functools import cache
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.common import cut
@@ -25,8 +26,8 @@ WORDS, PERCENT = 5, 75
 #: 42 bands of 6 bins: texts of similarity 0.75 share no bucket with a chance of 0.0003.
 BINS, BAND = 256, 6
 BANDS = BINS // BAND
-#: Rounds with a new hub for each bucket that is still divided; the first ones always run.
-MOST_ROUNDS = 6
+#: Rounds with a new hub for each bucket that is still divided, before the rest is compared exactly.
+HUB_ROUNDS = 6
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -120,11 +121,47 @@ def _linked(edges: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * same >= PERCENT * (F.size("a_set") + F.size("b_set") - same)).select("a", "b")
 
 
+def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """bucket, node, n, label: the members with the least node of their component."""
+    if roots is None:
+        return members.withColumn("label", F.col("node"))
+    moved = roots.select(F.col("node").alias("moved"), "root")
+    return members.join(moved, F.col("node") == F.col("moved"), "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("label"))
+
+
+def _rest(labelled: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges (a, b) between different labels: all that can be links among the nodes of divided buckets.
+
+    A set's shingles are ordered by the number of these nodes that have them. If two sets are similar enough, so
+    many must be shared that the first shared one has as many at and after its place in both: this bounds its
+    place in each set, and each pair by its two places. A shingle's commonest label is never met with itself,
+    so a component that already holds most of a group is compared with the others only.
+    """
+    divided = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
+    nodes = cut(labelled.join(divided, "bucket").select("node", "label").distinct())
+    if nodes.isEmpty():
+        return nodes.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    own = sets.join(nodes, F.col("id") == F.col("node")).select("node", "label", F.size("shingles").alias("n"), F.xxhash64("shingles").alias("of"), F.explode("shingles").alias("shingle"))
+    common = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").withColumnRenamed("shingle", "s")
+    # shingles of one set only come first and meet nothing
+    ranked = own.join(common, F.col("shingle") == F.col("s"), "left").withColumn("df", F.coalesce("df", F.lit(1)))
+    place = F.row_number().over(Window.partitionBy("node", "of").orderBy("df", "shingle")) - 1
+    early = ranked.withColumn("left", F.col("n") - place).filter(f"df > 1 AND 100 * left >= {PERCENT} * n")
+    early = cut(early.select("shingle", "node", "label", "n", "left"))
+    counts = early.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("rows"))
+    major = counts.groupBy("shingle").agg(F.max_by("label", F.struct("rows", "label")).alias("major"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    early = cut(early.join(major.withColumnRenamed("shingle", "s"), F.col("shingle") == F.col("s")).select("shingle", "node", "label", "n", "left", "major"))
+    minor = early.filter("label <> major").select(F.col("shingle").alias("s"), F.col("node").alias("a"), F.col("label").alias("a_label"), F.col("n").alias("a_n"), F.col("left").alias("a_left"))
+    may = f"shingle = s AND label <> a_label AND {100 + PERCENT} * least(left, a_left) >= {PERCENT} * (n + a_n)"
+    pairs = minor.join(early, F.expr(may))
+    return cut(pairs.select(F.least("node", "a").alias("a"), F.greatest("node", "a").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept, class_id.
 
     component_id is the smallest id reachable over links of similarity PERCENT or more, kept tells whether
-    that is the row's own. class_id is the smallest id with the same shingle set; sets are compared once
+    that is the row's own. Of two texts that share a bucket no link is missed. class_id is the smallest id with the same shingle set; sets are compared once
     per class. A null, empty or blank text has no shingles and is linked with nothing. Rows that repeat an
     id count as one document. Rows with a null id are linked with nothing but rows of an equal set, of
     which the smallest id that is not null, if any, is their component's. Other columns are not read; an
@@ -144,12 +181,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = cut(_sets(texts.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")))
 
     roots = None
-    for k in range(MOST_ROUNDS):
-        if roots is None:
-            labelled = members.withColumn("label", F.col("node"))
-        else:
-            moved = roots.select(F.col("node").alias("moved"), "root")
-            labelled = members.join(moved, F.col("node") == F.col("moved"), "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("label"))
+    for k in range(HUB_ROUNDS):
+        labelled = _labelled(members, roots)
         # the first hub is the smallest id, later ones go by a hash that differs between buckets and rounds
         turn = F.col("node") if k == 0 else F.xxhash64("node", "bucket", F.lit(k))
         hubs = labelled.groupBy("bucket").agg(
@@ -168,6 +201,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links = links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = components(links)
 
+    links = cut(_linked(_rest(_labelled(members, roots), sets), sets))
+    if not links.isEmpty():
+        roots = components(links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
     out = known.join(roots.withColumnRenamed("node", "of"), F.col("class_id") == F.col("of"), "left")
     component = F.coalesce("root", "class_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "class_id")

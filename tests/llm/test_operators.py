@@ -170,6 +170,22 @@ def test_near_duplicates(docs, rows):
     assert near_dedup.keep_one(docs).columns == docs.columns
 
 
+def test_near_duplicates_inside_a_large_divided_bucket(spark):
+    """Many texts share a passage at a similarity just under the threshold; a few pairs of them are closer."""
+    rnd = random.Random(12)
+    passage, rows, want = words(rnd, 124), [], {}
+    for k in range(1000):
+        tail = [f"t{k}x{j}" for j in range(22)]
+        if k >= 940 and k % 2:
+            tail[:4] = rows[-1][1].split()[124:128]
+            want[k] = k - 1
+        rows.append((k, " ".join(passage + tail), "en", "a"))
+    sets = [_shingles(t) for _, t, *_ in rows]
+    assert all((100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])) == (want.get(b) == a) for b in range(900, 1000) for a in range(b))
+    got = near_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in got if not r.kept} == want
+
+
 def test_recall_of_links_at_the_threshold():
     rnd, found = random.Random(3), 0
     for _ in range(400):
