@@ -23,8 +23,8 @@ MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
 #: A bucket's upper edge is so many times its lower edge.
 GAMMA = 1.02
-#: Rows from which a (language, source), or else a language, sets its own limits.
-LEAST_ROWS = 200
+#: A source's quantiles count as its rows, those of its language as so many rows more; likewise a language's in the corpus.
+PARENT_ROWS = 10
 #: Each ratio in thousandths: its formula, the least spread, and spreads allowed above and below the median.
 RATIOS = {
     "symbols": ("1000 * n_symbols div greatest(n_words, 1)", 25, 4, None),
@@ -83,8 +83,9 @@ def limits(features: DataFrame) -> DataFrame:
     """lang, source and for each ratio its lowest and highest allowed value, for every (lang, source) there is.
 
     features: lang, source and the COUNTS, of all documents that pass the base rules. The median and
-    the tenth percentile are read from the finest sketch with LEAST_ROWS rows: the source's within its
-    language, else the language's, else the whole corpus's. A limit lies a number of spreads (median
+    the tenth percentile are read from every source's own sketch at every size, and are blended with its
+    language's by n / (n + PARENT_ROWS), n the source's rows; the language's are blended with the whole
+    corpus's in the same way. A limit lies a number of spreads (median
     minus tenth percentile, at least a ratio's least spread) from the median, so that a uniform corpus
     loses nothing and one dominant junk source cannot move the limits of others.
     """
@@ -99,14 +100,15 @@ def limits(features: DataFrame) -> DataFrame:
         ranked = sketch.withColumns({"upto": F.sum("n").over(upto), "rows": F.sum("n").over(total)})
         quantile = lambda q: F.min(F.when(F.col("upto") >= F.col("rows") * q, F.col("bucket")))
         read = ranked.groupBy(*keys, "ratio").agg(_value(quantile(0.5)).alias("mid"), _value(quantile(0.1)).alias("low"), F.max("rows").alias("rows"))
-        if keys != []:
-            read = read.filter(F.col("rows") >= LEAST_ROWS)
-        found.append((keys, read.select(*[F.col(k).alias(f"{k}_{level}") for k in keys], F.col("ratio").alias(f"ratio_{level}"), F.struct("mid", "low").alias(f"s_{level}"))))
+        found.append((keys, read.select(*[F.col(k).alias(f"{k}_{level}") for k in keys], F.col("ratio").alias(f"ratio_{level}"), F.struct("mid", "low", "rows").alias(f"s_{level}"))))
     out = fine.select("lang", "source", "ratio").distinct()
     for level, (keys, read) in enumerate(found):
         same = [out[k].eqNullSafe(read[f"{k}_{level}"]) for k in keys] + [out["ratio"] == read[f"ratio_{level}"]]
         out = out.join(read, reduce(Column.__and__, same), "left").select(out["*"], f"s_{level}")
-    best = F.coalesce("s_0", "s_1", "s_2")
+    best = {x: F.col(f"s_2.{x}") for x in ("mid", "low")}
+    for level in (1, 0):
+        weight = F.col(f"s_{level}.rows") / (F.col(f"s_{level}.rows") + PARENT_ROWS)
+        best = {x: weight * F.col(f"s_{level}.{x}") + (1 - weight) * parent for x, parent in best.items()}
     least = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(float(x[1]))) for k, x in RATIOS.items()])
     spread = F.greatest(best["mid"] - best["low"], least)
     above = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(float(x[2]))) for k, x in RATIOS.items()])

@@ -376,6 +376,16 @@ def test_quality_limits_follow_the_source(spark):
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == kept
 
 
+@pytest.mark.parametrize("size", [60, 150, 199, 201])
+def test_small_sources_have_limits_of_their_own(spark, size):
+    rnd = random.Random(13)
+    clean = [(k, " ".join(words(rnd, 60)), "en", "a") for k in range(300)]
+    code = [(1000 + k, " ".join(x + ("#" if j % 4 == 0 else "") for j, x in enumerate(words(rnd, 60))), "en", "code") for k in range(size)]
+    junk = [(2000 + k, " ".join(x + "###" for x in words(rnd, 60)), "en", s) for k, s in enumerate(("a", "code"))]
+    kept = {r.doc_id for r in quality.quality_rules(frame(spark, clean + code + junk)).collect() if r.kept}
+    assert kept == {i for i, *_ in clean + code}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="<p>no</p>";</script></head><body><nav><ul><li><a href=/>Home</a></li></ul></nav>
 <div class="ad">Buy now</div><{tag}><h1>Head &amp; line</h1><p>First   <b>para</b>\n with <a href="x>y">link</a>.<p>Second &#233;&nbsp;one<br>more<ul><li>point</ul></{end}>
 <section id="comments"><p>A reader wrote a lot, more than the article has in all, and more, and still more than that, to be sure of it.</p></section><footer>&copy; foot</footer>"""
