@@ -25,12 +25,13 @@ SYMBOLS = "#*$%&|<>"
 GAMMA = 1.02
 #: A source's quantiles count as its rows, those of its language as so many rows more; likewise a language's in the corpus.
 PARENT_ROWS = 10
-#: Each ratio in thousandths: its formula, the least spread, and spreads allowed above and below the median.
+#: Each ratio in thousandths: its formula, the least spread, and spreads allowed above and below the median. Where the
+#: median is 0, the least spread times those above must stay under what the base rule leaves (REPEAT_PERCENT).
 RATIOS = {
     "symbols": ("1000 * n_symbols div greatest(n_words, 1)", 25, 4, None),
     "word_length": ("1000 * word_chars div greatest(n_words, 1)", 300, 8, 8),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 150, 4, None),
-    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 75, 4, None),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 75, 4, None),
+    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 40, 4, None),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 _HAS_WORD = re.compile(r"[^\x20\x09-\x0D]").search
@@ -82,12 +83,13 @@ def _value(bucket: Column) -> Column:
 def limits(features: DataFrame) -> DataFrame:
     """lang, source and for each ratio its lowest and highest allowed value, for every (lang, source) there is.
 
-    features: lang, source and the COUNTS, of all documents that pass the base rules. The median and
-    the tenth percentile are read from every source's own sketch at every size, and are blended with its
+    features: lang, source and the COUNTS, of all documents that pass the base rules. The median,
+    the tenth percentile and the upper quartile are read from every source's own sketch at every size, and are blended with its
     language's by n / (n + PARENT_ROWS), n the source's rows; the language's are blended with the whole
-    corpus's in the same way. A limit lies a number of spreads (median
-    minus tenth percentile, at least a ratio's least spread) from the median, so that a uniform corpus
-    loses nothing and one dominant junk source cannot move the limits of others.
+    corpus's in the same way. A limit lies a number of spreads from the
+    median, so that a uniform corpus loses nothing and one dominant junk source cannot move the limits of
+    others. A spread is the median minus the tenth percentile and at least a ratio's least spread; above a
+    median of 0, where nothing lies below, it is the upper quartile's distance, if that is more.
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), _bucket(F.expr(x[0])).alias("bucket")) for k, x in RATIOS.items()]))
     fine = features.select("lang", "source", pairs.alias("p")).groupBy("lang", "source", "p.ratio", "p.bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -99,13 +101,13 @@ def limits(features: DataFrame) -> DataFrame:
         upto = total.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
         ranked = sketch.withColumns({"upto": F.sum("n").over(upto), "rows": F.sum("n").over(total)})
         quantile = lambda q: F.min(F.when(F.col("upto") >= F.col("rows") * q, F.col("bucket")))
-        read = ranked.groupBy(*keys, "ratio").agg(_value(quantile(0.5)).alias("mid"), _value(quantile(0.1)).alias("low"), F.max("rows").alias("rows"))
-        found.append((keys, read.select(*[F.col(k).alias(f"{k}_{level}") for k in keys], F.col("ratio").alias(f"ratio_{level}"), F.struct("mid", "low", "rows").alias(f"s_{level}"))))
+        read = ranked.groupBy(*keys, "ratio").agg(_value(quantile(0.5)).alias("mid"), _value(quantile(0.1)).alias("low"), _value(quantile(0.75)).alias("top"), F.max("rows").alias("rows"))
+        found.append((keys, read.select(*[F.col(k).alias(f"{k}_{level}") for k in keys], F.col("ratio").alias(f"ratio_{level}"), F.struct("mid", "low", "top", "rows").alias(f"s_{level}"))))
     out = fine.select("lang", "source", "ratio").distinct()
     for level, (keys, read) in enumerate(found):
         same = [out[k].eqNullSafe(read[f"{k}_{level}"]) for k in keys] + [out["ratio"] == read[f"ratio_{level}"]]
         out = out.join(read, reduce(Column.__and__, same), "left").select(out["*"], f"s_{level}")
-    best = {x: F.col(f"s_2.{x}") for x in ("mid", "low")}
+    best = {x: F.col(f"s_2.{x}") for x in ("mid", "low", "top")}
     for level in (1, 0):
         weight = F.col(f"s_{level}.rows") / (F.col(f"s_{level}.rows") + PARENT_ROWS)
         best = {x: weight * F.col(f"s_{level}.{x}") + (1 - weight) * parent for x, parent in best.items()}
@@ -113,7 +115,7 @@ def limits(features: DataFrame) -> DataFrame:
     spread = F.greatest(best["mid"] - best["low"], least)
     above = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(float(x[2]))) for k, x in RATIOS.items()])
     below = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(float(x[3]))) for k, x in RATIOS.items() if x[3]])
-    out = out.select("lang", "source", "ratio", (best["mid"] + above * spread).alias("high"), F.coalesce(best["mid"] - below * spread, F.lit(-1.0)).alias("low"))
+    out = out.select("lang", "source", "ratio", (best["mid"] + above * F.greatest(spread, F.when(best["low"] == 0, best["top"] - best["mid"]))).alias("high"), F.coalesce(best["mid"] - below * spread, F.lit(-1.0)).alias("low"))
     sides = [F.max(F.when(F.col("ratio") == k, F.col(side))).alias(f"{side}_{k}") for k in RATIOS for side in ("low", "high")]
     return out.groupBy(F.col("lang").alias("limit_lang"), F.col("source").alias("limit_source")).agg(*sides)
 

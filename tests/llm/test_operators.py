@@ -386,6 +386,29 @@ def test_small_sources_have_limits_of_their_own(spark, size):
     assert kept == {i for i, *_ in clean + code}
 
 
+def test_every_ratio_rejects_an_outlier(spark):
+    rnd = random.Random(14)
+
+    def text(n_lines=12):
+        return [" ".join(words(rnd, 8)) for _ in range(n_lines)]
+
+    clean = [(k, "\n".join(text()), "en", "a") for k in range(300)]
+    twice = text(10)
+    run = " ".join(words(rnd, 10))
+    outliers = {
+        "symbols": " ".join(x + "##" for x in "\n".join(text()).split()), "word_length": "\n".join(text()).replace(" ", "longer "),
+        "dup_lines": "\n".join(x for line in text(8) for x in (line, "so it is")), "repeats": "\n".join([*twice, run, *text(1), run]),
+    }
+    docs = frame(spark, clean + [(1000 + k, t, "en", "a") for k, t in enumerate(outliers.values())])
+    got = quality.quality_rules(docs).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if r.kept} == {i for i, *_ in clean}
+    bounds = quality.limits(quality._features(docs, "doc_id", "text", "lang", "source").filter(~quality.base_failed())).first()
+    for name, r in zip(outliers, sorted((r for r in got if r.doc_id >= 1000), key=lambda r: r.doc_id)):
+        ratios = [1000 * r.n_symbols // r.n_words, 1000 * r.word_chars // r.n_words, 1000 * r.n_dup_lines // r.n_lines, 1000 * r.n_repeat_words // r.n_words]
+        assert [x for x, value in zip(quality.RATIOS, ratios) if not bounds[f"low_{x}"] <= value <= bounds[f"high_{x}"]] == [name]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="<p>no</p>";</script></head><body><nav><ul><li><a href=/>Home</a></li></ul></nav>
 <div class="ad">Buy now</div><{tag}><h1>Head &amp; line</h1><p>First   <b>para</b>\n with <a href="x>y">link</a>.<p>Second &#233;&nbsp;one<br>more<ul><li>point</ul></{end}>
 <section id="comments"><p>A reader wrote a lot, more than the article has in all, and more, and still more than that, to be sure of it.</p></section><footer>&copy; foot</footer>"""
