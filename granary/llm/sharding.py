@@ -1,8 +1,8 @@
 """Sharding by vector bin packing: bytes, words and rows are balanced together, equal texts stay together.
 
 Groups of equal texts fall into cells by their hash, so many to a shard that the driver only ever packs a
-bounded number of items however large the corpus is. A group that is too large for a cell is an item by
-itself, cut into as many items as it takes.
+bounded number of items however large the corpus is. A group that is too large for a cell is cut into as
+many items as it takes, which go to one shard together as long as any has room for them all.
 """
 
 from __future__ import annotations
@@ -21,17 +21,29 @@ ROW_BYTES = 8
 SIZES = ("bytes", "words", "rows")
 
 
-def pack(items: np.ndarray, shards: int) -> np.ndarray:
+def pack(items: np.ndarray, shards: int, groups: np.ndarray | None = None) -> np.ndarray:
     """The shard of every item (a vector of sizes, as shares of the totals).
 
-    Items go from the largest to the smallest, each to the shard whose residual capacity has the highest
-    dot product with it; of equal ones the first.
+    groups numbers the items; those of one number belong together, each by itself if there are none. Groups
+    go from the largest to the smallest, each to the shard whose residual capacity has the highest dot
+    product with it; of equal ones the first. A group of several items goes to such a shard among those
+    with room for all of it; if there is none, its items go one by one, each as if by itself.
     """
     residual = np.full((shards, items.shape[1]), 1.0 / shards)
     out = np.zeros(len(items), np.int64)
-    for i in np.argsort(-items.max(axis=1), kind="stable"):
-        out[i] = np.argmax(residual @ items[i])
-        residual[out[i]] -= items[i]
+    _, number = np.unique(np.arange(len(items)) if groups is None else groups, return_inverse=True)
+    whole = np.zeros((number.max(initial=-1) + 1, items.shape[1]))
+    np.add.at(whole, number, items)
+    of = np.split(np.argsort(number, kind="stable"), np.cumsum(np.bincount(number))[:-1])
+    for g in np.argsort(-whole.max(axis=1), kind="stable"):
+        room = (residual >= whole[g] - 1e-12).all(axis=1)
+        if len(of[g]) > 1 and room.any():
+            out[of[g]] = np.argmax(np.where(room, residual @ whole[g], -np.inf))
+            residual[out[of[g][0]]] -= whole[g]
+            continue
+        for i in of[g][np.argsort(-items[of[g]].max(axis=1), kind="stable")]:
+            out[i] = np.argmax(residual @ items[i])
+            residual[out[i]] -= items[i]
     return out
 
 
@@ -40,7 +52,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
 
     size is the text's UTF-8 bytes plus ROW_BYTES; a null text is as an empty one. slot numbers a shard's
     rows from 0 without gaps: item after item, and within an item by doc_id, null first. Rows that repeat
-    an id are rows of their own; an empty table gives no rows.
+    an id are rows of their own; an empty table gives no rows. Equal texts share a shard, unless their group
+    is larger than the room (in bytes, words or rows) that larger groups left in every shard.
 
     The text is read once; what is kept of it has a few numbers a row. What the driver collects and sends
     back is bounded by shards * CELLS: as many cells, and items of large groups, each of which has more
@@ -67,7 +80,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
 
     packed = rows.groupBy("item").agg(*sums).orderBy("item").collect()
     sizes = np.array([[x[c] / t for c, t in zip(SIZES, total)] for x in packed], float).reshape(-1, len(SIZES))
-    shard_of, begin, lines = pack(sizes, shards).tolist(), [0] * shards, []
+    # items of one large group have numbers from its start on
+    ids = np.array([x["item"] for x in packed], np.int64)
+    groups = np.where(ids < cells, ids, cells + np.searchsorted(starts[:-1], ids, side="right"))
+    shard_of, begin, lines = pack(sizes, shards, groups).tolist(), [0] * shards, []
     for x, shard in zip(packed, shard_of):
         lines.append((x["item"], shard, begin[shard]))
         begin[shard] += x["rows"]

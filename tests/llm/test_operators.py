@@ -230,6 +230,23 @@ def test_sharding_balances_and_splits_a_large_group(spark):
     assert sizes.max() / sizes.min() < 1.03 and counts.max() / counts.min() < 1.1
 
 
+@pytest.mark.parametrize("n", [1500, 9000])
+def test_sharding_keeps_groups_that_fit_together(spark, n):
+    rnd, rows = random.Random(15), []
+    for k in range(20):
+        text = " ".join(words(rnd, 20))
+        rows += [text] * (n // 60 if k == 0 else 2 + n // 700)
+    rows += [" ".join(words(rnd, rnd.randint(10, 30))) for _ in range(n - len(rows))]
+    rnd.shuffle(rows)
+    got = sharding.shard_documents(frame(spark, [(k, t, "en", "a") for k, t in enumerate(rows)])).collect()
+    of = {}
+    for r in got:
+        of.setdefault(rows[r.doc_id], set()).add(r.shard)
+    assert len(of) < len(rows) and all(len(x) == 1 for x in of.values())
+    sizes = np.bincount([r.shard for r in got], weights=[r.size for r in got], minlength=24)
+    assert sizes.max() / sizes.min() < 1.1
+
+
 def test_packing_goes_to_the_highest_dot_product():
     items = np.array([[0.5, 0.1], [0.3, 0.3], [0.2, 0.6]])
     assert sharding.pack(items, 2).tolist() == [1, 1, 0]
