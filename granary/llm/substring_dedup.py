@@ -1,7 +1,8 @@
 """Substring dedup: lines and the sentences inside them are hashed, and of equal units the earliest stays.
 
-A unit is a line, or a sentence of a line that has several, so a passage that is repeated inside a longer
-paragraph is found as well. Units are compared by their words, without case, punctuation at their ends and
+A unit is a line of any length, or a sentence of a line that has several, so a passage that is repeated inside
+a longer paragraph is found as well. A sentence too short to stand for itself is a unit together with as many
+of its neighbours as it takes, once with those before and once with those after. Units are compared by their words, without case, punctuation at their ends and
 white space. Offsets are code points of the original text.
 """
 
@@ -16,15 +17,16 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import cut
 
-#: Words from which a whole line, or a sentence within a line, is a unit.
-LINE_WORDS, SENTENCE_WORDS = 4, 8
+#: Words, or else characters but blanks (for scripts that write none between words), from which a sentence within a
+#: line is a unit by itself.
+SENTENCE_WORDS, SENTENCE_CHARS = 8, 40
 _LINE = re.compile(r"[^\n]+")
-_MARK = re.compile(r"[.!?…。]+[\"')\]»”’]*(?:\s+|$)")
-_EDGES = " \t\r\x0b\x0c.,;:!?…。\"'()[]«»“”‘’-"
+_MARK = re.compile(r"[。！？]+[\"')\]»”’」』）]*\s*|[.!?…]+[\"')\]»”’]*(?:\s+|$)")
+_EDGES = " \t\r\x0b\x0c.,;:!?…。\"'()[]«»“”‘’-！？「」『』（）"
 
 
 def _sentences(line: str, offset: int):
-    """(begin, end) of the sentences of a line: they end with a mark that white space or the line's end follows."""
+    """(begin, end) of the sentences of a line: they end with a mark that white space or the line's end follows, or a wide one."""
     begin = 0
     for mark in _MARK.finditer(line):
         yield offset + begin, offset + mark.end()
@@ -33,22 +35,55 @@ def _sentences(line: str, offset: int):
         yield offset + begin, offset + len(line)
 
 
+def _digest(words: list[str]) -> bytes:
+    whole = " ".join(words)
+    return xxhash.xxh3_128_digest((whole.strip(_EDGES) or whole).encode())
+
+
+def _groups(sizes: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(first, last) of the runs of sentences that are units: long ones, and short ones with the neighbours they need."""
+
+    def enough(n_words, n_chars):
+        return n_words >= SENTENCE_WORDS or n_chars >= SENTENCE_CHARS
+
+    out = set()
+    for k, size in enumerate(sizes):
+        if enough(*size):
+            out.add((k, k))
+            continue
+        for step, stop in ((-1, -1), (1, len(sizes))):
+            n_words = n_chars = 0
+            for j in range(k, stop, step):
+                n_words, n_chars = n_words + sizes[j][0], n_chars + sizes[j][1]
+                if enough(n_words, n_chars):
+                    out.add((min(j, k), max(j, k)))
+                    break
+    return sorted(out)
+
+
 def units(text: str | None) -> list[tuple[bytes, int, int]]:
-    """(digest, begin, end) of the units of a text, lines before their sentences; a line of one sentence is one unit."""
-    out = []
+    """(digest, begin, end) of the units of a text, lines before their sentences; a line of one sentence is one unit.
+
+    A run of sentences that overlaps the last equal one (in a line that says the same again and again) is left out.
+    """
+    out, ends = [], {}
     for m in _LINE.finditer(text or ""):
         line, begin = m[0], m.start()
         words = line.casefold().split()
-        if len(words) < LINE_WORDS:
+        if not words:
             continue
-        out.append((xxhash.xxh3_128_digest(" ".join(words).strip(_EDGES).encode()), begin, m.end()))
-        if len(words) < SENTENCE_WORDS:
+        out.append((_digest(words), begin, m.end()))
+        places = list(_sentences(line, begin))
+        if len(places) < 2:
             continue
-        parts = list(_sentences(line, begin))
-        for a, b in parts if len(parts) > 1 else ():
-            words = text[a:b].casefold().split()
-            if len(words) >= SENTENCE_WORDS:
-                out.append((xxhash.xxh3_128_digest(" ".join(words).strip(_EDGES).encode()), a, b))
+        parts = [text[a:b].casefold().split() for a, b in places]
+        for i, j in _groups([(len(x), sum(map(len, x))) for x in parts]):
+            a, b = places[i][0], places[j][1]
+            digest = _digest(text[a:b].casefold().split())
+            if (i, j) == (0, len(places) - 1) or a < ends.get(digest, 0):
+                continue
+            ends[digest] = b
+            out.append((digest, a, b))
     return out
 
 

@@ -146,6 +146,20 @@ def test_substring_dedup_finds_a_passage_inside_a_paragraph(spark):
     assert sum(r.end - r.begin for r in got) >= len(passage)
 
 
+def test_substring_dedup_finds_short_units(spark):
+    rnd = random.Random(16)
+    a, b, c, d = (" ".join(words(rnd, 12)).capitalize() + "." for _ in range(4))
+    passage = f"{a} It rained. So we went. {b} No."
+    chinese = "春天的早晨河边的石头上有光。老人慢慢走过安静的桥。孩子们在北边的山谷里找到一盏旧灯笼。"
+    rows = [
+        (1, f"Les.\n{c} {passage}\n{chinese}", "en", "a"), (2, f"Own line of two.\nLes.\n{d} {passage} Tail it is not.\nIt rained over there.", "en", "a"),
+        (3, f"别的话在前面。{chinese}", "zh", "a"), (4, f"{chinese}\nNo. It rained. But {'not here and now ' * 3}", "zh", "a"),
+    ]
+    left = {r.doc_id: r.text for r in substring_dedup.without_repeats(frame(spark, rows)).collect()}
+    assert left[1] == rows[0][1] and left[2] == f"Own line of two.\n\n{d} Tail it is not.\nIt rained over there."
+    assert left[3] == "别的话在前面。" and left[4] == rows[3][1].removeprefix(chinese)
+
+
 def _shingles(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
