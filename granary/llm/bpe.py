@@ -9,15 +9,19 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import struct
+from itertools import chain
 
 import ahocorasick
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from granary.llm.pieces import TextEncoder, by_pattern
+from granary.llm.pieces import PieceEncoder
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 PAIRS_KEPT = 1_000_000
+#: Ids that are decoded at once.
+DECODED_IDS = 2_000_000
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -31,6 +35,7 @@ class ByteBPE:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.tokens = pa.array([self.bytes_of.get(k) for k in range(max(self.bytes_of, default=-1) + 1)], pa.large_binary())
         self.first: dict[int, int] = {}
         self.second: dict[int, int] = {}
         self.joined: dict[tuple[int, int], int] = {}
@@ -117,39 +122,56 @@ class ByteBPE:
                 at, token = end, longest[end]
         return ids
 
-    def encode_piece(self, piece: str) -> bytes:
-        ids = self.encode_bytes(piece.encode())
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces in one array, and how many each has."""
+        found = [self.encode_bytes(x.encode()) for x in pieces]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
-    def decode(self, ids: bytes) -> bytes:
-        """The bytes of ids packed as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I")))
+    def decode(self, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """The joined bytes of ids, and where each id's bytes end in them."""
+        joined = self.tokens.take(pa.array(ids))
+        offsets = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
+        return memoryview(joined.buffers()[2] or b"")[offsets[0] : offsets[-1]], offsets[1:] - offsets[0]
 
 
-_built: dict[bytes, tuple[ByteBPE, TextEncoder]] = {}
+_built: dict[bytes, tuple[ByteBPE, PieceEncoder]] = {}
 
 
-def encoder(content: bytes, pattern: str) -> tuple[ByteBPE, TextEncoder]:
+def encoder(content: bytes, pattern: str) -> tuple[ByteBPE, PieceEncoder]:
     """The encoder of a rank file's content, built once in each process."""
     key = hashlib.sha256(content + pattern.encode()).digest()
     if key not in _built:
         bpe = ByteBPE(read_ranks(content))
-        _built[key] = bpe, TextEncoder(by_pattern(pattern, bpe.encode_piece))
+        _built[key] = bpe, PieceEncoder(bpe.encode_pieces, pattern)
     return _built[key]
 
 
 def _run(batches, content, pattern, finish, schema):
-    import pyarrow as pa
-
     bpe, texts = encoder(content.value, pattern)
     for batch in batches:
-        rows = [finish(bpe, texts.encode(text or "")) for text in batch.column(1).to_pylist()]
-        columns = [pa.array(x, type=f.type) for x, f in zip(zip(*rows), schema)] if rows else [pa.array([], type=f.type) for f in schema]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *schema.names])
+        columns = finish(bpe, *texts.encode(batch.column(1)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, type=f.type) for x, f in zip(columns, schema)]], ["doc_id", *schema.names])
+
 
+def _whole(bpe: ByteBPE, ids: np.ndarray, ends: np.ndarray):
+    packed, begins = ids.astype("<u4", copy=False).tobytes(), np.concatenate([[0], ends[:-1]])
+    return ([packed[4 * a : 4 * b] for a, b in zip(begins.tolist(), ends.tolist())],)
 
-def _digests(bpe: ByteBPE, ids: bytes):
-    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()
+
+def _digests(bpe: ByteBPE, ids: np.ndarray, ends: np.ndarray):
+    packed, begins = memoryview(ids.astype("<u4", copy=False)).cast("B"), np.concatenate([[0], ends[:-1]])
+    of_ids = [hashlib.sha256(packed[4 * a : 4 * b]).hexdigest() for a, b in zip(begins.tolist(), ends.tolist())]
+    of_text = []
+    # texts are decoded some at a time, as long as they have so many ids together
+    at = 0
+    while at < len(ends):
+        upto = max(int(np.searchsorted(ends, begins[at] + DECODED_IDS, side="right")), at + 1)
+        data, places = bpe.decode(ids[begins[at] : ends[upto - 1]])
+        places = np.concatenate([[0], places])[np.concatenate([[0], ends[at:upto] - begins[at]])].tolist()
+        of_text += [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(places[:-1], places[1:])]
+        at = upto
+    return ends - begins, of_ids, of_text
 
 
 def encode_documents(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,7 +180,7 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, id_col: str
     Every match of the pattern in the whole text is encoded by itself, without special tokens; a null or
     empty text has no ids. Repeated rows and ids give as many rows; other columns are not read.
     """
-    return _encoded(docs, rank_path, pattern, id_col, text_col, lambda bpe, ids: (ids,), "doc_id long, ids binary")
+    return _encoded(docs, rank_path, pattern, id_col, text_col, _whole, "doc_id long, ids binary")
 
 
 def encode_and_decode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -167,8 +189,6 @@ def encode_and_decode(docs: DataFrame, rank_path: str, pattern: str, id_col: str
 
 
 def _encoded(docs, rank_path, pattern, id_col, text_col, finish, schema):
-    import pyarrow as pa
-
     spark = docs.sparkSession
     with open(rank_path, "rb") as f:  # the vocabulary, of fixed size, is read once on the driver and sent to the executors
         content = spark.sparkContext.broadcast(f.read())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +17,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of df, written to the shared folder named in spark.checkpoint.dir, without their lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, named in spark.checkpoint.dir; only in local mode may it be unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp("granary")
+
 
-    Only a session that names no such folder (a local test) gets a temporary one.
-    """
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in any store that Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows of df, written to the shared folder, without their lineage."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp("granary"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -1,59 +1,210 @@
-"""Cutting a text into the pieces that byte-level BPE encodes one by one, with bounded memos.
+"""Cutting texts into the pieces that byte-level BPE encodes one by one, a batch at a time.
 
-The vocabularies' pattern never joins a character to a following space, so a single space between two
-other characters always starts a piece. Most texts can therefore be cut at their spaces first, and
-what stands between two spaces is looked up as a whole.
+A batch's texts lie in one buffer of bytes. The places where pieces begin are found for all of them at once,
+from the kind of every character and of the one before it, so the pieces are an Arrow array over the same
+buffer. Each distinct piece of a batch is looked up once, and only unknown ones are encoded.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
+from functools import cache
+from itertools import repeat
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Fixed value: the pattern of byte-level pre-tokenizers.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_ODD_SPACE = re.compile(r"[^\S \n]")
-
-
-class Memo(dict):
-    """Results of a function of a string, in bounded memory.
-
-    When it is full, what it holds becomes the older generation, and what is asked for again moves back.
+LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
+#: Bytes that are cut at once, pieces that are remembered, and the longest of these in code points.
+PART_BYTES, MOST_PIECES, LONGEST = 8_000_000, 500_000, 64
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """The kind of every code point, as the pattern sees it."""
+    out = np.full(0x110000, OTHER, np.uint8)
+    for begin, end in ((0, 0xD800), (0xE000, 0x110000)):
+        every = "".join(map(chr, range(begin, end)))
+        for kind, of in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+            for found in regex.finditer(of, every):
+                out[begin + found.start() : begin + found.end()] = kind
+    return out
+
+
+def _kinds_of(data: np.ndarray) -> np.ndarray:
+    """The kind of the character that each byte of UTF-8 belongs to."""
+    kinds = _kinds()
+    out = kinds[:256][data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        first = data[lead].astype(np.int32)
+        more = 1 + (first >= 0xE0) + (first >= 0xF0)
+        point = first & (0x3F >> more)
+        for k in range(1, 4):
+            has = more >= k
+            point[has] = point[has] << 6 | data[lead[has] + k] & 0x3F
+        kind = kinds[point]
+        for k in range(4):
+            has = more >= k
+            out[lead[has] + k] = kind[has]
+    return out
+
+
+def piece_begins(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where the matches of BYTE_LEVEL begin in the bytes of texts that begin at the places `texts` (from 0, ascending).
+
+    A piece begins where the kind of character changes. One blank goes with what follows it; of a longer run of
+    white space the last character is a piece by itself, or that blank. An apostrophe that begins a piece
+    and one of the short endings behind it are a piece.
     """
-
-    def __init__(self, function: Callable[[str], bytes], most: int = 400_000, longest: int = 64):
-        super().__init__()
-        self.function, self.most, self.longest, self.older = function, most, longest, {}
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.older.get(key)
-        if value is None:
-            value = self.function(key)
-        if len(key) <= self.longest:
-            if len(self) >= self.most:
-                self.older = dict(self)
-                self.clear()
-            self[key] = value
-        return value
-
-
-class TextEncoder:
-    """Encodes texts through a memo of what stands between two spaces; `whole` encodes any text, packed as bytes."""
-
-    def __init__(self, whole: Callable[[str], bytes]):
-        self.whole = whole
-        self.after_space = Memo(lambda chunk: whole(" " + chunk))
-
-    def encode(self, text: str) -> bytes:
-        if "  " in text or " \n" in text or "\n " in text or text[-1:] == " " or _ODD_SPACE.search(text):
-            return self.whole(text)
-        first, *rest = text.split(" ")
-        return self.whole(first) + b"".join(map(self.after_space.__getitem__, rest))
-
-
-def by_pattern(pattern: str, encode_piece: Callable[[str], bytes]) -> Callable[[str], bytes]:
-    """Encodes each match of the pattern by itself, through a memo of the matches."""
-    find, pieces = regex.compile(pattern).findall, Memo(encode_piece)
-    return lambda text: b"".join(map(pieces.__getitem__, find(text)))
+    n = len(data)
+    kind = _kinds_of(data)
+    first = np.zeros(n + 3, bool)
+    first[texts] = True
+    first[n:] = True
+    begin = np.empty(n, bool)
+    begin[0] = True
+    np.not_equal(kind[1:], kind[:-1], out=begin[1:])
+    begin |= first[:n]
+    space = kind == SPACE
+    last = space[:-1] & ~space[1:] & ~first[1:n]  # white space with something else behind it
+    begin[:-1] |= last
+    begin[1:] &= ~(last & (data[:-1] == 0x20))
+    for at in np.flatnonzero(last & (data[:-1] >= 0x80)).tolist():  # the last byte of a character of several
+        begin[at] = False
+        while data[at] & 0xC0 == 0x80:
+            at -= 1
+        begin[at] = True
+    quote = np.flatnonzero(data == 0x27)
+    quote = quote[begin[quote]]
+    if len(quote):
+        padded = np.concatenate([data[-3:], np.zeros(2, np.uint8)])
+
+        def at(k):
+            place = quote + k
+            return np.where(first[place], 0, np.where(place < n, data[np.minimum(place, n - 1)], padded[-1]))
+
+        one, two = at(1), at(2)
+        size = np.where(np.isin(one, list(b"stmd")), 2, 0)
+        for pair in (b"re", b"ve", b"ll"):
+            size = np.where((one == pair[0]) & (two == pair[1]), 3, size)
+        quote, size = quote[size > 0], size[size > 0]
+        begin[quote + 1] = False
+        ends = quote + size
+        begin[ends[ends < n]] = True
+    return np.flatnonzero(begin)
+
+
+def _part_end(data: np.ndarray, begin: int, ends: np.ndarray) -> int:
+    """Where a part that begins there ends: with a text, or in a long one before a blank between two letters or digits."""
+    n = len(data)
+    if n - begin <= PART_BYTES:
+        return n
+    k = int(np.searchsorted(ends, begin + PART_BYTES, side="right")) - 1
+    if k >= 0 and ends[k] > begin:
+        return int(ends[k])
+    text_end = int(ends[k + 1])
+    for low in range(begin, text_end, PART_BYTES):
+        near = data[low : min(low + PART_BYTES, text_end)]
+        plain = ((near | 0x20) >= 0x61) & ((near | 0x20) <= 0x7A) | (near >= 0x30) & (near <= 0x39)
+        found = np.flatnonzero((near[1:-1] == 0x20) & plain[:-2] & plain[2:])
+        if len(found):
+            return low + int(found[-1]) + 1
+    return text_end
+
+
+class PieceEncoder:
+    """Encodes texts by their pieces. encode_pieces gives the ids of a list of pieces in one array, and how many each has."""
+
+    def __init__(self, encode_pieces: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], pattern: str = BYTE_LEVEL, most: int = MOST_PIECES):
+        self.encode_pieces, self.pattern, self.most = encode_pieces, pattern, most
+        self.number: dict[str, int] = {}
+        self.ids, self.begins, self.sizes, self.seen = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of an array of texts, null ones empty, and the place where each text's ids end."""
+        if not len(texts):
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        base = int(ends[0])
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[base : int(ends[-1])]
+        ends = ends[1:] - base
+        found, ended, before = [np.empty(0, np.uint32)], np.zeros(len(ends), np.int64), 0
+        cutting = self._cut if self.pattern == BYTE_LEVEL else self._match
+        for pieces, begin, end, upto in cutting(data, ends, texts):
+            ids, sizes = self._of(pieces)
+            found.append(ids)
+            inside = (ends > begin) & (ends <= end)
+            total = np.concatenate([[0], np.cumsum(sizes)])
+            ended[inside] = before + total[upto[inside]]
+            before += len(ids)
+            # texts that are empty end where the one before them does
+        place = np.maximum.accumulate(ended) if len(ended) else ended
+        return np.concatenate(found), place
+
+    def _cut(self, data, ends, texts):
+        """(pieces, begin, end, number of pieces up to the end of each text) of the parts of the bytes."""
+        begin = 0
+        while begin < len(data):
+            end = _part_end(data, begin, ends)
+            part = np.ascontiguousarray(data[begin:end])
+            starts = np.unique(ends[(ends > begin) & (ends < end)]) - begin
+            places = piece_begins(part, starts)
+            offsets = np.append(places, len(part)).astype(np.int32 if len(part) < 2**31 else np.int64)
+            kind = pa.StringArray if offsets.dtype == np.int32 else pa.LargeStringArray
+            yield kind.from_buffers(len(places), pa.py_buffer(offsets), pa.py_buffer(part)), begin, end, np.searchsorted(places, ends - begin)
+            begin = end
+
+    def _match(self, data, ends, texts):
+        find = regex.compile(self.pattern).findall
+        begin = 0
+        for k, text in enumerate(texts.to_pylist()):
+            if text:
+                pieces = pa.array(find(text), pa.string())
+                yield pieces, begin, int(ends[k]), np.full(len(ends), len(pieces))
+                begin = int(ends[k])
+
+    def _of(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, and how many each of them has."""
+        coded = pieces.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        distinct = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.number.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(numbers < 0)
+        if len(unknown):
+            numbers[unknown] = self._learn([distinct[k] for k in unknown.tolist()])
+        self.seen[numbers] += np.bincount(codes, minlength=len(distinct))
+        sizes = self.sizes[numbers][codes]
+        upto = np.cumsum(sizes)
+        shift = self.begins[numbers][codes] - upto + sizes
+        ids = self.ids[np.repeat(shift, sizes) + np.arange(int(upto[-1]) if len(upto) else 0)]
+        if len(self.number) > self.most:
+            self._forget()
+        return ids, sizes
+
+    def _learn(self, unknown: list[str]) -> np.ndarray:
+        """Encodes pieces and gives their numbers."""
+        ids, sizes = self.encode_pieces(unknown)
+        numbers = np.arange(len(self.sizes), len(self.sizes) + len(unknown))
+        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.ids, self.sizes = np.concatenate([self.ids, ids.astype(np.uint32, copy=False)]), np.concatenate([self.sizes, sizes])
+        self.seen = np.concatenate([self.seen, np.zeros(len(sizes), np.int64)])
+        self.number.update(zip(unknown, numbers.tolist()))
+        return numbers
+
+    def _forget(self) -> None:
+        """Keeps the pieces that were seen most often since the last time, half as many as may be, and none that is long."""
+        half = self.most // 2
+        least = max(2, int(np.partition(self.seen, -half)[-half])) if half and len(self.seen) > half else 2
+        kept = [(x, k) for x, k in self.number.items() if self.seen[k] >= least and len(x) <= LONGEST][:half]
+        old = np.array([k for _, k in kept], np.int64)
+        sizes = self.sizes[old]
+        begins = np.cumsum(sizes) - sizes
+        self.ids = self.ids[np.repeat(self.begins[old] - begins, sizes) + np.arange(int(sizes.sum()))]
+        self.begins, self.sizes, self.seen = begins, sizes, np.zeros(len(old), np.int64)
+        self.number = {x: k for k, (x, _) in enumerate(kept)}

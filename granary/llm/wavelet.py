@@ -9,7 +9,6 @@ protocol and column pruning apply: counts and places of documents are read witho
 from __future__ import annotations
 
 import json
-import struct
 import uuid
 import zlib
 
@@ -17,13 +16,15 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import join_known
-from granary.llm.pieces import BYTE_LEVEL, TextEncoder, by_pattern
+from granary.llm.common import cut, drop_folder, shared_folder
+from granary.llm.pieces import PieceEncoder
 
 #: Tokens at which a shard is closed, and bits that one entry of a rank directory covers.
 SHARD_TOKENS, RANK_BITS = 2_000_000, 512
 END_ID = 0
-FILE = "part int, seq int, n_tokens long, zeros array<long>, planes array<binary>, ranks array<binary>, doc_ids binary, ends binary"
+FILE = "part int, seq int, n_tokens long, zeros array<long>, planes array<binary>, ranks array<binary>, doc_ids array<long>, ends array<long>"
+#: The columns of FILE that make a matrix.
+MATRIX = ["part", "seq", "n_tokens", "zeros", "planes", "ranks"]
 
 
 class WaveletMatrix:
@@ -42,9 +43,9 @@ class WaveletMatrix:
             counts = np.bitwise_count(packed.view(np.uint64)).reshape(-1, RANK_BITS // 64).sum(axis=1, dtype=np.int64)
             planes.append(packed)
             ranks.append(np.concatenate([[0], np.cumsum(counts)]).astype("<u4"))
-            left = ids[~ones]
+            left = np.compress(~ones, ids)
             zeros.append(len(left))
-            ids = np.concatenate([left, ids[ones]])
+            ids = np.concatenate([left, np.compress(ones, ids)])
         return cls(n, zeros, planes, ranks)
 
     def rank(self, plane: int, at: int) -> int:
@@ -100,98 +101,132 @@ class WaveletMatrix:
 
     def all(self) -> np.ndarray:
         """All ids in order, from the lowest plane up: each plane merges what the one below left sorted by its bit."""
-        out = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
         for k in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
             above = np.empty_like(out)
-            above[~ones] = out[: self.zeros[k]]
-            above[ones] = out[self.zeros[k] :] | np.uint32(1 << (len(self.planes) - 1 - k))
+            above[np.flatnonzero(~ones)] = out[: self.zeros[k]]
+            above[np.flatnonzero(ones)] = out[self.zeros[k] :] | kind(1 << (len(self.planes) - 1 - k))
             out = above
-        return out
+        return out.astype(np.uint32)
 
     @classmethod
     def of_row(cls, row: dict) -> WaveletMatrix:
         return cls(row["n_tokens"], row["zeros"], [np.frombuffer(x, np.uint8) for x in row["planes"]], [np.frombuffer(x, "<u4") for x in row["ranks"]])
 
 
-_tokenizers: dict[str, tuple[TextEncoder, int]] = {}
+class Encoder:
+    """Encodes texts as the library does without special tokens. Byte-level vocabularies go by distinct pieces, others text by text.
 
+    A text that holds one of the vocabulary's added tokens goes through the library as a whole, which finds them first.
+    """
 
-def _byte_letters() -> dict[int, int]:
-    """The byte-level alphabet: printable bytes stand for themselves, the others for the code points from 256 on."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: 256 + k for k, b in enumerate(hidden)}
+    def __init__(self, content: str):
+        from tokenizers import Tokenizer
 
+        self.library = Tokenizer.from_str(content)
+        self.bits = max(self.library.get_vocab_size() - 1, 1).bit_length()
+        settings = json.loads(content)
+        self.added = [x["content"] for x in settings.get("added_tokens") or []]
+        first = settings["pre_tokenizer"] or {}
+        plain = settings["normalizer"] is None and settings.get("truncation") is None and not any(x.get("normalized") or x.get("lstrip") or x.get("rstrip") for x in settings.get("added_tokens") or [])
+        by_piece = plain and first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
+        self.pieces = PieceEncoder(self._encode_pieces) if by_piece else None
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.library.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
+
+    def _whole(self, text: str | None) -> np.ndarray:
+        return np.array(self.library.encode(text or "", add_special_tokens=False).ids, np.uint32)
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of an Arrow array of texts (null: empty), and the place where each text's ids end."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not self.pieces:
+            apart = np.ones(len(texts), bool)
+        else:
+            apart = np.zeros(len(texts), bool)
+            for token in self.added:
+                apart |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        if not apart.any():
+            return self.pieces.encode(texts)
+        rest = np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
+        if not apart.all():
+            rest = self.pieces.encode(pc.if_else(pa.array(apart), pa.scalar("", texts.type), texts))
+        begins = np.concatenate([[0], rest[1][:-1]])
+        parts = [self._whole(texts[k].as_py()) if apart[k] else rest[0][begins[k] : rest[1][k]] for k in range(len(texts))]
+        return np.concatenate(parts), np.cumsum([len(x) for x in parts])
 
-def tokenizer(content: str) -> tuple[TextEncoder, int]:
-    """Encoder of whole texts, ids packed as unsigned 32-bit integers, and the bits of an id; built once in each process."""
-    if content not in _tokenizers:
-        from tokenizers import Tokenizer
 
-        made = Tokenizer.from_str(content)
-        made.encode_special_tokens = True  # their strings in a text are ordinary text
+_encoders: dict[str, Encoder] = {}
 
-        def packed(ids: list[int]) -> bytes:
-            return struct.pack(f"<{len(ids)}I", *ids)
 
-        settings = json.loads(content)
-        first, normal = settings["pre_tokenizer"] or {}, settings["normalizer"]
-        if normal is None and first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space"):
-            # the library's model encodes each piece that isn't known yet; its alphabet has a letter for each byte
-            letters, model = _byte_letters(), made.model
-            piece = lambda text: packed([x.id for x in model.tokenize(text.encode().decode("latin-1").translate(letters))])
-            encoder = TextEncoder(by_pattern(BYTE_LEVEL, piece))
-        else:
-            encoder = TextEncoder(lambda text: packed(made.encode(text, add_special_tokens=False).ids))
-            encoder.encode = encoder.whole
-        _tokenizers[content] = encoder, max(made.get_vocab_size() - 1, 1).bit_length()
-    return _tokenizers[content]
+def encoder(content: str) -> Encoder:
+    """The encoder of a vocabulary file's content, built once in each process."""
+    if content not in _encoders:
+        _encoders[content] = Encoder(content)
+    return _encoders[content]
 
 
-def _shards(batches, content):
+def _ended(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ids with END_ID behind each text's, and the new ends."""
+    after = ends + np.arange(1, len(ends) + 1)
+    out = np.full(len(ids) + len(ends), END_ID, ids.dtype)
+    inside = np.ones(len(out), bool)
+    inside[after - 1] = False
+    out[np.flatnonzero(inside)] = ids
+    return out, after
+
+
+def _shards(batches, content, shard_tokens):
     """One row of FILE for each shard of a partition, whose rows come in ascending doc_id order."""
     import pyarrow as pa
     from pyspark import TaskContext
 
-    encoder, bits = tokenizer(content.value)
-    part, seq, doc_ids, ends, ids, n = TaskContext.get().partitionId(), 0, [], [], [], 0
-    end_id = struct.pack("<I", END_ID)
+    made = encoder(content.value)
+    kind = np.uint16 if made.bits <= 16 else np.uint32
+    part, seq, n, doc_ids, sizes, ids = TaskContext.get().partitionId(), 0, 0, [], [], []
     names = [x.split()[0] for x in FILE.split(", ")]
-    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.binary(), pa.binary()]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def closed():
-        tokens = np.frombuffer(b"".join(ids), "<u4").astype(np.uint16 if bits <= 16 else np.uint32)
-        m = WaveletMatrix.build(tokens, bits)
-        row = part, seq, n, m.zeros, [x.tobytes() for x in m.planes], [x.tobytes() for x in m.ranks], np.array(doc_ids, "<i8").tobytes(), np.array(ends, "<i8").tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(row, kinds)], names)
+        m = WaveletMatrix.build(np.concatenate(ids), made.bits)
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (pa.concat_arrays(doc_ids), pa.array(np.cumsum(np.concatenate(sizes))))]
+        row = part, seq, n, m.zeros, [x.tobytes() for x in m.planes], [x.tobytes() for x in m.ranks]
+        return pa.RecordBatch.from_arrays([*[pa.array([x], k) for x, k in zip(row, kinds)], *lists], names)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            packed = encoder.encode(text or "") + end_id
-            n += len(packed) // 4
-            doc_ids.append(doc_id)
-            ends.append(n)
-            ids.append(packed)
-            if n >= SHARD_TOKENS:
+        found, ends = _ended(*made.encode(batch.column(1)))
+        found, lengths, at, done = found.astype(kind), np.diff(ends, prepend=0), 0, 0
+        while at < len(ends):
+            # up to the document that fills the shard
+            upto = min(int(np.searchsorted(ends, done + shard_tokens - n)) + 1, len(ends))
+            doc_ids.append(batch.column(0).slice(at, upto - at))
+            sizes.append(lengths[at:upto])
+            ids.append(found[done : ends[upto - 1]])
+            n, at, done = n + len(ids[-1]), upto, int(ends[upto - 1])
+            if n >= shard_tokens:
                 yield closed()
-                seq, doc_ids, ends, ids, n = seq + 1, [], [], [], 0
+                seq, n, doc_ids, sizes, ids = seq + 1, 0, [], [], []
     if doc_ids:
         yield closed()
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
     """Encodes every whole text (null: empty), appends END_ID to each and writes the shards in ascending doc_id order.
 
-    Partitions are ranges of doc_id; a shard is closed at SHARD_TOKENS, whatever its partition holds.
-    Rows that repeat an id follow each other by their text. A null id is an error.
+    Partitions are ranges of doc_id; a shard is closed at shard_tokens, whatever its partition holds.
+    Rows that repeat an id follow each other by their text; null ids come first.
     """
     with open(vocabulary_path, encoding="utf-8") as f:  # of fixed size; read once on the driver
         content = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.filter(F.when(F.col("doc_id").isNull(), F.raise_error(F.lit("doc_id is null"))).otherwise(F.lit(True)).cast("boolean"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    shards = rows.mapInArrow(lambda batches: _shards(batches, content), FILE)
+    shards = rows.mapInArrow(lambda batches: _shards(batches, content, shard_tokens), FILE)
     shards.write.option("compression", "zstd").option("maxRecordsPerFile", 1).parquet(path)
 
 
@@ -208,37 +243,70 @@ def read_tokens(spark, path: str, finish=None, columns: str = "ids binary") -> D
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for k, row in enumerate(batch.select(MATRIX).to_pylist()):
                 ids = WaveletMatrix.of_row(row).all()
-                doc_ids, ends = np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["ends"], "<i8")
+                doc_ids, ends = (batch.column(c)[k].values for c in ("doc_ids", "ends"))
+                ends = ends.to_numpy()
                 begins = np.concatenate([[0], ends[:-1]])
                 made = pa.array([finish(ids[a:b]) for a, b in zip(begins.tolist(), ends.tolist())], kind)
                 n = len(doc_ids)
                 head = [pa.array(np.full(n, row["part"], np.int32)), pa.array(np.full(n, row["seq"], np.int32)), pa.array(np.arange(n))]
-                yield pa.RecordBatch.from_arrays([*head, pa.array(doc_ids), pa.array(begins), pa.array(ends - begins), made], ["part", "seq", "nth", "doc_id", "first", "n_tokens", columns.split()[0]])
+                yield pa.RecordBatch.from_arrays([*head, doc_ids, pa.array(begins), pa.array(ends - begins), made], ["part", "seq", "nth", "doc_id", "first", "n_tokens", columns.split()[0]])
 
     return spark.read.schema(FILE).parquet(path).mapInArrow(run, f"part int, seq int, nth long, doc_id long, first long, n_tokens long, {columns}")
 
 
-def token_index(spark, path: str, finish=None, columns: str = "ids binary") -> DataFrame:
-    """read_tokens with start: the number of ids of all documents before. One task adds up the shards' sizes."""
+def shard_starts(spark, path: str) -> DataFrame:
+    """part, seq and before, the number of ids in all shards before: added up within parts, and over the parts' totals."""
     sizes = spark.read.schema(FILE).parquet(path).select("part", "seq", "n_tokens")
-    before = F.sum("n_tokens").over(Window.orderBy("part", "seq")) - F.col("n_tokens")
-    offsets = sizes.select("part", "seq", before.alias("before"))
-    rows = join_known(read_tokens(spark, path, finish, columns), offsets, "part", "seq")
+    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("in_part"))
+    parts = parts.select(F.col("part").alias("of_part"), (F.sum("in_part").over(Window.orderBy("part")) - F.col("in_part")).alias("before_part"))
+    within = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_tokens")
+    return sizes.withColumn("within", within).join(parts, F.col("part") == F.col("of_part")).select("part", "seq", (F.col("before_part") + F.col("within")).alias("before"))
+
+
+def token_index(spark, path: str, finish=None, columns: str = "ids binary") -> DataFrame:
+    """read_tokens with start: the number of ids of all documents before."""
+    rows = read_tokens(spark, path, finish, columns).join(shard_starts(spark, path), ["part", "seq"])
     return rows.select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", columns.split()[0])
 
 
-def shared_path(spark, name: str) -> str:
-    """A new path in the folder that all executors share."""
-    import tempfile
+def id_counts(spark, path: str, ids: list[int]) -> DataFrame:
+    """id and n: how often each of a few ids is in the files, by two ranks a plane and shard."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                m = WaveletMatrix.of_row(row)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([m.count(x) for x in ids], pa.int64())], ["id", "n"])
+
+    return spark.read.schema(FILE).parquet(path).select(MATRIX).mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def occurrences(spark, path: str, value: int) -> DataFrame:
+    """doc_id and at (from 0, in the document) of every place of an id, found by selects in each shard."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            for k, row in enumerate(batch.select(MATRIX).to_pylist()):
+                m = WaveletMatrix.of_row(row)
+                doc_ids, ends = (batch.column(c)[k].values for c in ("doc_ids", "ends"))
+                ends = ends.to_numpy()
+                places = np.array([m.occurrence(value, i) for i in range(m.count(value))], np.int64)
+                of = np.searchsorted(ends, places, side="right")
+                yield pa.RecordBatch.from_arrays([doc_ids.take(pa.array(of)), pa.array(places - np.concatenate([[0], ends])[of])], ["doc_id", "at"])
 
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp()}/{name}-{uuid.uuid4().hex}"
+    return spark.read.schema(FILE).parquet(path).mapInArrow(run, "doc_id long, at long")
 
 
-def round_trip(docs: DataFrame, vocabulary_path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, as read back from written files."""
+def round_trip(docs: DataFrame, vocabulary_path: str, **how) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, as read back from written files, which go afterwards."""
     spark = docs.sparkSession
-    path = shared_path(spark, "tokens")
-    write_tokens(docs, path, vocabulary_path)
-    return token_index(spark, path, lambda ids: zlib.crc32(ids.astype("<u4").tobytes()), "ids_crc32 long")
+    path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    try:
+        write_tokens(docs, path, vocabulary_path, **how)
+        return cut(token_index(spark, path, lambda ids: zlib.crc32(ids.astype("<u4", copy=False)), "ids_crc32 long"))
+    finally:
+        drop_folder(spark, path)

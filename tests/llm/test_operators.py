@@ -7,10 +7,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, exact_dedup, html_text, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, wavelet
+from granary.llm import bpe, exact_dedup, html_text, line_dedup, mixing, near_dedup, pieces, quality, sharding, substring_dedup, wavelet
 from granary.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, keep_id long, size long, block long, h string, item long, shard int"
@@ -341,23 +343,86 @@ def test_bpe_on_awkward_texts():
     rnd, parts = random.Random(8), ["a", "aa", " ", "  ", "\n", "é", "中", "😀", "12", "!?", "'s", "\t", "　", "\x1c", "\x85", "é", "the", "ing"]
     for _ in range(3000):
         text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40)))
-        ids = encoder.encode(text)
-        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text) and own.decode(ids) == text.encode()
+        ids, ends = encoder.encode(pa.array([text]))
+        assert ids.tolist() == library.encode_ordinary(text) and ends.tolist() == [len(ids)] and bytes(own.decode(ids)[0]) == text.encode()
     assert own.encode_bytes(b"a" * 5000) == library.encode_ordinary("a" * 5000)
 
 
-def test_wavelet_round_trip(docs, rows, monkeypatch):
+@pytest.mark.parametrize(("part_bytes", "most"), [(8_000_000, 500_000), (7, 6), (40, 0)])
+def test_pieces_are_the_matches_of_the_pattern(monkeypatch, part_bytes, most):
+    monkeypatch.setattr(pieces, "PART_BYTES", part_bytes)
+    numbers, rnd = {}, random.Random(5)
+
+    def numbered(found):
+        return np.array([numbers.setdefault(x, len(numbers)) for x in found], np.uint32), np.ones(len(found), np.int64)
+
+    by_kind, by_pattern = pieces.PieceEncoder(numbered, most=most), pieces.PieceEncoder(numbered, pieces.BYTE_LEVEL + "|(?!)", most)
+    letters = [*"ab1 \n\t''  !.sremtvld'é", "\u3000", "中", "٣", "😀", "\xa0", "½", "\x1c", "\x85", "e\u0301"]
+    for _ in range(1500):
+        texts = pa.array([rnd.choice([None, "", "".join(rnd.choices(letters, k=rnd.randint(0, 30)))]) for _ in range(rnd.randint(0, 5))], pa.string())
+        want = [[numbers.setdefault(x, len(numbers)) for x in regex.findall(pieces.BYTE_LEVEL, t or "")] for t in texts.to_pylist()]
+        for encoder in (by_kind, by_pattern):
+            ids, ends = encoder.encode(texts)
+            assert [x.tolist() for x in np.split(ids, ends)[:-1]] == want and len(ids) == sum(map(len, want))
+
+
+def test_pieces_of_any_character_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    every = [chr(k) for k in (*range(1, 0xD800), *range(0xE000, 0x30000))]
+    texts = ["".join(f"a{c}{c}b {c} 1{c}\n{c}" for c in every[k : k + 2000]) for k in range(0, len(every), 2000)]
+    ids, ends = wavelet.encoder(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()).encode(pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_other_patterns_may_cross_blanks():
+    found = pieces.PieceEncoder(lambda x: (np.array([len(p) for p in x], np.uint32), np.ones(len(x), np.int64)), r"\w+ \w+|.")
+    assert found.encode(pa.array(["ab cd!", None, "x"]))[0].tolist() == [5, 1, 1]
+
+
+def _library_rows(rows):
     from tokenizers import Tokenizer
 
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
-    start, want = 0, []
-    for i, t in sorted(((i, t) for i, t, *_ in rows), key=lambda x: (x[0], x[1] is not None, x[1])):
+    library, start, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0, []
+    for i, t in sorted(((i, t) for i, t, *_ in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1])):
         ids = library.encode(t or "", add_special_tokens=False).ids + [0]
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
-    assert sorted(map(tuple, wavelet.round_trip(docs, path).collect())) == sorted(want)
+    return want
+
+
+@pytest.mark.parametrize("shard_tokens", [2_000_000, 300])
+def test_wavelet_round_trip(docs, rows, shard_tokens):
+    got = wavelet.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), shard_tokens=shard_tokens).collect()
+    assert sorted(map(tuple, got)) == sorted(_library_rows(rows))
+
+
+def test_added_tokens_and_null_ids_in_token_files(spark):
+    rows = [(4, "hello <|endoftext|> world", "en", "a"), (None, "b  b", "en", "a"), (2, "<|endoftext|><|endoftext|>", "en", "a"), (3, "<|endoftext|", "en", "a"), (None, None, "en", "a"), (5, " x\n", "en", "a")]
+    got = [tuple(r) for r in wavelet.round_trip(frame(spark, rows), public_tokenizers.path("byte_bpe_50k.json")).collect()]
+    assert sorted(got, key=repr) == sorted(_library_rows(rows), key=repr)
+
+
+def test_token_files_answer_counts_places_and_access(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path, vocabulary = str(tmp_path / "t"), public_tokenizers.path("byte_bpe_50k.json")
+    rnd = random.Random(3)
+    texts = {k: " ".join(rnd.choices(["the", "cat", "sat", "on", "it"], k=rnd.randint(0, 30))) for k in range(40)}
+    library = Tokenizer.from_file(vocabulary)
+    ids = {k: [*library.encode(t, add_special_tokens=False).ids, wavelet.END_ID] for k, t in texts.items()}
+    wavelet.write_tokens(frame(spark, [(k, t, "en", "a") for k, t in texts.items()]), path, vocabulary, shard_tokens=50)
+    cat = library.encode(" cat").ids[0]
+    count = sum(x.count(cat) for x in ids.values())
+    assert {r.id: r.n for r in wavelet.id_counts(spark, path, [cat, wavelet.END_ID, 77]).collect()} == {cat: count, wavelet.END_ID: 40, 77: 0}
+    places = sorted((k, n) for k, x in ids.items() for n, y in enumerate(x) if y == cat)
+    assert sorted(map(tuple, wavelet.occurrences(spark, path, cat).collect())) == places
+    rows = spark.read.schema(wavelet.FILE).parquet(path).collect()
+    assert len(rows) > 3
+    for row in rows:
+        m, all_ids = wavelet.WaveletMatrix.of_row(row), [y for k in row["doc_ids"] for y in ids[k]]
+        assert [m.access(k) for k in range(m.n)] == all_ids and row["ends"][-1] == m.n
 
 
 def test_wavelet_matrix():
@@ -372,11 +437,6 @@ def test_wavelet_matrix():
             assert m.count(value, n // 3, n // 2) == sum(n // 3 <= p < n // 2 for p in places)
 
 
-def test_null_ids_are_refused_by_the_token_files(spark, tmp_path):
-    with pytest.raises(Exception, match="doc_id is null"):
-        wavelet.write_tokens(frame(spark, [(None, "a", "en", "a")]), str(tmp_path / "t"), public_tokenizers.path("byte_bpe_50k.json"))
-
-
 def _base(t):
     t = t or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
