@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from functools import cache, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,3 +66,42 @@ def join_known(left: DataFrame, right: DataFrame, *columns: str, how: str = "inn
     other = right.select(*[F.col(c).alias(f"_right_{c}" if c in columns else c) for c in right.columns])
     same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in columns]
     return left.join(other, reduce(Column.__and__, same), how).drop(*[f"_right_{c}" for c in columns])
+
+
+#: Rows of a table of ids or hashes up to which it is broadcast; larger ones meet their partners in a shuffle.
+MOST_SENT = 250_000
+
+
+def sent(table: DataFrame) -> DataFrame:
+    """A table of few numbers a row, cut from its lineage, marked for broadcast if it is small enough."""
+    table = cut(table)
+    return F.broadcast(table) if table.count() <= MOST_SENT else table
+
+
+def text_key(text: Column) -> Column:
+    """Together with an id, what tells rows apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def keep_rows(docs: DataFrame, judged: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that are kept, with their columns; of kept rows that repeat an id together with its text, one.
+
+    judged: doc_id, own (text_key of the text) and kept, for every row. Rows to drop, and rows to choose
+    from, are looked up, so that texts aren't shuffled as long as these are few enough to be sent.
+    """
+    known = judged.groupBy("doc_id", "own").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")).filter("NOT stays OR n > 1")
+    known = cut(known.select(F.col("doc_id").alias("of_id"), "own", "stays"))
+    same = lambda table: docs[id_col].cast("long").eqNullSafe(table["of_id"]) & (text_key(docs[text_col]) == table["own"])
+    gone, several = sent(known), known.filter("stays")
+    once = docs.join(gone, same(gone), "left_anti")
+    if several.isEmpty():
+        return once
+    several = sent(several)
+    rows = docs.join(several, same(several), "left_semi")
+    whole = F.struct(*[rows[c] for c in docs.columns])
+    try:
+        one = rows.groupBy(rows[id_col], text_key(rows[text_col])).agg(F.min(whole).alias("row"))
+        one.schema  # noqa: B018  (some kinds of columns have no order)
+    except AnalysisException:
+        one = rows.groupBy(rows[id_col], text_key(rows[text_col])).agg(F.first(whole).alias("row"))
+    return once.union(one.select("row.*"))

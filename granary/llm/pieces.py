@@ -20,7 +20,7 @@ import regex
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
 #: Bytes that are cut at once, pieces that are remembered, and the longest of these in code points.
-PART_BYTES, MOST_PIECES, LONGEST = 8_000_000, 500_000, 64
+PART_BYTES, MOST_PIECES, LONGEST = 16_000_000, 600_000, 64
 
 
 @cache
@@ -123,7 +123,7 @@ class PieceEncoder:
     def __init__(self, encode_pieces: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], pattern: str = BYTE_LEVEL, most: int = MOST_PIECES):
         self.encode_pieces, self.pattern, self.most = encode_pieces, pattern, most
         self.number: dict[str, int] = {}
-        self.ids, self.begins, self.sizes, self.seen = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.begins, self.sizes, self.seen = np.empty(0, np.uint32), np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int32)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of an array of texts, null ones empty, and the place where each text's ids end."""
@@ -140,7 +140,7 @@ class PieceEncoder:
             ids, sizes = self._of(pieces)
             found.append(ids)
             inside = (ends > begin) & (ends <= end)
-            total = np.concatenate([[0], np.cumsum(sizes)])
+            total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
             ended[inside] = before + total[upto[inside]]
             before += len(ids)
             # texts that are empty end where the one before them does
@@ -180,9 +180,10 @@ class PieceEncoder:
             numbers[unknown] = self._learn([distinct[k] for k in unknown.tolist()])
         self.seen[numbers] += np.bincount(codes, minlength=len(distinct))
         sizes = self.sizes[numbers][codes]
-        upto = np.cumsum(sizes)
-        shift = self.begins[numbers][codes] - upto + sizes
-        ids = self.ids[np.repeat(shift, sizes) + np.arange(int(upto[-1]) if len(upto) else 0)]
+        upto = np.cumsum(sizes, dtype=np.int32)
+        places = np.repeat(self.begins[numbers][codes] - upto + sizes, sizes)
+        places += np.arange(len(places), dtype=np.int32)
+        ids = self.ids[places]
         if len(self.number) > self.most:
             self._forget()
         return ids, sizes
@@ -190,10 +191,11 @@ class PieceEncoder:
     def _learn(self, unknown: list[str]) -> np.ndarray:
         """Encodes pieces and gives their numbers."""
         ids, sizes = self.encode_pieces(unknown)
+        sizes = sizes.astype(np.int32, copy=False)
         numbers = np.arange(len(self.sizes), len(self.sizes) + len(unknown))
-        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(sizes, dtype=np.int32) - sizes])
         self.ids, self.sizes = np.concatenate([self.ids, ids.astype(np.uint32, copy=False)]), np.concatenate([self.sizes, sizes])
-        self.seen = np.concatenate([self.seen, np.zeros(len(sizes), np.int64)])
+        self.seen = np.concatenate([self.seen, np.zeros(len(sizes), np.int32)])
         self.number.update(zip(unknown, numbers.tolist()))
         return numbers
 
@@ -204,7 +206,7 @@ class PieceEncoder:
         kept = [(x, k) for x, k in self.number.items() if self.seen[k] >= least and len(x) <= LONGEST][:half]
         old = np.array([k for _, k in kept], np.int64)
         sizes = self.sizes[old]
-        begins = np.cumsum(sizes) - sizes
+        begins = np.cumsum(sizes, dtype=np.int32) - sizes
         self.ids = self.ids[np.repeat(self.begins[old] - begins, sizes) + np.arange(int(sizes.sum()))]
-        self.begins, self.sizes, self.seen = begins, sizes, np.zeros(len(old), np.int64)
+        self.begins, self.sizes, self.seen = begins, sizes, np.zeros(len(old), np.int32)
         self.number = {x: k for k, (x, _) in enumerate(kept)}

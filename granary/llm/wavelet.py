@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut, drop_folder, shared_folder
+from granary.llm.common import cut, drop_folder, sent, shared_folder
 from granary.llm.pieces import PieceEncoder
 
 #: Tokens at which a shard is closed, and bits that one entry of a rank directory covers.
@@ -267,7 +267,7 @@ def shard_starts(spark, path: str) -> DataFrame:
 
 def token_index(spark, path: str, finish=None, columns: str = "ids binary") -> DataFrame:
     """read_tokens with start: the number of ids of all documents before."""
-    rows = read_tokens(spark, path, finish, columns).join(shard_starts(spark, path), ["part", "seq"])
+    rows = read_tokens(spark, path, finish, columns).join(sent(shard_starts(spark, path)), ["part", "seq"])
     return rows.select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", columns.split()[0])
 
 
