@@ -5,12 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut, without_spaces
+from granary.llm.common import cut, join_known, keep_rows, sent, text_key, without_spaces
 
 
 def _preference():
-    """Orders equal texts: most code points first, then the smallest id, null ids last."""
-    return F.struct((-F.col("n_code")).alias("neg"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"))
+    """Orders equal texts: most code points first, then the smallest id, null ids last; rows that repeat an id by their text's key."""
+    return F.struct((-F.col("n_code")).alias("neg"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("own"))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, own (the text's key), keep_id, group_size, stays (whether the row, and not its id, is the one that stays), text_sha256."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    whole = docs.select(F.col(id_col).alias("doc_id"), F.length(text).alias("n_code"), text_key(text).alias("own"), without_spaces(text).alias("norm"))
+    hashed = whole.withColumn("h", F.unhex(F.md5("norm")))
+    keys = cut(hashed.select("doc_id", "n_code", "own", "h", F.sha2("norm", 256).alias("text_sha256")))
+    groups = keys.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min(_preference()).alias("best"))
+    groups = groups.select("h", "size", F.col("best.doc_id").alias("best_id"), F.col("best.own").alias("best_own"))
+
+    repeated = sent(groups.filter("size > 1").select("h", "best_id", "best_own"))
+    members = cut(hashed.join(repeated, "h"))
+    keepers = members.filter(F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("own") == F.col("best_own"))).groupBy("h").agg(F.max("norm").alias("keeper"))
+    collided = members.join(keepers, "h").filter("norm <> keeper").select("h", "doc_id", "n_code", "own", "norm")
+    classes = collided.groupBy("h", "norm").agg(F.count(F.lit(1)).alias("own_size"), F.min(_preference()).alias("first"))
+    apart = collided.join(classes, ["h", "norm"]).groupBy("h", "doc_id", "own", F.sha2("norm", 256).alias("text_sha256"))
+    apart = cut(apart.agg(F.max("first").alias("first"), F.max("own_size").alias("own_size")))
+
+    out = keys.join(groups, "h")
+    if apart.isEmpty():
+        out = out.withColumns({"own_size": F.lit(None).cast("long"), "lost": F.lit(0)})
+        best_id, best_own = F.col("best_id"), F.col("best_own")
+    else:
+        lost = collided.groupBy("h").agg(F.count(F.lit(1)).alias("lost"))
+        out = join_known(out.join(lost, "h", "left"), apart, "h", "doc_id", "own", "text_sha256", how="left")
+        best_id = F.when(F.col("own_size").isNull(), F.col("best_id")).otherwise(F.col("first.doc_id"))
+        best_own = F.when(F.col("own_size").isNull(), F.col("best_own")).otherwise(F.col("first.own"))
+    size = F.coalesce("own_size", F.col("size") - F.coalesce("lost", F.lit(0))).cast("long")
+    stays = F.col("doc_id").eqNullSafe(best_id) & (F.col("own") == best_own)
+    return out.select("doc_id", "own", best_id.alias("keep_id"), size.alias("group_size"), stays.alias("stays"), "text_sha256")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -18,47 +49,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Texts are equal when identical after deleting space, tab and the line characters; null counts as
     empty, so null, empty and blank texts form one group. Of equal texts the one with the most code
-    points in the original stays, then the smallest id; null ids come last. Rows that repeat an id
-    together with its text count in group_size, and all rows with the id that stays are kept.
+    points in the original stays, then the smallest id; null ids come last. kept tells whether the row's id is the one that
+    stays. Rows that repeat an id together with its text count in group_size; keep_first keeps one of them.
     Other columns are not read, so their names can't clash. An empty table gives no rows.
 
     Plan: ids, lengths and hashes are kept apart from the texts, so that texts are read twice in all. The
     hash groups hold ids and counts only and are combined before the shuffle. Texts of
-    repeated hashes are then joined with the text of the group's keeper and compared byte by byte; a
+    repeated hashes, picked where they are read if the hashes are few enough to be sent, are then joined with
+    the text of the group's keeper and compared byte by byte; a
     hot group is split by the adaptive skew join as nothing above that join needs its rows together.
     Rows whose bytes differ from the keeper's (hash collisions) are grouped by their text instead.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    whole = docs.select(F.col(id_col).alias("doc_id"), F.length(text).alias("n_code"), without_spaces(text).alias("norm"))
-    hashed = whole.withColumn("h", F.unhex(F.md5("norm")))
-    keys = cut(hashed.select("doc_id", "n_code", "h", F.sha2("norm", 256).alias("text_sha256")))
-    groups = keys.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min(_preference()).alias("best"))
-    groups = groups.select("h", "size", F.col("best.doc_id").alias("best_id"))
-
-    repeated = groups.filter("size > 1").select("h", "best_id")
-    members = cut(hashed.join(repeated, "h"))
-    keepers = members.filter(F.col("doc_id").eqNullSafe(F.col("best_id"))).groupBy("h").agg(F.max("norm").alias("keeper"))
-    collided = members.join(keepers, "h").filter("norm <> keeper").select("h", "doc_id", "n_code", "norm")
-    classes = collided.groupBy("h", "norm").agg(F.count(F.lit(1)).alias("own_size"), F.min(_preference()).alias("own"))
-    apart = collided.join(classes, ["h", "norm"]).groupBy("h", "doc_id", "n_code", F.sha2("norm", 256).alias("text_sha256"))
-    apart = apart.agg(F.max("own.doc_id").alias("own_id"), F.max("own_size").alias("own_size"))
-    lost = collided.groupBy("h").agg(F.count(F.lit(1)).alias("lost"))
-
-    out = keys.join(groups, "h").join(lost, "h", "left")
-    same = [out[c].eqNullSafe(apart[c]) for c in ("h", "doc_id", "n_code", "text_sha256")]
-    out = out.join(apart, (out["h"] == apart["h"]) & same[1] & same[2] & same[3], "left").select(
-        out["doc_id"],
-        F.when(F.col("own_size").isNull(), F.col("best_id")).otherwise(F.col("own_id")).alias("keep_id"),
-        F.coalesce("own_size", F.col("size") - F.coalesce("lost", F.lit(0))).cast("long").alias("group_size"),
-        out["text_sha256"],
-    )
+    out = _judged(docs, id_col, text_col)
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """The input rows that exact_dedup keeps, with the input's columns."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One input row of every group of equal texts, the one that exact_dedup prefers, with the input's columns."""
+    judged = _judged(docs, id_col, text_col)
+    return keep_rows(docs, judged.select(F.col("doc_id").cast("long"), "own", F.col("stays").alias("kept")), id_col, text_col)
 
 
 ORACLE = r"""
