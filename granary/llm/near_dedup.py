@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut
+from granary.llm.common import cut, keep_rows, sent, text_key
 from granary.llm.components import components
 from granary.llm.words import mixed, windows, word_hashes
 
@@ -76,41 +76,39 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return total
 
 
-def _signed(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, the set's 128-bit digest (h1, h2) and band keys; null where there is no shingle."""
+def _digest(found: np.ndarray) -> tuple[int, int]:
+    first, second = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64).tolist()
+    return first, second
+
+
+def _signed(texts: DataFrame) -> DataFrame:
+    """doc_id, own, n_shingles, the set's 128-bit digest (h1, h2) and band keys; null where there is no shingle."""
     import pyarrow as pa
 
     def run(batches):
         for batch in batches:
-            sizes, first, second, bands = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            rows = []
+            for text in batch.column(2).to_pylist():
                 found = shingle_set(text)
-                sizes.append(len(found))
-                if len(found):
-                    digest = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
-                    first.append(int(digest[0]))
-                    second.append(int(digest[1]))
-                    bands.append(band_keys(signature(found)).view(np.int64))
-                else:
-                    first.append(None)
-                    second.append(None)
-                    bands.append(None)
-            columns = [pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_shingles", "h1", "h2", "bands"])
-
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>")
-
-
-def _sets(docs: DataFrame) -> DataFrame:
-    """id and the shingle set as an array."""
+                rows.append((len(found), *_digest(found), band_keys(signature(found)).view(np.int64)) if len(found) else (0, None, None, None))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            columns = [pa.array(x, kind) for x, kind in zip(list(zip(*rows)) or [()] * 4, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "own", "n_shingles", "h1", "h2", "bands"])
+
+    return texts.mapInArrow(run, "doc_id long, own long, n_shingles long, h1 long, h2 long, bands array<long>")
+
+
+def _sets(texts: DataFrame) -> DataFrame:
+    """The digest of each text's shingle set and the set as an array, for texts that have any."""
     import pyarrow as pa
 
     def run(batches):
         for batch in batches:
-            found = [shingle_set(text).view(np.int64) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "shingles"])
+            found = [x for x in map(shingle_set, batch.column(2).to_pylist()) if len(x)]
+            columns = [pa.array(x, pa.int64()) for x in list(zip(*map(_digest, found))) or [(), ()]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["h1", "h2", "shingles"])
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return texts.mapInArrow(run, "h1 long, h2 long, shingles array<long>")
 
 
 def _linked(edges: DataFrame, sets: DataFrame) -> DataFrame:
@@ -157,33 +155,27 @@ def _rest(labelled: DataFrame, sets: DataFrame) -> DataFrame:
     return cut(pairs.select(F.least("node", "a").alias("a"), F.greatest("node", "a").alias("b")).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept, class_id.
-
-    component_id is the smallest id reachable over links of similarity PERCENT or more, kept tells whether
-    that is the row's own. Of two texts that share a bucket no link is missed. class_id is the smallest id with the same shingle set; sets are compared once
-    per class. A null, empty or blank text has no shingles and is linked with nothing. Rows that repeat an
-    id count as one document. Rows with a null id are linked with nothing but rows of an equal set, of
-    which the smallest id that is not null, if any, is their component's. Other columns are not read; an
-    empty table gives no rows.
-    """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, own (the text's key), n_shingles, class_id, component_id and group, a number for each component, null for texts without shingles."""
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text).alias("own"), text.alias("text"))
     signed = cut(_signed(texts))
-    classes = signed.filter("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id"))
-    known = cut(signed.drop("bands").join(classes, ["h1", "h2"], "left").select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), "h1", "h2"))
+    classes = signed.filter("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id"), F.any_value("n_shingles").cast("int").alias("n"), F.any_value("bands").alias("bands"))
+    # a class's number; ids may be null or stand for several texts
+    classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
 
-    keepers = classes.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "class_id")
-    members = signed.join(keepers, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("doc_id") == F.col("class_id")))
-    members = members.select(F.col("class_id").alias("node"), F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("bucket"))
+    members = classes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("bucket")
     members = cut(members.join(shared, "bucket").select("bucket", "node", "n"))
-    nodes = members.select("node").distinct()
-    sets = cut(_sets(texts.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")))
+    nodes = cut(members.select(F.col("node").alias("of")).distinct().join(classes, F.col("of") == F.col("node")).select("node", "class_id", F.col("h1").alias("k1"), F.col("h2").alias("k2")))
+    wanted = sent(nodes.select("class_id").distinct())
+    sets = _sets(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")).groupBy("h1", "h2").agg(F.any_value("shingles").alias("shingles"))
+    sets = cut(sets.join(nodes, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))).select(F.col("node").alias("id"), "shingles"))
 
     roots = None
     for k in range(HUB_ROUNDS):
         labelled = _labelled(members, roots)
-        # the first hub is the smallest id, later ones go by a hash that differs between buckets and rounds
+        # a hub goes by a hash that differs between buckets and rounds
         turn = F.col("node") if k == 0 else F.xxhash64("node", "bucket", F.lit(k))
         hubs = labelled.groupBy("bucket").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("node", turn).alias("hub"), F.min_by("label", turn).alias("hub_label"), F.min_by("n", turn).alias("hub_n")
@@ -205,12 +197,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not links.isEmpty():
         roots = components(links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
-    out = known.join(roots.withColumnRenamed("node", "of"), F.col("class_id") == F.col("of"), "left")
-    component = F.coalesce("root", "class_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "class_id")
+    grouped = classes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("h1", "h2", "class_id", F.coalesce("root", "node").alias("group"))
+    least = grouped.groupBy(F.col("group").alias("of")).agg(F.min("class_id").alias("component_id"))
+    grouped = grouped.join(least, F.col("group") == F.col("of")).select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "class_id", "component_id", "group")
+    out = signed.drop("bands").join(grouped, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")), "left")
+    lone = F.col("group").isNull()
+    own_id = lambda c: F.when(lone, F.col("doc_id")).otherwise(F.col(c)).alias(c)
+    return out.select("doc_id", "own", "n_shingles", own_id("class_id"), own_id("component_id"), "group")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The input rows that near_duplicates keeps, with the input's columns."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept, class_id.
+
+    component_id is the smallest id reachable over links of similarity PERCENT or more, kept tells whether
+    that is the row's own. Of two texts that share a bucket no link is missed. class_id is the smallest id with the same shingle set; sets are compared once
+    per class. A null, empty or blank text has no shingles and is linked with nothing. Rows that repeat an
+    id are linked by their own texts. Rows with a null id are linked as others are; component_id is null only if no row
+    of the component has an id. Other columns are not read; an empty table gives no rows.
+    """
+    out = _judged(docs, id_col, text_col)
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "class_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One input row of every component, the one with the smallest id (null last, of equal ids by the text's key), with the input's columns.
+
+    All texts without shingles stay, except for rows that repeat an id together with its text.
+    """
+    judged = cut(_judged(docs, id_col, text_col))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "own"))
+    best = judged.filter(F.col("group").isNotNull()).groupBy(F.col("group").alias("of")).agg(first.alias("best"))
+    rows = judged.join(best, F.col("group") == F.col("of"), "left")
+    stays = F.col("group").isNull() | (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("own") == F.col("best.own")))
+    return keep_rows(docs, rows.select("doc_id", "own", stays.alias("kept")), id_col, text_col)

@@ -12,7 +12,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, exact_dedup, html_text, line_dedup, mixing, near_dedup, pieces, quality, sharding, substring_dedup, wavelet
+from granary.llm import bpe, common, exact_dedup, html_text, line_dedup, mixing, near_dedup, pieces, quality, sharding, substring_dedup, wavelet
 from granary.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, keep_id long, size long, block long, h string, item long, shard int"
@@ -87,7 +87,37 @@ def test_exact_dedup_separates_colliding_hashes(spark, docs, rows, monkeypatch):
 def test_keep_first_keeps_columns(docs, rows):
     kept = exact_dedup.keep_first(docs)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in exact_dedup.exact_dedup(docs).collect() if r.kept}
+    groups = {}
+    for i, t, *_ in rows:
+        groups.setdefault(_norm(t), []).append((-len(t or ""), i))
+    assert sorted((_norm(r.text), r.doc_id) for r in kept.collect()) == sorted((x, min(g)[1]) for x, g in groups.items())
+
+
+REPEATED = [(1, "AAA"), (1, "BB"), (2, "B B"), (5, "zz"), (5, "zz"), (5, "zz"), (None, "AAA"), (None, "q"), (None, "q"), (7, None), (7, ""), (8, " "), (6, "m n"), (6, "mn "), (6, "y")]
+
+
+def test_keep_first_keeps_one_row_of_every_group(spark):
+    docs = spark.createDataFrame([(i, t, {"a": k}) for k, (i, t) in enumerate(REPEATED)], "doc_id long, text string, own map<string,int>")
+    got = sorted(((r.doc_id, r.text) for r in exact_dedup.keep_first(docs).collect()), key=repr)
+    rest = [x for x in got if x not in ((6, "m n"), (6, "mn "))]
+    assert len(got) == len(rest) + 1 and rest == sorted([(1, "AAA"), (2, "B B"), (5, "zz"), (None, "q"), (8, " "), (6, "y")], key=repr)
+
+
+@pytest.mark.parametrize("most", [0, 250_000])
+def test_keep_one_keeps_one_row_of_every_component(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "MOST_SENT", most)
+    rnd = random.Random(9)
+    base = [words(rnd, 60) for _ in range(6)]
+    near = [" ".join(["edited", *x[1:]]) for x in base]
+    text = [" ".join(x) for x in base]
+    rows = [(3, text[0]), (3, text[0]), (3, text[1]), (2, near[1]), (None, near[0]), (None, text[2]), (None, text[2]), (None, near[2]), (9, text[3]), (9, near[3]), (4, text[4]), (4, text[4]), (1, None), (1, ""), (1, " "), (0, text[5]), (5, near[5])]
+    docs = spark.createDataFrame([(i, t, "x", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, own string, node int")
+    got = near_dedup.keep_one(docs).collect()
+    by = lambda x: sorted(i for r in got if r.text in (text[x], near[x]) for i in [repr(r.doc_id)])
+    assert [by(k) for k in range(6)] == [["3"], ["2"], ["None"], ["9"], ["4"], ["0"]]
+    assert sorted(repr(r.text) for r in got if not (r.text or "").strip()) in (["' '", "''"], ["' '", "None"]) and len(got) == 8
+    ids = {(r.doc_id, r.n_shingles): r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert ids[None, 56] in (3, None) and ids[2, 56] == 2
 
 
 def _line_removals(rows):
@@ -186,20 +216,23 @@ def test_near_duplicates(docs, rows):
     assert near_dedup.keep_one(docs).columns == docs.columns
 
 
-def test_near_duplicates_inside_a_large_divided_bucket(spark):
-    """Many texts share a passage at a similarity just under the threshold; a few pairs of them are closer."""
+@pytest.mark.parametrize("pairs", [30, 500])
+def test_near_duplicates_inside_a_large_divided_bucket(spark, pairs):
+    """Many texts share a passage at a similarity just under the threshold; pairs of them are closer."""
     rnd = random.Random(12)
     passage, rows, want = words(rnd, 124), [], {}
     for k in range(1000):
         tail = [f"t{k}x{j}" for j in range(22)]
-        if k >= 940 and k % 2:
+        if k >= 1000 - 2 * pairs and k % 2:
             tail[:4] = rows[-1][1].split()[124:128]
             want[k] = k - 1
         rows.append((k, " ".join(passage + tail), "en", "a"))
     sets = [_shingles(t) for _, t, *_ in rows]
     assert all((100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])) == (want.get(b) == a) for b in range(900, 1000) for a in range(b))
     got = near_dedup.near_duplicates(frame(spark, rows)).collect()
-    assert {r.doc_id: r.component_id for r in got if not r.kept} == want
+    found = {r.doc_id: r.component_id for r in got if not r.kept}
+    # a pair at the threshold shares no band with a chance of 0.0003
+    assert found.items() <= want.items() and len(found) >= 0.99 * pairs
 
 
 def test_recall_of_links_at_the_threshold():
