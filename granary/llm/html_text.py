@@ -1,9 +1,9 @@
 """Main text of web pages by consensus host paths.
 
-Every page's containers are scored by the text of their blocks. The scores are votes for the containers'
+Every page's containers are scored by their share of the page's prose. The scores are votes for the containers'
 generalised paths (tags and classes from the body down, digits masked), added up per host in Spark. Pages
-are then read again, and the text is taken from the container on the host's winning path; a page that
-hasn't got it uses its own best container.
+are then read again, and the text is taken from the containers on the host's winning path; a page that
+hasn't got it uses its own main container, the innermost one with most of the prose.
 """
 
 from __future__ import annotations
@@ -14,9 +14,13 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# HTML's element kinds, and the words by which boilerplate is named.
+from granary.llm.common import sent
+
+# HTML's element kinds, and words by which boilerplate is often named.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe xmp noembed noframes svg math object select option canvas".split())
+#: Elements that hold text only, no markup, and elements whose content is no text of the page.
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+MUTED = frozenset("noscript template svg math object canvas audio video select optgroup option datalist button".split())
 BLOCK = frozenset(
     "html head body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr caption ul".split()
@@ -24,44 +28,57 @@ BLOCK = frozenset(
 CONTAINER = frozenset("body main article section div td blockquote center".split())
 #: A start tag closes these elements if one of them is innermost.
 CLOSES = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
-HARD = frozenset("head nav aside footer menu button dialog".split())
+CLOSES |= {"option": {"option"}, "optgroup": {"option", "optgroup"}} | dict.fromkeys(MUTED - {"option", "optgroup"}, set())
+HARD = frozenset("head nav aside footer menu dialog".split())
 SOFT = frozenset("header form".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
-NAMES = frozenset(
-    "ad ads adsense advert adverts advertisement advertising advertorial banner billboard bottombar breadcrumb breadcrumbs byline cookie cookies comment comments "
-    "commentlist consent copyright disclaimer disqus discussion feedback footer foot form gdpr header hidden leaderboard legal login masthead menu menus modal nav navbar "
-    "navigation newsletter notice notices notification overlay pager pagination popup popover promo promotion recommended register related reply replies respond "
-    "responses search share sharebar sharing sidebar sideblock sidenav signup skip social sponsor sponsored subscribe subscription tags teaser toc toolbar topbar "
-    "tracking widget widgets".split()
+USUAL = frozenset(
+    "ad ads adsense advert adverts advertisement advertising advertorial billboard breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disqus "
+    "footer gdpr leaderboard masthead menu menus modal nav navbar navigation newsletter notice notices overlay pager pagination popup popover promo promotion recommended "
+    "related sharebar sharing sidebar sidenav signup sponsor sponsored subscribe subscription".split()
+)
+SOMETIMES = frozenset(
+    "banner bottombar byline copyright disclaimer discussion feedback foot form header hidden legal login notification register replies reply respond responses search "
+    "share sideblock skip social tags teaser toc toolbar topbar tracking widget widgets".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Evidence against an element; from 1 it holds no main text. A name alone never suffices.
+NAMED_USUAL, NAMED_SOMETIMES, MINOR, LINKED, NO_PROSE, TEMPLATE = 0.8, 0.5, 0.2, 0.3, 0.3, 0.3
+#: Words, or characters, of a block that reads as prose.
+PROSE_WORDS, PROSE_CHARS = 10, 60
+#: The main container is the innermost one with so much of the page's prose.
+SHARE = 0.75
+#: Pages of a host, at least, on which an element's text is the same if it is part of the template.
+TEMPLATE_PAGES = 3
 _NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
-#: The farthest that a tag with a quoted ">" may reach.
-_TAG_REACH = 5000
+#: The rest of a tag: quoted values may hold a ">". No part is ever tried twice.
+_TAG_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>""")
 
 
 class Page:
     """A page's elements and blocks. Inline elements leave no trace but white space where they break lines."""
 
     def __init__(self, source: str):
-        self.tags, self.parents, self.labels, self.named = ["html"], [-1], [""], [False]
-        self.blocks: list[tuple[int, str, int]] = []
-        self._stack, self._text, self._links, self._in_link = [0], [], 0, 0
+        self.tags, self.parents, self.labels, self.evidence = ["html"], [-1], [""], [0.0]
+        self.blocks: list[tuple[int, str, int, int]] = []
+        self._stack, self._muted, self._text, self._links, self._n_links, self._in_link = [0], 0, [], 0, 0, 0
         self._read(source)
         self._flush()
-        self._judge()
+        self._measure()
 
     def _flush(self) -> None:
         if self._text:
             text = " ".join("".join(self._text).split())
             if text:
-                self.blocks.append((self._stack[-1], text, self._links))
-            self._text, self._links = [], 0
+                self.blocks.append((self._stack[self._muted - 1 if self._muted else -1], text, self._links, self._n_links))
+            self._text, self._links, self._n_links = [], 0, 0
 
     def _add(self, raw: str) -> None:
+        if self._muted:
+            return
         text = entities.unescape(raw) if "&" in raw else raw
         self._text.append(text)
         if self._in_link:
@@ -89,85 +106,122 @@ class Page:
                     self._add("<")
                     at = tag + 1
                 continue
-            end = self._tag_end(source, found.end())
+            rest = _TAG_REST.match(source, found.end())
+            end = rest.end() - 1 if rest else source.find(">", found.end())  # a quote that is never closed ends nothing
             if end < 0:
                 return  # the page ends inside a tag
             name, at = found[1].lower(), end + 1
             if source[tag + 1] == "/":
                 self._end(name)
             else:
-                self._start(name, source[found.end() : end])
-                if name in RAW and not source[tag:end].endswith("/"):
-                    closing = re.compile(f"</{re.escape(name)}(?![a-z0-9])", re.I).search(source, at)
-                    end = source.find(">", closing.end()) if closing else -1
-                    at = n if end < 0 else end + 1
-
-    @staticmethod
-    def _tag_end(source: str, begin: int) -> int:
-        """The place of the ">" that ends a tag: the first outside quotes, or the first if none is near."""
-        first = end = source.find(">", begin)
-        while 0 <= end < begin + _TAG_REACH:
-            if source.count('"', begin, end) % 2 == 0 and source.count("'", begin, end) % 2 == 0:
-                return end
-            end = source.find(">", end + 1)
-        return first
-
-    def _start(self, name: str, attributes: str) -> None:
+                closed = source[end - 1] == "/"
+                self._start(name, source[found.end() : end], closed)
+                if name in RAW and not closed:
+                    at = self._raw_end(source, name, at)
+
+    def _raw_end(self, source: str, name: str, at: int) -> int:
+        """Where reading goes on after an element that holds text only; without an end tag it ends where an open element does."""
+        closing = re.compile(f"</{re.escape(name)}(?![a-z0-9])", re.I).search(source, at)
+        if closing:
+            end = source.find(">", closing.end())
+            return len(source) if end < 0 else end + 1
+        outer = re.compile(f"</(?:{'|'.join({re.escape(self.tags[k]) for k in self._stack})})(?![a-z0-9])", re.I).search(source, at)
+        return outer.start() if outer else len(source)
+
+    def _start(self, name: str, attributes: str, closed: bool) -> None:
         if name == "a":
             self._in_link = 1
-        if name == "br":
+            self._n_links += not self._muted
+        if name == "br" and not self._muted:
             self._text.append(" ")
-        if name not in BLOCK:
+        if name not in BLOCK and (name not in MUTED or closed):
             return
-        self._flush()
-        if name == "hr" or name == "html":
+        if name in BLOCK and not self._muted:
+            self._flush()
+        if name in ("hr", "html"):
             return
         closes = CLOSES.get(name, ("p",))
         while len(self._stack) > 1 and self.tags[self._stack[-1]] in closes:
-            self._stack.pop()
+            self._pop(len(self._stack) - 1)
         if name == "body" and "body" in (self.tags[x] for x in self._stack):
             return
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
         words = {*_WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}")}
         classes = sorted({_DIGITS.sub("#", x) for x in found.get("class", "").split()})
+        named = 0.0 if name in HEADINGS else NAMED_USUAL if words & USUAL else NAMED_SOMETIMES if words & SOMETIMES else 0.0
         self.tags.append(name)
         self.parents.append(self._stack[-1])
         self.labels.append(".".join([name, *classes]))
-        self.named.append(name not in HEADINGS and bool(words & NAMES or found.get("role") in ROLES))
+        self.evidence.append(1.0 if found.get("role") in ROLES else named)
         self._stack.append(len(self.tags) - 1)
+        if name in MUTED and not self._muted:
+            self._muted = len(self._stack) - 1
+
+    def _pop(self, depth: int) -> None:
+        del self._stack[depth:]
+        if self._muted >= depth:
+            self._muted = 0
 
     def _end(self, name: str) -> None:
         if name == "a":
             self._in_link = 0
-        if name not in BLOCK:
+        if name not in BLOCK and name not in MUTED:
             return
-        self._flush()
         for depth in range(len(self._stack) - 1, 0, -1):
             if self.tags[self._stack[depth]] == name:
-                del self._stack[depth:]
+                if name in BLOCK and (not self._muted or depth < self._muted):
+                    self._flush()
+                self._pop(depth)
                 return
+        if name in BLOCK and not self._muted:
+            self._flush()
 
-    def _judge(self) -> None:
-        """Marks the elements that hold no main text."""
+    def _measure(self) -> None:
+        """Sums over the elements, and which of them hold no main text, as far as the page itself tells."""
         n = len(self.tags)
-        size, links, items, marked = [0] * n, [0] * n, [0] * n, [False] * n
-        for node, text, linked in self.blocks:
-            size[node] += len(text)
+        self.size, links, n_links, items, self.marked, self.prose = [0] * n, [0] * n, [0] * n, [0] * n, [False] * n, [False] * n
+        for node, text, linked, many in self.blocks:
+            self.size[node] += len(text)
             links[node] += linked
+            n_links[node] += many
+            self.prose[node] |= len(text) - 2 * linked >= PROSE_CHARS or linked == 0 and text.count(" ") >= PROSE_WORDS - 1
         for k in range(n - 1, 0, -1):
             up = self.parents[k]
-            size[up] += size[k]
+            self.size[up] += self.size[k]
             links[up] += links[k]
+            n_links[up] += n_links[k]
             items[up] += self.tags[k] == "li"
-            marked[up] |= marked[k] or self.tags[k] in ("article", "main", "h1") and not self.named[k]
-        self.out = [False] * n
+            self.prose[up] |= self.prose[k]
+            self.marked[up] |= self.marked[k] or self.tags[k] in ("article", "main", "h1") and not self.evidence[k]
+        # elements beside the article, and those with several children of one kind, as comments are
+        inside, alike, kinds = [False] * n, [0] * n, [{} for _ in range(n)]
+        for k in range(1, n):
+            up = self.parents[k]
+            inside[k] = inside[up] or self.tags[k] in ("article", "main")
+            if self.tags[k] != "p" and not self.marked[k]:
+                kinds[up][self.labels[k]] = kinds[up].get(self.labels[k], 0) + 1
+                alike[up] = max(alike[up], kinds[up][self.labels[k]])
         for k in range(1, n):
-            tag = self.tags[k]
-            soft = self.named[k] or tag in SOFT
-            # a named wrapper of the article with most of the page's text is no boilerplate
-            wraps = marked[k] and 2 * size[k] > size[0]
-            listing = tag in ("ul", "ol") and items[k] >= 3 and links[k] >= 0.9 * size[k] > 0
-            self.out[k] = self.out[self.parents[k]] or tag in HARD or listing or soft and not wraps and tag != "body"
+            tag, size, named = self.tags[k], self.size[k], self.evidence[k]
+            listing = tag in ("ul", "ol") and items[k] >= 3 or tag in ("div", "section", "table", "center") and n_links[k] >= 3
+            if tag in HARD or tag in SOFT or listing and links[k] >= 0.9 * size > 0:
+                self.evidence[k] = 1.0
+            elif 0 < named < 1:
+                beside = self.marked[0] and not self.marked[k] and not inside[k]
+                aside = 2 * size < self.size[0] or beside or alike[k] >= 2 and 10 * size < 9 * self.size[0]
+                self.evidence[k] += MINOR * aside + LINKED * (links[k] >= 0.3 * size) + NO_PROSE * (not self.prose[k])
+        self.judge(frozenset())
+
+    def judge(self, templates: frozenset) -> None:
+        """Marks the elements without main text; templates are paths whose text is the same on the host's pages."""
+        self.out = [False] * len(self.tags)
+        for k in range(1, len(self.tags)):
+            weight = self.evidence[k]
+            if 0 < weight < 1 and templates and self.path(k) in templates:
+                weight += TEMPLATE
+            # a wrapper of the article with most of the page's text is no boilerplate, whatever it is called
+            wraps = self.tags[k] not in HARD and self.marked[k] and 2 * self.size[k] > self.size[0]
+            self.out[k] = self.out[self.parents[k]] or weight > 0.99 and not wraps and self.tags[k] != "body"
 
     def path(self, node: int) -> str:
         labels = []
@@ -178,41 +232,66 @@ class Page:
         return ">".join(reversed(labels))
 
     def scores(self) -> dict[int, float]:
-        """Points of the containers: a block's length without its links counts whole for the innermost, half for the next one out, and so on."""
-        points: dict[int, float] = {}
-        for node, text, linked in self.blocks:
-            if self.out[node]:
-                continue
-            worth = float(max(len(text) - 2 * linked, 0))
-            while node >= 0 and worth >= 1:
-                if self.tags[node] in CONTAINER or node == 0:
-                    points[node] = points.get(node, 0.0) + worth
-                    worth /= 2
-                node = self.parents[node]
-        return points
+        """The containers' shares of the page's prose: lengths of blocks, less twice their links."""
+        worth = [0] * len(self.tags)
+        for node, text, linked, _ in self.blocks:
+            if not self.out[node]:
+                worth[node] += max(len(text) - 2 * linked, 0)
+        for k in range(len(worth) - 1, 0, -1):
+            worth[self.parents[k]] += worth[k]
+        total = worth[0]
+        return {k: worth[k] / total for k in range(len(worth)) if worth[k] and not self.out[k] and (k == 0 or self.tags[k] in CONTAINER)} if total else {}
+
+    def main(self, shares: dict[int, float]) -> int:
+        """The innermost container with most of the prose, and with the title; inside an article element, that whole element."""
+        best = max(k for k, share in shares.items() if share >= SHARE)  # such containers lie inside each other, the innermost has the largest number
+        title = next((k for k, tag in enumerate(self.tags) if tag == "h1" and self.size[k] and not self.out[k]), 0)
+        around = {title}
+        while title > 0:
+            title = self.parents[title]
+            around.add(title)
+        node = best
+        while node > 0:
+            if self.tags[node] == "article" or best not in around and len(around) > 1 and node in shares and node in around:
+                best = node
+            node = self.parents[node]
+        return best if best in around or len(around) == 1 else 0
 
     def votes(self) -> dict[str, float]:
-        """Each path's best points, as shares of the page's best."""
-        points = self.scores()
-        most = max(points.values(), default=0.0)
+        """One for the path of the main container; for others' paths less than half, by their shares."""
+        shares = self.scores()
         out: dict[str, float] = {}
-        for node, score in points.items() if most > 0 else ():
-            path = self.path(node)
-            out[path] = max(out.get(path, 0.0), score / most)
+        for k, share in shares.items():
+            path = self.path(k)
+            out[path] = max(out.get(path, 0.0), 0.4 * share)
+        if shares:
+            out[self.path(self.main(shares))] = 1.0
         return out
 
-    def text(self, path: str | None) -> tuple[str, str]:
-        """The blocks under the path (if the page hasn't got it, under its best container) and that path."""
-        points = self.scores()
-        if not points:
+    def doubtful(self) -> dict[str, str]:
+        """Path and text of the elements that their name makes doubtful but not more."""
+        own: dict[int, list[str]] = {k: [] for k, weight in enumerate(self.evidence) if 0 < weight < 1}
+        for node, text, *_ in self.blocks if own else ():
+            while node > 0:
+                if node in own:
+                    own[node].append(text)
+                node = self.parents[node]
+        return {self.path(k): "\n".join(texts) for k, texts in own.items() if texts}
+
+    def text(self, path: str | None, templates: frozenset = frozenset()) -> tuple[str, str]:
+        """The blocks under the path (if the page hasn't got it, under its own main container) and that path."""
+        if templates:
+            self.judge(templates)
+        shares = self.scores()
+        if not shares:
             return "", ""
-        chosen = {k for k in points if self.path(k) == path} if path is not None else set()
+        chosen = {k for k in shares if self.path(k) == path} if path is not None else set()
         if not chosen:
-            chosen = {min(points, key=lambda k: (-points[k], k))}
+            chosen = {self.main(shares)}
         inside = [False] * len(self.tags)
         for k in range(len(self.tags)):
             inside[k] = k in chosen or k > 0 and inside[self.parents[k]]
-        found = "\n".join(text for node, text, _ in self.blocks if inside[node] and not self.out[node])
+        found = "\n".join(text for node, text, *_ in self.blocks if inside[node] and not self.out[node])
         return found, self.path(min(chosen))
 
 
@@ -223,45 +302,54 @@ def host_of(url):
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """voted_host and path, the path with the most votes of every host; of equal ones the first. pages: host, html."""
+    """voted_host, voted_path (the path with the most votes of every host, of equal ones the first) and templates. pages: host, html.
+
+    templates are the paths of doubtful elements whose text is the same on all pages of the host that have them, TEMPLATE_PAGES at least.
+    """
     import pyarrow as pa
+    import xxhash
 
     def run(batches):
         for batch in batches:
-            hosts, paths, scores = [], [], []
+            rows = []
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for path, score in Page(source or "").votes().items():
-                    hosts.append(host)
-                    paths.append(path)
-                    scores.append(round(score * 1000))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.int64())], ["host", "path", "score"])
+                page = Page(source or "")
+                rows += [(host, path, round(score * 1000), None) for path, score in page.votes().items()]
+                rows += [(host, path, 0, xxhash.xxh3_64_intdigest(text) - 2**63) for path, text in page.doubtful().items()]
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()))], ["host", "path", "score", "same"])
 
-    votes = pages.select("host", "html").mapInArrow(run, "host string, path string, score long").groupBy("host", "path").agg(F.sum("score").alias("score"))
-    first = F.min(F.struct((-F.col("score")).alias("less"), "path"))
-    return votes.groupBy(F.col("host").alias("voted_host")).agg(first.alias("best")).select("voted_host", F.col("best.path").alias("voted_path"))
+    found = pages.select("host", "html").mapInArrow(run, "host string, path string, score long, same long")
+    votes = found.groupBy("host", "path").agg(F.sum("score").alias("score"), F.count("same").alias("n"), F.min("same").alias("low"), F.max("same").alias("high"))
+    first = F.min(F.when(F.col("score") > 0, F.struct((-F.col("score")).alias("less"), "path")))
+    constant = (F.col("n") >= TEMPLATE_PAGES) & (F.col("low") == F.col("high"))
+    hosts = votes.groupBy(F.col("host").alias("voted_host")).agg(first.alias("best"), F.array_sort(F.collect_list(F.when(constant, F.col("path")))).alias("templates"))
+    return hosts.select("voted_host", F.col("best.path").alias("voted_path"), "templates")
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: page_id, url, text, n_chars, host, path.
 
     text holds the blocks of the main container in page order, joined by line breaks; white space inside a
-    block is one space. Menus, headers, footers, sidebars, notices, adverts, forms and reader comments are
-    left out by element, role or name, scripts, styles and markup always. Null or empty html gives an empty
-    text. Pages without a host vote together. Repeated rows give equal rows; an empty table gives none.
-
-    Votes are combined before their shuffle, so a host with a third of all pages is no hot spot. Pages
-    meet the winning paths, one line per host, in a left join; beyond the size that Spark broadcasts, the
-    adaptive skew join splits large hosts.
+    block is one space. Menus, headers, footers, sidebars and forms are left out by element or role, scripts,
+    styles, markup and lists of links always. An element's name (adverts, notices, reader comments) counts as evidence, together with its share
+    of the page, its links, whether any of it reads as prose and whether its text is the same on the host's pages.
+    Null or empty html gives an empty text. Pages without a host vote together. Repeated rows give equal rows; an empty table gives none.
+
+    Votes are combined before their shuffle, so a host with a third of all pages is no hot spot. The winning
+    paths, one line per host, are sent to the pages as long as hosts are few enough for that; beyond it pages
+    meet them in a left join, in which the adaptive skew join splits large hosts.
     """
     import pyarrow as pa
 
     picked = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
-    voted = host_paths(picked)
-    rows = picked.join(voted, picked["host"] == voted["voted_host"], "left").select("page_id", "url", "host", "voted_path", "html")
+    voted = sent(host_paths(picked))
+    rows = picked.join(voted, picked["host"] == voted["voted_host"], "left").select("page_id", "url", "host", "voted_path", "templates", "html")
 
     def run(batches):
         for batch in batches:
-            found = [Page(source or "").text(path) for path, source in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+            paths, templates, sources = (batch.column(k).to_pylist() for k in (3, 4, 5))
+            found = [Page(source or "").text(path, frozenset(known or ())) for path, known, source in zip(paths, templates, sources)]
             texts, paths = ([x[k] for x in found] for k in (0, 1))
             sizes = pa.array([len(x) for x in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
