@@ -13,7 +13,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("at"), F.least("a", "least").alias("root"))
     found = both.filter("b > a").join(least, F.col("a") == F.col("at"))
-    return found.select(F.col("b").alias("a"), F.col("root").alias("b")).filter("a > b").distinct()
+    return found.select(F.col("b").alias("a"), F.col("root").alias("b")).filter("a > b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

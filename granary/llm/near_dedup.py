@@ -4,8 +4,8 @@ A text's 5-word shingles are hashed once; the hash's high bits name a bin and th
 its value. An empty bin takes the value of a bin picked by a hash of its own number, tried again until it
 is filled. Texts that agree in a band of bins share a bucket, and in a bucket only a hub is compared with
 the others, so candidates grow with a bucket's size and not with its square. Links are confirmed on the
-full shingle sets. Buckets whose members are still in different components get another hub, without the
-ones before, for a few rounds. What is still divided then is compared exactly: two sets of different
+full shingle sets. Buckets whose members are still in different components get some more hubs, without the
+one before. What is still divided then is compared exactly: two sets of different
 components that are similar enough share one of their rarest shingles, early in the order of rarity.
 """
 
@@ -26,8 +26,8 @@ WORDS, PERCENT = 5, 75
 #: 42 bands of 6 bins: texts of similarity 0.75 share no bucket with a chance of 0.0003.
 BINS, BAND = 256, 6
 BANDS = BINS // BAND
-#: Rounds with a new hub for each bucket that is still divided, before the rest is compared exactly.
-HUB_ROUNDS = 6
+#: Hubs of each bucket that is divided, round by round, before the rest is compared exactly.
+HUBS = (1, 4)
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -139,11 +139,12 @@ def _rest(labelled: DataFrame, sets: DataFrame) -> DataFrame:
     nodes = cut(labelled.join(divided, "bucket").select("node", "label").distinct())
     if nodes.isEmpty():
         return nodes.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    own = sets.join(nodes, F.col("id") == F.col("node")).select("node", "label", F.size("shingles").alias("n"), F.xxhash64("shingles").alias("of"), F.explode("shingles").alias("shingle"))
+    sized = sets.select("id", F.size("shingles").alias("n"), "shingles")  # the explosion below carries numbers, no arrays
+    own = sized.join(nodes, F.col("id") == F.col("node")).select("node", "label", "n", F.explode("shingles").alias("shingle"))
     common = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").withColumnRenamed("shingle", "s")
     # shingles of one set only come first and meet nothing
     ranked = own.join(common, F.col("shingle") == F.col("s"), "left").withColumn("df", F.coalesce("df", F.lit(1)))
-    place = F.row_number().over(Window.partitionBy("node", "of").orderBy("df", "shingle")) - 1
+    place = F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle")) - 1
     early = ranked.withColumn("left", F.col("n") - place).filter(f"df > 1 AND 100 * left >= {PERCENT} * n")
     early = cut(early.select("shingle", "node", "label", "n", "left"))
     counts = early.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("rows"))
@@ -173,25 +174,21 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     sets = cut(sets.join(nodes, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))).select(F.col("node").alias("id"), "shingles"))
 
     roots = None
-    for k in range(HUB_ROUNDS):
+    for k, many in enumerate(HUBS):
         labelled = _labelled(members, roots)
         # a hub goes by a hash that differs between buckets and rounds
-        turn = F.col("node") if k == 0 else F.xxhash64("node", "bucket", F.lit(k))
-        hubs = labelled.groupBy("bucket").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("node", turn).alias("hub"), F.min_by("label", turn).alias("hub_label"), F.min_by("n", turn).alias("hub_n")
-        )
-        hubs = hubs.filter("low < high").select("bucket", "hub", "hub_label", "hub_n")
-        live = cut(labelled.join(hubs, "bucket"))
-        # a hub has met its whole bucket and needn't come back; whole buckets end once they aren't divided
-        members = live.filter("node <> hub").select("bucket", "node", "n")
-        near = live.filter(f"label <> hub_label AND 100 * least(n, hub_n) >= {PERCENT} * greatest(n, hub_n)")
-        edges = near.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        hub = [F.min_by(F.struct("node", "label", "n"), F.xxhash64("node", "bucket", F.lit(k), F.lit(j))) for j in range(many)]
+        hubs = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.array_distinct(F.array(*hub)).alias("hubs"))
+        live = cut(labelled.join(hubs.filter("low < high").select("bucket", "hubs"), "bucket"))
+        # hubs have met their whole bucket and needn't come back; whole buckets end once they aren't divided
+        members = live.filter(~F.exists("hubs", lambda h: h["node"] == F.col("node"))).select("bucket", "node", "n")
+        met = live.select("node", "label", "n", F.explode("hubs").alias("h")).filter(f"label <> h.label AND 100 * least(n, h.n) >= {PERCENT} * greatest(n, h.n)")
+        edges = met.select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct()
         links = cut(_linked(edges, sets))
-        if roots is not None:
-            if links.isEmpty():
-                break
-            links = links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(links)
+        if roots is None:
+            roots = components(links)
+        elif not links.isEmpty():
+            roots = components(links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
     links = cut(_linked(_rest(_labelled(members, roots), sets), sets))
     if not links.isEmpty():
