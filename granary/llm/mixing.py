@@ -22,6 +22,10 @@ MOST_PASSES = 3
 BLOCK_ROWS, MOST_BLOCKS = 8, 1024
 #: A pass that is taken in part chooses from at least so many rows, in so many rounds.
 SPARE_ROWS, ROUNDS = 128, 4
+#: Rows, at least, from the place on where the part of a pass ends, among which it chooses.
+NEAR_ROWS = 1024
+#: Keys of rows that differ only in so many lowest bits are one range: 4096 ranges.
+RANGE_BITS = 52
 #: Output shards, a power of two.
 SHARDS = 16
 SEED = "mix-1"
@@ -125,14 +129,29 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS) -> DataFrame:
 def _chosen(near: DataFrame) -> DataFrame:
     """source and runs: which rows to take of the blocks that have room for a part of their words.
 
-    near: source, room, size, key, id. Each round takes rows in key order for as long as they fit;
-    the next round goes on behind the first row that didn't, with the rows that fit what is left. A run
-    takes the rows after `after` and up to `upto` with at most `most` words. The default window frame
-    holds all rows of a key, so rows that repeat an id stand or fall together.
+    near: source, room, size, key, id. Rows are taken in key order for as long as they fit; each of the next
+    rounds goes on behind the first row that didn't, with the rows that fit what is left. A run
+    takes the rows after `after` and up to `upto` with at most `most` words. Keys fall into ranges whose sums are
+    combined before the shuffle: the ranges that fit are one run, and the rounds see the rows of the range in which it
+    ends, and of some more, so a window holds a small part of a block. Its default frame holds all
+    rows of a key, so rows that repeat an id stand or fall together.
     """
-    block = Window.partitionBy("source")
+    most = F.lit(2**63 - 1)
+    block, in_order = Window.partitionBy("source"), Window.partitionBy("source").orderBy("range")
+    keyed = near.withColumn("range", F.shiftright("key", RANGE_BITS))
+    fitting = F.sum(F.when(F.col("size") <= F.col("room"), F.col("size")).otherwise(0))
+    ranges = keyed.groupBy("source", "room", "range").agg(fitting.alias("words"), F.count(F.lit(1)).alias("n"))
+    ranges = ranges.withColumn("upto_words", F.sum("words").over(in_order)).withColumn("first", F.min(F.when(F.col("upto_words") > F.col("room"), F.col("range"))).over(block))
+    spare = F.sum(F.when(F.col("range") >= F.col("first"), F.col("n"))).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    ranges = cut(ranges.withColumn("spare", F.coalesce(spare, F.lit(0))))
+    whole = ranges.groupBy("source", "room", "first").agg(F.coalesce(F.max(F.when(F.col("first").isNull() | (F.col("range") < F.col("first")), F.col("upto_words"))), F.lit(0)).alias("before"))
+    last = F.struct(F.coalesce(F.shiftleft(F.col("first") - 1, RANGE_BITS).bitwiseOR((1 << RANGE_BITS) - 1), most).alias("key"), most.alias("id"))
+    none = F.lit(None).cast("struct<key:bigint,id:bigint>")
+    whole = whole.withColumn("run", F.when(F.col("before") > 0, F.struct(none.alias("after"), last.alias("upto"), F.col("room").alias("most"))))
+
     at = F.struct("key", "id")
-    rows = near.withColumn("after", F.lit(None).cast("struct<key:bigint,id:bigint>"))
+    rows = join_known(keyed.drop("room"), ranges.filter(f"range >= first AND spare < {NEAR_ROWS}").select("source", "range"), "source", "range")
+    rows = join_known(rows, whole.select("source", (F.col("room") - F.col("before")).alias("room"), "run.upto"), "source").withColumnRenamed("upto", "after")
     for k in range(ROUNDS):
         fits = (F.col("after").isNull() | (at > F.col("after"))) & (F.col("size") <= F.col("room"))
         rows = rows.withColumn("sum", F.sum(F.when(fits, F.col("size")).otherwise(0)).over(block.orderBy("key", "id")))
@@ -140,8 +159,9 @@ def _chosen(near: DataFrame) -> DataFrame:
         rows = rows.withColumn("upto", F.max(F.when(F.col("taken"), at)).over(block)).withColumn("used", F.max(F.when(F.col("taken"), F.col("sum"))).over(block))
         rows = rows.withColumn(f"run{k}", F.when(F.col("upto").isNotNull(), F.struct("after", "upto", F.col("room").alias("most"))))
         rows = rows.withColumn("room", F.col("room") - F.coalesce("used", F.lit(0))).withColumn("after", F.coalesce("upto", "after"))
-    runs = F.array_compact(F.array(*[F.max(f"run{k}") for k in range(ROUNDS)]))
-    return rows.groupBy("source").agg(runs.alias("runs"))
+    runs = rows.groupBy("source").agg(*[F.max(f"run{k}").alias(f"run{k}") for k in range(ROUNDS)])
+    out = join_known(whole.select("source", "run"), runs, "source", how="left")
+    return out.select("source", F.array_compact(F.array("run", *[f"run{k}" for k in range(ROUNDS)])).alias("runs"))
 
 
 def block_plan(rows: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, shards: int = SHARDS) -> DataFrame:
@@ -251,7 +271,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     return out.select(*docs.columns, *([F.col(f"`{at}`.shard").alias(shard_col)] if shard_col else []))
 
 
-def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", **how) -> None:
-    """Writes the mix to path, one directory per shard, each file's rows in a hash order."""
-    rows = mixed(docs, id_col, shard_col="shard", **how)
-    rows.repartition("shard", F.pmod(_key(rows[id_col]), F.lit(MOST_BLOCKS))).sortWithinPartitions("shard", _key(rows[id_col], F.lit("order"))).write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", shard_col: str = "to_shard", **how) -> None:
+    """Writes the mix to path, a directory for each shard (shard_col, a name that the input hasn't got), each file's rows in a hash order.
+
+    A shard's rows are dealt to several tasks by their hash, so that none holds a whole shard.
+    """
+    rows = mixed(docs, id_col, shard_col=shard_col, **how)
+    dealt = rows.repartition(shard_col, F.pmod(_key(rows[id_col]), F.lit(MOST_BLOCKS)))
+    dealt.sortWithinPartitions(shard_col, _key(rows[id_col], F.lit("order")), id_col).write.partitionBy(shard_col).parquet(path)
