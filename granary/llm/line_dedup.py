@@ -59,10 +59,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows and columns, texts without the lines that repeated_lines names."""
-    gone = repeated_lines(docs, id_col, text_col).select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key"), F.col("places").alias("_places"))
-    rows = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_key"]), "left")
-    left = F.filter(F.split(docs[text_col], "\n"), lambda x, i: ~F.array_contains("_places", i))
-    text = F.when(F.col("_places").isNull(), docs[text_col]).otherwise(F.array_join(left, "\n"))
+    gone = max(docs.columns, key=len, default="") + "_gone"
+    lines = repeated_lines(docs, id_col, text_col).select(F.struct("*").alias(gone))
+    same = docs[id_col].cast("long").eqNullSafe(F.col(f"`{gone}`.doc_id")) & (F.xxhash64(docs[text_col]) == F.col(f"`{gone}`.text_key"))
+    rows, places = docs.join(lines, same, "left"), F.col(f"`{gone}`.places")
+    left = F.filter(F.split(docs[text_col], "\n"), lambda x, i: ~F.array_contains(places, i))
+    text = F.when(places.isNull(), docs[text_col]).otherwise(F.array_join(left, "\n"))
     return rows.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
 
 

@@ -150,12 +150,13 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spans_col: str | None = None) -> DataFrame:
     """The input rows and columns, texts without their removed spans; if named, a column keeps the spans' offsets."""
-    spans = removed_spans(docs, id_col, text_col)
-    gone = spans.groupBy(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("_spans"))
-    rows = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text_col]) == gone["_gone_key"]), "left")
+    spans, gone = removed_spans(docs, id_col, text_col), max(docs.columns, key=len, default="") + "_gone"
+    grouped = spans.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans")).select(F.struct("*").alias(gone))
+    same = docs[id_col].cast("long").eqNullSafe(F.col(f"`{gone}`.doc_id")) & (F.xxhash64(docs[text_col]) == F.col(f"`{gone}`.text_key"))
+    rows, found = docs.join(grouped, same, "left"), F.col(f"`{gone}`.spans")
     # what lies between the spans, from the end of one to the begin of the next
-    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("_spans", lambda x: x["end"]))
-    ends = F.concat(F.transform("_spans", lambda x: x["begin"]), F.array(F.length(docs[text_col]).cast("long")))
+    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform(found, lambda x: x["end"]))
+    ends = F.concat(F.transform(found, lambda x: x["begin"]), F.array(F.length(docs[text_col]).cast("long")))
     left = F.zip_with(begins, ends, lambda a, b: F.substring(docs[text_col], (a + 1).cast("int"), (b - a).cast("int")))
-    text = F.when(F.col("_spans").isNull(), docs[text_col]).otherwise(F.array_join(left, ""))
-    return rows.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns], *([F.col("_spans").alias(spans_col)] if spans_col else []))
+    text = F.when(found.isNull(), docs[text_col]).otherwise(F.array_join(left, ""))
+    return rows.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns], *([found.alias(spans_col)] if spans_col else []))

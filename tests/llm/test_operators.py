@@ -1,6 +1,7 @@
 """Operators against plain Python: nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -141,13 +142,82 @@ def test_line_dedup(docs, rows):
         assert texts[i] == left
 
 
+def _parts(text):
+    """Independent of the operator: (normalised text, begin, end) of lines, and of what a line's sentences make up."""
+    edges, found = " \t\r\x0b\x0c.,;:!?…。\"'()[]{}«»“”‘’-！？「」『』（）".replace("{}", ""), []
+
+    def norm(part):
+        whole = " ".join(part.casefold().split())
+        return whole.strip(edges) or whole
+
+    at = 0
+    for line in text.split("\n"):
+        begin, at = at, at + len(line) + 1
+        if not line.split():
+            continue
+        found.append((norm(line), begin, begin + len(line)))
+        cuts, k = [0], 0
+        while k < len(line):
+            stop = k
+            if line[k] in "。！？":
+                while stop < len(line) and line[stop] in "。！？":
+                    stop += 1
+                while stop < len(line) and line[stop] in "\"')]»”’」』）":
+                    stop += 1
+                while stop < len(line) and line[stop].isspace():
+                    stop += 1
+            elif line[k] in ".!?…":
+                while stop < len(line) and line[stop] in ".!?…":
+                    stop += 1
+                while stop < len(line) and line[stop] in "\"')]»”’":
+                    stop += 1
+                blank = stop
+                while blank < len(line) and line[blank].isspace():
+                    blank += 1
+                stop = blank if blank > stop or blank == len(line) else k
+            if stop > k:
+                cuts.append(stop)
+            k = max(stop, k + 1)
+        cuts = sorted({*cuts, len(line)})
+        pieces = [(a, b) for a, b in zip(cuts, cuts[1:])]
+        if len(pieces) < 2:
+            continue
+
+        def long_enough(i, j):
+            words = [w for a, b in pieces[i : j + 1] for w in line[a:b].casefold().split()]
+            return len(words) >= 8 or sum(map(len, words)) >= 40
+
+        runs = set()
+        for i in range(len(pieces)):
+            for step in (-1, 1):
+                j = i
+                while 0 <= j < len(pieces) and not long_enough(min(i, j), max(i, j)):
+                    j += step
+                if 0 <= j < len(pieces):
+                    runs.add((min(i, j), max(i, j)))
+        last = {}
+        for i, j in sorted(runs):
+            a, b = begin + pieces[i][0], begin + pieces[j][1]
+            key = norm(text[a:b])
+            if (i, j) != (0, len(pieces) - 1) and a >= last.get(key, 0):
+                last[key] = b
+                found.append((key, a, b))
+    return found
+
+
 def test_substring_dedup(docs, rows):
+    """Brute force over the normalised texts of all units themselves, found without the operator's code."""
+    rnd = random.Random(18)
+    say = lambda n: " ".join(words(rnd, n)).capitalize()
+    shared = [f"{say(9)}. {say(2)}! {say(3)}?", f"{say(12)}.", say(2) + ".", "他走了。" * 3, f"“{say(8)}.” {say(1)}…"]
+    more = [(100 + k, "\n".join(" ".join(rnd.sample(shared, rnd.randint(1, 4)) + [f"{say(rnd.randint(1, 12))}."] * rnd.randint(0, 2)) for _ in range(4)), "en", "a") for k in range(60)]
+    docs, rows = docs.union(frame(docs.sparkSession, more)), [*rows, *more]
     first, spans = {}, {}
     for i, t in sorted({(i, t or "") for i, t, *_ in rows}):
-        for digest, a, b in substring_dedup.units(t):
-            if digest in first:
+        for key, a, b in _parts(t):
+            if key in first:
                 spans.setdefault(i, []).append((a, b))
-            first.setdefault(digest, i)
+            first.setdefault(key, i)
     want = set()
     for i, found in spans.items():
         merged = []
@@ -168,6 +238,16 @@ def test_substring_dedup(docs, rows):
         assert left[i] == cut
 
 
+def test_clashing_names(spark):
+    line = "one line of quite a few words here\nanother line of several more\nand a third one"
+    rows = [(k, f"{line}\nown {k}", [k], "g", 5, 6) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _spans array<long>, _places string, _gone_id long, text_key long")
+    for run in (substring_dedup.without_repeats, line_dedup.without_repeated_lines, exact_dedup.keep_first, near_dedup.keep_one, mixing.mixed, quality.keep_good):
+        out = run(docs.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "_right_source": F.lit(1), "range": F.lit(2)}))
+        assert out.columns[:6] == docs.columns and len(out.collect()) <= 9
+    assert sorted(r.text for r in line_dedup.without_repeated_lines(docs).collect()) == [f"{line}\nown 0", "own 1", "own 2"]
+
+
 def test_substring_dedup_finds_a_passage_inside_a_paragraph(spark):
     rnd = random.Random(5)
     sentences = [" ".join(words(rnd, 14)).capitalize() + "." for _ in range(9)]
@@ -334,6 +414,32 @@ def test_mixing(docs, rows):
     assert mixed.count() == sum(len(r.placements) for r in got)
 
 
+@pytest.mark.parametrize("bits", [52, 58, 63])
+def test_rows_of_a_block_that_is_taken_in_part(spark, monkeypatch, bits):
+    monkeypatch.setattr(mixing, "RANGE_BITS", bits)
+    rnd, rooms, rows = random.Random(17), {"a": 4000, "b": 3, None: 10**9, "c": 900, "d": 0}, []
+    for source, room in rooms.items():
+        rows += [(source, float(room), rnd.choice([1, 5, 20, 2000]), rnd.getrandbits(64) - 2**63, k) for k in range(400)]
+    near = spark.createDataFrame(rows, "source string, room double, size long, key long, id long")
+    runs = {r.source: r.runs for r in mixing._chosen(near).collect()}
+    for source, room in rooms.items():
+        taken = [
+            (size, key, i) for s, _, size, key, i in rows if s == source
+            and any((r.after is None or (key, i) > tuple(r.after)) and (key, i) <= tuple(r.upto) and size <= r.most for r in runs.get(source) or [])
+        ]
+        total = sum(x[0] for x in taken)
+        assert total <= room and (total >= room - 20 or len(taken) == 400), (source, total)
+
+
+def test_written_shards_hold_the_mix_in_a_shuffled_order(spark, docs, tmp_path):
+    mixing.write_shards(docs, str(tmp_path / "m"))
+    got = spark.read.parquet(str(tmp_path / "m")).select("doc_id", "to_shard").collect()
+    want = mixing.mixed(docs, shard_col="to_shard").select("doc_id", "to_shard").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len({r.to_shard for r in want}) == mixing.SHARDS
+    order = [r.doc_id for r in spark.read.parquet(str(next((tmp_path / "m").rglob("*.parquet")))).select("doc_id").collect()]
+    assert set(order) and (len(order) < 5 or order != sorted(order))
+
+
 def test_targets_of_many_sources(spark):
     rnd = random.Random(6)
     sizes = {f"s{k:03d}": rnd.choice([0, 1, 10, 200, 5000]) for k in range(50)} | {None: 40}
@@ -488,6 +594,51 @@ def test_quality_rules(docs, rows):
     assert all(r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words) and not (r.base_failed and r.kept) for r in got)
 
 
+def _limits(values):
+    """Brute force: ratio lists by (lang, source), read from sorted lists of buckets, blended with the language's and the corpus's."""
+
+    def read(numbers):
+        buckets = sorted(0 if x <= 0 else 1 + math.floor(math.log(x) / math.log(1.02)) for x in numbers)
+        middle = lambda q: next(b for k, b in enumerate(buckets, 1) if k >= len(buckets) * q)
+        return [0.0 if middle(q) == 0 else 1.02 ** (middle(q) - 0.5) for q in (0.5, 0.1, 0.75)], len(numbers)
+
+    out = {}
+    for (lang, source), own in values.items():
+        levels = [[x for (a, _), v in values.items() for x in v], [x for (a, _), v in values.items() if a == lang for x in v], own]
+        best = read(levels[0])[0]
+        for level in levels[1:]:
+            found, n = read(level)
+            best = [n / (n + 10) * x + (1 - n / (n + 10)) * y for x, y in zip(found, best)]
+        out[lang, source] = best
+    return out
+
+
+def test_quality_verdicts(spark):
+    rnd, rows = random.Random(19), []
+    for k in range(500):
+        lang, source = rnd.choice(["en", "fr", None]), rnd.choice(["a", "b", "c", None])
+        text = [" ".join(w + "#" * (rnd.random() < {"a": 0.3, "b": 0.05}.get(source, 0.0)) * rnd.randint(1, 4) for w in words(rnd, rnd.randint(4, 12))) for _ in range(rnd.randint(3, 12))]
+        text += [text[0]] * rnd.choice([0, 0, 0, 1, 3]) + ["x" * rnd.randint(5, 60)] * (rnd.random() < 0.1)
+        rows.append((k, "\n".join(text), lang, source))
+    least, above, below = {"symbols": 25, "word_length": 300, "dup_lines": 75, "repeats": 40}, {"symbols": 4, "word_length": 8, "dup_lines": 4, "repeats": 4}, {"word_length": 8}
+    ratios, groups = {}, {}
+    for i, t, lang, source in rows:
+        n, chars, symbols, dup, repeated = _base(t)
+        n_lines = len([x for x in t.split("\n") if x.strip()])
+        if n >= 20 and 100 * repeated <= 30 * n:
+            ratios[i] = {"symbols": 1000 * symbols // n, "word_length": 1000 * chars // n, "dup_lines": 1000 * dup // n_lines, "repeats": 1000 * repeated // n}
+            groups.setdefault((lang, source), []).append(i)
+    kept = set(ratios)
+    for name in least:
+        for group, (mid, low, top) in _limits({g: [ratios[i][name] for i in ids] for g, ids in groups.items()}).items():
+            spread = max(mid - low, least[name])
+            high = mid + above[name] * max(spread, top - mid if low == 0 else 0)
+            bottom = mid - below[name] * spread if name in below else -1
+            kept -= {i for i in groups[group] if not bottom <= ratios[i][name] <= high}
+    got = quality.quality_rules(frame(spark, rows)).collect()
+    assert {r.doc_id for r in got if r.kept} == kept and 0 < len(kept) < len(ratios)
+
+
 def test_quality_limits_follow_the_source(spark):
     rnd = random.Random(9)
     clean = [(k, " ".join(words(rnd, 60)), "en", "a") for k in range(400)]
