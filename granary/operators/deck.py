@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a range that one task ranks.
-RANGES = 64
-
+from granary.session import cut
 
 def first_occurrence(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of every key in a total order."""
@@ -15,16 +13,13 @@ def first_occurrence(df: DataFrame, keys: list[str], order: list[Column]) -> Dat
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def running_kept(df: DataFrame, order: str, kept: Column, ranges: int = RANGES) -> DataFrame:
+def running_kept(df: DataFrame, order: str, kept: Column) -> DataFrame:
     """df with kept_before, the number of kept rows ahead in the order, without bringing all rows into one task.
 
-    Rows fall into ranges of the order column, counts of whole ranges are added up over the few ranges, and
-    within a range a window counts on. The order column must be a number and unique.
+    Rows are dealt into ranges of the order column as even as Spark's sample makes them, one for each partition; counts of whole ranges
+    are added up over the few ranges, and within a range a window counts on. The order column must be unique.
     """
-    bounds = df.agg(F.min(order).alias("low"), F.max(order).alias("high"))
-    width = F.greatest((F.col("high") - F.col("low") + 1) / F.lit(ranges), F.lit(1.0))
-    ranged = df.crossJoin(F.broadcast(bounds)).withColumn("_range", F.floor((F.col(order) - F.col("low")) / width).cast("int")).drop("low", "high")
-    ranged = ranged.withColumn("_kept", kept.cast("int"))
+    ranged = cut(df.withColumn("_kept", kept.cast("int")).repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
     totals = ranged.groupBy("_range").agg(F.sum("_kept").alias("_sum"))
     ahead = F.coalesce(F.sum("_sum").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = totals.select("_range", ahead.alias("_ahead"))

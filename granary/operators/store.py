@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from granary.session import cut
+from granary.sources import files
+
 
 def addressed(df: DataFrame, content: str) -> DataFrame:
     """df with sha256 and shard, the digest's first two hex digits."""
@@ -16,9 +19,41 @@ def new_contents(df: DataFrame, stored: DataFrame) -> DataFrame:
     return df.dropDuplicates(["sha256"]).join(stored.select("sha256"), "sha256", "left_anti")
 
 
-def write_contents(df: DataFrame, path: str) -> None:
-    """Appends to the store, a directory per shard."""
-    df.write.mode("append").partitionBy("shard").parquet(path)
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The store's contents, one row per digest; None if there is no store yet."""
+    return spark.read.parquet(path).dropDuplicates(["sha256"]) if files.exists(spark, path) and files.has_entries(spark, path) else None
+
+
+def write_contents(df: DataFrame, path: str) -> DataFrame:
+    """Appends the contents that the store hasn't got, a directory per shard, and returns them.
+
+    One writer at a time looks and writes, under the store's lock.
+    """
+    spark = df.sparkSession
+    with files.lock(spark, path):
+        known = stored(spark, path)
+        fresh = cut(df.dropDuplicates(["sha256"]) if known is None else new_contents(df, known))
+        fresh.write.mode("append").partitionBy("shard").parquet(path)
+    return fresh
+
+
+def collect(spark: SparkSession, path: str, referenced: DataFrame, dry_run: bool = True) -> DataFrame:
+    """Digest and shard of the contents that nothing refers to; unless it is a dry run, they are deleted.
+
+    Only shards that hold any are written again, each put in place by the commit of one job.
+    """
+    known = stored(spark, path)
+    if known is None:
+        return spark.createDataFrame([], "sha256 string, shard string")
+    with files.lock(spark, path):
+        gone = cut(known.join(referenced.select("sha256"), "sha256", "left_anti").select("sha256", "shard"))
+        if not dry_run and not gone.isEmpty():
+            touched = known.join(F.broadcast(gone.select("shard").distinct()), "shard")  # at most 256 shards
+            left = cut(touched.join(gone.select("sha256"), "sha256", "left_anti"))
+            left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+            for shard in {r.shard for r in gone.select("shard").distinct().collect()} - {r.shard for r in left.select("shard").distinct().collect()}:
+                files.delete(spark, f"{path}/shard={shard}")
+    return gone
 
 
 def garbage(stored: DataFrame, referenced: DataFrame, key: str = "sha256") -> DataFrame:

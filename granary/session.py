@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,9 +33,22 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp("granary")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which the driver and all executors share; only in local mode may it be unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return named or _local_folder()
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The rows of df without their lineage, in the shared folder of spark.checkpoint.dir; a session without one gets a temporary folder."""
+    """The rows of df without their lineage, in the shared folder."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp("granary"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

@@ -1,4 +1,4 @@
-"""Response caches: keys, envelopes, format marks and journals."""
+"""Response caches: keys, envelopes and journals."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FORMAT_VERSION = 1
 ENVELOPE = ("endpoint", "params", "projection_version", "fetched_at", "response")
 
 
@@ -16,6 +15,11 @@ def cache_key(endpoint: str, params: dict[str, Column], projection_version: int)
     return F.sha2(F.to_json(F.struct(F.lit(endpoint).alias("endpoint"), ordered.alias("params"), F.lit(projection_version).alias("projection_version"))), 256)
 
 
+def second_key(endpoint: str, key: Column, projection: int) -> Column:
+    """The key of the second source's requests, which have one parameter: SHA-256 of their compact JSON."""
+    return F.sha2(F.to_json(F.struct(F.lit(endpoint).alias("endpoint"), key.alias("key"), F.lit(projection).alias("projection"))), 256)
+
+
 def read_envelopes(spark: SparkSession, path: str, response: T.DataType, projection_version: int | None = None) -> DataFrame:
     """Cached responses, one per file. A file that is no JSON object or lacks an envelope's key is an error."""
     schema = T.StructType([
@@ -28,28 +32,6 @@ def read_envelopes(spark: SparkSession, path: str, response: T.DataType, project
     return rows if projection_version is None else rows.filter(F.col("projection_version") == projection_version)
 
 
-def write_envelopes(df: DataFrame, path: str) -> None:
-    """Appends envelopes by endpoint and version; the commit protocol makes each job's files appear together."""
-    df.select(*ENVELOPE).write.mode("append").partitionBy("endpoint", "projection_version").json(path)
-
-
-def check_format(spark: SparkSession, path: str) -> int:
-    """The cache's format version: none for a new folder, an error for an unmarked or foreign one."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(fs_path) or not fs.listStatus(fs_path):
-        return FORMAT_VERSION
-    mark = spark._jvm.org.apache.hadoop.fs.Path(fs_path, "_FORMAT")
-    if not fs.exists(mark):
-        raise ValueError(f"{path} holds entries without a format mark")
-    stream = fs.open(mark)  # Spark's readers pass over names with an underscore
-    found = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream)).readLine()
-    stream.close()
-    if found is None or not found.strip().isdigit() or int(found) > FORMAT_VERSION:
-        raise ValueError(f"{path} has a foreign format mark")
-    return int(found)
-
-
 def append_journal(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 

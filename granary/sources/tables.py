@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from granary.session import cut
+from granary.sources import files
 
 #: Rows that a policy may exclude in one state.
 CAP = 15
@@ -50,6 +54,54 @@ def write_nonempty(df: DataFrame, path: str) -> None:
 
 
 def directory_size(spark: SparkSession, path: str) -> DataFrame:
-    """Number and bytes of the files below a path, from metadata alone."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("length")
-    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    """Number and bytes of the files below a path, from metadata alone; both 0 if there is no such path."""
+    if not files.exists(spark, path):
+        return spark.range(1).select(F.lit(0).cast("long").alias("files"), F.lit(0).cast("long").alias("bytes"))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("length")
+    return found.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
+class MissingTable(FileNotFoundError):
+    """A stage's input isn't there; the stage before has to run first."""
+
+
+class StaleTable(ValueError):
+    """A stage's input was written under another schema; the stage that wrote it has to run again."""
+
+
+def read_nested(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stage's nested JSON. Its fields must be those of the schema, at every depth: an unknown or a missing one means another build wrote it."""
+    if not files.exists(spark, path):
+        raise MissingTable(path)
+    want = T._parse_datatype_string(schema)
+    found = spark.read.option("primitivesAsString", True).json(path).schema
+    faults = _differences(want, found, "$")
+    if faults:
+        raise StaleTable(f"{path}: {', '.join(faults)}")
+    return spark.read.schema(want).option("mode", "FAILFAST").json(path)
+
+
+def _differences(want: T.DataType, found: T.DataType, path: str) -> list[str]:
+    if isinstance(want, T.StructType) and isinstance(found, T.StructType):
+        own, other = {f.name: f.dataType for f in want.fields}, {f.name: f.dataType for f in found.fields}
+        # a field that is null in every row isn't written, so only unknown ones tell of another build
+        return [f"{path}.{k} is unknown" for k in sorted({*other} - {*own})] + [x for k in sorted({*own} & {*other}) for x in _differences(own[k], other[k], f"{path}.{k}")]
+    if isinstance(want, T.ArrayType) and isinstance(found, T.ArrayType):
+        return _differences(want.elementType, found.elementType, f"{path}[*]")
+    nested = (T.StructType, T.ArrayType)
+    return [f"{path} has another form"] if isinstance(want, nested) != isinstance(found, nested) and not isinstance(want, T.MapType) else []
+
+
+def refreshed_places(states: DataFrame, found: DataFrame, path: str) -> None:
+    """Writes code, name and place_id of every state (code, name), or nothing at all if one has no place.
+
+    found: name, results; the projected hits of a search for each name.
+    """
+    from granary.operators.nested import state_place
+
+    rows = states.join(found.withColumnRenamed("name", "_asked"), F.col("name") == F.col("_asked"), "left")
+    rows = cut(rows.select("code", "name", state_place(F.col("results"), F.col("name")).alias("place_id")))
+    lost = rows.filter("place_id IS NULL").agg(F.array_sort(F.collect_list("code")).alias("codes")).first().codes
+    if lost:
+        raise LookupError(f"no place for {', '.join(lost)}")
+    files.commit(rows, path)

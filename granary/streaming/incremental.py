@@ -16,13 +16,7 @@ def stream_into_store(stream: DataFrame, content: str, store_path: str, checkpoi
     """
 
     def add(batch: DataFrame, _: int) -> None:
-        spark, rows = batch.sparkSession, store.addressed(batch.select(content), content)
-        path = spark._jvm.org.apache.hadoop.fs.Path(store_path)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            known = spark.read.parquet(store_path).select("sha256")
-        else:
-            known = rows.select("sha256").limit(0)
-        store.write_contents(store.new_contents(rows, known), store_path)
+        store.write_contents(store.addressed(batch.select(content), content), store_path)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
