@@ -48,3 +48,21 @@ def unknown_keys(json: Column, known: list[str]) -> Column:
 
 def all_of(*violations: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, violations)
+
+
+def belongs(child: DataFrame, own: str, parent: str, key: str, name: str) -> DataFrame:
+    """Child rows that name another parent than the one they are filed under."""
+    return check(child, F.col(own) == F.col(parent), key, name)
+
+
+def recomputed(parent: DataFrame, key: str, child: DataFrame, child_key: str, signals: dict[str, Column], name: str) -> DataFrame:
+    """Parents whose stored signals differ from what their children give; a parent without children has none, so 0."""
+    found = child.groupBy(F.col(child_key).alias("_k")).agg(*[c.alias(f"_{k}") for k, c in signals.items()])
+    met = parent.join(found, F.col(key) == F.col("_k"), "left")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.coalesce(f"_{k}", F.lit(0))) for k in signals])
+    return check(met, same, key, name)
+
+
+def version_is(header: DataFrame, column: str, expected: int, name: str) -> DataFrame:
+    """The rows whose version isn't exactly the expected one; older ones are not upgraded."""
+    return check(header, F.col(column) == expected, column, name)

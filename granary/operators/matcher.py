@@ -1,8 +1,8 @@
 """Grading free-text answers against a deck, with a guard against answers that fit another card as well.
 
 An answer fits a card by the first rule that hits: 1 exact, 2 same words, 3 misspelling, 4 sounds alike
-(scientific names only). Rules 1 and 2 are equi-joins. Rules 3 and 4 compare distinct answers with the
-deck through blocking keys: lengths for misspellings, word counts for sounds.
+(scientific names only). Rules 1 and 2 are equi-joins. Rules 3 and 4 meet distinct answers and names through
+keys that every pair that fits shares: a part of the name that no edit touches, and the sounds of the first and the last word.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.text import binomial, damerau_levenshtein, edit_threshold, normalize, phonetic_codes, sounds_alike, token_set
+from granary.operators import constraints
 from granary.session import cut
 
 EXACT, TOKENS, MISSPELLED, SOUNDS = 1, 2, 3, 4
@@ -35,6 +36,69 @@ def build_deck(cards: DataFrame) -> DataFrame:
     return flat.select("card_id", "genus", "answer_rank", normalize(F.col("name")).alias("accepted"), "kind").filter("accepted <> ''").distinct()
 
 
+def deck_violations(cards: DataFrame, deck: DataFrame) -> DataFrame:
+    """Cards without any full answer, and cards asked by genus that grant partial credit."""
+    kinds = deck.groupBy("card_id").agg(F.count_if(F.col("kind") == "full").alias("full"), F.count_if(F.col("kind") == "partial").alias("partial"))
+    rows = cards.select("card_id", "answer_rank").join(kinds, "card_id", "left")
+    return constraints.all_of(
+        constraints.check(rows, F.col("full") > 0, "card_id", "no_full_answer"),
+        constraints.check(rows, (F.col("answer_rank") != "genus") | (F.coalesce("partial", F.lit(0)) == 0), "card_id", "partial_credit_by_genus"),
+    )
+
+
+def checked_deck(cards: DataFrame) -> DataFrame:
+    """build_deck, or an error that names the first cards that can't be answered."""
+    deck = cut(build_deck(cards))
+    faults = deck_violations(cards, deck).orderBy("constraint", "key").take(5)
+    if faults:
+        raise ValueError("; ".join(f"{x['constraint']}: {x['key']}" for x in faults))
+    return deck
+
+
+def _cuts(size: Column, edits: Column) -> Column:
+    """(begin, length) of the 2 * edits + 1 parts, as even as can be, of a name of a size. An edit touches one part, a swap two."""
+    parts = 2 * edits + 1
+    place = lambda i: F.floor(i * size / parts).cast("int")
+    return F.transform(F.sequence(F.lit(0), 2 * edits), lambda i: F.struct(place(i).alias("begin"), (place(i + 1) - place(i)).alias("length")))
+
+
+def misspelled(answers: DataFrame, names: DataFrame, within) -> DataFrame:
+    """answer, accepted, distance: pairs at most so many edits apart as within(name) says, never more than the name is long.
+
+    answers and names: one column each, answer and accepted, of distinct strings. Of the parts of a name one is
+    untouched: it stands in the answer, shifted by no more than the number of edits. Pairs meet by the name's length,
+    the part's number and its letters, so that not all names of a length meet all answers.
+    """
+    sized = names.withColumn("most", within(F.col("accepted"))).withColumn("size", F.length("accepted"))
+    kinds = F.broadcast(cut(sized.select("size", "most").distinct()))  # a line for each length there is
+    sized = sized.withColumn("cuts", _cuts(F.col("size"), F.col("most")))
+    parts = F.transform("cuts", lambda p, i: F.struct(i.alias("nth"), F.substring("accepted", p["begin"] + 1, p["length"]).alias("part")))
+    keyed = sized.withColumn("parts", parts).select("accepted", "most", "size", F.explode("parts").alias("p")).select("accepted", "most", "size", "p.nth", "p.part")
+
+    asked = answers.withColumn("n", F.length("answer"))
+    lengths = kinds.withColumn("cuts", _cuts(F.col("size"), F.col("most"))).withColumn("ns", F.expr("sequence(greatest(size - most, 0), size + most)"))
+    lengths = lengths.select("size", F.col("most").alias("edits"), "cuts", F.explode("ns").alias("n"))
+    asked = asked.join(F.broadcast(lengths), "n")
+
+    def found(p, i):
+        """The answer's letters where the part may stand."""
+        begins = F.sequence(F.greatest(p["begin"] - F.col("edits"), F.lit(0)), F.least(p["begin"] + F.col("edits"), F.greatest(F.col("n") - p["length"], F.lit(0))))
+        begins = F.when(F.col("n") - p["length"] >= p["begin"] - F.col("edits"), begins).otherwise(F.array().cast("array<int>"))
+        return F.transform(begins, lambda b: F.struct(i.alias("nth"), F.substring("answer", b + 1, p["length"]).alias("part")))
+
+    asked = asked.withColumn("parts", F.array_distinct(F.flatten(F.transform("cuts", found))))
+    asked = asked.select("answer", "size", F.explode("parts").alias("p")).select("answer", "size", "p.nth", "p.part")
+    met = asked.join(keyed, ["size", "nth", "part"]).filter(F.levenshtein("answer", "accepted") <= 2 * F.col("most")).select("answer", "accepted", "most").distinct()
+    return met.withColumn("distance", damerau_levenshtein(F.col("answer"), F.col("accepted"), F.col("most"))).filter("distance <= most").select("answer", "accepted", "distance")
+
+
+def _by_sound(rows: DataFrame, codes: str) -> DataFrame:
+    """rows with sound: the number of words and one code each of the first and the last of them, for all such pairs."""
+    last = F.try_element_at(codes, F.lit(-1))
+    pairs = F.flatten(F.transform(F.try_element_at(codes, F.lit(1)), lambda a: F.transform(last, lambda b: F.struct(F.size(codes).alias("n"), a.alias("first"), b.alias("last")))))
+    return rows.withColumn("sound", F.explode(F.array_distinct(pairs)))
+
+
 def candidates(answers: DataFrame, deck: DataFrame) -> DataFrame:
     """answer, card_id, as_partial, level, distance: the best fit of every normalised answer to every card it fits.
 
@@ -47,17 +111,12 @@ def candidates(answers: DataFrame, deck: DataFrame) -> DataFrame:
     named = names.withColumn("name_words", F.array_join(token_set(F.col("accepted")), " "))
     fits.append(words.join(named, F.col("words") == F.col("name_words")).select("answer", "card_id", "as_partial", F.lit(TOKENS), F.lit(0)))
 
-    # a target's length block covers all lengths within its threshold
-    spelled = names.select("accepted").distinct().withColumn("most", edit_threshold(F.col("accepted")))
-    lengths = F.sequence(F.greatest(F.lit(0), F.length("accepted") - F.col("most")), F.length("accepted") + F.col("most"))
-    blocks = spelled.withColumn("size", F.explode(lengths))
-    near = answers.withColumn("size", F.length("answer")).join(blocks, "size").withColumn("distance", damerau_levenshtein(F.col("answer"), F.col("accepted"), F.col("most")))
-    near = near.filter("distance <= most").select("answer", F.col("accepted").alias("target"), "distance")
-    fits.append(near.join(names, F.col("target") == F.col("accepted")).select("answer", "card_id", "as_partial", F.lit(MISSPELLED), "distance"))
-
-    heard = answers.withColumn("codes", phonetic_codes(F.col("answer"))).withColumn("n", F.size("codes"))
-    said = deck.filter("kind = 'scientific'").select("card_id", "accepted").withColumn("name_codes", phonetic_codes(F.col("accepted"))).withColumn("n", F.size("name_codes"))
-    alike = heard.join(said, "n").filter(sounds_alike(F.col("codes"), F.col("name_codes")))
+    near = misspelled(answers, names.select("accepted").distinct(), edit_threshold)
+    fits.append(near.join(names, "accepted").select("answer", "card_id", "as_partial", F.lit(MISSPELLED), "distance"))
+
+    heard = _by_sound(answers.withColumn("codes", phonetic_codes(F.col("answer"))), "codes")
+    said = deck.filter("kind = 'scientific'").select(F.col("card_id"), phonetic_codes(F.col("accepted")).alias("name_codes"))
+    alike = heard.join(_by_sound(said, "name_codes"), "sound").filter(sounds_alike(F.col("codes"), F.col("name_codes")))
     fits.append(alike.select("answer", "card_id", F.lit(False), F.lit(SOUNDS), F.lit(0)))
 
     every = fits[0]
@@ -115,14 +174,7 @@ def token_collisions(deck: DataFrame) -> DataFrame:
 
 
 def pairs_within(names: DataFrame, name: str, tolerance: int) -> DataFrame:
-    """a, b, distance: pairs of distinct names at most so many edits apart, met through blocks of lengths."""
-    left = names.select(F.col(name).alias("a")).distinct().withColumn("size", F.explode(F.sequence(F.length("a") - tolerance, F.length("a") + tolerance)))
-    right = names.select(F.col(name).alias("b")).distinct().withColumn("size", F.length("b"))
-    met = left.join(right, "size").filter("a < b")
-    return met.withColumn("distance", damerau_levenshtein(F.col("a"), F.col("b"), F.lit(tolerance))).filter(F.col("distance") <= tolerance).select("a", "b", "distance")
-
-
-def strongest(df: DataFrame, key: str) -> DataFrame:
-    """The row of lowest level, distance and id of every key."""
-    order = Window.partitionBy(key).orderBy("level", "distance", "card_id")
-    return df.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    """a, b, distance: pairs of distinct names at most so many edits apart, met as misspellings are."""
+    each = names.select(F.col(name).alias("answer")).distinct()
+    met = misspelled(each, each.withColumnRenamed("answer", "accepted"), lambda c: F.lit(tolerance))
+    return met.filter("answer < accepted").select(F.col("answer").alias("a"), F.col("accepted").alias("b"), "distance")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from granary.functions.text import parse_name, strip_tags
+
 #: Element schemas of the cached endpoints' results.
 SCHEMAS = {
     "observations": "struct<id:bigint,uri:string,num_identification_agreements:int,user:struct<login:string,name:string>,"
@@ -37,7 +39,36 @@ def plant_record(symbol: Column, name: Column, accepted: Column, synonym_symbol:
     return F.when(filled(symbol) & filled(name), row)
 
 
-def state_place(results: Column, name: str, level: int = 10, country: int = 1) -> Column:
+def detail(taxon: Column) -> Column:
+    """id, genus and family of a projected taxon; null without an id."""
+    named = lambda rank: ancestor(taxon["ancestors"], rank).alias(rank)
+    return F.when(taxon["id"].isNotNull(), F.struct(taxon["id"].alias("id"), named("genus"), named("family")))
+
+
+def summary(hit: Column) -> Column:
+    """id, name, rank, count and common name of a projected count; null, so no row, if one of the first four is missing or of another kind."""
+    t = hit["taxon"]
+    row = F.struct(t["id"].alias("id"), t["name"].alias("name"), t["rank"].alias("rank"), hit["count"].alias("count"), t["preferred_common_name"].alias("common_name"))
+    return F.when(t["id"].isNotNull() & t["name"].isNotNull() & t["rank"].isNotNull() & hit["count"].isNotNull(), row)
+
+
+def search_hits(hits: Column) -> Column:
+    """plant_record of an array of raw hits (Symbol, ScientificName, AcceptedSymbol, SynonymSymbol), those without symbol or binomial left out."""
+    def record(x):
+        parsed = parse_name(x["ScientificName"])
+        row = plant_record(x["Symbol"], strip_tags(x["ScientificName"]), x["AcceptedSymbol"], x["SynonymSymbol"])
+        return F.when(parsed["binomial"].isNotNull() & row.isNotNull(), row.withField("binomial", parsed["binomial"]).withField("is_infraspecific", parsed["is_infraspecific"]))
+
+    return F.array_compact(F.transform(F.coalesce(hits, F.array().cast("array<struct<Symbol:string,ScientificName:string,AcceptedSymbol:string,SynonymSymbol:string>>")), record))
+
+
+def profile(symbol: Column, name: Column, statuses: Column) -> Column:
+    """A second-source profile: symbol, name without markup, and region and status of each native status that has a region."""
+    listed = F.transform(F.filter(F.coalesce(statuses, F.array().cast("array<struct<Region:string,Status:string>>")), lambda x: F.length(x["Region"]) > 0), lambda x: F.struct(x["Region"].alias("region"), x["Status"].alias("status")))
+    return F.struct(symbol.alias("symbol"), strip_tags(name).alias("scientific_name"), listed.alias("native_statuses"))
+
+
+def state_place(results: Column, name: Column | str, level: int = 10, country: int = 1) -> Column:
     """The id of the first place of that level, in that country, of exactly that name."""
     fits = lambda p: (p["admin_level"] == level) & F.array_contains(p["ancestor_place_ids"], country) & (p["name"] == name)
     return F.try_element_at(F.filter(results, fits), F.lit(1))["id"]

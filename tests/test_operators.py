@@ -166,7 +166,7 @@ def _expected(answer, card_id):
             return 1, 0
         if any(tokens(a) == tokens(n) for n in names):
             return 2, 0
-        near = [d for n in names if (d := X.damerau_levenshtein_distance(a, n)) <= max(1, len(n) // 6)]
+        near = [d for n in names if (d := X.edits_within(a, n, max(len(a), len(n)))) <= max(1, len(n) // 6)]
         if near:
             return 3, min(near)
         return (4, 0) if any(len(codes(a)) == len(codes(n)) and all(x & y for x, y in zip(codes(a), codes(n))) for n in scientific) else None
