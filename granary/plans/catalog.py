@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from granary.plans import claims, matching, nested, selection, stats, store, text
+from granary.plans import claims, curation, ingest, matching, nested, selection, stats, store, text
 
-MODULES = (selection, stats, store, claims, nested, text, matching)
+MODULES = (selection, stats, store, claims, nested, text, matching, curation, ingest)
 
 
 def queries() -> dict:

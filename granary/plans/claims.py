@@ -49,8 +49,8 @@ def _records(spark, sf_dir):
 
 
 def _wanted(spark, sf_dir):
-    """Names to resolve: a name per part brand that begins with the same digit."""
-    return table(spark, sf_dir, "part").filter("p_partkey < 400").select(F.col("p_partkey").alias("id"), "p_name", F.col("p_brand").alias("brand"))
+    """Names to resolve: every part's, within its brand."""
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_name", F.col("p_brand").alias("brand"))
 
 
 def _matches(spark, sf_dir):
@@ -64,7 +64,7 @@ def _matches(spark, sf_dir):
 _MATCHES = """records AS (SELECT p_partkey AS symbol, CASE WHEN p_size % 3 = 0 THEN upper(p_name) ELSE p_name END AS name, p_size % 5 = 0 AS is_synonym,
   CASE WHEN p_size % 5 = 0 THEN p_partkey - p_partkey % 10 ELSE p_partkey END AS target, p_type, p_brand FROM part),
 met AS (SELECT w.p_partkey AS id, r.*, CASE WHEN name = w.p_name AND NOT is_synonym THEN 1 WHEN name = w.p_name THEN 2 ELSE 3 END AS tier
-  FROM part w JOIN records r ON lower(w.p_name) = lower(r.name) AND w.p_brand = r.p_brand WHERE w.p_partkey < 400),
+  FROM part w JOIN records r ON lower(w.p_name) = lower(r.name) AND w.p_brand = r.p_brand),
 matches AS (SELECT * FROM met QUALIFY tier = min(tier) OVER (PARTITION BY id))"""
 
 

@@ -11,7 +11,7 @@ from granary.session import table
 R = Registry()
 
 
-def _cards(spark, sf_dir):
+def cards(spark, sf_dir):
     """A card per distinct part name; the first word is its genus, and two kinds are asked by genus."""
     names = table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("card_id"))
     genus = F.split("p_name", " ")[0]
@@ -20,13 +20,11 @@ def _cards(spark, sf_dir):
 
 
 def _asked(spark, sf_dir, answer):
-    cards = _cards(spark, sf_dir)
-    return cards.select(F.col("card_id").alias("answer_id"), answer.alias("answer"), "card_id")
+    return cards(spark, sf_dir).select(F.col("card_id").alias("answer_id"), answer.alias("answer"), "card_id")
 
 
 def _graded(spark, sf_dir, answer):
-    cards = _cards(spark, sf_dir)
-    return matcher.grade(_asked(spark, sf_dir, answer), matcher.build_deck(cards))
+    return matcher.grade(_asked(spark, sf_dir, answer), matcher.checked_deck(cards(spark, sf_dir)))
 
 
 _NAME = "scientific_name"
@@ -67,7 +65,7 @@ def grade_misspelling(spark, sf_dir):
 @R.query(f"WITH {_DECK}, {_FITS.format(answer=chr(39) + 'z' + chr(39) + ' || substr(p_name, 2)')}")
 def confusion_guard(spark, sf_dir):
     """Another first letter: names that differ in it alone are as near as the card's own."""
-    return _graded(spark, sf_dir, F.concat(F.lit("z"), F.substring(_NAME, 2, 100)))
+    return _graded(spark, sf_dir, F.concat(F.lit("z"), F.expr(f"substring({_NAME}, 2)")))
 
 
 @R.query(f"""WITH {_DECK} SELECT card_id AS answer_id, card_id, CASE WHEN by_genus THEN 'correct' ELSE 'partial' END AS outcome, card_id AS matched_id, 1::INT AS level, NULL::BIGINT AS confused_with,
@@ -82,11 +80,11 @@ r AS (SELECT a.card_id, min(b.card_id) AS confused_with FROM c a JOIN c b ON a.c
 SELECT card_id AS answer_id, card_id, CASE WHEN confused_with IS NULL THEN 'correct' ELSE 'ambiguous' END AS outcome, card_id AS matched_id, 1::INT AS level, confused_with, 0::INT AS edit_distance FROM c LEFT JOIN r USING (card_id)""")
 def ambiguous_names(spark, sf_dir):
     """A common name that several cards share."""
-    cards = _cards(spark, sf_dir).withColumn("answer_rank", F.lit("species")).withColumn("common_names", F.array(F.split(_NAME, " ")[1]))
-    asked = cards.select(F.col("card_id").alias("answer_id"), F.split(_NAME, " ")[1].alias("answer"), "card_id")
-    return matcher.grade(asked, matcher.build_deck(cards))
+    by_name = cards(spark, sf_dir).withColumn("answer_rank", F.lit("species")).withColumn("common_names", F.array(F.split(_NAME, " ")[1]))
+    asked = by_name.select(F.col("card_id").alias("answer_id"), F.split(_NAME, " ")[1].alias("answer"), "card_id")
+    return matcher.grade(asked, matcher.build_deck(by_name))
 
 
 @R.query(f"WITH {_DECK} SELECT card_id, name AS accepted, CASE WHEN by_genus AND name = genus THEN 'full' ELSE kind END AS kind FROM (SELECT card_id, genus, by_genus, p_name AS name, unnest(['full', 'scientific']) AS kind FROM cards UNION ALL SELECT card_id, genus, by_genus, genus, 'partial' FROM cards)")
 def deck_answers(spark, sf_dir):
-    return matcher.build_deck(_cards(spark, sf_dir)).select("card_id", "accepted", "kind")
+    return matcher.build_deck(cards(spark, sf_dir)).select("card_id", "accepted", "kind")

@@ -24,6 +24,11 @@ class Pool(NamedTuple):
     drops: DataFrame
 
 
+def photo_signals() -> dict[str, Column]:
+    """What a taxon's photos say about it."""
+    return {"n_photos": F.count(F.lit(1)), "months_represented": F.count_distinct("bucket"), "distinct_observers": F.count_distinct("observer")}
+
+
 def is_hybrid(rank: Column, name: Column) -> Column:
     lowered = F.lower(name)
     return (rank == "hybrid") | lowered.contains("×") | lowered.contains(" x ") | lowered.contains("hybrid")
@@ -62,14 +67,14 @@ def candidate_pool(summaries: DataFrame, details: DataFrame, observations: DataF
     kept, drops = select_taxa(summaries, 2 * limit)
     known = details.select(F.col("id").alias("detail_id"), "genus", "family")
     missing = kept.join(known, F.col("id") == F.col("detail_id"), "left_anti")
-    drops = drops.unionByName(missing.select("id", "name", F.lit("taxon_detail_unavailable").alias("reason"), F.lit("no detail was returned").alias("detail")))
+    drops = ledger.union_ledgers(drops, missing.select("id", "name", F.lit("taxon_detail_unavailable").alias("reason"), F.lit("no detail was returned").alias("detail")))
     taxa = kept.join(known, F.col("id") == F.col("detail_id"))
 
     usable = cut(usable_observations(observations))
     chosen = sampling.round_robin_capped(usable, "taxon_id", "bucket", "observer", "observation_id", most=MOST)
     flat = chosen.select("taxon_id", F.posexplode("chosen").alias("place", "c")).select("taxon_id", "place", F.col("c.i").alias("observation_id"))
     photos = cut(flat.join(usable, ["taxon_id", "observation_id"]))
-    signals = photos.groupBy("taxon_id").agg(F.count(F.lit(1)).alias("n_photos"), F.count_distinct("bucket").alias("months_represented"), F.count_distinct("observer").alias("distinct_observers"))
+    signals = photos.groupBy("taxon_id").agg(*[c.alias(k) for k, c in photo_signals().items()])
 
     sampled = taxa.join(signals, F.col("id") == F.col("taxon_id"), "left").withColumn("n_photos", F.coalesce("n_photos", F.lit(0)))
     sampled = sampled.withColumn("reason", F.when(F.col("n_photos") < FLOOR, "insufficient_licensed_photos"))
@@ -85,7 +90,9 @@ def pool_violations(pool: Pool) -> DataFrame:
     return constraints.all_of(
         constraints.unique(pool.taxa, "id", "duplicate_taxon"), constraints.unique(pool.drops, "id", "duplicate_drop"),
         constraints.disjoint(pool.taxa.select("id"), pool.drops.select("id"), "id", "kept_and_dropped"),
-        constraints.unique(pool.photos, "observation_id", "repeated_observation"), constraints.cardinality(pool.photos, "taxon_id", FLOOR, MOST, "photo_count"),
+        constraints.unique(pool.photos, "observation_id", "repeated_observation"),
+        constraints.references(pool.photos, "taxon_id", pool.taxa, "id", "photo_of_no_taxon"),
+        constraints.recomputed(pool.taxa, "id", pool.photos, "taxon_id", photo_signals(), "stale_signals"), constraints.cardinality(pool.photos, "taxon_id", FLOOR, MOST, "photo_count"),
         owners.select(F.lit("observer_cap").alias("constraint"), F.col("taxon_id").cast("string").alias("key")),
     )
 
@@ -101,7 +108,7 @@ def resolve(photos: DataFrame, responses: DataFrame, known: DataFrame, size: str
     rows = wanted.join(known.select("photo_id", F.col("sha256").alias("known")), "photo_id", "left").join(responses, "url", "left")
     fetched = F.when(F.col("content").isNotNull(), F.sha2("content", 256))
     fault = nested.download_class(F.coalesce("status", F.lit(404)), F.col("content_type"), F.length("content"))
-    rows = rows.withColumn("sha256", F.coalesce("known", fetched)).withColumn("reason", F.when(F.col("known").isNull() & (fault != "ok"), fault))
+    rows = rows.withColumn("reason", F.when(F.col("known").isNull() & (fault != "ok"), fault)).withColumn("sha256", F.when(F.col("reason").isNull(), F.coalesce("known", fetched)))
     same = F.row_number().over(Window.partitionBy("taxon_id", "sha256").orderBy("place"))
     rows = rows.withColumn("reason", F.when(F.col("reason").isNull() & (same > 1), "duplicate_content").otherwise(F.col("reason")))
     stored, faults = ledger.split(cut(rows))
@@ -133,7 +140,7 @@ def reconcile(taxa: DataFrame, records: DataFrame, statuses: DataFrame, region:
     """
     from granary.functions.text import classify_status, loose_name
 
-    species = records.filter(~F.col("is_infraspecific"))
+    species = records.filter(~F.col("is_infraspecific")).select("symbol", "binomial", "accepted_symbol", "is_synonym")
     met = taxa.select("id", "name").join(species, loose_name(F.col("name")) == loose_name(F.col("binomial")))
     exact = F.col("name") == F.col("binomial")
     best = claims.best_tier(met.withColumn("tier", F.when(exact & ~F.col("is_synonym"), 1).when(exact, 2).otherwise(3)), "id")
@@ -176,21 +183,109 @@ def manifest_violations(taxa: DataFrame, images: DataFrame) -> DataFrame:
     )
 
 
+def taxon_details(bodies: DataFrame) -> DataFrame:
+    """id, ord, genus, family and establishment_means of the taxa in cached responses (ord, response); what is no taxon is left out."""
+    parsed = bodies.select("ord", F.posexplode(nested.project(F.col("response"), "taxa_by_id")["results"]).alias("place", "t"))
+    rows = parsed.select("ord", "place", nested.detail(F.col("t")).alias("d"), F.col("t.establishment_means").alias("establishment_means")).filter("d IS NOT NULL")
+    order = (F.col("ord").cast("long") * 1_000_000 + F.col("place")).alias("ord")
+    return rows.select("d.id", order, "d.genus", "d.family", "establishment_means")
+
+
+def ranked_summaries(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ord, id, name, rank, count, common_name of ranked counts in cached responses, number of entries that couldn't be read)."""
+    parsed = bodies.select("ord", F.posexplode(nested.project(F.col("response"), "species_counts")["results"]).alias("place", "hit"))
+    rows = parsed.select((F.col("ord").cast("long") * 1_000_000 + F.col("place")).alias("ord"), nested.summary(F.col("hit")).alias("s"))
+    return rows.filter("s IS NOT NULL").select("ord", "s.*"), rows.agg(F.count_if(F.col("s").isNull()).alias("skipped"))
+
+
+def resolve_pool(pool: Pool, fetch, settled: DataFrame, known: DataFrame, size: str = "medium") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(resolved photos, drops, counters): resolve for what earlier runs haven't settled.
+
+    settled: taxon_id, photo_id, sha256, reason of earlier runs, photos that were stored and those that
+    failed. A taxon all of whose photos are settled is taken over as it is. known: photo_id, sha256, contents that any
+    run stored. fetch adds status, content_type and content to rows with url, and is asked for each url once.
+    """
+    wanted = pool.photos.select("taxon_id", F.col("photo.id").alias("photo_id"))
+    reuse = store.reusable(wanted, settled, "taxon_id", "photo_id").filter("reuse").select("taxon_id")
+    reuse = cut(reuse)
+    old = settled.join(reuse, "taxon_id", "left_semi")
+    rest = pool.photos.join(reuse, "taxon_id", "left_anti")
+    urls = rest.select(F.col("photo.id").alias("photo_id"), sized_url(F.col("photo.url"), size).alias("url"))
+    asked = urls.join(known.select("photo_id"), "photo_id", "left_anti").select("url").filter("url IS NOT NULL").distinct()
+    responses = cut(fetch(asked))
+    fresh, drops = resolve(rest, responses, known, size)
+    kept = pool.photos.select("taxon_id", "place", "bucket", "observer", F.col("photo.id").alias("photo_id"))
+    kept = kept.join(old.filter("sha256 IS NOT NULL").select("taxon_id", "photo_id", "sha256"), ["taxon_id", "photo_id"])
+    resolved = cut(fresh.unionByName(kept))
+    drops = cut(drops.unionByName(old.filter("reason IS NOT NULL").select("taxon_id", "photo_id", "reason")))
+    sums = resolved.agg(F.count(F.lit(1)).alias("stored"), F.count_distinct("sha256").alias("distinct_contents"))
+    counted = sums.join(reuse.agg(F.count(F.lit(1)).alias("taxa_reused"))).join(responses.agg(F.count(F.lit(1)).alias("fetched"))).join(drops.agg(F.count("photo_id").alias("failures"), F.count_if(F.col("reason") == "duplicate_content").alias("deduped")))
+    return resolved, drops, counted
+
+
+def as_images(resolved: DataFrame) -> DataFrame:
+    """Resolved photos as the manifest has them: without the bucket they were picked from."""
+    return resolved.drop("bucket", "place", "observer")
+
+
+def considered(kept: DataFrame, drops: DataFrame, item: str | None = None) -> DataFrame:
+    """One row: kept, dropped, considered. Drops that name an item within a taxon (a photo) don't count."""
+    of_taxa = drops.filter(F.col(item).isNull()) if item else drops
+    counts = kept.agg(F.count(F.lit(1)).alias("kept")).join(of_taxa.agg(F.count(F.lit(1)).alias("dropped")))
+    return counts.withColumn("considered", F.col("kept") + F.col("dropped"))
+
+
+def distribution(df: DataFrame, value: str) -> DataFrame:
+    """One row: median (truncated) and p10 (nearest rank); both null for no rows."""
+    middle = df.agg(stats.truncated_median(F.col(value)).alias("median"))
+    tenth = stats.nearest_rank(df.select(value).withColumn("all", F.lit(1)), ["all"], value, 0.1, "p10").select("p10")
+    return middle.join(tenth, F.lit(True), "left")
+
+
 def pool_statistics(pool: Pool) -> dict[str, DataFrame]:
     """Zero-filled reasons, photos by licence and bucket, and distributions over the pool."""
+    depth = pool.photos.groupBy("taxon_id").count()
     return {
+        "considered": considered(pool.taxa, pool.drops),
         "reasons": ledger.zero_filled(pool.drops, CANDIDATE_REASONS),
         "licenses": stats.histogram(pool.photos.select(F.col("photo.license_code").alias("license")), "license"),
         "buckets": ledger.zero_filled(pool.photos.select("bucket"), sampling.BUCKETS, "bucket"),
-        "thin_rich": stats.thin_rich(pool.photos, "taxon_id"),
-        "observations_p10": stats.nearest_rank(pool.taxa.withColumn("all", F.lit("all")), ["all"], "count", 0.1, "p10"),
-        "observations_median": pool.taxa.agg(stats.truncated_median(F.col("count")).alias("median")),
+        "thin_rich": depth.agg(F.count_if(F.col("count") <= 5).alias("thin"), F.count_if(F.col("count") > 5).alias("rich")),
+        "observations": distribution(pool.taxa, "count"), "months": distribution(pool.taxa, "months_represented"), "observers": distribution(pool.taxa, "distinct_observers"),
+    }
+
+
+def resolved_statistics(resolved: DataFrame, drops: DataFrame, sizes: DataFrame) -> dict[str, DataFrame]:
+    """Records and distinct contents, losses by reason, taxa lost, and distributions. sizes: sha256, bytes."""
+    measured = resolved.join(sizes.select("sha256", "bytes"), "sha256", "left")
+    taxa = resolved.groupBy("taxon_id").agg(*[c.alias(k) for k, c in photo_signals().items()])
+    return {
+        "images": resolved.agg(F.count_distinct("taxon_id").alias("taxa"), F.count(F.lit(1)).alias("images"), F.count_distinct("sha256").alias("distinct_contents")),
+        "losses": ledger.zero_filled(drops, RESOLVE_REASONS), "bytes": distribution(measured, "bytes"),
+        "months": distribution(taxa, "months_represented"), "observers": distribution(taxa, "distinct_observers"),
+    }
+
+
+def manifest_statistics(promoted: DataFrame, unmatched: DataFrame) -> dict[str, DataFrame]:
+    """Cards, image references, claims by value (with shares), confidence and number of sources, drops by reason, names asked by genus."""
+    return {
+        "cards": promoted.agg(F.count(F.lit(1)).alias("taxa"), F.coalesce(F.sum(F.size("image_hashes")), F.lit(0)).alias("images")),
+        "values": stats.with_share(stats.histogram(promoted.select(F.col("claim.value").alias("value")), "value")),
+        "confidence": stats.histogram(promoted.select(F.col("claim.confidence").alias("confidence")), "confidence"),
+        "sources": stats.histogram(promoted.select(F.size("claim.sources").alias("sources")), "sources"),
+        "unmatched": stats.histogram(unmatched, "reason"),
+        "demoted": promoted.filter("answer_rank = 'genus'").select("name"),
     }
 
 
+def referenced(pools: list[DataFrame]) -> DataFrame:
+    """The distinct digests that any of the resolved pools refers to."""
+    found = pools[0].select("sha256")
+    for x in pools[1:]:
+        found = found.union(x.select("sha256"))
+    return found.distinct()
+
+
 def unreferenced(stored: DataFrame, pools: list[DataFrame]) -> DataFrame:
     """Digests of the store that no resolved pool refers to."""
-    referenced = pools[0].select("sha256")
-    for x in pools[1:]:
-        referenced = referenced.union(x.select("sha256"))
-    return store.garbage(stored, referenced)
+    return store.garbage(stored, referenced(pools))
