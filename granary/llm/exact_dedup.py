@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut, join_known, keep_rows, sent, text_key, without_spaces
+from granary.llm import common
+from granary.llm.common import cut, join_known, keep_rows, text_key, without_spaces
+
+#: Tasks among which the texts of one hash are dealt where hashes are too many to be sent.
+SALTS = 16
 
 
 def _preference():
@@ -20,28 +24,31 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     hashed = whole.withColumn("h", F.unhex(F.md5("norm")))
     keys = cut(hashed.select("doc_id", "n_code", "own", "h", F.sha2("norm", 256).alias("text_sha256")))
     groups = keys.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min(_preference()).alias("best"))
-    groups = groups.select("h", "size", F.col("best.doc_id").alias("best_id"), F.col("best.own").alias("best_own"))
-
-    repeated = sent(groups.filter("size > 1").select("h", "best_id", "best_own"))
-    members = cut(hashed.join(repeated, "h"))
-    keepers = members.filter(F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("own") == F.col("best_own"))).groupBy("h").agg(F.max("norm").alias("keeper"))
-    collided = members.join(keepers, "h").filter("norm <> keeper").select("h", "doc_id", "n_code", "own", "norm")
-    classes = collided.groupBy("h", "norm").agg(F.count(F.lit(1)).alias("own_size"), F.min(_preference()).alias("first"))
-    apart = collided.join(classes, ["h", "norm"]).groupBy("h", "doc_id", "own", F.sha2("norm", 256).alias("text_sha256"))
-    apart = cut(apart.agg(F.max("first").alias("first"), F.max("own_size").alias("own_size")))
-
-    out = keys.join(groups, "h")
-    if apart.isEmpty():
-        out = out.withColumns({"own_size": F.lit(None).cast("long"), "lost": F.lit(0)})
-        best_id, best_own = F.col("best_id"), F.col("best_own")
-    else:
-        lost = collided.groupBy("h").agg(F.count(F.lit(1)).alias("lost"))
-        out = join_known(out.join(lost, "h", "left"), apart, "h", "doc_id", "own", "text_sha256", how="left")
-        best_id = F.when(F.col("own_size").isNull(), F.col("best_id")).otherwise(F.col("first.doc_id"))
-        best_own = F.when(F.col("own_size").isNull(), F.col("best_own")).otherwise(F.col("first.own"))
-    size = F.coalesce("own_size", F.col("size") - F.coalesce("lost", F.lit(0))).cast("long")
+    repeated = cut(groups.filter("size > 1").select("h", "size", F.col("best.doc_id").alias("best_id"), F.col("best.own").alias("best_own")))
+    if repeated.count() <= common.MOST_SENT:
+        repeated = F.broadcast(repeated)
+        met = hashed.join(repeated.select("h"), "h", "left_semi")
+    else:  # a large group's texts go to several tasks
+        salt = F.pmod(F.xxhash64("doc_id", "own"), F.lit(SALTS)).alias("salt")
+        met = hashed.select("*", salt).join(repeated.select("h", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")), ["h", "salt"], "left_semi")
+    # all of a group's bytes are equal if its least text is its greatest
+    clashing = cut(met.groupBy("h").agg(F.min("norm").alias("low"), F.max("norm").alias("high")).filter("low <> high").select("h"))
+
+    # both sides come straight from a shuffle, if any, so that the skew join can split a large group
+    out = keys.join(repeated, "h", "left")
+    alone = F.col("size").isNull()
+    best_id, best_own, size = F.when(alone, F.col("doc_id")).otherwise(F.col("best_id")), F.coalesce("best_own", "own"), F.coalesce("size", F.lit(1))
+    if not clashing.isEmpty():
+        collided = hashed.join(clashing, "h")
+        classes = collided.groupBy("h", "norm").agg(F.count(F.lit(1)).alias("own_size"), F.min(_preference()).alias("first"))
+        apart = collided.join(classes, ["h", "norm"]).groupBy("h", "doc_id", "own", F.sha2("norm", 256).alias("text_sha256"))
+        apart = apart.agg(F.max("first").alias("first"), F.max("own_size").alias("own_size"))
+        out = join_known(out, apart, "h", "doc_id", "own", "text_sha256", how="left")
+        same = F.col("own_size").isNull()
+        best_id, best_own = F.when(same, best_id).otherwise(F.col("first.doc_id")), F.when(same, best_own).otherwise(F.col("first.own"))
+        size = F.coalesce("own_size", size)
     stays = F.col("doc_id").eqNullSafe(best_id) & (F.col("own") == best_own)
-    return out.select("doc_id", "own", best_id.alias("keep_id"), size.alias("group_size"), stays.alias("stays"), "text_sha256")
+    return out.select("doc_id", "own", best_id.alias("keep_id"), size.cast("long").alias("group_size"), stays.alias("stays"), "text_sha256")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -54,11 +61,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Other columns are not read, so their names can't clash. An empty table gives no rows.
 
     Plan: ids, lengths and hashes are kept apart from the texts, so that texts are read twice in all. The
-    hash groups hold ids and counts only and are combined before the shuffle. Texts of
-    repeated hashes, picked where they are read if the hashes are few enough to be sent, are then joined with
-    the text of the group's keeper and compared byte by byte; a
-    hot group is split by the adaptive skew join as nothing above that join needs its rows together.
-    Rows whose bytes differ from the keeper's (hash collisions) are grouped by their text instead.
+    hash groups hold ids and counts only and are combined before the shuffle. Texts of repeated hashes, picked where they
+    are read if the hashes are few enough to be sent, are compared byte by byte: a group's least and greatest
+    text are combined before their shuffle, so a hot group is one line a task. Groups in which they
+    differ (hash collisions) are divided by their texts.
     """
     out = _judged(docs, id_col, text_col)
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
