@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.llm.common import SPACES, cut
+from granary.llm import common
+from granary.llm.common import SPACES, cut, text_key
 from granary.llm.words import repeated_words, word_hashes
 
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
@@ -140,8 +141,8 @@ def _known(df: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def _features(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
-    return cut(measured(picked, "text", "m").select("doc_id", "lang", "source", "m.*"))
+    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("own"))
+    return cut(measured(picked, "text", "m").select("doc_id", "lang", "source", "own", "m.*"))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -161,11 +162,17 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The input rows that quality_rules keeps, with the input's columns.
 
-    The counts are taken twice, once for the limits and once where the rows pass through, so that texts
-    are never shuffled.
+    Texts are never shuffled. If the rejected rows are few enough to be sent, the input's rows are looked up among them by id, language,
+    source and the text's key; otherwise the counts are taken a second time where the rows pass through.
     """
     features = _features(docs, id_col, text_col, lang_col, source_col)
-    table = limits(features.filter(~base_failed()))
+    table = cut(limits(features.filter(~base_failed())))
+    judged = _known(features, table)
+    rejected = cut(judged.filter(base_failed() | ~_within(str, str)).select("doc_id", "lang", "source", "own").distinct())
+    if rejected.count() <= common.MOST_SENT:
+        named = F.broadcast(rejected.select(*[F.col(c).alias(f"rejected_{c}") for c in rejected.columns]))
+        same = [docs[c].eqNullSafe(named[f"rejected_{k}"]) for c, k in ((id_col, "doc_id"), (lang_col, "lang"), (source_col, "source"))]
+        return docs.join(named, reduce(Column.__and__, same, text_key(docs[text_col]) == named["rejected_own"]), "left_anti")
     spare, limit = (max(docs.columns, key=len, default="") + end for end in ("_m", "_limits"))
     rows = measured(docs, text_col, spare).filter(~base_failed(f"`{spare}`."))
     table = table.select(F.struct("*").alias(limit))
