@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from granary.llm.pieces import PieceEncoder
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-PAIRS_KEPT = 1_000_000
+PAIRS_KEPT = 300_000
 #: Ids that are decoded at once.
 DECODED_IDS = 2_000_000
 

@@ -20,7 +20,7 @@ import regex
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
 #: Bytes that are cut at once, pieces that are remembered, and the longest of these in code points.
-PART_BYTES, MOST_PIECES, LONGEST = 16_000_000, 600_000, 64
+PART_BYTES, MOST_PIECES, LONGEST = 8_000_000, 400_000, 64
 
 
 @cache
