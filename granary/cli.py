@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions.text import human_bytes
-from granary.operators import domain, nested, promote, store
+from granary.operators import claims, domain, nested, promote, store
 from granary.plans import pool as P
 from granary.session import cut, local_session
 from granary.sources import fetching, files, tables
@@ -152,10 +152,11 @@ def promote_pack(spark: SparkSession, a) -> str:
     report = cut(promote.report(decided, matched, fused, taxa))
     files.commit(report, domain.artefact(a.work, "promotion", a.state))
     path = domain.artefact(a.packs, "manifest", a.state)
-    if promoted.isEmpty():
-        raise Exit(NO_CLAIMS, f"no taxon got a claim, so there is no pack; see {domain.artefact(a.work, 'unmatched', a.state)}")
-    files.commit(promoted.withColumn("version", F.lit(VERSION)), path)
-    return f"wrote {path}\n{promote.summary(promote.counters(decided)).first().line}"
+    try:
+        tables.write_nonempty(promoted.withColumn("version", F.lit(VERSION)), path)
+    except ValueError as e:
+        raise Exit(NO_CLAIMS, f"no taxon got a claim, so there is no pack; see {domain.artefact(a.work, 'unmatched', a.state)}") from e
+    return f"wrote {path}\n{claims.fusion_summary(decisions).first().line}\n{promote.summary(promote.counters(decided)).first().line}"
 
 
 def places(spark: SparkSession, a) -> str:

@@ -10,10 +10,6 @@ OUTCOMES = ("agreement", "conflict", "single_source", "no_source")
 TIER_CONFIDENCE = {1: "high", 2: "high", 3: "medium"}
 
 
-def source_ref(name: str, version: Column, retrieved: Column, url: str) -> Column:
-    return F.struct(F.lit(name).alias("name"), version.alias("version"), retrieved.alias("retrieved_at"), F.lit(url).alias("url"))
-
-
 def weakest(*confidences: Column) -> Column:
     """The lowest of ordered confidences."""
     rank = lambda c: F.array_position(F.array(*[F.lit(x) for x in CONFIDENCE]), c)
@@ -67,3 +63,10 @@ def last_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 def scoped(value: Column, answered: Column, asked: Column) -> Column:
     """struct<value, reason>: the value only if it was answered for the place asked; a null place is no place."""
     return F.struct(F.when(answered.eqNullSafe(asked), value).alias("value"), F.when(~answered.eqNullSafe(asked), "place_not_state_scoped").alias("reason"))
+
+
+def fusion_summary(decisions: DataFrame) -> DataFrame:
+    """One line: how often the sources agreed, conflicted, spoke alone or not at all."""
+    of = lambda x: F.count_if(F.col("outcome") == x).alias(x)
+    line = F.format_string("%d agreed, %d conflicted, %d single-source, %d unsourced", *OUTCOMES)
+    return decisions.agg(*map(of, OUTCOMES)).select(line.alias("line"))

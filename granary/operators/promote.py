@@ -35,7 +35,7 @@ def for_state(exclusions: DataFrame, state: str) -> DataFrame:
 def exclusion_detail(current: Column) -> Column:
     """The reasoning of a joined exclusion (_name, _reason, _source); an entry written under another name says so."""
     detail = F.format_string("%s [%s]", "_reason", "_source")
-    moved = F.format_string("%s — NOTE: this entry was written for '%s', but its taxon now resolves to '%s'; re-check that the reasoning still applies", detail, F.col("_name"), current)
+    moved = F.format_string("%s (made for '%s', now '%s': look again)", detail, F.col("_name"), current)
     return F.when(F.col("_name").eqNullSafe(current), detail).otherwise(moved)
 
 

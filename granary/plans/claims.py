@@ -127,6 +127,12 @@ def fusion_report(spark, sf_dir):
     return outcomes.join(counts, "outcome", "left").select("outcome", F.coalesce("n", F.lit(0)).alias("n"), "first_id")
 
 
+@R.query(f"""WITH {_FUSED} SELECT count(*) FILTER (outcome = 'agreement') || ' agreed, ' || count(*) FILTER (outcome = 'conflict') || ' conflicted, ' || count(*) FILTER (outcome = 'single_source') || ' single-source, ' ||
+count(*) FILTER (outcome = 'no_source') || ' unsourced' AS line FROM decided""")
+def fusion_line(spark, sf_dir):
+    return claims.fusion_summary(_fused(spark, sf_dir))
+
+
 @R.query(f"WITH {_FUSED} SELECT source, CASE WHEN bool_or(confidence = 'medium') THEN 'medium' ELSE max(confidence) END AS weakest FROM decided GROUP BY 1")
 def weakest_confidence(spark, sf_dir):
     rank = F.array_position(F.array(*[F.lit(x) for x in claims.CONFIDENCE]), F.col("confidence"))

@@ -325,7 +325,7 @@ def manifest_taxa(spark, sf_dir):
 
 
 @R.query(f"""{_WITH}, {_MANIFEST} SELECT id, name, CASE WHEN excluded THEN 'curated_exclusion' WHEN outcome = 'conflict' THEN 'source_conflict' ELSE 'no_nativity_source' END AS reason,
-CASE WHEN excluded THEN 'grown for sale [policy]' || CASE WHEN name = lower(name) THEN '' ELSE ' — NOTE: this entry was written for ''' || lower(name) || ''', but its taxon now resolves to ''' || name || '''; re-check that the reasoning still applies' END
+CASE WHEN excluded THEN 'grown for sale [policy]' || CASE WHEN name = lower(name) THEN '' ELSE ' (made for ''' || lower(name) || ''', now ''' || name || ''': look again)' END
   WHEN outcome = 'conflict' THEN a || ' against ' || b ELSE 'no_nativity_source' END AS detail FROM pack WHERE excluded OR value IS NULL""")
 def manifest_unmatched(spark, sf_dir):
     """Every taxon that isn't promoted, with reason and detail; an exclusion written under another name says so."""

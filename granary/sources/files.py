@@ -97,12 +97,15 @@ def claim_folder(spark: SparkSession, path: str, kind: str, profile: dict, renew
 
 def commit(df: DataFrame, path: str, retire: str | None = None) -> None:
     """Writes rows beside the path, puts them in its place in one move, and deletes what they make needless, such as a journal."""
-    spark, staged = df.sparkSession, f"{path}.{uuid.uuid4().hex}.tmp"
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    staged, before = f"{path}.{mark}.tmp", f"{path}.{mark}.old"
     df.write.json(staged)
-    (fs, place), (_, made) = _at(spark, path), _at(spark, staged)
-    fs.delete(place, True)
-    if not fs.rename(made, place):
-        raise OSError(f"could not move {staged} to {path}")
+    (fs, place), (_, made), (_, old) = (_at(spark, x) for x in (path, staged, before))
+    had = fs.exists(place)
+    if had and not fs.rename(place, old) or not fs.rename(made, place):
+        raise OSError(f"could not move {staged} to {path}; an earlier result may be at {before}")
+    if had:
+        fs.delete(old, True)
     if retire:
         delete(spark, retire)
 

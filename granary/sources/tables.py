@@ -37,20 +37,11 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
-def report(counts: dict[str, DataFrame]) -> DataFrame:
-    """One row: every named table as a sorted array of structs."""
-    out = None
-    for name, table in counts.items():
-        row = table.agg(F.array_sort(F.collect_list(F.struct(*table.columns))).alias(name))
-        out = row if out is None else out.join(row)
-    return out
-
-
 def write_nonempty(df: DataFrame, path: str) -> None:
-    """Writes nested JSON; an empty table is refused."""
+    """Writes nested JSON in one move; an empty table is refused, as it would say that something was tried and failed."""
     if df.isEmpty():
         raise ValueError("refusing to write an empty table")
-    df.write.mode("overwrite").json(path)
+    files.commit(df, path)
 
 
 def directory_size(spark: SparkSession, path: str) -> DataFrame:

@@ -89,7 +89,7 @@ def test_stages(spark, home, run, capsys):
     pack = spark.read.json(str(home / "packs" / "manifest_MI")).collect()
     assert [(r.name, r.answer_rank, r.claim.value, r.claim.confidence, len(r.claim.sources), len(r.image_hashes)) for r in pack] == [("Acer rubrum", "genus", "native", "high", 2, 7)]
     unmatched = {r.name: (r.reason, r.detail) for r in spark.read.option("header", True).csv(str(home / "work" / "unmatched_MI")).collect()}
-    assert unmatched["Robinia pseudoacacia"][0] == "source_conflict" and unmatched["Carex intumescens"][0] == "curated_exclusion" and "written for 'Carex old'" in unmatched["Carex intumescens"][1]
+    assert unmatched["Robinia pseudoacacia"][0] == "source_conflict" and unmatched["Carex intumescens"][0] == "curated_exclusion" and "made for 'Carex old'" in unmatched["Carex intumescens"][1]
     audit = spark.read.json(str(home / "work" / "promotion_MI")).first()
     assert (audit.promoted, audit.unmatched, audit.agreement, audit.no_source, audit.demoted, audit.excluded) == (1, 2, 1, 0, ["Acer rubrum"], ["Carex intumescens"])
     assert [tuple(x) for x in audit.conflicts] == [("Robinia pseudoacacia", "native", "introduced")] or {x.name for x in audit.conflicts} == {"Robinia pseudoacacia"}
