@@ -16,10 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from granary.llm.pieces import PieceEncoder
+from granary.llm.pieces import PieceEncoder, give_back
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-PAIRS_KEPT = 300_000
+PAIRS_KEPT = 100_000
 #: Ids that are decoded at once.
 DECODED_IDS = 2_000_000
 
@@ -151,6 +151,7 @@ def _run(batches, content, pattern, finish, schema):
     bpe, texts = encoder(content.value, pattern)
     for batch in batches:
         columns = finish(bpe, *texts.encode(batch.column(1)))
+        give_back()
         yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, type=f.type) for x, f in zip(columns, schema)]], ["doc_id", *schema.names])
 
 

@@ -20,7 +20,7 @@ import regex
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
 #: Bytes that are cut at once, pieces that are remembered, and the longest of these in code points.
-PART_BYTES, MOST_PIECES, LONGEST = 8_000_000, 400_000, 64
+PART_BYTES, MOST_PIECES, LONGEST = 8_000_000, 300_000, 64
 
 
 @cache
@@ -210,3 +210,8 @@ class PieceEncoder:
         self.ids = self.ids[np.repeat(self.begins[old] - begins, sizes) + np.arange(int(sizes.sum()))]
         self.begins, self.sizes, self.seen = begins, sizes, np.zeros(len(old), np.int32)
         self.number = {x: k for k, (x, _) in enumerate(kept)}
+
+
+def give_back() -> None:
+    """Returns Arrow's free memory to the system: workers live on and count as their executor's memory."""
+    pa.default_memory_pool().release_unused()

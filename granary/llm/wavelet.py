@@ -17,11 +17,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.common import cut, drop_folder, sent, shared_folder
-from granary.llm.pieces import PieceEncoder
+from granary.llm.pieces import PieceEncoder, give_back
 
 #: Tokens at which a shard is closed, and bits that one entry of a rank directory covers.
 SHARD_TOKENS, RANK_BITS = 2_000_000, 512
 END_ID = 0
+#: Pieces that a worker remembers.
+KNOWN_PIECES = 600_000
 FILE = "part int, seq int, n_tokens long, zeros array<long>, planes array<binary>, ranks array<binary>, doc_ids array<long>, ends array<long>"
 #: The columns of FILE that make a matrix.
 MATRIX = ["part", "seq", "n_tokens", "zeros", "planes", "ranks"]
@@ -132,7 +134,7 @@ class Encoder:
         first = settings["pre_tokenizer"] or {}
         plain = settings["normalizer"] is None and settings.get("truncation") is None and not any(x.get("normalized") or x.get("lstrip") or x.get("rstrip") for x in settings.get("added_tokens") or [])
         by_piece = plain and first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
-        self.pieces = PieceEncoder(self._encode_pieces) if by_piece else None
+        self.pieces = PieceEncoder(self._encode_pieces, most=KNOWN_PIECES) if by_piece else None
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.library.encode(pieces, is_pretokenized=True, add_special_tokens=False)
@@ -211,6 +213,7 @@ def _shards(batches, content, shard_tokens):
             n, at, done = n + len(ids[-1]), upto, int(ends[upto - 1])
             if n >= shard_tokens:
                 yield closed()
+                give_back()
                 seq, n, doc_ids, sizes, ids = seq + 1, 0, [], [], []
     if doc_ids:
         yield closed()
