@@ -26,6 +26,8 @@ WORDS, PERCENT = 5, 75
 #: 42 bands of 6 bins: texts of similarity 0.75 share no bucket with a chance of 0.0003.
 BINS, BAND = 256, 6
 BANDS = BINS // BAND
+#: Shingles that go from Python to Spark at once.
+SENT_SHINGLES = 500_000
 #: Hubs of each bucket that is divided, round by round, before the rest is compared exactly.
 HUBS = (1, 4)
 
@@ -102,11 +104,22 @@ def _sets(texts: DataFrame) -> DataFrame:
     """The digest of each text's shingle set and the set as an array, for texts that have any."""
     import pyarrow as pa
 
+    def made(found):
+        columns = [pa.array(x, pa.int64()) for x in zip(*map(_digest, found))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["h1", "h2", "shingles"])
+
     def run(batches):
         for batch in batches:
-            found = [x for x in map(shingle_set, batch.column(2).to_pylist()) if len(x)]
-            columns = [pa.array(x, pa.int64()) for x in list(zip(*map(_digest, found))) or [(), ()]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["h1", "h2", "shingles"])
+            found, n = [], 0
+            for shingles in map(shingle_set, batch.column(2).to_pylist()):
+                if len(shingles):
+                    found.append(shingles)
+                    n += len(shingles)
+                if n >= SENT_SHINGLES:  # sets are larger than their texts
+                    yield made(found)
+                    found, n = [], 0
+            if found:
+                yield made(found)
 
     return texts.mapInArrow(run, "h1 long, h2 long, shingles array<long>")
 
