@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 from functools import cache, reduce
 
 from pyspark.errors import AnalysisException
@@ -47,6 +48,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Bytes of a batch that goes between Spark and Python where whole texts pass.
+BATCH_BYTES = 8 * 1024 * 1024
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Inside, what is run at once sends rows to Python in batches of BATCH_BYTES: buffers double as they grow, on both sides and for each task."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def cut_texts(df: DataFrame) -> DataFrame:
+    """cut, for rows that Python makes of whole texts."""
+    with small_batches(df.sparkSession):
+        return cut(df)
+
+
 def word_count(text: Column) -> Column:
     """Number of maximal runs of characters other than SPACES; 0 for null."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

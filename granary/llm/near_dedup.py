@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut, keep_rows, sent, text_key
+from granary.llm.common import cut, cut_texts, keep_rows, sent, text_key
 from granary.llm.components import components
 from granary.llm.words import mixed, windows, word_hashes
 
@@ -173,7 +173,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, own (the text's key), n_shingles, class_id, component_id and group, a number for each component, null for texts without shingles."""
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text).alias("own"), text.alias("text"))
-    signed = cut(_signed(texts))
+    signed = cut_texts(_signed(texts))
     classes = signed.filter("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id"), F.any_value("n_shingles").cast("int").alias("n"), F.any_value("bands").alias("bands"))
     # a class's number; ids may be null or stand for several texts
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
@@ -184,7 +184,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     nodes = cut(members.select(F.col("node").alias("of")).distinct().join(classes, F.col("of") == F.col("node")).select("node", "class_id", F.col("h1").alias("k1"), F.col("h2").alias("k2")))
     wanted = sent(nodes.select("class_id").distinct())
     sets = _sets(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")).groupBy("h1", "h2").agg(F.any_value("shingles").alias("shingles"))
-    sets = cut(sets.join(nodes, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))).select(F.col("node").alias("id"), "shingles"))
+    sets = cut_texts(sets.join(nodes, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))).select(F.col("node").alias("id"), "shingles"))
 
     roots = None
     for k, many in enumerate(HUBS):

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut, drop_folder, sent, shared_folder
+from granary.llm.common import cut, drop_folder, sent, shared_folder, small_batches
 from granary.llm.pieces import PieceEncoder, give_back
 
 #: Tokens at which a shard is closed, and bits that one entry of a rank directory covers.
@@ -230,7 +230,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, id_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     shards = rows.mapInArrow(lambda batches: _shards(batches, content, shard_tokens), FILE)
-    shards.write.option("compression", "zstd").option("maxRecordsPerFile", 1).parquet(path)
+    with small_batches(docs.sparkSession):
+        shards.write.option("compression", "zstd").option("maxRecordsPerFile", 1).parquet(path)
 
 
 def read_tokens(spark, path: str, finish=None, columns: str = "ids binary") -> DataFrame:
