@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut
+from granary.llm.common import cut_few
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct()
     seen = None
     while True:
-        edges = cut(_small_star(_large_star(edges)))
+        edges = cut_few(_small_star(_large_star(edges)))
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

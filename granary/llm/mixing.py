@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut, join_known, word_count
+from granary.llm.common import cut, cut_few, join_known, word_count
 
 WEIGHTS = (5, 2, 1)
 #: No source gives more than so many times its size.
@@ -143,7 +143,7 @@ def _chosen(near: DataFrame) -> DataFrame:
     ranges = keyed.groupBy("source", "room", "range").agg(fitting.alias("words"), F.count(F.lit(1)).alias("n"))
     ranges = ranges.withColumn("upto_words", F.sum("words").over(in_order)).withColumn("first", F.min(F.when(F.col("upto_words") > F.col("room"), F.col("range"))).over(block))
     spare = F.sum(F.when(F.col("range") >= F.col("first"), F.col("n"))).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    ranges = cut(ranges.withColumn("spare", F.coalesce(spare, F.lit(0))))
+    ranges = cut_few(ranges.withColumn("spare", F.coalesce(spare, F.lit(0))))
     whole = ranges.groupBy("source", "room", "first").agg(F.coalesce(F.max(F.when(F.col("first").isNull() | (F.col("range") < F.col("first")), F.col("upto_words"))), F.lit(0)).alias("before"))
     last = F.struct(F.coalesce(F.shiftleft(F.col("first") - 1, RANGE_BITS).bitwiseOR((1 << RANGE_BITS) - 1), most).alias("key"), most.alias("id"))
     none = F.lit(None).cast("struct<key:bigint,id:bigint>")
@@ -170,7 +170,7 @@ def block_plan(rows: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, shards
     rows: doc_id, source, size. whole lists (pass, shard) of the passes that take the block's rows. part
     is null, or (pass, shard, runs) of the pass that takes only some of its rows.
     """
-    fine = cut(rows.groupBy("source", F.pmod(_key("doc_id"), F.lit(MOST_BLOCKS)).alias("cell")).agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")))
+    fine = cut_few(rows.groupBy("source", F.pmod(_key("doc_id"), F.lit(MOST_BLOCKS)).alias("cell")).agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")))
     totals = fine.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("n").alias("n"))
     per_source = source_targets(totals, weights, most)
     halvings = F.ceil(F.log2(F.greatest(F.col("n") / BLOCK_ROWS, F.lit(1.0)))).cast("int")
@@ -178,7 +178,7 @@ def block_plan(rows: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, shards
     # the part of a pass is the target beyond whole passes
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     per_source = per_source.select("source", "source_size", "target", blocks.alias("blocks"), passes.alias("passes"))
-    per_source = cut(per_source.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")))
+    per_source = cut_few(per_source.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")))
 
     cells = join_known(fine.withColumnRenamed("n", "rows"), per_source, "source")
     keys = [*per_source.columns, F.pmod("cell", "blocks").alias("block")]
@@ -192,13 +192,13 @@ def block_plan(rows: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, shards
     # 0: not in the last pass, 1: some of its rows, 2: whole
     near = ends | ((F.col("before") >= F.col("rest")) & (F.col("rows_before") < F.col("end.rows_before") + SPARE_ROWS))
     last = F.when(F.col("words") == 0, 0).when(F.col("before") + F.col("words") <= F.col("rest"), 2).when(near, 1).otherwise(0)
-    sized = cut(sized.withColumn("last", last).withColumn("room", F.col("end.room")).drop("end", "rows", "rows_before"))
+    sized = cut_few(sized.withColumn("last", last).withColumn("room", F.col("end.room")).drop("end", "rows", "rows_before"))
 
     count = F.col("passes") + (F.col("last") > 0).cast("int")
     taken = sized.filter(count > 0).select("source", "block", "passes", "last", F.explode(F.sequence(F.lit(0), count - 1)).alias("pass"))
     dealt = Window.partitionBy("source").orderBy(_key("source", "pass", "block"), "block", "pass")
-    taken = cut(taken.withColumn("place", F.row_number().over(dealt)))
-    quotas = cut(shard_quotas(taken.groupBy("source").agg(F.count(F.lit(1)).alias("n")), shards))
+    taken = cut_few(taken.withColumn("place", F.row_number().over(dealt)))
+    quotas = cut_few(shard_quotas(taken.groupBy("source").agg(F.count(F.lit(1)).alias("n")), shards))
     upto = F.transform(F.sequence(F.lit(1), F.lit(shards)), lambda i: F.aggregate(F.slice("quota", 1, i), F.lit(0), lambda a, x: a + x))
     ended = F.size(F.filter(upto, lambda e: e < F.col("place")))
     taken = join_known(taken, quotas, "source").withColumn("to", F.struct("pass", ended.alias("shard")))
@@ -215,7 +215,7 @@ def block_plan(rows: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES, shards
     out = join_known(out, ends, "source", how="left")
     part = F.when(F.col("split").isNotNull() & F.col("runs").isNotNull(), F.struct("split.pass", "split.shard", "runs"))
     whole = F.coalesce("whole", F.array().cast("array<struct<pass:int,shard:int>>"))
-    return cut(out.select("source", "blocks", "block", "source_size", "target", whole.alias("whole"), part.alias("part")))
+    return cut_few(out.select("source", "blocks", "block", "source_size", "target", whole.alias("whole"), part.alias("part")))
 
 
 def _placements(doc_id: Column, size: Column, at: str) -> Column:

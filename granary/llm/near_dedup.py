@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut, cut_texts, keep_rows, sent, text_key
+from granary.llm.common import cut, cut_few, cut_texts, keep_rows, sent, text_key
 from granary.llm.components import components
 from granary.llm.words import mixed, windows, word_hashes
 
@@ -149,7 +149,7 @@ def _rest(labelled: DataFrame, sets: DataFrame) -> DataFrame:
     so a component that already holds most of a group is compared with the others only.
     """
     divided = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
-    nodes = cut(labelled.join(divided, "bucket").select("node", "label").distinct())
+    nodes = cut_few(labelled.join(divided, "bucket").select("node", "label").distinct())
     if nodes.isEmpty():
         return nodes.select(F.col("node").alias("a"), F.col("node").alias("b"))
     sized = sets.select("id", F.size("shingles").alias("n"), "shingles")  # the explosion below carries numbers, no arrays
@@ -166,7 +166,7 @@ def _rest(labelled: DataFrame, sets: DataFrame) -> DataFrame:
     minor = early.filter("label <> major").select(F.col("shingle").alias("s"), F.col("node").alias("a"), F.col("label").alias("a_label"), F.col("n").alias("a_n"), F.col("left").alias("a_left"))
     may = f"shingle = s AND label <> a_label AND {100 + PERCENT} * least(left, a_left) >= {PERCENT} * (n + a_n)"
     pairs = minor.join(early, F.expr(may))
-    return cut(pairs.select(F.least("node", "a").alias("a"), F.greatest("node", "a").alias("b")).distinct())
+    return cut_few(pairs.select(F.least("node", "a").alias("a"), F.greatest("node", "a").alias("b")).distinct())
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -181,7 +181,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     members = classes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("bucket")
     members = cut(members.join(shared, "bucket").select("bucket", "node", "n"))
-    nodes = cut(members.select(F.col("node").alias("of")).distinct().join(classes, F.col("of") == F.col("node")).select("node", "class_id", F.col("h1").alias("k1"), F.col("h2").alias("k2")))
+    nodes = cut_few(members.select(F.col("node").alias("of")).distinct().join(classes, F.col("of") == F.col("node")).select("node", "class_id", F.col("h1").alias("k1"), F.col("h2").alias("k2")))
     wanted = sent(nodes.select("class_id").distinct())
     sets = _sets(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("class_id")), "left_semi")).groupBy("h1", "h2").agg(F.any_value("shingles").alias("shingles"))
     sets = cut_texts(sets.join(nodes, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))).select(F.col("node").alias("id"), "shingles"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.llm import common
-from granary.llm.common import SPACES, cut, cut_texts, text_key
+from granary.llm.common import SPACES, cut_few, cut_texts, text_key
 from granary.llm.words import repeated_words, word_hashes
 
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
@@ -94,7 +94,7 @@ def limits(features: DataFrame) -> DataFrame:
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), _bucket(F.expr(x[0])).alias("bucket")) for k, x in RATIOS.items()]))
     fine = features.select("lang", "source", pairs.alias("p")).groupBy("lang", "source", "p.ratio", "p.bucket").agg(F.count(F.lit(1)).alias("n"))
-    fine = cut(fine)
+    fine = cut_few(fine)
     found = []
     for level, keys in enumerate((["lang", "source"], ["lang"], [])):
         sketch = fine.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
@@ -166,13 +166,14 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     source and the text's key; otherwise the counts are taken a second time where the rows pass through.
     """
     features = _features(docs, id_col, text_col, lang_col, source_col)
-    table = cut(limits(features.filter(~base_failed())))
+    table = cut_few(limits(features.filter(~base_failed())))
     judged = _known(features, table)
-    rejected = cut(judged.filter(base_failed() | ~_within(str, str)).select("doc_id", "lang", "source", "own").distinct())
+    mark = lambda own, *keys: F.xxhash64(own, *[x for k in keys for x in (k, k.isNull())])
+    rejected = judged.filter(base_failed() | ~_within(str, str)).select("doc_id", mark(F.col("own"), F.col("lang"), F.col("source")).alias("mark"))
+    rejected = cut_few(rejected.distinct().withColumnsRenamed({"doc_id": "rejected_id", "mark": "rejected_mark"}))
     if rejected.count() <= common.MOST_SENT:
-        named = F.broadcast(rejected.select(*[F.col(c).alias(f"rejected_{c}") for c in rejected.columns]))
-        same = [docs[c].eqNullSafe(named[f"rejected_{k}"]) for c, k in ((id_col, "doc_id"), (lang_col, "lang"), (source_col, "source"))]
-        return docs.join(named, reduce(Column.__and__, same, text_key(docs[text_col]) == named["rejected_own"]), "left_anti")
+        same = docs[id_col].eqNullSafe(rejected["rejected_id"]) & (mark(text_key(docs[text_col]), docs[lang_col], docs[source_col]) == rejected["rejected_mark"])
+        return docs.join(F.broadcast(rejected), same, "left_anti")
     spare, limit = (max(docs.columns, key=len, default="") + end for end in ("_m", "_limits"))
     rows = measured(docs, text_col, spare).filter(~base_failed(f"`{spare}`."))
     table = table.select(F.struct("*").alias(limit))
