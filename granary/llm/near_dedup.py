@@ -162,7 +162,8 @@ def _rest(labelled: DataFrame, sets: DataFrame) -> DataFrame:
     early = cut(early.select("shingle", "node", "label", "n", "left"))
     counts = early.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("rows"))
     major = counts.groupBy("shingle").agg(F.max_by("label", F.struct("rows", "label")).alias("major"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-    early = cut(early.join(major.withColumnRenamed("shingle", "s"), F.col("shingle") == F.col("s")).select("shingle", "node", "label", "n", "left", "major"))
+    major = cut_few(major.withColumnRenamed("shingle", "s"))  # both sides of the join come straight from a shuffle, which the skew join can split
+    early = cut(early.join(major, F.col("shingle") == F.col("s")).select("shingle", "node", "label", "n", "left", "major"))
     minor = early.filter("label <> major").select(F.col("shingle").alias("s"), F.col("node").alias("a"), F.col("label").alias("a_label"), F.col("n").alias("a_n"), F.col("left").alias("a_left"))
     may = f"shingle = s AND label <> a_label AND {100 + PERCENT} * least(left, a_left) >= {PERCENT} * (n + a_n)"
     pairs = minor.join(early, F.expr(may))
