@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from granary.llm.pieces import PieceEncoder, give_back
+from granary.llm.pieces import PieceEncoder, give_back, parts_of
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 PAIRS_KEPT = 100_000
@@ -34,14 +34,17 @@ class ByteBPE:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.tokens = pa.array([self.bytes_of.get(k) for k in range(max(self.bytes_of, default=-1) + 1)], pa.large_binary())
-        self.first: dict[int, int] = {}
-        self.second: dict[int, int] = {}
-        self.joined: dict[tuple[int, int], int] = {}
-        self.shorter: dict[int, int | None] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.machine = ahocorasick.Automaton()
+        # lists by rank, and pairs as one number: a worker keeps these tables as long as it lives
+        bytes_of = {rank: token for token, rank in ranks.items()}
+        self.n = max(bytes_of, default=-1) + 1
+        self.tokens = pa.array([bytes_of.get(k) for k in range(self.n)], pa.large_binary())
+        self.size = [len(bytes_of.get(k, b"")) for k in range(self.n)]
+        self.first: list[int | None] = [None] * self.n
+        self.second: list[int | None] = [None] * self.n
+        self.shorter: list[int | None] = [None] * self.n
+        self.joined: dict[int, int] = {}
+        self.fits: dict[int, bool] = {}
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         merged = [token for token in ranks if len(token) == 1]
         for token, rank in ranks.items():
             if len(token) > 1:
@@ -49,11 +52,11 @@ class ByteBPE:
                 if len(parts) != 2:
                     continue  # no merge makes it; it is used only when it is a whole piece
                 self.first[rank], self.second[rank] = ranks[parts[0]], ranks[parts[1]]
-                self.joined[self.first[rank], self.second[rank]] = rank
+                self.joined[self.first[rank] * self.n + self.second[rank]] = rank
                 merged.append(token)
         made = {*merged}
         for token in merged:
-            self.machine.add_word(token.decode("latin-1"), (ranks[token], len(token)))
+            self.machine.add_word(token.decode("latin-1"), ranks[token])
             cut = next((n for n in range(len(token) - 1, 0, -1) if token[:n] in made), 0)
             self.shorter[ranks[token]] = ranks[token[:cut]] if cut else None
         self.machine.make_automaton()
@@ -77,18 +80,19 @@ class ByteBPE:
         """
         a, b, limit = left, right, float("inf")
         while True:
-            crossing = self.joined.get((a, b))
+            crossing = self.joined.get(a * self.n + b)
             if crossing is not None and crossing < limit:
                 return False
-            if a in self.second and (b not in self.first or a > b):
-                limit, a = a, self.second[a]
-            elif b in self.first:
-                limit, b = b + 1, self.first[b]
+            after, before = self.second[a], self.first[b]
+            if after is not None and (before is None or a > b):
+                limit, a = a, after
+            elif before is not None:
+                limit, b = b + 1, before
             else:
                 return True
 
     def compatible(self, left: int, right: int) -> bool:
-        pair = left, right
+        pair = left * self.n + right
         known = self.fits.get(pair)
         if known is None:
             if len(self.fits) >= PAIRS_KEPT:
@@ -102,21 +106,22 @@ class ByteBPE:
             return [whole]
         n = len(piece)
         longest: list[int | None] = [None] * (n + 1)
-        for end, (rank, length) in self.machine.iter(piece.decode("latin-1")):
-            longest[end - length + 1] = rank  # of the matches from one place the longest ends last
-        sizes, open_at, ids, at = self.bytes_of, bytearray(b"\1") * (n + 1), [], 0
+        sizes = self.size
+        for end, rank in self.machine.iter(piece.decode("latin-1")):
+            longest[end - sizes[rank] + 1] = rank  # of the matches from one place the longest ends last
+        open_at, ids, at = bytearray(b"\1") * (n + 1), [], 0
         token = longest[0]
         while at < n:
             last = ids[-1] if ids else None
             while token is not None:
-                end = at + len(sizes[token])
+                end = at + sizes[token]
                 if open_at[end] and (last is None or self.compatible(last, token)):
                     break
                 token = self.shorter[token]
             if token is None:
                 open_at[at] = 0
                 token = ids.pop()
-                at -= len(sizes[token])
+                at -= sizes[token]
             else:
                 ids.append(token)
                 at, token = end, longest[end]
@@ -149,7 +154,7 @@ def encoder(content: bytes, pattern: str) -> tuple[ByteBPE, PieceEncoder]:
 
 def _run(batches, content, pattern, finish, schema):
     bpe, texts = encoder(content.value, pattern)
-    for batch in batches:
+    for batch in (part for whole in batches for part in parts_of(whole, 1)):
         columns = finish(bpe, *texts.encode(batch.column(1)))
         give_back()
         yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, type=f.type) for x, f in zip(columns, schema)]], ["doc_id", *schema.names])

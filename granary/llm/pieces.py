@@ -7,6 +7,7 @@ buffer. Each distinct piece of a batch is looked up once, and only unknown ones
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 from functools import cache
 from itertools import repeat
@@ -20,7 +21,7 @@ import regex
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
 #: Bytes that are cut at once, pieces that are remembered, and the longest of these in code points.
-PART_BYTES, MOST_PIECES, LONGEST = 8_000_000, 300_000, 64
+PART_BYTES, MOST_PIECES, LONGEST = 4_000_000, 200_000, 64
 
 
 @cache
@@ -212,6 +213,22 @@ class PieceEncoder:
         self.number = {x: k for k, (x, _) in enumerate(kept)}
 
 
+def parts_of(batch: pa.RecordBatch, column: int):
+    """The batch in slices of rows whose texts have about PART_BYTES together, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto, begin = np.cumsum(sizes), 0
+    while begin < len(sizes):
+        end = max(int(np.searchsorted(upto, upto[begin] - sizes[begin] + PART_BYTES, side="right")), begin + 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+#: glibc's way to return what was freed; None with another C library.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def give_back() -> None:
-    """Returns Arrow's free memory to the system: workers live on and count as their executor's memory."""
+    """Returns free memory to the system: workers live on and count as their executor's memory."""
     pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
