@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from granary.llm import bpe, exact_dedup, mixing, near_dedup, quality
-from granary.llm.common import cut
+from granary.llm.common import cut, cut_texts
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -33,8 +33,8 @@ def mix(spark, docs, sf_dir):
 
 
 def encode(spark, docs, sf_dir):
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
-    return bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, worked out at once in small batches."""
+    return cut_texts(bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
 STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact), ("minhash_near_dedup", near), ("source_mixing", mix), ("byte_bpe", encode)]
