@@ -100,17 +100,17 @@ def piece_begins(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
-def _part_end(data: np.ndarray, begin: int, ends: np.ndarray) -> int:
+def _part_end(data: np.ndarray, begin: int, ends: np.ndarray, most: int) -> int:
     """Where a part that begins there ends: with a text, or in a long one before a blank between two letters or digits."""
     n = len(data)
-    if n - begin <= PART_BYTES:
+    if n - begin <= most:
         return n
-    k = int(np.searchsorted(ends, begin + PART_BYTES, side="right")) - 1
+    k = int(np.searchsorted(ends, begin + most, side="right")) - 1
     if k >= 0 and ends[k] > begin:
         return int(ends[k])
     text_end = int(ends[k + 1])
-    for low in range(begin, text_end, PART_BYTES):
-        near = data[low : min(low + PART_BYTES, text_end)]
+    for low in range(begin, text_end, most):
+        near = data[low : min(low + most, text_end)]
         plain = ((near | 0x20) >= 0x61) & ((near | 0x20) <= 0x7A) | (near >= 0x30) & (near <= 0x39)
         found = np.flatnonzero((near[1:-1] == 0x20) & plain[:-2] & plain[2:])
         if len(found):
@@ -121,8 +121,8 @@ def _part_end(data: np.ndarray, begin: int, ends: np.ndarray) -> int:
 class PieceEncoder:
     """Encodes texts by their pieces. encode_pieces gives the ids of a list of pieces in one array, and how many each has."""
 
-    def __init__(self, encode_pieces: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], pattern: str = BYTE_LEVEL, most: int = MOST_PIECES):
-        self.encode_pieces, self.pattern, self.most = encode_pieces, pattern, most
+    def __init__(self, encode_pieces: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], pattern: str = BYTE_LEVEL, most: int = MOST_PIECES, part_bytes: int = PART_BYTES):
+        self.encode_pieces, self.pattern, self.most, self.part_bytes = encode_pieces, pattern, most, part_bytes
         self.number: dict[str, int] = {}
         self.ids, self.begins, self.sizes, self.seen = np.empty(0, np.uint32), np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int32)
 
@@ -152,7 +152,7 @@ class PieceEncoder:
         """(pieces, begin, end, number of pieces up to the end of each text) of the parts of the bytes."""
         begin = 0
         while begin < len(data):
-            end = _part_end(data, begin, ends)
+            end = _part_end(data, begin, ends, self.part_bytes)
             part = np.ascontiguousarray(data[begin:end])
             starts = np.unique(ends[(ends > begin) & (ends < end)]) - begin
             places = piece_begins(part, starts)

@@ -16,14 +16,14 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut, drop_folder, sent, shared_folder, small_batches
+from granary.llm.common import cut, drop_folder, sent, shared_folder
 from granary.llm.pieces import PieceEncoder, give_back
 
 #: Tokens at which a shard is closed, and bits that one entry of a rank directory covers.
 SHARD_TOKENS, RANK_BITS = 2_000_000, 512
 END_ID = 0
-#: Pieces that a worker remembers.
-KNOWN_PIECES = 600_000
+#: Pieces that a worker remembers, and bytes that it cuts at once.
+KNOWN_PIECES, PART_BYTES = 600_000, 16_000_000
 FILE = "part int, seq int, n_tokens long, zeros array<long>, planes array<binary>, ranks array<binary>, doc_ids array<long>, ends array<long>"
 #: The columns of FILE that make a matrix.
 MATRIX = ["part", "seq", "n_tokens", "zeros", "planes", "ranks"]
@@ -134,7 +134,7 @@ class Encoder:
         first = settings["pre_tokenizer"] or {}
         plain = settings["normalizer"] is None and settings.get("truncation") is None and not any(x.get("normalized") or x.get("lstrip") or x.get("rstrip") for x in settings.get("added_tokens") or [])
         by_piece = plain and first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
-        self.pieces = PieceEncoder(self._encode_pieces, most=KNOWN_PIECES) if by_piece else None
+        self.pieces = PieceEncoder(self._encode_pieces, most=KNOWN_PIECES, part_bytes=PART_BYTES) if by_piece else None
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.library.encode(pieces, is_pretokenized=True, add_special_tokens=False)
@@ -230,8 +230,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, id_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     shards = rows.mapInArrow(lambda batches: _shards(batches, content, shard_tokens), FILE)
-    with small_batches(docs.sparkSession):
-        shards.write.option("compression", "zstd").option("maxRecordsPerFile", 1).parquet(path)
+    shards.write.option("compression", "zstd").option("maxRecordsPerFile", 1).parquet(path)
 
 
 def read_tokens(spark, path: str, finish=None, columns: str = "ids binary") -> DataFrame:

@@ -490,14 +490,13 @@ def test_bpe_on_awkward_texts():
 
 
 @pytest.mark.parametrize(("part_bytes", "most"), [(8_000_000, 500_000), (7, 6), (40, 0)])
-def test_pieces_are_the_matches_of_the_pattern(monkeypatch, part_bytes, most):
-    monkeypatch.setattr(pieces, "PART_BYTES", part_bytes)
+def test_pieces_are_the_matches_of_the_pattern(part_bytes, most):
     numbers, rnd = {}, random.Random(5)
 
     def numbered(found):
         return np.array([numbers.setdefault(x, len(numbers)) for x in found], np.uint32), np.ones(len(found), np.int64)
 
-    by_kind, by_pattern = pieces.PieceEncoder(numbered, most=most), pieces.PieceEncoder(numbered, pieces.BYTE_LEVEL + "|(?!)", most)
+    by_kind, by_pattern = pieces.PieceEncoder(numbered, most=most, part_bytes=part_bytes), pieces.PieceEncoder(numbered, pieces.BYTE_LEVEL + "|(?!)", most)
     letters = [*"ab1 \n\t''  !.sremtvld'é", "\u3000", "中", "٣", "😀", "\xa0", "½", "\x1c", "\x85", "e\u0301"]
     for _ in range(1500):
         texts = pa.array([rnd.choice([None, "", "".join(rnd.choices(letters, k=rnd.randint(0, 30)))]) for _ in range(rnd.randint(0, 5))], pa.string())
