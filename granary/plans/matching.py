@@ -88,3 +88,17 @@ def ambiguous_names(spark, sf_dir):
 @R.query(f"WITH {_DECK} SELECT card_id, name AS accepted, CASE WHEN by_genus AND name = genus THEN 'full' ELSE kind END AS kind FROM (SELECT card_id, genus, by_genus, p_name AS name, unnest(['full', 'scientific']) AS kind FROM cards UNION ALL SELECT card_id, genus, by_genus, genus, 'partial' FROM cards)")
 def deck_answers(spark, sf_dir):
     return matcher.build_deck(cards(spark, sf_dir)).select("card_id", "accepted", "kind")
+
+
+_WIDE = """cards AS (SELECT min(p_partkey) AS card_id, lower(p_name || ' ' || p_brand) AS p_name, string_split(any_value(part.p_name), ' ')[1] AS genus, false AS by_genus FROM part GROUP BY 2),
+full_names AS (SELECT card_id, genus, by_genus, p_name AS name FROM cards)"""
+
+
+@R.query(f"WITH {_WIDE}, {_FITS.format(answer='p_name || chr(122)')}")
+def deck_scan(spark, sf_dir):
+    """Every name of every brand as a card, and as an answer with one letter too many against the whole deck."""
+    name = F.concat_ws(" ", "p_name", "p_brand")
+    wide = table(spark, sf_dir, "part").groupBy(name.alias("scientific_name")).agg(F.min("p_partkey").alias("card_id"))
+    wide = wide.select("card_id", "scientific_name", F.array().cast("array<string>").alias("common_names"), F.split("scientific_name", " ")[0].alias("genus"), F.lit("species").alias("answer_rank"))
+    asked = wide.select(F.col("card_id").alias("answer_id"), F.concat("scientific_name", F.lit("z")).alias("answer"), "card_id")
+    return matcher.grade(asked, matcher.checked_deck(wide))
