@@ -23,7 +23,7 @@ from granary.llm.pieces import PieceEncoder
 SHARD_TOKENS, RANK_BITS = 2_000_000, 512
 END_ID = 0
 #: Pieces that a worker remembers, and bytes that it cuts at once.
-KNOWN_PIECES, PART_BYTES = 600_000, 16_000_000
+KNOWN_PIECES, PART_BYTES = 900_000, 16_000_000
 FILE = "part int, seq int, n_tokens long, zeros array<long>, planes array<binary>, ranks array<binary>, doc_ids array<long>, ends array<long>"
 #: The columns of FILE that make a matrix.
 MATRIX = ["part", "seq", "n_tokens", "zeros", "planes", "ranks"]
