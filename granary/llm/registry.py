@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from granary.llm import bpe, exact_dedup, html_text, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, wavelet
+from granary.llm import bpe, exact_dedup, html_text, lexical, line_dedup, mixing, near_dedup, quality, sharding, simhash, substring_dedup, wavelet
 from granary.llm.common import documents
 
 
@@ -49,9 +49,20 @@ def op10_quality_rules(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_simhash_near_dedup(spark, sf_dir):
+    return simhash.simhash_duplicates(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_html_text, op2_line_dedup, op3_substring_dedup, op4_minhash_near_dedup, op5_exact_dedup, op6_vector_sharding, op7_source_mixing, op8_bpe, op9_wavelet_tokens, op10_quality_rules)}
+    return {f.__name__: f for f in (
+        op1_html_text, op2_line_dedup, op3_substring_dedup, op4_minhash_near_dedup, op5_exact_dedup, op6_vector_sharding, op7_source_mixing, op8_bpe,
+        op9_wavelet_tokens, op10_quality_rules, op11_lexical_search, op13_simhash_near_dedup,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_line_dedup": line_dedup.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE, "op11_lexical_search": lexical.ORACLE}

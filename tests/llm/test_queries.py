@@ -18,7 +18,7 @@ def test_query_equals_its_oracle(spark, name):
 
 def test_a_query_for_each_operator():
     numbers = sorted(int(x[2:].split("_")[0]) for x in registry.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline(spark, tmp_path):
