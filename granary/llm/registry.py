@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from granary.llm import bpe, exact_dedup, html_text, lexical, line_dedup, mixing, near_dedup, quality, sharding, simhash, substring_dedup, wavelet
+from granary.llm import bpe, conversations, exact_dedup, html_text, lexical, line_dedup, mixing, near_dedup, quality, sharding, simhash, substring_dedup, wavelet
 from granary.llm.common import documents
 
 
@@ -53,6 +53,10 @@ def op11_lexical_search(spark, sf_dir):
     return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_conversation_repair(spark, sf_dir):
+    return conversations.repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_simhash_near_dedup(spark, sf_dir):
     return simhash.simhash_duplicates(documents(spark, sf_dir))
 
@@ -60,9 +64,9 @@ def op13_simhash_near_dedup(spark, sf_dir):
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_html_text, op2_line_dedup, op3_substring_dedup, op4_minhash_near_dedup, op5_exact_dedup, op6_vector_sharding, op7_source_mixing, op8_bpe,
-        op9_wavelet_tokens, op10_quality_rules, op11_lexical_search, op13_simhash_near_dedup,
+        op9_wavelet_tokens, op10_quality_rules, op11_lexical_search, op12_conversation_repair, op13_simhash_near_dedup,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE, "op11_lexical_search": lexical.ORACLE}
+    return {"op2_line_dedup": line_dedup.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE, "op11_lexical_search": lexical.ORACLE, "op12_conversation_repair": conversations.ORACLE}
