@@ -162,8 +162,8 @@ def _fetch(spark, sf_dir):
     return fetch
 
 
-def _resolved(spark, sf_dir):
-    pool = _pool(spark, sf_dir)
+def _resolved(spark, sf_dir, pool=None):
+    pool = pool or _pool(spark, sf_dir)
     photos = pool.photos.select("taxon_id", F.col("photo.id").alias("photo_id"))
     # an earlier run settled some taxa; the store has some contents besides
     settled = photos.filter("taxon_id % 5 = 0").select("taxon_id", "photo_id", F.sha2(F.concat(F.lit("s"), F.col("photo_id").cast("string")), 256).alias("sha256"), F.lit(None).cast("string").alias("reason"))
@@ -228,8 +228,8 @@ def _statuses(spark, sf_dir):
     return early.union(late).union(part.select(symbol, F.lit("AK").alias("region"), F.lit("I").alias("status"), F.lit(2).alias("pos")))
 
 
-def _reconciled(spark, sf_dir):
-    taxa = cut(_pool(spark, sf_dir).taxa)
+def _reconciled(spark, sf_dir, pool=None):
+    taxa = (pool or _pool(spark, sf_dir)).taxa
     return taxa, P.reconcile(taxa.select("id", "name"), _records(spark, sf_dir), _statuses(spark, sf_dir))
 
 
@@ -280,8 +280,8 @@ def checklist_answers(spark, sf_dir):
     return _established(spark, sf_dir, _pool(spark, sf_dir).taxa)
 
 
-def _decided(spark, sf_dir):
-    taxa, matched = _reconciled(spark, sf_dir)
+def _decided(spark, sf_dir, pool=None):
+    taxa, matched = _reconciled(spark, sf_dir, pool)
     established = cut(_established(spark, sf_dir, taxa))
     ref = lambda name: F.struct(F.lit(name).alias("name"), F.lit("1").alias("version"))
     return taxa, matched, established, cut(P.decide(matched, established, ref("records"), ref("checklist")))
@@ -301,8 +301,9 @@ def decided_taxa(spark, sf_dir):
 
 
 def _manifest(spark, sf_dir):
-    taxa, matched, established, decisions = _decided(spark, sf_dir)
-    _, resolved, _, _ = _resolved(spark, sf_dir)
+    pool = _pool(spark, sf_dir)  # one pool for what both branches need
+    taxa, matched, established, decisions = _decided(spark, sf_dir, pool)
+    _, resolved, _, _ = _resolved(spark, sf_dir, pool)
     excluded = taxa.filter("genus = 'blue' AND id % 3 = 0").select("id")
     demoted = spark.createDataFrame([("cold",), ("green",)], "genus string")
     held = resolved.select(F.col("taxon_id").alias("id")).distinct()

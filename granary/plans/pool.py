@@ -62,15 +62,17 @@ def candidate_pool(summaries: DataFrame, details: DataFrame, observations: DataF
     """Ranks, filters and samples. Twice as many summaries as wanted are considered, as later stages lose some.
 
     A summary without detail and one with fewer than FLOOR photos are dropped with a reason; taxa behind
-    the one that fills the limit are neither kept nor dropped at the last stage.
+    the one that fills the limit are neither kept nor dropped at the last stage. Only observations of taxa that got
+    so far are looked at: their ids, 2 * limit at most, are sent to the scan.
     """
     kept, drops = select_taxa(summaries, 2 * limit)
     known = details.select(F.col("id").alias("detail_id"), "genus", "family")
     missing = kept.join(known, F.col("id") == F.col("detail_id"), "left_anti")
     drops = ledger.union_ledgers(drops, missing.select("id", "name", F.lit("taxon_detail_unavailable").alias("reason"), F.lit("no detail was returned").alias("detail")))
-    taxa = kept.join(known, F.col("id") == F.col("detail_id"))
+    taxa = cut(kept.join(known, F.col("id") == F.col("detail_id")))
 
-    usable = cut(usable_observations(observations))
+    wanted = F.broadcast(taxa.select(F.col("id").alias("wanted_id")).distinct())
+    usable = cut(usable_observations(observations.join(wanted, F.col("taxon_id") == F.col("wanted_id"), "left_semi")))
     chosen = sampling.round_robin_capped(usable, "taxon_id", "bucket", "observer", "observation_id", most=MOST)
     flat = chosen.select("taxon_id", F.posexplode("chosen").alias("place", "c")).select("taxon_id", "place", F.col("c.i").alias("observation_id"))
     photos = cut(flat.join(usable, ["taxon_id", "observation_id"]))
@@ -78,7 +80,7 @@ def candidate_pool(summaries: DataFrame, details: DataFrame, observations: DataF
 
     sampled = taxa.join(signals, F.col("id") == F.col("taxon_id"), "left").withColumn("n_photos", F.coalesce("n_photos", F.lit(0)))
     sampled = sampled.withColumn("reason", F.when(F.col("n_photos") < FLOOR, "insufficient_licensed_photos"))
-    final, late = ledger.split(cut(deck.ranked_prefix(cut(sampled), "ord", "reason", limit)))
+    final, late = ledger.split(cut(deck.ranked_prefix(sampled, "ord", "reason", limit)))
     drops = drops.unionByName(late.select("id", "name", "reason", F.format_string("%d usable photos", "n_photos").alias("detail")))
     photos = photos.join(final.select(F.col("id").alias("taxon_id")), "taxon_id", "left_semi")
     return Pool(final.drop("detail_id", "taxon_id"), photos, drops)
@@ -97,18 +99,23 @@ def pool_violations(pool: Pool) -> DataFrame:
     )
 
 
+def measured(responses: DataFrame) -> DataFrame:
+    """url, status, content_type, sha256 and bytes of responses; contents go no further than where they were read."""
+    return responses.select("url", "status", "content_type", F.when(F.col("content").isNotNull(), F.sha2("content", 256)).alias("fetched"), F.octet_length("content").alias("bytes"))
+
+
 def resolve(photos: DataFrame, responses: DataFrame, known: DataFrame, size: str = "medium") -> tuple[DataFrame, DataFrame]:
     """(resolved, drops) of photos against fetched bytes and the ledger of earlier runs.
 
-    responses: url, status, content_type, content. known: photo_id, sha256, from earlier runs, and reused.
+    responses: url, status, content_type, content, or what measured makes of them. known: photo_id, sha256, from earlier runs, and reused.
     Of equal contents in a taxon the first in candidate order stays. A taxon with too few photos left is
     dropped; a photo's fault is dropped with its class.
     """
     wanted = photos.select("taxon_id", "place", "bucket", "observer", F.col("photo.id").alias("photo_id"), sized_url(F.col("photo.url"), size).alias("url"))
-    rows = wanted.join(known.select("photo_id", F.col("sha256").alias("known")), "photo_id", "left").join(responses, "url", "left")
-    fetched = F.when(F.col("content").isNotNull(), F.sha2("content", 256))
-    fault = nested.download_class(F.coalesce("status", F.lit(404)), F.col("content_type"), F.length("content"))
-    rows = rows.withColumn("reason", F.when(F.col("known").isNull() & (fault != "ok"), fault)).withColumn("sha256", F.when(F.col("reason").isNull(), F.coalesce("known", fetched)))
+    answers = measured(responses) if "content" in responses.columns else responses
+    rows = wanted.join(known.select("photo_id", F.col("sha256").alias("known")), "photo_id", "left").join(answers, "url", "left")
+    fault = nested.download_class(F.coalesce("status", F.lit(404)), F.col("content_type"), F.col("bytes"))
+    rows = rows.withColumn("reason", F.when(F.col("known").isNull() & (fault != "ok"), fault)).withColumn("sha256", F.when(F.col("reason").isNull(), F.coalesce("known", "fetched")))
     same = F.row_number().over(Window.partitionBy("taxon_id", "sha256").orderBy("place"))
     rows = rows.withColumn("reason", F.when(F.col("reason").isNull() & (same > 1), "duplicate_content").otherwise(F.col("reason")))
     stored, faults = ledger.split(cut(rows))
@@ -212,7 +219,7 @@ def resolve_pool(pool: Pool, fetch, settled: DataFrame, known: DataFrame, size:
     rest = pool.photos.join(reuse, "taxon_id", "left_anti")
     urls = rest.select(F.col("photo.id").alias("photo_id"), sized_url(F.col("photo.url"), size).alias("url"))
     asked = urls.join(known.select("photo_id"), "photo_id", "left_anti").select("url").filter("url IS NOT NULL").distinct()
-    responses = cut(fetch(asked))
+    responses = cut(measured(fetch(asked)))
     fresh, drops = resolve(rest, responses, known, size)
     kept = pool.photos.select("taxon_id", "place", "bucket", "observer", F.col("photo.id").alias("photo_id"))
     kept = kept.join(old.filter("sha256 IS NOT NULL").select("taxon_id", "photo_id", "sha256"), ["taxon_id", "photo_id"])
