@@ -70,3 +70,9 @@ def ranked_prefix(df: DataFrame, order: str, reason: str, limit: int) -> DataFra
         if n >= limit:
             return counted.filter(F.col("kept_before") < limit).drop("kept_before")
     return _counted(df, order, kept)[0].filter(F.col("kept_before") < limit).drop("kept_before")
+
+
+def short_prefix(df: DataFrame, order: str, reason: str, limit: int) -> DataFrame:
+    """ranked_prefix of a table that the caller knows to be short, such as one that a limit has cut: one window in one task."""
+    ahead = F.count_if(F.col(reason).isNull()).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    return df.withColumn("_ahead", ahead).filter(F.col("_ahead") < limit).drop("_ahead")

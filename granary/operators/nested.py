@@ -74,10 +74,14 @@ def state_place(results: Column, name: Column | str, level: int = 10, country: i
     return F.try_element_at(F.filter(results, fits), F.lit(1))["id"]
 
 
+def usable_photos(photos: Column, licenses: tuple[str, ...] = ("cc0", "cc-by", "cc-by-sa")) -> Column:
+    """The first photo, in list order, of an allowed licence, with its licence in lower case; an array of one or none."""
+    allowed = F.filter(photos, lambda p: F.lower(p["license_code"]).isin(*licenses))
+    return F.transform(F.slice(allowed, 1, 1), lambda p: p.withField("license_code", F.lower(p["license_code"])))
+
+
 def usable_photo(photos: Column, licenses: tuple[str, ...] = ("cc0", "cc-by", "cc-by-sa")) -> Column:
-    """The first photo, in list order, of an allowed licence, with its licence in lower case."""
-    found = F.try_element_at(F.filter(photos, lambda p: F.lower(p["license_code"]).isin(*licenses)), F.lit(1))
-    return F.when(found.isNotNull(), found.withField("license_code", F.lower(found["license_code"])))
+    return F.get(usable_photos(photos, licenses), F.lit(0))
 
 
 def agreement_count(n: Column) -> Column:

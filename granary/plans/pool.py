@@ -51,11 +51,11 @@ def usable_observations(observations: DataFrame) -> DataFrame:
     observations: taxon_id, bucket, ord and the projected fields. An observation in several buckets counts
     in the first one.
     """
-    photo = nested.usable_photo(F.col("photos"))
     rows = observations.select("taxon_id", "bucket", "ord", F.col("id").alias("observation_id"), F.col("user.login").alias("observer"), F.nullif("user.name", F.lit("")).alias("observer_name"),
-                               nested.agreement_count(F.col("num_identification_agreements")).alias("agreements"), photo.alias("photo"))
-    rows = rows.filter("observation_id IS NOT NULL AND observer IS NOT NULL AND photo.id IS NOT NULL AND photo.url IS NOT NULL")
-    return deck.first_occurrence(rows, ["taxon_id", "observation_id"], [F.col("bucket"), F.col("ord")])
+                               nested.agreement_count(F.col("num_identification_agreements")).alias("agreements"), "photos").filter("observation_id IS NOT NULL AND observer IS NOT NULL")
+    # one row or none: the photo is looked for once, and not in every filter that Spark makes of it
+    rows = rows.select("*", F.explode(nested.usable_photos(F.col("photos"))).alias("photo")).drop("photos")
+    return deck.first_occurrence(rows.filter("photo.id IS NOT NULL AND photo.url IS NOT NULL"), ["taxon_id", "observation_id"], [F.col("bucket"), F.col("ord")])
 
 
 def candidate_pool(summaries: DataFrame, details: DataFrame, observations: DataFrame, limit: int) -> Pool:
@@ -80,7 +80,7 @@ def candidate_pool(summaries: DataFrame, details: DataFrame, observations: DataF
 
     sampled = taxa.join(signals, F.col("id") == F.col("taxon_id"), "left").withColumn("n_photos", F.coalesce("n_photos", F.lit(0)))
     sampled = sampled.withColumn("reason", F.when(F.col("n_photos") < FLOOR, "insufficient_licensed_photos"))
-    final, late = ledger.split(cut(deck.ranked_prefix(sampled, "ord", "reason", limit)))
+    final, late = ledger.split(cut(deck.short_prefix(sampled, "ord", "reason", limit)))  # 2 * limit rows at most
     drops = drops.unionByName(late.select("id", "name", "reason", F.format_string("%d usable photos", "n_photos").alias("detail")))
     photos = photos.join(final.select(F.col("id").alias("taxon_id")), "taxon_id", "left_semi")
     return Pool(final.drop("detail_id", "taxon_id"), photos, drops)
