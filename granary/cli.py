@@ -21,7 +21,7 @@ from granary.sources import fetching, files, tables
 UNKNOWN_DOMAIN, UNAVAILABLE_DOMAIN, NOT_IMPLEMENTED, SOURCE_ERROR, MISSING, LOCKED, STALE, STORE_ERROR, NO_CLAIMS = range(2, 11)
 VERSION = 1
 PHOTO = "struct<place:int,bucket:string,observation_id:bigint,observer:string,observer_name:string,agreements:int,photo:struct<id:bigint,license_code:string,original_dimensions:struct<width:int,height:int>,url:string>>"
-POOL = f"version int, ord bigint, id bigint, name string, rank string, count bigint, common_name string, genus string, family string, n_photos bigint, months_represented bigint, distinct_observers bigint, photos array<{PHOTO}>"
+POOL = f"version int, ord struct<ord:bigint,place:int>, id bigint, name string, rank string, count bigint, common_name string, genus string, family string, n_photos bigint, months_represented bigint, distinct_observers bigint, photos array<{PHOTO}>"
 RESOLVED = "version int, taxon_id bigint, place int, bucket string, observer string, photo_id bigint, sha256 string"
 PROFILE = domain.Profile(500, 75, "WEBP", "codec 1")
 
@@ -54,8 +54,9 @@ def _stage(spark: SparkSession, path: str, schema: str, before: str) -> DataFram
 
 
 def _entries(spark: SparkSession, cache: str, endpoint: str) -> DataFrame:
+    """The responses of an endpoint, of one request the last; ord tells which of several is later: by the time they were fetched, then by key."""
     rows = fetching.cached(spark, cache).filter((F.col("endpoint") == endpoint) & (F.col("projection_version") == VERSION))
-    rows = cut(rows.dropDuplicates(["key"]))
+    rows = cut(claims.last_wins(rows.withColumn("_at", F.struct("fetched_at", "response")), ["key"], "_at").select("*", F.struct("fetched_at", "key").alias("ord")).drop("_at"))
     if rows.isEmpty():
         raise Exit(SOURCE_ERROR, f"{cache} has no responses of {endpoint}")
     return rows
@@ -66,10 +67,10 @@ def fetch(spark: SparkSession, a) -> str:
     _domain(a.domain)
     counts, details, seen = (_entries(spark, a.cache, e) for e in ("species_counts", "taxa_by_id", "observations"))
     summaries, skipped = P.ranked_summaries(counts.select(F.col("params")["page"].cast("long").alias("ord"), "response"))
-    known = P.taxon_details(details.select(F.xxhash64("key").alias("ord").cast("int").alias("ord"), "response"))
+    known = claims.last_wins(P.taxon_details(details), ["id"], "ord")
     hits = F.posexplode(nested.project(F.col("response"), "observations")["results"]).alias("ord", "o")
     rows = seen.select(F.col("params")["taxon_id"].cast("long").alias("taxon_id"), F.col("params")["bucket"].alias("bucket"), hits)
-    pool = P.candidate_pool(summaries, known.dropDuplicates(["id"]), rows.select("taxon_id", "bucket", F.col("ord").cast("long").alias("ord"), "o.*"), a.limit)
+    pool = P.candidate_pool(summaries, known, rows.select("taxon_id", "bucket", F.col("ord").cast("long").alias("ord"), "o.*"), a.limit)
     faults = P.pool_violations(pool).take(3)
     if faults:
         raise Exit(SOURCE_ERROR, f"the pool breaks {faults}")
@@ -129,11 +130,13 @@ def promote_pack(spark: SparkSession, a) -> str:
     resolved = _stage(spark, domain.artefact(a.work, "resolved", a.state), RESOLVED, "resolve")
     taxa = cut(pool.taxa.join(resolved.select(F.col("taxon_id").alias("id")).distinct(), "id", "left_semi"))
     hits = "array<struct<symbol:string,name:string,accepted_symbol:string,is_synonym:boolean,binomial:string,is_infraspecific:boolean>>"
-    records = _entries(spark, a.second_cache, "search").select(F.explode(F.from_json("response", f"struct<results:{hits}>")["results"]).alias("r")).select("r.*").dropDuplicates(["symbol"])
+    found = _entries(spark, a.second_cache, "search").select("ord", F.posexplode(F.from_json("response", f"struct<results:{hits}>")["results"]).alias("place", "r"))
+    records = claims.last_wins(found.select(F.struct("ord", "place").alias("ord"), "r.*"), ["symbol"], "ord").drop("ord")
     listed = "struct<symbol:string,native_statuses:array<struct<region:string,status:string>>>"
-    statuses = _entries(spark, a.second_cache, "profile").select(F.from_json("response", listed).alias("p")).select("p.symbol", F.posexplode("p.native_statuses").alias("pos", "s")).select("symbol", "pos", "s.*")
+    profiles = _entries(spark, a.second_cache, "profile").select("ord", F.from_json("response", listed).alias("p")).select("ord", "p.symbol", F.posexplode("p.native_statuses").alias("place", "s"))
+    statuses = profiles.select("symbol", F.struct("ord", "place").alias("pos"), "s.*")
     matched = P.reconcile(taxa.select("id", "name"), records, statuses)
-    details = P.taxon_details(_entries(spark, a.cache, "taxa_by_id").select(F.lit(0).alias("ord"), "response"))
+    details = P.taxon_details(_entries(spark, a.cache, "taxa_by_id"))
     listed_at = cut(P.establishment(taxa.select("id"), details, a.place))
     version = fetching.file_version(spark, a.second_cache).first().version
     first = domain.retrieved_ref("records", "https://records.invalid", F.lit(str(version)).cast("timestamp"))
@@ -198,7 +201,11 @@ def stats(spark: SparkSession, a) -> str:
     if not files.exists(spark, path):
         raise Exit(MISSING, f"nothing at {path}; run promote-pack first")
     promoted = cut(spark.read.json(path))
-    return "\n".join(_lines(P.manifest_statistics(promoted, tables.read_ledger(spark, domain.artefact(a.work, "unmatched", a.state)))))
+    ledger = domain.artefact(a.work, "unmatched", a.state)
+    unmatched = tables.drop_reasons(tables.read_ledger(spark, ledger)) if files.exists(spark, ledger) else spark.createDataFrame([], "reason string")
+    audit = domain.artefact(a.work, "promotion", a.state)
+    written = tables.report_lines(tables.read_report(spark.read.text(audit), "value")) if files.exists(spark, audit) else []
+    return "\n".join([*_lines(P.manifest_statistics(promoted, unmatched)), *written])
 
 
 def build(spark: SparkSession, a) -> str:

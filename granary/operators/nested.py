@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.functions.text import parse_name, strip_tags
+from granary.operators import guards
 
 #: Element schemas of the cached endpoints' results.
 SCHEMAS = {
@@ -19,11 +21,15 @@ SCHEMAS = {
 
 
 def project(body: Column, endpoint: str) -> Column:
-    """The endpoint's fields of a response: results keep their number and order, what is no object is null; missing results are empty."""
-    parsed = F.from_json(body, "struct<total_results:bigint,results:array<string>>")
-    element = lambda x: F.when(F.ltrim(x).startswith("{"), F.from_json(x, SCHEMAS[endpoint]))
-    results = F.transform(F.coalesce(parsed["results"], F.array().cast("array<string>")), element)
-    return F.struct(parsed["total_results"].alias("total_results"), results.alias("results"))
+    """The endpoint's fields of a response: results keep their number and order, what is no object is null; missing results are empty.
+
+    A field of another kind than the endpoint's is null, as if it weren't there.
+    """
+    parsed = F.try_parse_json(body)
+    element = T._parse_datatype_string(SCHEMAS[endpoint])
+    results = F.transform(guards.items(guards.at(parsed, "results")), lambda x: guards.read(x, element))
+    total = guards.read(guards.at(parsed, "total_results"), T.LongType())
+    return F.struct(total.alias("total_results"), F.coalesce(results, F.array().cast(T.ArrayType(element))).alias("results"))
 
 
 def ancestor(ancestors: Column, rank: str) -> Column:
@@ -46,10 +52,10 @@ def detail(taxon: Column) -> Column:
 
 
 def summary(hit: Column) -> Column:
-    """id, name, rank, count and common name of a projected count; null, so no row, if one of the first four is missing or of another kind."""
+    """id, name, rank, count and common name of a projected count; null, so no row, if one of the first four is missing, empty or out of range."""
     t = hit["taxon"]
-    row = F.struct(t["id"].alias("id"), t["name"].alias("name"), t["rank"].alias("rank"), hit["count"].alias("count"), t["preferred_common_name"].alias("common_name"))
-    return F.when(t["id"].isNotNull() & t["name"].isNotNull() & t["rank"].isNotNull() & hit["count"].isNotNull(), row)
+    row = F.struct(t["id"].alias("id"), t["name"].alias("name"), t["rank"].alias("rank"), hit["count"].alias("count"), F.nullif(t["preferred_common_name"], F.lit("")).alias("common_name"))
+    return F.when((t["id"] >= 1) & (t["name"] != "") & (t["rank"] != "") & (hit["count"] >= 0), row)
 
 
 def search_hits(hits: Column) -> Column:
@@ -74,14 +80,26 @@ def state_place(results: Column, name: Column | str, level: int = 10, country: i
     return F.try_element_at(F.filter(results, fits), F.lit(1))["id"]
 
 
-def usable_photos(photos: Column, licenses: tuple[str, ...] = ("cc0", "cc-by", "cc-by-sa")) -> Column:
-    """The first photo, in list order, of an allowed licence, with its licence in lower case; an array of one or none."""
-    allowed = F.filter(photos, lambda p: F.lower(p["license_code"]).isin(*licenses))
-    return F.transform(F.slice(allowed, 1, 1), lambda p: p.withField("license_code", F.lower(p["license_code"])))
+def usable_photos(photos: Column, licenses: tuple[str, ...] = ("cc0", "cc-by", "cc-by-sa"), needs: tuple[str, ...] = ()) -> Column:
+    """The first usable photo in list order, with its licence in lower case; an array of one or none.
+
+    Usable means an allowed licence and what is needed of id, url (no empty one) and original_dimensions (positive ones).
+    """
+    def usable(p):
+        ok = F.lower(p["license_code"]).isin(*licenses)
+        if "id" in needs:
+            ok &= p["id"].isNotNull()
+        if "url" in needs:
+            ok &= F.length(p["url"]) > 0
+        if "original_dimensions" in needs:
+            ok &= (p["original_dimensions"]["width"] > 0) & (p["original_dimensions"]["height"] > 0)
+        return ok
+
+    return F.transform(F.slice(F.filter(photos, usable), 1, 1), lambda p: p.withField("license_code", F.lower(p["license_code"])))
 
 
-def usable_photo(photos: Column, licenses: tuple[str, ...] = ("cc0", "cc-by", "cc-by-sa")) -> Column:
-    return F.get(usable_photos(photos, licenses), F.lit(0))
+def usable_photo(photos: Column, licenses: tuple[str, ...] = ("cc0", "cc-by", "cc-by-sa"), needs: tuple[str, ...] = ()) -> Column:
+    return F.get(usable_photos(photos, licenses, needs), F.lit(0))
 
 
 def agreement_count(n: Column) -> Column:

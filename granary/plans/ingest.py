@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as X
 from granary.operators import constraints as C
-from granary.operators import domain, matcher, nested, store
+from granary.operators import claims, domain, matcher, nested, store
 from granary.plans import matching
 from granary.plans.query import Registry
 from granary.session import cut, table
@@ -252,3 +252,46 @@ def policy_entries(spark, sf_dir):
         return cut(tables.read_policy(spark, path, "state int, id int", "state").groupBy("state").agg(F.count(F.lit(1)).alias("n")))
     finally:
         files.delete(spark, path)
+
+
+@R.query("""WITH r AS (SELECT p_partkey AS id, (row_number() OVER (ORDER BY p_partkey) - 1) // 30 AS batch FROM (SELECT DISTINCT p_partkey FROM part WHERE p_size <> 11))
+SELECT batch, count(*) AS n, sha256('{"endpoint":"taxa_by_id","params":{"ids":[' || string_agg(id, ',' ORDER BY id) || ']},"projection_version":1}') AS cache_key FROM r GROUP BY 1""")
+def batched_requests(spark, sf_dir):
+    """Details are asked for thirty ids at a time: each batch's size and the key of its request."""
+    batches = fetching.request_batches(table(spark, sf_dir, "part").filter("p_size <> 11"), "p_partkey")
+    return batches.select("batch", F.size("ids").cast("long").alias("n"), cache.cache_key("taxa_by_id", {"ids": F.col("ids")}, 1).alias("cache_key"))
+
+
+@R.query("""WITH b AS (SELECT p_partkey AS id, p_size AS s, (row_number() OVER (ORDER BY p_partkey) - 1) // 30 AS batch FROM part), answers AS (
+  SELECT id, batch, CASE WHEN id % 4 = 0 THEN 'late' ELSE 'early' END AS name FROM b WHERE s % 9 <> 0)
+SELECT b.id, b.batch, coalesce(a.name, 'absent') AS answer FROM b LEFT JOIN answers a USING (id)""")
+def batched_answers(spark, sf_dir):
+    """Answers to batches of ids exploded back to the ids: the last answer of an id counts, some of them come with another batch, and some ids get none."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    batches = cut(fetching.request_batches(part, "p_partkey"))
+    asked = batches.select("batch", F.explode("ids").alias("id"))
+    sizes = asked.join(part, F.col("id") == F.col("p_partkey")).filter("p_size % 9 <> 0")
+    entry = lambda name: F.struct("id", F.lit(name).alias("name"))
+    body = lambda rows, batch, name: rows.groupBy(batch.alias("batch")).agg(F.collect_list(entry(name)).alias("results"))
+    early, late = body(sizes, F.col("batch"), "early"), body(sizes.filter("id % 4 = 0"), F.col("batch") + 1, "late")
+    both = early.union(late).select(F.col("batch").alias("ord"), F.to_json(F.struct("results")).alias("response"))
+    hits = both.select("ord", F.posexplode(nested.project(F.col("response"), "taxa_by_id")["results"]).alias("place", "t")).select(F.struct("ord", "place").alias("ord"), F.col("t.id").alias("of"), F.col("t.name").alias("name"))
+    # an id's late answer came in a later response, whichever batch that answers
+    last = claims.last_wins(hits, ["of"], "ord")
+    return asked.join(last, F.col("id") == F.col("of"), "left").select("id", "batch", F.coalesce("name", F.lit("absent")).alias("answer"))
+
+
+_REPORT = """'{"agreement": ' || CASE WHEN event_id % 3 = 0 THEN '"many"' ELSE CAST(user_id AS STRING) END || ', "by_tier": {"1": ' || user_id || ', "2": "two", "3": ' || (user_id + 1) || '.5}'
+|| ', "conflicts": [{"name": "' || event_type || '", "first": "a", "second": "b"}, {"name": 7, "first": "a", "second": "b"}, "junk", {"name": "x", "first": "a"}]' || CASE WHEN event_id % 5 = 0 THEN ', "single_source": 5' ELSE
+', "single_source": [{"name": "n", "source": "first", "value": "' || user_id || '"}, null]' END || ', "excluded": ["' || event_type || '", 3, null]}'"""
+
+
+@R.query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS agreement, 0::BIGINT AS no_source, '1=' || user_id AS by_tier, event_type || ':a:b' AS conflicts,
+CASE WHEN event_id % 5 = 0 THEN '' ELSE 'n:first:' || user_id END AS single_source, event_type AS excluded FROM events""")
+def reread_reports(spark, sf_dir):
+    """Reports with malformed entries read again: what can be read stays, the rest is left out."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.expr(_REPORT).alias("body"))
+    found = tables.read_report(rows, "body", "event_id")
+    triple = lambda c, *names: F.array_join(F.transform(c, lambda x: F.concat_ws(":", *[x[n] for n in names])), ",").alias(c)
+    tiers = F.array_join(F.transform(F.map_entries("by_tier"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("by_tier")
+    return found.select("event_id", "agreement", "no_source", tiers, triple("conflicts", "name", "first", "second"), triple("single_source", "name", "source", "value"), F.array_join("excluded", ",").alias("excluded"))

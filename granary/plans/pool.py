@@ -12,6 +12,7 @@ from granary.operators import claims, constraints, deck, ledger, nested, promote
 from granary.session import cut
 
 MIN_COUNT, FLOOR, RESOLVED_FLOOR, MOST = 50, 4, 4, 8
+# The closed vocabularies of reasons.
 CANDIDATE_REASONS = ("hybrid", "not_species_rank", "below_observation_floor", "taxon_detail_unavailable", "insufficient_licensed_photos")
 RESOLVE_REASONS = ("not_found", "http_error", "not_an_image", "empty_body", "duplicate_content", "insufficient_resolved_photos")
 
@@ -46,16 +47,18 @@ def select_taxa(summaries: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]
 
 
 def usable_observations(observations: DataFrame) -> DataFrame:
-    """taxon_id, bucket, observation_id, observer and the first photo of an allowed licence; observations without one are left out.
+    """taxon_id, bucket, observation_id, observer and the first usable photo; observations without one are left out.
 
-    observations: taxon_id, bucket, ord and the projected fields. An observation in several buckets counts
-    in the first one.
+    observations: taxon_id, bucket, ord and the projected fields. Where the photos come with their dimensions, or the observation with
+    its address, these must be there. An observation in several buckets counts in the first one.
     """
-    rows = observations.select("taxon_id", "bucket", "ord", F.col("id").alias("observation_id"), F.col("user.login").alias("observer"), F.nullif("user.name", F.lit("")).alias("observer_name"),
-                               nested.agreement_count(F.col("num_identification_agreements")).alias("agreements"), "photos").filter("observation_id IS NOT NULL AND observer IS NOT NULL")
+    needs = [k for k in observations.schema["photos"].dataType.elementType.fieldNames() if k != "license_code"]
+    given = F.col("id").isNotNull() & (F.length("user.login") > 0) & (F.length("uri") > 0 if "uri" in observations.columns else F.lit(True))
+    rows = observations.filter(given).select("taxon_id", "bucket", "ord", F.col("id").alias("observation_id"), F.col("user.login").alias("observer"), F.nullif("user.name", F.lit("")).alias("observer_name"),
+                               nested.agreement_count(F.col("num_identification_agreements")).alias("agreements"), "photos")
     # one row or none: the photo is looked for once, and not in every filter that Spark makes of it
-    rows = rows.select("*", F.explode(nested.usable_photos(F.col("photos"))).alias("photo")).drop("photos")
-    return deck.first_occurrence(rows.filter("photo.id IS NOT NULL AND photo.url IS NOT NULL"), ["taxon_id", "observation_id"], [F.col("bucket"), F.col("ord")])
+    rows = rows.select("*", F.explode(nested.usable_photos(F.col("photos"), needs=tuple(needs))).alias("photo")).drop("photos")
+    return deck.first_occurrence(rows, ["taxon_id", "observation_id"], [F.col("bucket"), F.col("ord")])
 
 
 def candidate_pool(summaries: DataFrame, details: DataFrame, observations: DataFrame, limit: int) -> Pool:
@@ -67,9 +70,10 @@ def candidate_pool(summaries: DataFrame, details: DataFrame, observations: DataF
     """
     kept, drops = select_taxa(summaries, 2 * limit)
     known = details.select(F.col("id").alias("detail_id"), "genus", "family")
-    missing = kept.join(known, F.col("id") == F.col("detail_id"), "left_anti")
-    drops = ledger.union_ledgers(drops, missing.select("id", "name", F.lit("taxon_detail_unavailable").alias("reason"), F.lit("no detail was returned").alias("detail")))
-    taxa = cut(kept.join(known, F.col("id") == F.col("detail_id")))
+    found = cut(kept.join(known, F.col("id") == F.col("detail_id"), "left"))
+    lost = F.when(F.col("detail_id").isNull(), "no detail was returned").when(F.col("genus").isNull(), "no genus among the ancestors").when(F.col("family").isNull(), "no family among the ancestors")
+    drops = ledger.union_ledgers(drops, found.filter(lost.isNotNull()).select("id", "name", F.lit("taxon_detail_unavailable").alias("reason"), lost.alias("detail")))
+    taxa = found.filter(lost.isNull())
 
     wanted = F.broadcast(taxa.select(F.col("id").alias("wanted_id")).distinct())
     usable = cut(usable_observations(observations.join(wanted, F.col("taxon_id") == F.col("wanted_id"), "left_semi")))
@@ -194,14 +198,13 @@ def taxon_details(bodies: DataFrame) -> DataFrame:
     """id, ord, genus, family and establishment_means of the taxa in cached responses (ord, response); what is no taxon is left out."""
     parsed = bodies.select("ord", F.posexplode(nested.project(F.col("response"), "taxa_by_id")["results"]).alias("place", "t"))
     rows = parsed.select("ord", "place", nested.detail(F.col("t")).alias("d"), F.col("t.establishment_means").alias("establishment_means")).filter("d IS NOT NULL")
-    order = (F.col("ord").cast("long") * 1_000_000 + F.col("place")).alias("ord")
-    return rows.select("d.id", order, "d.genus", "d.family", "establishment_means")
+    return rows.select("d.id", F.struct("ord", "place").alias("ord"), "d.genus", "d.family", "establishment_means")
 
 
 def ranked_summaries(bodies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ord, id, name, rank, count, common_name of ranked counts in cached responses, number of entries that couldn't be read)."""
     parsed = bodies.select("ord", F.posexplode(nested.project(F.col("response"), "species_counts")["results"]).alias("place", "hit"))
-    rows = parsed.select((F.col("ord").cast("long") * 1_000_000 + F.col("place")).alias("ord"), nested.summary(F.col("hit")).alias("s"))
+    rows = parsed.select(F.struct("ord", "place").alias("ord"), nested.summary(F.col("hit")).alias("s"))
     return rows.filter("s IS NOT NULL").select("ord", "s.*"), rows.agg(F.count_if(F.col("s").isNull()).alias("skipped"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.operators import ledger
+from granary.operators import deck, ledger
 from granary.sources.cache import ENVELOPE
 from granary.sources.files import exists
 
@@ -106,6 +106,20 @@ def fetch_each(make_call: Callable[[], Callable], concurrency: int = CONCURRENCY
     return lambda requests: requests.mapInArrow(run, T.StructType([*requests.schema.fields, *added]))
 
 
+#: Ids that one request asks for.
+IDS_A_REQUEST = 30
+
+
+def request_batches(wanted: DataFrame, key: str, size: int = IDS_A_REQUEST) -> DataFrame:
+    """batch (from 0) and ids: distinct ids in ascending order, so many to a request and fewer only in the last.
+
+    Places in the order are counted within ranges of it and added up over the ranges; no task sees all ids, and a group has no more than size.
+    """
+    ids = wanted.filter(F.col(key).isNotNull()).select(F.col(key).alias("id")).distinct()
+    placed = deck.running_kept(ids, "id", F.lit(True)).select("id", F.floor(F.col("kept_before") / size).cast("long").alias("batch"))
+    return placed.groupBy("batch").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+
+
 def json_fault(status: Column, content_type: Column, body: Column) -> Column:
     """The first fault of a response that should be a JSON object; null if it is one. A page of HTML served with status 200 is a fault."""
     text = body.cast("string")

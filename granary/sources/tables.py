@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from granary.operators import guards
 from granary.session import cut
 from granary.sources import files
 
@@ -37,6 +38,45 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
+def drop_reasons(ledger: DataFrame) -> DataFrame:
+    """reason of every row of a ledger that was read again; a row without one, or a ledger without the column, is unrecorded."""
+    reason = F.col("reason") if "reason" in ledger.columns else F.lit(None).cast("string")
+    return ledger.select(F.coalesce(F.nullif(F.trim(reason), F.lit("")), F.lit("unrecorded")).alias("reason"))
+
+
+def read_report(rows: DataFrame, json: str, *keep: str) -> DataFrame:
+    """keep, agreement, no_source, by_tier, conflicts, single_source, excluded and demoted of promotion reports that were read again as text.
+
+    What is malformed is left out and the rest stays: entries of a list that lack a name or have one of another kind, tiers without a
+    whole number. Counts that can't be read are 0, text that is no object is an empty report.
+    """
+    report = F.try_parse_json(json)
+    whole = lambda k: F.coalesce(guards.read(guards.at(report, k), T.LongType()), F.lit(0)).alias(k)
+
+    def entries(k: str, *names: str) -> Column:
+        kind = T.StructType([T.StructField(x, T.StringType()) for x in names])
+        found = F.filter(F.transform(guards.items(guards.at(report, k)), lambda x: guards.read(x, kind)), lambda x: F.concat(*[x[n] for n in names]).isNotNull())
+        return F.coalesce(found, F.array().cast(T.ArrayType(kind))).alias(k)
+
+    def texts(k: str) -> Column:
+        found = F.array_compact(guards.read(guards.at(report, k), T.ArrayType(T.StringType())))
+        return F.coalesce(found, F.array().cast("array<string>")).alias(k)
+
+    tiers = F.map_filter(F.transform_values(guards.fields(guards.at(report, "by_tier")), lambda k, v: guards.read(v, T.LongType())), lambda k, v: v.isNotNull())
+    tiers = F.coalesce(tiers, F.create_map().cast("map<string,bigint>")).alias("by_tier")
+    return rows.select(*keep, whole("agreement"), whole("no_source"), tiers, entries("conflicts", "name", "first", "second"), entries("single_source", "name", "source", "value"), texts("excluded"), texts("demoted"))
+
+
+def report_lines(report: DataFrame) -> list[str]:
+    """A report as text: names sorted, one line for each conflict and lone source."""
+    row = report.first()
+    if row is None:
+        return []
+    out = [f"sources: {row.agreement} agree, {len(row.conflicts)} conflict, {len(row.single_source)} alone, {row.no_source} none", *[f"tier {k}: {v}" for k, v in sorted(row.by_tier.items())]]
+    out += [f"  {x.name}: {x.first} against {x.second}" for x in sorted(row.conflicts)] + [f"  {x.name}: {x.value} ({x.source} alone)" for x in sorted(row.single_source)]
+    return [*out, *[f"excluded: {x}" for x in sorted(row.excluded)], *[f"asked by genus: {x}" for x in sorted(row.demoted)]]
+
+
 def write_nonempty(df: DataFrame, path: str) -> None:
     """Writes nested JSON in one move; an empty table is refused, as it would say that something was tried and failed."""
     if df.isEmpty():
@@ -60,27 +100,26 @@ class StaleTable(ValueError):
     """A stage's input was written under another schema; the stage that wrote it has to run again."""
 
 
+#: Places of a stale table that its error names.
+NAMED = 5
+
+
 def read_nested(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A stage's nested JSON. Its fields must be those of the schema, at every depth: an unknown or a missing one means another build wrote it."""
+    """A stage's nested JSON. Its fields must be those of the schema, at every depth: an unknown one or one of another kind means another build wrote it, and is named."""
     if not files.exists(spark, path):
         raise MissingTable(path)
     want = T._parse_datatype_string(schema)
-    found = spark.read.option("primitivesAsString", True).json(path).schema
-    faults = _differences(want, found, "$")
-    if faults:
-        raise StaleTable(f"{path}: {', '.join(faults)}")
+    bad = unreadable_places(spark.read.text(path), "value", want).limit(NAMED).collect()
+    if bad:
+        raise StaleTable(f"{path}: {', '.join(sorted({r.fault for r in bad}))}")
     return spark.read.schema(want).option("mode", "FAILFAST").json(path)
 
 
-def _differences(want: T.DataType, found: T.DataType, path: str) -> list[str]:
-    if isinstance(want, T.StructType) and isinstance(found, T.StructType):
-        own, other = {f.name: f.dataType for f in want.fields}, {f.name: f.dataType for f in found.fields}
-        # a field that is null in every row isn't written, so only unknown ones tell of another build
-        return [f"{path}.{k} is unknown" for k in sorted({*other} - {*own})] + [x for k in sorted({*own} & {*other}) for x in _differences(own[k], other[k], f"{path}.{k}")]
-    if isinstance(want, T.ArrayType) and isinstance(found, T.ArrayType):
-        return _differences(want.elementType, found.elementType, f"{path}[*]")
-    nested = (T.StructType, T.ArrayType)
-    return [f"{path} has another form"] if isinstance(want, nested) != isinstance(found, nested) and not isinstance(want, T.MapType) else []
+def unreadable_places(rows: DataFrame, json: str, closed: T.DataType, *keep: str) -> DataFrame:
+    """keep and fault: a row for every place of the JSON texts that a closed schema doesn't allow, and for texts that are no JSON."""
+    parsed = F.try_parse_json(json)
+    found = F.when(parsed.isNull(), F.array(F.lit("no JSON"))).otherwise(guards.faults(parsed, closed))
+    return rows.select(*keep, F.explode(found).alias("fault"))
 
 
 def refreshed_places(states: DataFrame, found: DataFrame, path: str) -> None:
