@@ -96,14 +96,26 @@ def join_known(left: DataFrame, right: DataFrame, *columns: str, how: str = "inn
     return left.join(other, reduce(Column.__and__, same), how).drop(*[f"_right_{c}" for c in columns])
 
 
-#: Rows of a table of ids or hashes up to which it is broadcast; larger ones meet their partners in a shuffle.
-MOST_SENT = 250_000
+#: Rows of a table of ids or hashes up to which it is broadcast, and bytes; larger ones meet their partners in a shuffle.
+MOST_SENT, MOST_SENT_BYTES = 250_000, 32_000_000
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row's values take."""
+    sizes = [F.lit(8 * len(df.columns))]
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            sizes.append(F.coalesce(F.octet_length(f"`{name}`"), F.lit(0)))
+        elif kind.startswith("array"):
+            sizes.append(8 * F.greatest(F.size(f"`{name}`"), F.lit(0)))
+    return reduce(Column.__add__, [c.cast("long") for c in sizes])
 
 
 def sent(table: DataFrame) -> DataFrame:
-    """A table of few numbers a row, cut from its lineage, marked for broadcast if it is small enough."""
+    """A table of few values a row, cut from its lineage, marked for broadcast if its rows and their bytes are few enough."""
     table = cut_few(table)
-    return F.broadcast(table) if table.count() <= MOST_SENT else table
+    rows, size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(table)), F.lit(0))).first()
+    return F.broadcast(table) if rows <= MOST_SENT and size <= MOST_SENT_BYTES else table
 
 
 def text_key(text: Column) -> Column:
