@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 from functools import reduce
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,16 +25,20 @@ MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
 #: A bucket's upper edge is so many times its lower edge.
 GAMMA = 1.02
-#: A source's quantiles count as its rows, those of its language as so many rows more; likewise a language's in the corpus.
-PARENT_ROWS = 10
-#: Each ratio in thousandths: its formula, the least spread, and spreads allowed above and below the median. Where the
-#: median is 0, the least spread times those above must stay under what the base rule leaves (REPEAT_PERCENT).
+#: A quantile of a source is as sure as rows lie beyond it: its language's counts as so many rows beyond it, likewise the corpus's for a language's.
+ROWS_BEYOND = 10
+#: Each ratio in thousandths: its formula, the quantile that shows the spread of its upper side (and the lower one, if that side has a
+#: limit), and how many thousandths one find more makes in a document of median length.
 RATIOS = {
-    "symbols": ("1000 * n_symbols div greatest(n_words, 1)", 25, 4, None),
-    "word_length": ("1000 * word_chars div greatest(n_words, 1)", 300, 8, 8),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 75, 4, None),
-    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 40, 4, None),
+    "symbols": ("1000 * n_symbols div greatest(n_words, 1)", 0.9, None, "1000 / n_words"),
+    "word_length": ("1000 * word_chars div greatest(n_words, 1)", 0.9, 0.1, "1000 / n_words"),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 0.98, None, "1000 / n_lines"),
+    "repeats": ("1000 * n_repeat_words div greatest(n_words, 1)", 0.98, None, f"{2 * REPEAT_WINDOW} * 1000 / n_words"),
 }
+#: Document lengths whose medians are read beside the ratios'.
+LENGTHS = ("n_words", "n_lines")
+#: A limit lies where so many standard deviations of a normal distribution with the same median and quantile would end.
+DEVIATIONS = 6.0
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 _HAS_WORD = re.compile(r"[^\x20\x09-\x0D]").search
 
@@ -77,48 +82,65 @@ def _bucket(x: Column) -> Column:
 
 
 def _value(bucket: Column) -> Column:
-    """The middle of a bucket."""
-    return F.when(bucket == 0, F.lit(0.0)).otherwise(F.pow(F.lit(GAMMA), bucket - 0.5))
+    """The upper edge of a bucket: nothing in it is more."""
+    return F.when(bucket == 0, F.lit(0.0)).otherwise(F.pow(F.lit(GAMMA), bucket))
+
+
+def _stretch(level: float) -> float:
+    """From a quantile's distance to the median to DEVIATIONS standard deviations."""
+    return DEVIATIONS / NormalDist().inv_cdf(max(level, 1 - level))
+
+
+def _own(choices: dict, kind: str = "double") -> Column:
+    """The choice for the row's ratio."""
+    return F.coalesce(*[F.when(F.col("ratio") == k, F.lit(v).cast(kind)) for k, v in choices.items() if v is not None])
 
 
 def limits(features: DataFrame) -> DataFrame:
     """lang, source and for each ratio its lowest and highest allowed value, for every (lang, source) there is.
 
-    features: lang, source and the COUNTS, of all documents that pass the base rules. The median,
-    the tenth percentile and the upper quartile are read from every source's own sketch at every size, and are blended with its
-    language's by n / (n + PARENT_ROWS), n the source's rows; the language's are blended with the whole
-    corpus's in the same way. A limit lies a number of spreads from the
-    median, so that a uniform corpus loses nothing and one dominant junk source cannot move the limits of
-    others. A spread is the median minus the tenth percentile and at least a ratio's least spread; above a
-    median of 0, where nothing lies below, it is the upper quartile's distance, if that is more.
+    features: lang, source and the COUNTS, of all documents that pass the base rules. The median and the quantile that
+    a ratio's limit follows are read from every source's own sketch, its language's and the corpus's. A source's quantile q of n rows
+    counts n / (n + ROWS_BEYOND / (1 - q)) and its language's the rest, and so on upwards: a source of few rows is judged mostly as
+    its language, a large one as itself. The limit is as far from the median as the quantile says, and at least
+    what one find more makes in a document of median length, so that a uniform corpus loses nothing. Nothing else is fixed:
+    sources of other habits have other limits, and one dominant junk source cannot move those of others.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), _bucket(F.expr(x[0])).alias("bucket")) for k, x in RATIOS.items()]))
+    numbers = {k: F.expr(x[0]) for k, x in RATIOS.items()} | {k: F.col(k) for k in LENGTHS}
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), _bucket(x).alias("bucket")) for k, x in numbers.items()]))
     fine = features.select("lang", "source", pairs.alias("p")).groupBy("lang", "source", "p.ratio", "p.bucket").agg(F.count(F.lit(1)).alias("n"))
     fine = cut_few(fine)
+    levels = {"mid": dict.fromkeys(numbers, 0.5), "top": {k: x[1] for k, x in RATIOS.items()}, "low": {k: x[2] for k, x in RATIOS.items()}}
     found = []
     for level, keys in enumerate((["lang", "source"], ["lang"], [])):
         sketch = fine.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
         total = Window.partitionBy(*keys, "ratio")
         upto = total.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
         ranked = sketch.withColumns({"upto": F.sum("n").over(upto), "rows": F.sum("n").over(total)})
-        quantile = lambda q: F.min(F.when(F.col("upto") >= F.col("rows") * q, F.col("bucket")))
-        read = ranked.groupBy(*keys, "ratio").agg(_value(quantile(0.5)).alias("mid"), _value(quantile(0.1)).alias("low"), _value(quantile(0.75)).alias("top"), F.max("rows").alias("rows"))
-        found.append((keys, read.select(*[F.col(k).alias(f"{k}_{level}") for k in keys], F.col("ratio").alias(f"ratio_{level}"), F.struct("mid", "low", "top", "rows").alias(f"s_{level}"))))
+        quantile = lambda q: _value(F.min(F.when(F.col("upto") >= F.col("rows") * q, F.col("bucket"))))
+        read = ranked.groupBy(*keys, "ratio").agg(*[quantile(_own(q)).alias(name) for name, q in levels.items()], F.max("rows").alias("rows"))
+        found.append((keys, read.select(*[F.col(k).alias(f"{k}_{level}") for k in keys], F.col("ratio").alias(f"ratio_{level}"), F.struct(*levels, "rows").alias(f"s_{level}"))))
     out = fine.select("lang", "source", "ratio").distinct()
     for level, (keys, read) in enumerate(found):
         same = [out[k].eqNullSafe(read[f"{k}_{level}"]) for k in keys] + [out["ratio"] == read[f"ratio_{level}"]]
         out = out.join(read, reduce(Column.__and__, same), "left").select(out["*"], f"s_{level}")
-    best = {x: F.col(f"s_2.{x}") for x in ("mid", "low", "top")}
+    best = {x: F.col(f"s_2.{x}") for x in levels}
+    beyond = {x: ROWS_BEYOND / _own({k: q and 1 - max(q, 1 - q) for k, q in qs.items()}) for x, qs in levels.items()}
     for level in (1, 0):
-        weight = F.col(f"s_{level}.rows") / (F.col(f"s_{level}.rows") + PARENT_ROWS)
-        best = {x: weight * F.col(f"s_{level}.{x}") + (1 - weight) * parent for x, parent in best.items()}
-    least = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(float(x[1]))) for k, x in RATIOS.items()])
-    spread = F.greatest(best["mid"] - best["low"], least)
-    above = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(float(x[2]))) for k, x in RATIOS.items()])
-    below = F.coalesce(*[F.when(F.col("ratio") == k, F.lit(float(x[3]))) for k, x in RATIOS.items() if x[3]])
-    out = out.select("lang", "source", "ratio", (best["mid"] + above * F.greatest(spread, F.when(best["low"] == 0, best["top"] - best["mid"]))).alias("high"), F.coalesce(best["mid"] - below * spread, F.lit(-1.0)).alias("low"))
-    sides = [F.max(F.when(F.col("ratio") == k, F.col(side))).alias(f"{side}_{k}") for k in RATIOS for side in ("low", "high")]
-    return out.groupBy(F.col("lang").alias("limit_lang"), F.col("source").alias("limit_source")).agg(*sides)
+        rows = F.col(f"s_{level}.rows")
+        best = {x: (rows * F.col(f"s_{level}.{x}") + beyond[x] * parent) / (rows + beyond[x]) for x, parent in best.items()}
+    out = out.select("lang", "source", "ratio", *[c.alias(x) for x, c in best.items()])
+
+    of = lambda name, k: F.max(F.when(F.col("ratio") == k, F.col(name)))
+    wide = out.groupBy(F.col("lang").alias("limit_lang"), F.col("source").alias("limit_source")).agg(
+        *[of("mid", k).alias(k) for k in LENGTHS], *[of(x, k).alias(f"{x}_of_{k}") for k in RATIOS for x in levels]
+    )
+    bounds = []
+    for k, (_, top, low, step) in RATIOS.items():
+        mid, one = F.col(f"mid_of_{k}"), F.expr(step)
+        bounds.append((mid + F.greatest(_stretch(top) * (F.col(f"top_of_{k}") - mid), one)).alias(f"high_{k}"))
+        bounds.append((mid - F.greatest(_stretch(low) * (mid - F.col(f"low_of_{k}")), one) if low else F.lit(-1.0)).alias(f"low_{k}"))
+    return wide.select("limit_lang", "limit_source", *bounds)
 
 
 def base_failed(at: str = "") -> Column:

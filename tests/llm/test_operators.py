@@ -2,9 +2,11 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
+from statistics import NormalDist
 
 import numpy as np
 import public_tokenizers
@@ -595,49 +597,95 @@ def test_quality_rules(docs, rows):
     assert all(r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words) and not (r.base_failed and r.kept) for r in got)
 
 
-def _limits(values):
-    """Brute force: ratio lists by (lang, source), read from sorted lists of buckets, blended with the language's and the corpus's."""
+LEVELS = {"symbols": (0.9, None), "word_length": (0.9, 0.1), "dup_lines": (0.98, None), "repeats": (0.98, None)}
+
+
+def _blended(values, q):
+    """Brute force: quantile q by (lang, source), read from sorted lists of buckets, blended with the language's and the corpus's."""
 
     def read(numbers):
         buckets = sorted(0 if x <= 0 else 1 + math.floor(math.log(x) / math.log(1.02)) for x in numbers)
-        middle = lambda q: next(b for k, b in enumerate(buckets, 1) if k >= len(buckets) * q)
-        return [0.0 if middle(q) == 0 else 1.02 ** (middle(q) - 0.5) for q in (0.5, 0.1, 0.75)], len(numbers)
+        bucket = next(b for k, b in enumerate(buckets, 1) if k >= len(buckets) * q)
+        return 1.02**bucket if bucket else 0.0
 
-    out = {}
+    out, more = {}, 10 / (1 - max(q, 1 - q))
     for (lang, source), own in values.items():
-        levels = [[x for (a, _), v in values.items() for x in v], [x for (a, _), v in values.items() if a == lang for x in v], own]
-        best = read(levels[0])[0]
-        for level in levels[1:]:
-            found, n = read(level)
-            best = [n / (n + 10) * x + (1 - n / (n + 10)) * y for x, y in zip(found, best)]
+        language = [x for (a, _), v in values.items() if a == lang for x in v]
+        best = read([x for v in values.values() for x in v])
+        for level in (language, own):
+            best = (len(level) * read(level) + more * best) / (len(level) + more)
         out[lang, source] = best
     return out
 
 
+def _bounds(features, groups):
+    """{ratio: {group: (low, high)}}. features: {id: {ratio or length: number}}, groups: {group: ids}."""
+    of = lambda name, q: _blended({g: [features[i][name] for i in ids] for g, ids in groups.items()}, q)
+    n_words, n_lines, out = of("n_words", 0.5), of("n_lines", 0.5), {}
+    step = {"symbols": lambda g: 1000 / n_words[g], "word_length": lambda g: 1000 / n_words[g], "dup_lines": lambda g: 1000 / n_lines[g], "repeats": lambda g: 16_000 / n_words[g]}
+    for name, (top, low) in LEVELS.items():
+        mid, high, bottom = of(name, 0.5), of(name, top), low and of(name, low)
+        wide = lambda q: 6 / NormalDist().inv_cdf(max(q, 1 - q))
+        out[name] = {g: (mid[g] - max(wide(low) * (mid[g] - bottom[g]), step[name](g)) if low else -1, mid[g] + max(wide(top) * (high[g] - mid[g]), step[name](g))) for g in groups}
+    return out
+
+
+def _features(t):
+    n, chars, symbols, dup, repeated = _base(t)
+    n_lines = len([x for x in t.split("\n") if x.strip()])
+    if n < 20 or 100 * repeated > 30 * n:
+        return None
+    return {"symbols": 1000 * symbols // n, "word_length": 1000 * chars // n, "dup_lines": 1000 * dup // n_lines, "repeats": 1000 * repeated // n, "n_words": n, "n_lines": n_lines}
+
+
+def _kept(rows):
+    features = {i: f for i, t, *_ in rows if (f := _features(t or ""))}
+    groups = {}
+    for i, _, lang, source in rows:
+        if i in features:
+            groups.setdefault((lang, source), []).append(i)
+    bounds = _bounds(features, groups)
+    return {i for g, ids in groups.items() for i in ids if all(bounds[name][g][0] <= features[i][name] <= bounds[name][g][1] for name in LEVELS)}, features
+
+
 def test_quality_verdicts(spark):
     rnd, rows = random.Random(19), []
     for k in range(500):
         lang, source = rnd.choice(["en", "fr", None]), rnd.choice(["a", "b", "c", None])
         text = [" ".join(w + "#" * (rnd.random() < {"a": 0.3, "b": 0.05}.get(source, 0.0)) * rnd.randint(1, 4) for w in words(rnd, rnd.randint(4, 12))) for _ in range(rnd.randint(3, 12))]
-        text += [text[0]] * rnd.choice([0, 0, 0, 1, 3]) + ["x" * rnd.randint(5, 60)] * (rnd.random() < 0.1)
+        text += [text[0]] * rnd.choice([0] * 40 + [1, 2, 9]) + ["x" * rnd.randint(100, 900)] * (rnd.random() < 0.03)
         rows.append((k, "\n".join(text), lang, source))
-    least, above, below = {"symbols": 25, "word_length": 300, "dup_lines": 75, "repeats": 40}, {"symbols": 4, "word_length": 8, "dup_lines": 4, "repeats": 4}, {"word_length": 8}
-    ratios, groups = {}, {}
-    for i, t, lang, source in rows:
-        n, chars, symbols, dup, repeated = _base(t)
-        n_lines = len([x for x in t.split("\n") if x.strip()])
-        if n >= 20 and 100 * repeated <= 30 * n:
-            ratios[i] = {"symbols": 1000 * symbols // n, "word_length": 1000 * chars // n, "dup_lines": 1000 * dup // n_lines, "repeats": 1000 * repeated // n}
-            groups.setdefault((lang, source), []).append(i)
-    kept = set(ratios)
-    for name in least:
-        for group, (mid, low, top) in _limits({g: [ratios[i][name] for i in ids] for g, ids in groups.items()}).items():
-            spread = max(mid - low, least[name])
-            high = mid + above[name] * max(spread, top - mid if low == 0 else 0)
-            bottom = mid - below[name] * spread if name in below else -1
-            kept -= {i for i in groups[group] if not bottom <= ratios[i][name] <= high}
+    kept, features = _kept(rows)
     got = quality.quality_rules(frame(spark, rows)).collect()
-    assert {r.doc_id for r in got if r.kept} == kept and 0 < len(kept) < len(ratios)
+    assert {r.doc_id for r in got if r.kept} == kept and 0 < len(kept) < len(features)
+
+
+def test_habits_set_limits(spark):
+    """Sources that repeat lines, runs and symbols as a habit have limits that let them, in every ratio; others don't."""
+    rnd, rows = random.Random(23), []
+    for k in range(1600):
+        source = ("plain", "verse", "code", "long")[k % 4]
+        lines = [" ".join(w + ("longer" if source == "long" and rnd.random() < 0.5 else "") + ("#" if source == "code" and rnd.random() < 0.3 else "") for w in words(rnd, 9)) for _ in range(rnd.randint(8, 14))]
+        if source == "verse":
+            lines += [rnd.choice(lines) for _ in range(rnd.randint(0, 2))]
+        rows.append((k, "\n".join(lines), "en", source))
+    docs = frame(spark, rows)
+    kept = {r.doc_id for r in quality.quality_rules(docs).collect() if r.kept}
+    want, passed = _kept(rows)
+    assert kept == want and len(kept) > 0.99 * len(passed) and len(passed) > 1500
+    bounds = {r.limit_source: r for r in quality.limits(quality._features(docs, "doc_id", "text", "lang", "source").filter(~quality.base_failed())).collect()}
+    assert bounds["verse"].high_dup_lines > 1.2 * bounds["plain"].high_dup_lines and bounds["verse"].high_repeats > 1.2 * bounds["plain"].high_repeats
+    assert bounds["code"].high_symbols > 1.5 * bounds["plain"].high_symbols and bounds["long"].high_word_length > 1.1 * bounds["plain"].high_word_length
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_groups_have_limits_of_their_own(spark):
+    docs = common.documents(spark, "/root/testdata/sf0.01")
+    found = quality.limits(quality._features(docs, "doc_id", "text", "lang", "source").filter(~quality.base_failed())).collect()
+    for name in LEVELS:
+        assert len({r[f"high_{name}"] for r in found}) > len(found) / 2
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()]
+    assert {r.doc_id for r in quality.quality_rules(docs).collect() if r.kept} == _kept(rows)[0]
 
 
 @pytest.mark.parametrize("most", [0, 250_000])
@@ -672,10 +720,10 @@ def test_every_ratio_rejects_an_outlier(spark):
 
     clean = [(k, "\n".join(text()), "en", "a") for k in range(300)]
     twice = text(10)
-    run = " ".join(words(rnd, 10))
+    run, short = " ".join(words(rnd, 10)), " ".join(words(rnd, 3))
     outliers = {
-        "symbols": " ".join(x + "##" for x in "\n".join(text()).split()), "word_length": "\n".join(text()).replace(" ", "longer "),
-        "dup_lines": "\n".join(x for line in text(8) for x in (line, "so it is")), "repeats": "\n".join([*twice, run, *text(1), run]),
+        "symbols": " ".join(x[:-2] + "##" for x in "\n".join(text()).split()), "word_length": "\n".join(text()).replace(" ", "longer "),
+        "dup_lines": "\n".join(x for line in text(8) for x in (line, short)), "repeats": "\n".join([*twice, run, *text(1), run]),
     }
     docs = frame(spark, clean + [(1000 + k, t, "en", "a") for k, t in enumerate(outliers.values())])
     got = quality.quality_rules(docs).collect()
