@@ -2,7 +2,7 @@
 
 An answer fits a card by the first rule that hits: 1 exact, 2 same words, 3 misspelling, 4 sounds alike
 (scientific names only). Rules 1 and 2 are equi-joins. Rules 3 and 4 meet distinct answers and names through
-keys that every pair that fits shares: a part of the name that no edit touches, and the sounds of the first and the last word.
+keys that every pair that fits shares: what one edit at most leaves of a part of the name, and the sounds of the first and the last word.
 """
 
 from __future__ import annotations
@@ -55,40 +55,52 @@ def checked_deck(cards: DataFrame) -> DataFrame:
     return deck
 
 
-def _cuts(size: Column, edits: Column) -> Column:
-    """(begin, length) of the 2 * edits + 1 parts, as even as can be, of a name of a size. An edit touches one part, a swap two."""
-    parts = 2 * edits + 1
-    place = lambda i: F.floor(i * size / parts).cast("int")
-    return F.transform(F.sequence(F.lit(0), 2 * edits), lambda i: F.struct(place(i).alias("begin"), (place(i + 1) - place(i)).alias("length")))
+def _without_one(texts: Column) -> Column:
+    """The texts (an array) with each of their letters left out in turn."""
+    return F.flatten(F.transform(texts, lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.left(w, i - 1), F.substr(w, i + 1)))))
+
+
+def _parts(size: Column, edits: Column) -> Column:
+    """(begin, length) of as many parts, as even as can be, of a name of a size as edits are allowed, one at least."""
+    many = F.greatest(edits, F.lit(1))
+    place = lambda i: F.floor(i * size / many).cast("int")
+    return F.transform(F.sequence(F.lit(0), many - 1), lambda i: F.struct(place(i).alias("begin"), (place(i + 1) - place(i)).alias("length")))
 
 
 def misspelled(answers: DataFrame, names: DataFrame, within) -> DataFrame:
     """answer, accepted, distance: pairs at most so many edits apart as within(name) says, never more than the name is long.
 
-    answers and names: one column each, answer and accepted, of distinct strings. Of the parts of a name one is
-    untouched: it stands in the answer, shifted by no more than the number of edits. Pairs meet by the name's length,
-    the part's number and its letters, so that not all names of a length meet all answers.
+    answers and names: one column each, answer and accepted, of distinct strings. A name has as many parts as edits are allowed. An
+    edit lies in one part, a swap over a boundary in two, and there is one boundary fewer: so one part has one edit at
+    most. It stands in the answer, shifted by no more than the number of edits, up to a letter left out on either side. Pairs
+    meet by the part's number and what is left of it.
     """
     sized = names.withColumn("most", within(F.col("accepted"))).withColumn("size", F.length("accepted"))
     kinds = F.broadcast(cut(sized.select("size", "most").distinct()))  # a line for each length there is
-    sized = sized.withColumn("cuts", _cuts(F.col("size"), F.col("most")))
-    parts = F.transform("cuts", lambda p, i: F.struct(i.alias("nth"), F.substring("accepted", p["begin"] + 1, p["length"]).alias("part")))
-    keyed = sized.withColumn("parts", parts).select("accepted", "most", "size", F.explode("parts").alias("p")).select("accepted", "most", "size", "p.nth", "p.part")
+    own = F.transform(_parts(F.col("size"), F.col("most")), lambda p: F.array(F.substring("accepted", p["begin"] + 1, p["length"])))
+    flat = F.flatten(F.transform(own, lambda w, i: F.transform(F.array_distinct(F.concat(w, F.when(F.col("most") > 0, _without_one(w)).otherwise(F.slice(w, 1, 0)))), lambda v: F.struct(i.alias("nth"), v.alias("left")))))
+    keyed = sized.select("accepted", "most", "size", F.explode(flat).alias("k")).select("accepted", "most", "size", "k.nth", "k.left")
 
     asked = answers.withColumn("n", F.length("answer"))
-    lengths = kinds.withColumn("cuts", _cuts(F.col("size"), F.col("most"))).withColumn("ns", F.expr("sequence(greatest(size - most, 0), size + most)"))
-    lengths = lengths.select("size", F.col("most").alias("edits"), "cuts", F.explode("ns").alias("n"))
-    asked = asked.join(F.broadcast(lengths), "n")
-
-    def found(p, i):
-        """The answer's letters where the part may stand."""
-        begins = F.sequence(F.greatest(p["begin"] - F.col("edits"), F.lit(0)), F.least(p["begin"] + F.col("edits"), F.greatest(F.col("n") - p["length"], F.lit(0))))
-        begins = F.when(F.col("n") - p["length"] >= p["begin"] - F.col("edits"), begins).otherwise(F.array().cast("array<int>"))
-        return F.transform(begins, lambda b: F.struct(i.alias("nth"), F.substring("answer", b + 1, p["length"]).alias("part")))
-
-    asked = asked.withColumn("parts", F.array_distinct(F.flatten(F.transform("cuts", found))))
-    asked = asked.select("answer", "size", F.explode("parts").alias("p")).select("answer", "size", "p.nth", "p.part")
-    met = asked.join(keyed, ["size", "nth", "part"]).filter(F.levenshtein("answer", "accepted") <= 2 * F.col("most")).select("answer", "accepted", "most").distinct()
+    lengths = kinds.withColumn("places", _parts(F.col("size"), F.col("most"))).withColumn("ns", F.expr("sequence(greatest(size - most, 0), size + most)"))
+    lengths = lengths.select(F.col("most").alias("edits"), F.explode("ns").alias("n"), F.posexplode("places").alias("nth", "p"))
+    # names of several lengths may allow the same edits: their parts' places are looked at together
+    spans = lengths.groupBy("n", "edits", "nth", "p.length").agg(F.min("p.begin").alias("first"), F.max("p.begin").alias("last"))
+    asked = asked.join(F.broadcast(spans), "n")
+
+    def windows(more: int):
+        """What stands in the answer where the part may, some letters longer or shorter than it."""
+        width = F.col("length") + more
+        first, last = F.greatest(F.col("first") - F.col("edits"), F.lit(0)), F.least(F.col("last") + F.col("edits"), F.col("n") - width)
+        begins = F.when((width >= 0) & (last >= first), F.sequence(first, F.greatest(last, first))).otherwise(F.array().cast("array<int>"))
+        return F.transform(begins, lambda b: F.substring("answer", b + 1, width))
+
+    same = windows(0)
+    left = F.when(F.col("edits") > 0, F.concat(same, _without_one(same), windows(-1), _without_one(windows(1)))).otherwise(same)
+    asked = asked.select("answer", "edits", "nth", F.explode(F.array_distinct(left)).alias("left")).distinct()
+    near = F.expr("levenshtein(answer, accepted, 2 * most) >= 0")
+    met = asked.join(keyed.withColumnsRenamed({"most": "edits"}).withColumn("most", F.col("edits")), ["edits", "nth", "left"])
+    met = met.filter((F.abs(F.length("answer") - F.col("size")) <= F.col("most")) & near).select("answer", "accepted", "most").distinct()
     return met.withColumn("distance", damerau_levenshtein(F.col("answer"), F.col("accepted"), F.col("most"))).filter("distance <= most").select("answer", "accepted", "distance")
 
 

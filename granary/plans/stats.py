@@ -27,6 +27,12 @@ def nearest_rank_p10(spark, sf_dir):
     return stats.nearest_rank(table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity"), ["l_suppkey"], "l_quantity", 0.1, "p10")
 
 
+@R.query("""SELECT l_returnflag, list_sort(list(l_extendedprice))[1 + round_even(0.9 * (count(*) - 1), 0)::BIGINT] AS p90 FROM lineitem GROUP BY 1""")
+def nearest_rank_price(spark, sf_dir):
+    """Few groups with nearly as many distinct values as rows."""
+    return stats.nearest_rank(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice"), ["l_returnflag"], "l_extendedprice", 0.9, "p90")
+
+
 @R.query("SELECT l_suppkey, trunc(median(l_quantity))::BIGINT AS median_quantity FROM lineitem GROUP BY 1")
 def median_trunc(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(stats.truncated_median(F.col("l_quantity")).alias("median_quantity"))

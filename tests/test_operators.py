@@ -205,3 +205,53 @@ def test_grading(spark):
     for r in got:
         answer = said[(r.answer_id - r.card_id) // 100]
         assert (r.outcome, r.matched_id, r.level, r.confused_with, r.edit_distance) == _expected(answer, r.card_id), (answer, r.card_id)
+
+
+@pytest.mark.parametrize("off", [0.01, -0.4])
+def test_nearest_rank_equals_sorting(spark, monkeypatch, off):
+    """Groups of all sizes, ties, nulls and a group with most rows; a bracket that misses falls back on counting."""
+    from granary.operators import stats
+
+    monkeypatch.setattr(stats, "OFF", off)
+    monkeypatch.setattr(stats, "SKETCH", 8 if off > 0 else 2000)
+    rnd = random.Random(6)
+    rows = [(rnd.choice([None, "a", "b"]), rnd.choice([rnd.random(), float(rnd.randint(0, 3)), None])) for _ in range(500)] + [("hot", rnd.random() * 1e6) for _ in range(6000)] + [("one", 3.0), ("nulls", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    for fraction in (0.0, 0.1, 0.5, 0.99, 1.0):
+        want = {}
+        for g in {g for g, _ in rows}:
+            values = sorted(v for k, v in rows if k == g and v is not None)
+            if values:
+                want[g] = values[round(fraction * (len(values) - 1))]
+        assert {r.g: r.p for r in stats.nearest_rank(df, ["g"], "v", fraction, "p").collect()} == want
+    names = spark.createDataFrame([(1, "x"), (1, "y"), (1, "z")], "g int, v string")
+    assert stats.nearest_rank(names, ["g"], "v", 0.5, "p").first().p == "y"
+
+
+def test_misspellings_equal_comparing_all_pairs(spark):
+    from granary.functions.text import edits_within
+    from granary.operators import matcher
+
+    rnd = random.Random(12)
+    names = {"".join(rnd.choice("abcd ") for _ in range(rnd.randint(1, 26))) for _ in range(150)}
+    answers = set()
+    for name in sorted(names):
+        letters = list(name)
+        for _ in range(rnd.randint(0, 5)):
+            k = rnd.randrange(len(letters) + 1)
+            kind = rnd.randrange(4)
+            if kind == 0:
+                letters.insert(k, rnd.choice("abcdz"))
+            elif kind == 1 and letters:
+                letters.pop(min(k, len(letters) - 1))
+            elif kind == 2 and letters:
+                letters[min(k, len(letters) - 1)] = rnd.choice("abcdz")
+            elif k + 1 < len(letters):
+                letters[k], letters[k + 1] = letters[k + 1], letters[k]
+        answers.add("".join(letters))
+    answers -= {""}
+    frame = lambda rows, c: spark.createDataFrame([(x,) for x in sorted(rows)], f"{c} string")
+    rules = [(lambda c: F.greatest(F.lit(1), F.floor(F.length(c) / 6)).cast("int"), lambda n: max(1, len(n) // 6)), (lambda c: F.lit(0), lambda n: 0), (lambda c: F.lit(3), lambda n: 3)]
+    for within, most in rules:
+        got = {(r.answer, r.accepted): r.distance for r in matcher.misspelled(frame(answers, "answer"), frame(names, "accepted"), within).collect()}
+        assert got == {(a, n): d for a in answers for n in names if (d := edits_within(a, n, most(n))) is not None}
