@@ -46,6 +46,49 @@ def unknown_keys(json: Column, known: list[str]) -> Column:
     return F.array_except(F.json_object_keys(json), F.array(*[F.lit(k) for k in known]))
 
 
+def facts(df: DataFrame, *marks: tuple) -> DataFrame:
+    """space, side, key: what a table has to say about all constraints it takes part in, in one scan.
+
+    marks: (space, "left" or "right", key column) each, and a condition that a row must meet, if any. Null keys say nothing.
+    """
+    said = []
+    for space, side, key, *condition in marks:
+        row = F.struct(F.lit(space).alias("space"), F.lit(side).alias("side"), key.cast("string").alias("key"))
+        said.append(F.when(key.isNotNull() & (condition[0] if condition else F.lit(True)), row))
+    return df.select(F.explode(F.array_compact(F.array(*said))).alias("f")).select("f.*")
+
+
+def broken(said: list[DataFrame], rules: dict[str, tuple[str, Column]]) -> DataFrame:
+    """constraint and key of every broken rule, by one count over all facts that is combined before its shuffle.
+
+    rules: by constraint its space and what breaks it, of n_left and n_right, how often a key stands on either side.
+    """
+    side = lambda x: F.count_if(F.col("side") == x).alias(f"n_{x}")
+    counts = reduce(DataFrame.unionByName, said).groupBy("space", "key").agg(side("left"), side("right"))
+    names = [F.when((F.col("space") == space) & fault, F.lit(name)) for name, (space, fault) in rules.items()]
+    return counts.select(F.explode(F.array_compact(F.array(*names))).alias("constraint"), "key")
+
+
+def alone(side: str) -> Column:
+    """A key that stands on this side only."""
+    other = "right" if side == "left" else "left"
+    return (F.col(f"n_{side}") > 0) & (F.col(f"n_{other}") == 0)
+
+
+def on_both() -> Column:
+    return (F.col("n_left") > 0) & (F.col("n_right") > 0)
+
+
+def repeated(side: str = "left") -> Column:
+    return F.col(f"n_{side}") > 1
+
+
+def checks(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
+    """check for several conditions on one table's rows, in one scan."""
+    names = [F.when(~F.coalesce(holds, F.lit(False)), F.lit(name)) for name, holds in rules.items()]
+    return df.select(F.explode(F.array_compact(F.array(*names))).alias("constraint"), F.col(key).cast("string").alias("key"))
+
+
 def all_of(*violations: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, violations)
 

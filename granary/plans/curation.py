@@ -114,6 +114,29 @@ def pool_integrity(spark, sf_dir):
     return P.pool_violations(_pool(spark, sf_dir))
 
 
+_FAULTY = """twice AS (SELECT id FROM taxa UNION ALL SELECT id FROM taxa WHERE id % 7 = 0),
+lost AS (SELECT id FROM drops UNION ALL SELECT id FROM drops WHERE id % 11 = 0 UNION ALL SELECT id FROM taxa WHERE id % 5 = 0),
+shots AS (SELECT CASE WHEN t % 13 = 0 THEN -t ELSE t END AS t, CASE WHEN t % 17 = 0 THEN 'one' ELSE o END AS o, b, i FROM photos WHERE t % 6 <> 0 OR place < 2 UNION ALL SELECT t, o, b, i FROM photos WHERE t % 19 = 0 AND place = 0),
+seen_now AS (SELECT t, count(*) AS n, count(DISTINCT b) AS months, count(DISTINCT o) AS observers FROM shots GROUP BY 1),
+stored AS (SELECT id, n_photos, months, observers FROM taxa JOIN signals ON id = t UNION ALL SELECT id, n_photos, months, observers FROM taxa JOIN signals ON id = t WHERE id % 7 = 0)"""
+
+
+@R.query(f"""{_WITH}, {_FAULTY}
+SELECT 'duplicate_taxon' AS "constraint", id::VARCHAR AS key FROM twice GROUP BY id HAVING count(*) > 1 UNION ALL SELECT 'duplicate_drop', id::VARCHAR FROM lost GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'kept_and_dropped', id::VARCHAR FROM (SELECT id FROM twice INTERSECT SELECT id FROM lost)
+UNION ALL SELECT DISTINCT 'photo_of_no_taxon', t::VARCHAR FROM shots WHERE t NOT IN (SELECT id FROM twice) UNION ALL SELECT 'repeated_observation', i::VARCHAR FROM shots GROUP BY i HAVING count(*) > 1
+UNION ALL SELECT 'photo_count', t::VARCHAR FROM shots GROUP BY t HAVING count(*) NOT BETWEEN 4 AND 8 UNION ALL SELECT 'observer_cap', t::VARCHAR FROM shots GROUP BY t, o HAVING count(*) > 2
+UNION ALL SELECT 'stale_signals', id::VARCHAR FROM stored s LEFT JOIN seen_now n ON id = t WHERE n_photos <> coalesce(n, 0) OR s.months <> coalesce(n.months, 0) OR s.observers <> coalesce(n.observers, 0)""")
+def pool_faults(spark, sf_dir):
+    """A pool with faults of every kind put into it, and all constraints it breaks."""
+    pool = _pool(spark, sf_dir)
+    photos = pool.photos.withColumn("observer", F.when(F.col("taxon_id") % 17 == 0, "one").otherwise(F.col("observer")))
+    kept = photos.filter("taxon_id % 6 <> 0 OR place < 2").withColumn("taxon_id", F.when(F.col("taxon_id") % 13 == 0, -F.col("taxon_id")).otherwise(F.col("taxon_id")))
+    shots = cut(kept.unionByName(pool.photos.filter("taxon_id % 19 = 0 AND place = 0")))
+    lost = pool.drops.select("id").union(pool.drops.filter("id % 11 = 0").select("id")).union(pool.taxa.filter("id % 5 = 0").select("id"))
+    return P.pool_violations(P.Pool(cut(pool.taxa.union(pool.taxa.filter("id % 7 = 0"))), shots, lost))
+
+
 @R.query(f"{_WITH} SELECT (SELECT count(*) FROM taxa) AS kept, (SELECT count(*) FROM drops) AS dropped, (SELECT count(*) FROM taxa) + (SELECT count(*) FROM drops) AS considered")
 def pool_considered(spark, sf_dir):
     pool = _pool(spark, sf_dir)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from granary.functions import text as X
 from granary.operators import matcher
 from granary.plans.query import Registry
 from granary.session import table
@@ -102,3 +103,47 @@ def deck_scan(spark, sf_dir):
     wide = wide.select("card_id", "scientific_name", F.array().cast("array<string>").alias("common_names"), F.split("scientific_name", " ")[0].alias("genus"), F.lit("species").alias("answer_rank"))
     asked = wide.select(F.col("card_id").alias("answer_id"), F.concat("scientific_name", F.lit("z")).alias("answer"), "card_id")
     return matcher.grade(asked, matcher.checked_deck(wide))
+
+
+# Fixed values, from the published rules of Double Metaphone: the words of part names, another spelling of each, the word's two codes and the spelling's.
+SOUNDS = (
+    ("anvil", "anfill", "ANFL", "", "ANFL", ""), ("blue", "bloo", "PL", "", "PL", ""), ("bolt", "pollt", "PLT", "", "PLT", ""), ("cold", "kollt", "KLT", "", "KLT", ""),
+    ("gear", "jeer", "JR", "KR", "JR", "AR"), ("gizmo", "jizzmo", "JSM", "KSM", "JSM", "ASM"), ("hot", "hott", "HT", "", "HT", ""), ("large", "larj", "LRJ", "LRK", "LRJ", "LR"),
+    ("new", "nu", "N", "NF", "N", ""), ("old", "olld", "ALT", "", "ALT", ""), ("plate", "playt", "PLT", "", "PLT", ""), ("red", "wred", "RT", "", "RT", ""),
+    ("ring", "wring", "RNK", "", "RNK", ""), ("rod", "rodd", "RT", "", "RT", ""), ("small", "smawl", "SML", "XML", "SML", "XML"), ("widget", "wijjet", "AJT", "FJT", "AJT", "FJT"),
+)
+_SOUNDS = "sounds(word, spelled, c1, c2, s1, s2) AS (VALUES " + ", ".join(map(str, SOUNDS)) + ")"
+_ALIKE = "list_has_any(list_filter([{a}.{x}1, {a}.{x}2], lambda c: c <> ''), list_filter([{b}.c1, {b}.c2], lambda c: c <> ''))"
+
+
+@R.query(f"WITH {_SOUNDS}, w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part) SELECT word, c1 AS code, c2 AS second FROM sounds JOIN w USING (word)")
+def phonetic_codes(spark, sf_dir):
+    """The codes of every word of a name; the second is empty where there is one only."""
+    words = table(spark, sf_dir, "part").select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
+    codes = X.phonetic_codes(F.col("word"))[0]
+    return words.select("word", codes[0].alias("code"), F.coalesce(F.get(codes, F.lit(1)), F.lit("")).alias("second"))
+
+
+@R.query(f"""WITH {_SOUNDS}, w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part), s AS (SELECT * FROM sounds JOIN w USING (word))
+SELECT a.spelled AS answer, b.word, {_ALIKE.format(a='a', x='s', b='b')} AS alike FROM s a JOIN s b ON left(a.word, 1) = left(b.word, 1)""")
+def sound_alikes(spark, sf_dir):
+    """Other spellings against the words of the same first letter: alike if any of their codes is the same."""
+    words = table(spark, sf_dir, "part").select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
+    spelled = F.create_map(*[F.lit(x) for w, other, *_ in SOUNDS for x in (w, other)])
+    a, b = words.select(F.left("word", F.lit(1)).alias("first"), spelled[F.col("word")].alias("answer")), words.select(F.left("word", F.lit(1)).alias("initial"), "word")
+    met = a.join(b, F.col("first") == F.col("initial"))
+    return met.select("answer", "word", X.sounds_alike(X.phonetic_codes(F.col("answer")), X.phonetic_codes(F.col("word"))).alias("alike"))
+
+
+@R.query(f"""WITH {_SOUNDS}, {_DECK},
+said AS (SELECT card_id, genus, by_genus, a.c1 AS a1, a.c2 AS a2, a.s1 AS x1, a.s2 AS x2, b.c1 AS b1, b.c2 AS b2, b.s1 AS y1, b.s2 AS y2
+  FROM cards JOIN sounds a ON a.word = string_split(p_name, ' ')[1] JOIN sounds b ON b.word = string_split(p_name, ' ')[2]),
+rivals AS (SELECT m.card_id, min(r.card_id) AS confused_with FROM said m JOIN said r ON m.card_id <> r.card_id AND NOT (m.by_genus AND r.by_genus AND m.genus = r.genus)
+  AND list_has_any(list_filter([m.x1, m.x2], lambda c: c <> ''), list_filter([r.a1, r.a2], lambda c: c <> ''))
+  AND list_has_any(list_filter([m.y1, m.y2], lambda c: c <> ''), list_filter([r.b1, r.b2], lambda c: c <> '')) GROUP BY 1)
+SELECT s.card_id AS answer_id, s.card_id, CASE WHEN confused_with IS NULL THEN 'correct' ELSE 'wrong' END AS outcome, CASE WHEN confused_with IS NULL THEN s.card_id END AS matched_id,
+  4::INT AS level, confused_with, NULL::INT AS edit_distance FROM said s LEFT JOIN rivals USING (card_id)""")
+def grade_sounds(spark, sf_dir):
+    """Answers that only sound like their card: too many edits away, but word for word of one sound; a rival that sounds alike blocks them."""
+    spelled, words = F.create_map(*[F.lit(x) for w, other, *_ in SOUNDS for x in (w, other)]), F.split(_NAME, " ")
+    return _graded(spark, sf_dir, F.concat_ws(" ", spelled[words[0]], spelled[words[1]]))

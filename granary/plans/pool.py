@@ -91,14 +91,22 @@ def candidate_pool(summaries: DataFrame, details: DataFrame, observations: DataF
 
 
 def pool_violations(pool: Pool) -> DataFrame:
-    """All broken constraints of a candidate pool together."""
+    """All broken constraints of a candidate pool together: one scan of a table and one count for all that is about keys."""
+    by_key = constraints.broken(
+        [
+            constraints.facts(pool.taxa, ("taxon", "left", F.col("id")), ("owner", "right", F.col("id"))),
+            constraints.facts(pool.drops, ("taxon", "right", F.col("id"))),
+            constraints.facts(pool.photos, ("owner", "left", F.col("taxon_id")), ("observation", "left", F.col("observation_id"))),
+        ],
+        {
+            "duplicate_taxon": ("taxon", constraints.repeated()), "duplicate_drop": ("taxon", constraints.repeated("right")), "kept_and_dropped": ("taxon", constraints.on_both()),
+            "photo_of_no_taxon": ("owner", constraints.alone("left")), "repeated_observation": ("observation", constraints.repeated()),
+            "photo_count": ("owner", (F.col("n_left") > 0) & ~F.col("n_left").between(FLOOR, MOST)),
+        },
+    )
     owners = pool.photos.groupBy("taxon_id", "observer").count().filter(F.col("count") > sampling.OWNER_CAP)
     return constraints.all_of(
-        constraints.unique(pool.taxa, "id", "duplicate_taxon"), constraints.unique(pool.drops, "id", "duplicate_drop"),
-        constraints.disjoint(pool.taxa.select("id"), pool.drops.select("id"), "id", "kept_and_dropped"),
-        constraints.unique(pool.photos, "observation_id", "repeated_observation"),
-        constraints.references(pool.photos, "taxon_id", pool.taxa, "id", "photo_of_no_taxon"),
-        constraints.recomputed(pool.taxa, "id", pool.photos, "taxon_id", photo_signals(), "stale_signals"), constraints.cardinality(pool.photos, "taxon_id", FLOOR, MOST, "photo_count"),
+        by_key, constraints.recomputed(pool.taxa, "id", pool.photos, "taxon_id", photo_signals(), "stale_signals"),
         owners.select(F.lit("observer_cap").alias("constraint"), F.col("taxon_id").cast("string").alias("key")),
     )
 
@@ -186,12 +194,16 @@ def manifest(taxa: DataFrame, images: DataFrame, decisions: DataFrame, exclusion
 
 def manifest_violations(taxa: DataFrame, images: DataFrame) -> DataFrame:
     """Dangling and orphan digests, repeated ids and digests, taxa with too few images, claims without sources."""
-    held = taxa.select("id", F.explode("image_hashes").alias("sha256"))
-    return constraints.all_of(
-        constraints.unique(taxa, "id", "duplicate_taxon"), constraints.unique(images, "sha256", "duplicate_image"),
-        constraints.references(held, "sha256", images, "sha256", "dangling_image"), constraints.references(images, "sha256", held, "sha256", "orphan_image"),
-        constraints.check(taxa, F.size("image_hashes") >= RESOLVED_FLOOR, "id", "too_few_images"), constraints.check(taxa, F.size("claim.sources") >= 1, "id", "claim_without_source"),
+    held = taxa.select(F.explode("image_hashes").alias("sha256"))
+    by_key = constraints.broken(
+        [constraints.facts(taxa, ("taxon", "left", F.col("id"))), constraints.facts(held, ("image", "left", F.col("sha256"))), constraints.facts(images, ("image", "right", F.col("sha256")))],
+        {
+            "duplicate_taxon": ("taxon", constraints.repeated()), "duplicate_image": ("image", constraints.repeated("right")),
+            "dangling_image": ("image", constraints.alone("left")), "orphan_image": ("image", constraints.alone("right")),
+        },
     )
+    rows = {"too_few_images": F.size("image_hashes") >= RESOLVED_FLOOR, "claim_without_source": F.size("claim.sources") >= 1}
+    return constraints.all_of(by_key, constraints.checks(taxa, "id", rows))
 
 
 def taxon_details(bodies: DataFrame) -> DataFrame:

@@ -145,13 +145,17 @@ UNION ALL SELECT DISTINCT 'dangling_part', l_partkey::VARCHAR FROM lineitem WHER
 UNION ALL SELECT 'orphan_part', p_partkey::VARCHAR FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)
 UNION ALL SELECT 'customer_without_orders', c_custkey::VARCHAR FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
 def referential_integrity(spark, sf_dir):
-    part, lines, orders = (table(spark, sf_dir, t) for t in ("part", "lineitem", "orders"))
-    return C.all_of(
-        C.unique(orders, "o_orderkey", "duplicate_order"),
-        C.references(lines, "l_partkey", part.filter("p_size <= 40"), "p_partkey", "dangling_part"),
-        C.references(part, "p_partkey", lines.filter("l_quantity >= 49"), "l_partkey", "orphan_part"),
-        C.references(table(spark, sf_dir, "customer"), "c_custkey", orders, "o_custkey", "customer_without_orders"),
-    )
+    """Constraints over four tables from one scan of each and one count."""
+    part, lines, orders, customer = (table(spark, sf_dir, t) for t in ("part", "lineitem", "orders", "customer"))
+    said = [
+        C.facts(orders, ("order", "left", F.col("o_orderkey")), ("customer", "right", F.col("o_custkey"))),
+        C.facts(lines, ("part", "left", F.col("l_partkey")), ("bulk", "left", F.col("l_partkey"), F.col("l_quantity") >= 49)),
+        C.facts(part, ("part", "right", F.col("p_partkey"), F.col("p_size") <= 40), ("bulk", "right", F.col("p_partkey"))),
+        C.facts(customer, ("customer", "left", F.col("c_custkey"))),
+    ]
+    return C.broken(said, {
+        "duplicate_order": ("order", C.repeated()), "dangling_part": ("part", C.alone("left")), "orphan_part": ("bulk", C.alone("right")), "customer_without_orders": ("customer", C.alone("left")),
+    })
 
 
 @R.query("""SELECT 'duplicate_name' AS "constraint", p_name AS key FROM part GROUP BY p_name HAVING count(*) > 1""")
@@ -184,3 +188,18 @@ def cardinality_bounds(spark, sf_dir):
 def claim_xor_reason(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("n_chars") > 500, "long").alias("claim"), F.when(F.col("lang") != "en", "foreign").alias("reason"))
     return C.exactly_one(docs, ["claim", "reason"], "doc_id", "label_xor")
+
+
+@R.query("""SELECT 'version' AS "constraint", doc_id::VARCHAR AS key FROM documents WHERE n_chars % 4 <> 1""")
+def version_faults(spark, sf_dir):
+    """Rows written under another version than this build's; older ones aren't upgraded."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") % 4).alias("version"))
+    return C.checks(rows, "doc_id", {"version": F.col("version") == 1})
+
+
+@R.query("""SELECT 'no_text' AS "constraint", doc_id::VARCHAR AS key FROM documents WHERE n_chars < 200 UNION ALL SELECT 'unnamed_source', doc_id::VARCHAR FROM documents WHERE source NOT LIKE 'src1%'
+UNION ALL SELECT 'language', doc_id::VARCHAR FROM documents WHERE lang NOT IN ('en', 'de')""")
+def row_constraints(spark, sf_dir):
+    """Several conditions on one table's rows in one scan, every broken one reported."""
+    docs = table(spark, sf_dir, "documents")
+    return C.checks(docs, "doc_id", {"no_text": F.col("n_chars") >= 200, "unnamed_source": F.col("source").startswith("src1"), "language": F.col("lang").isin("en", "de")})

@@ -60,7 +60,7 @@ def edit_thresholds(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", X.edit_threshold(F.col("c_name")).alias("threshold"))
 
 
-@R.query()
+@R.query("SELECT DISTINCT word, replace(replace(word, 'c', 'k'), 'll', 'l') AS spelled, true AS alike FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part)")
 def phonetic_pairs(spark, sf_dir):
     """Words of part names that sound alike under a changed spelling."""
     words = table(spark, sf_dir, "part").select(F.explode(F.split("p_name", " ")).alias("word")).distinct()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 from functools import cache
 
@@ -35,7 +37,9 @@ def table(spark: SparkSession, sf_dir: str, name: str):
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp("granary")
+    path = tempfile.mkdtemp("granary")
+    atexit.register(shutil.rmtree, path, True)
+    return path
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,8 +51,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows of df without their lineage, in the shared folder."""
+    """The rows of df without their lineage, in the shared folder; the files go once nothing refers to the rows any more."""
     context = df.sparkSession.sparkContext
+    context._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
