@@ -81,7 +81,9 @@ def misspelled(answers: DataFrame, names: DataFrame, within) -> DataFrame:
     flat = F.flatten(F.transform(own, lambda w, i: F.transform(F.array_distinct(F.concat(w, F.when(F.col("most") > 0, _without_one(w)).otherwise(F.slice(w, 1, 0)))), lambda v: F.struct(i.alias("nth"), v.alias("left")))))
     keyed = sized.select("accepted", "most", "size", F.explode(flat).alias("k")).select("accepted", "most", "size", "k.nth", "k.left")
 
-    asked = answers.withColumn("n", F.length("answer"))
+    # few rows become many: they are dealt out before, as Spark would leave few bytes in one task
+    tasks = int(answers.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = answers.withColumn("n", F.length("answer")).repartition(tasks)
     lengths = kinds.withColumn("places", _parts(F.col("size"), F.col("most"))).withColumn("ns", F.expr("sequence(greatest(size - most, 0), size + most)"))
     lengths = lengths.select(F.col("most").alias("edits"), F.explode("ns").alias("n"), F.posexplode("places").alias("nth", "p"))
     # names of several lengths may allow the same edits: their parts' places are looked at together
@@ -97,7 +99,7 @@ def misspelled(answers: DataFrame, names: DataFrame, within) -> DataFrame:
 
     same = windows(0)
     left = F.when(F.col("edits") > 0, F.concat(same, _without_one(same), windows(-1), _without_one(windows(1)))).otherwise(same)
-    asked = asked.select("answer", "edits", "nth", F.explode(F.array_distinct(left)).alias("left")).distinct()
+    asked = asked.select("answer", "edits", "nth", F.explode(F.array_distinct(left)).alias("left"))
     near = F.expr("levenshtein(answer, accepted, 2 * most) >= 0")
     met = asked.join(keyed.withColumnsRenamed({"most": "edits"}).withColumn("most", F.col("edits")), ["edits", "nth", "left"])
     met = met.filter((F.abs(F.length("answer") - F.col("size")) <= F.col("most")) & near).select("answer", "accepted", "most").distinct()
