@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from granary.llm.common import spread
 from granary.llm.pieces import PieceEncoder, give_back, parts_of
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -201,4 +202,4 @@ def _encoded(docs, rank_path, pattern, id_col, text_col, finish, schema):
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     arrow = pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in schema.split(", ")[1:])])
     picked = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text")
-    return picked.mapInArrow(lambda batches: _run(batches, content, pattern, finish, arrow), schema)
+    return spread(picked).mapInArrow(lambda batches: _run(batches, content, pattern, finish, arrow), schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from contextlib import contextmanager
 from functools import cache, reduce
@@ -31,7 +33,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp("granary")
+    path = tempfile.mkdtemp("granary")
+    atexit.register(shutil.rmtree, path, True)
+    return path
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
@@ -41,8 +45,9 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows of df, written to the shared folder, without their lineage."""
+    """The rows of df, written to the shared folder, without their lineage; the files go once nothing refers to the rows any more."""
     context = df.sparkSession.sparkContext
+    context._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
@@ -75,6 +80,16 @@ def cut_texts(df: DataFrame) -> DataFrame:
         return cut(df)
 
 
+#: Bytes of a table's files up to which its rows are dealt out before Python reads their texts.
+SPREAD_BYTES = 32_000_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out to all cores if they come from so few bytes that one file, or a part of one, may hold them all; others stay where they are read."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else df
+
+
 def word_count(text: Column) -> Column:
     """Number of maximal runs of characters other than SPACES; 0 for null."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import sent
+from granary.llm.common import sent, spread
 
 # HTML's element kinds, and words by which boilerplate is often named.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -469,6 +469,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     import pyarrow as pa
 
     picked = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
+    picked = spread(picked)
     voted = sent(host_paths(picked))
     rows = picked.join(voted, picked["host"] == voted["voted_host"], "left").select("page_id", "url", "host", "voted_path", "templates", "html")
 

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut_texts
+from granary.llm.common import cut_texts, spread
 
 TOP = 10
 #: Documents of a block: a bitmap has so many bits.
@@ -206,7 +206,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, id_col: str = "doc_i
     so only k rows an item and task are shuffled.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = spread(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     items = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     kind = dict(items.dtypes)["item_id"]
     parts = []

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut, cut_few, cut_texts, keep_rows, sent, text_key
+from granary.llm.common import cut, cut_few, cut_texts, keep_rows, sent, spread, text_key
 from granary.llm.components import components
 from granary.llm.words import mixed, windows, word_hashes
 
@@ -173,7 +173,7 @@ def _rest(labelled: DataFrame, sets: DataFrame) -> DataFrame:
 def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, own (the text's key), n_shingles, class_id, component_id and group, a number for each component, null for texts without shingles."""
     text = F.col(text_col).cast("string")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text).alias("own"), text.alias("text"))
+    texts = spread(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text).alias("own"), text.alias("text")))
     signed = cut_texts(_signed(texts))
     classes = signed.filter("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id"), F.any_value("n_shingles").cast("int").alias("n"), F.any_value("bands").alias("bands"))
     # a class's number; ids may be null or stand for several texts

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.llm import common
-from granary.llm.common import SPACES, cut_few, cut_texts, text_key
+from granary.llm.common import SPACES, cut_few, cut_texts, spread, text_key
 from granary.llm.words import repeated_words, word_hashes
 
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
@@ -164,7 +164,7 @@ def _known(df: DataFrame, table: DataFrame) -> DataFrame:
 
 def _features(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("own"))
-    return cut_texts(measured(picked, "text", "m").select("doc_id", "lang", "source", "own", "m.*"))
+    return cut_texts(measured(spread(picked), "text", "m").select("doc_id", "lang", "source", "own", "m.*"))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:

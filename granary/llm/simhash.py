@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut, cut_few, cut_texts, sent
+from granary.llm.common import cut, cut_few, cut_texts, sent, spread
 from granary.llm.components import components
 
 WORDS, SEED, MOST_BITS = 3, 42, 3
@@ -123,7 +123,8 @@ def _prints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             found = np.fromiter(map(fingerprint, batch.column(1).to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "print"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, print long")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return spread(texts).mapInArrow(run, "doc_id long, print long")
 
 
 def _keyed(prints: DataFrame) -> DataFrame:

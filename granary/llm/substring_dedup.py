@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import cut_texts
+from granary.llm.common import cut_texts, spread
 
 #: Words, or else characters but blanks (for scripts that write none between words), from which a sentence within a
 #: line is a unit by itself.
@@ -123,7 +123,7 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     split by the adaptive skew join where a unit is very common.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(text_col).alias("text_key"))
-    found = cut_texts(_found(texts))
+    found = cut_texts(_found(spread(texts)))
     seen = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     later = found.join(seen, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("first_id")))
     across = later.select("doc_id", "text_key", "begin", "end", "first_id")
