@@ -36,12 +36,13 @@ DOMAINS = {
 
 
 def resolve_domain(slug: str) -> Domain:
-    """The domain of a slug; one that is unknown and one that isn't ready are different errors."""
-    if slug not in DOMAINS:
-        raise UnknownDomain(f"unknown domain {slug!r}; known domains: {', '.join(sorted(DOMAINS))}")
-    if not DOMAINS[slug].ready:
-        raise UnavailableDomain(f"domain {slug!r} can't be built yet")
-    return DOMAINS[slug]
+    """The domain of that name. There is none to fall back on, and one that exists may still wait for its data."""
+    found = DOMAINS.get(slug)
+    if found is None:
+        raise UnknownDomain(f"nothing is called {slug!r} here, choose one of {sorted(DOMAINS)}")
+    if not found.ready:
+        raise UnavailableDomain(f"{slug} have no data to build from yet")
+    return found
 
 
 def options(spark: SparkSession, domain: Domain) -> DataFrame:
@@ -75,14 +76,15 @@ class Profile(NamedTuple):
     image_format: str
     encoder: str
 
-    def describe(self) -> str:
-        return f"{self.image_format} q{self.quality} max-edge {self.max_edge}px, {self.encoder}"
+    def as_version(self) -> str:
+        """All that a digest depends on besides the picture, as a source's version."""
+        return "/".join(map(str, (self.encoder, self.image_format, self.quality, self.max_edge)))
 
 
 def produced_by(sources: Column, profile: Profile, bucket: str, at: Column) -> Column:
     """A pool's sources with those of the stage that stored the bytes: the bucket they came from and the encoder."""
     ref = lambda name, version: F.struct(F.lit(name).alias("name"), F.lit(version).alias("version"), at.alias("retrieved_at"), F.lit(bucket).alias("url"))
-    return F.concat(sources, F.array(ref("open data", bucket), ref("encoder", profile.describe())))
+    return F.concat(sources, F.array(ref("open data", bucket), ref("encoder", profile.as_version())))
 
 
 def artefact(folder: str, kind: str, state: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.session import cut
 from granary.sources import files
@@ -21,18 +22,41 @@ def new_contents(df: DataFrame, stored: DataFrame) -> DataFrame:
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The store's contents, one row per digest; None if there is no store yet."""
-    return spark.read.parquet(path).dropDuplicates(["sha256"]) if files.exists(spark, path) and files.has_entries(spark, path) else None
+    known = _entries(spark, path)
+    return None if known is None else known.dropDuplicates(["sha256"])
+
+
+def _entries(spark: SparkSession, path: str, shards: list[str] | None = None) -> DataFrame | None:
+    """What lies in the store, in the directories of some shards only if they are named; None if there is no store yet."""
+    if not files.exists(spark, path) or not files.has_entries(spark, path):
+        return None
+    found = spark.read.parquet(path).schema
+    # a shard stays text, also where all of them look like numbers
+    known = spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) if f.name == "shard" else f for f in found.fields])).parquet(path)
+    return known if shards is None else known.filter(F.col("shard").isin(*shards))
+
+
+#: Directories of a store: two hexadecimal digits.
+SHARDS = 256
+
+
+def _shards_of(rows: DataFrame) -> list[str]:
+    """The shards of some rows, SHARDS at most."""
+    return sorted(r.shard for r in rows.select("shard").distinct().limit(SHARDS).collect())
 
 
 def write_contents(df: DataFrame, path: str) -> DataFrame:
     """Appends the contents that the store hasn't got, a directory per shard, and returns them.
 
-    One writer at a time looks and writes, under the store's lock.
+    Of the store only digests are read, and only in the directories of the shards that come in; only contents that are
+    new are shuffled. One writer at a time looks and writes, under the store's lock.
     """
     spark = df.sparkSession
     with files.lock(spark, path):
-        known = stored(spark, path)
-        fresh = cut(df.dropDuplicates(["sha256"]) if known is None else new_contents(df, known))
+        incoming = cut(df.select("sha256", "shard").distinct())
+        known = _entries(spark, path, _shards_of(incoming))
+        new = incoming if known is None else cut(incoming.join(known.select("sha256"), "sha256", "left_anti"))
+        fresh = cut(df.join(new.select("sha256"), "sha256", "left_semi").dropDuplicates(["sha256"]))
         fresh.write.mode("append").partitionBy("shard").parquet(path)
     return fresh
 
@@ -40,18 +64,19 @@ def write_contents(df: DataFrame, path: str) -> DataFrame:
 def collect(spark: SparkSession, path: str, referenced: DataFrame, dry_run: bool = True) -> DataFrame:
     """Digest and shard of the contents that nothing refers to; unless it is a dry run, they are deleted.
 
-    Only shards that hold any are written again, each put in place by the commit of one job.
+    What is garbage follows from digests alone. Contents are read of the shards that hold any, whose directories are written again
+    and put in place by the commit of one job.
     """
-    known = stored(spark, path)
+    known = _entries(spark, path)
     if known is None:
         return spark.createDataFrame([], "sha256 string, shard string")
     with files.lock(spark, path):
-        gone = cut(known.join(referenced.select("sha256"), "sha256", "left_anti").select("sha256", "shard"))
-        if not dry_run and not gone.isEmpty():
-            touched = known.join(F.broadcast(gone.select("shard").distinct()), "shard")  # at most 256 shards
-            left = cut(touched.join(gone.select("sha256"), "sha256", "left_anti"))
+        gone = cut(known.select("sha256", "shard").distinct().join(referenced.select("sha256"), "sha256", "left_anti"))
+        shards = [] if dry_run else _shards_of(gone)
+        if shards:
+            left = cut(_entries(spark, path, shards).dropDuplicates(["sha256"]).join(gone.select("sha256"), "sha256", "left_anti"))
             left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
-            for shard in {r.shard for r in gone.select("shard").distinct().collect()} - {r.shard for r in left.select("shard").distinct().collect()}:
+            for shard in {*shards} - {*_shards_of(left)}:
                 files.delete(spark, f"{path}/shard={shard}")
     return gone
 

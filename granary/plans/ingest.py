@@ -191,7 +191,7 @@ def domain_answers(spark, sf_dir):
     return domain.answers(table(spark, sf_dir, "documents").select("doc_id"), known, "doc_id").select("doc_id", "claim.value")
 
 
-@R.query("""SELECT o_orderkey, 'retrieved ' || strftime(o_orderdate, '%Y-%m-%d') AS version, 'Michigan checklist retrieved ' || strftime(o_orderdate, '%Y-%m-%d') AS checklist, 'WEBP q75 max-edge 500px, codec 1' AS encoder, 3::INT AS n_sources FROM orders""")
+@R.query("""SELECT o_orderkey, 'retrieved ' || strftime(o_orderdate, '%Y-%m-%d') AS version, 'Michigan checklist retrieved ' || strftime(o_orderdate, '%Y-%m-%d') AS checklist, 'codec 1/WEBP/75/500' AS encoder, 3::INT AS n_sources FROM orders""")
 def source_references(spark, sf_dir):
     """Provenance: sources without editions are versioned by the day they were read."""
     at = F.col("o_orderdate").cast("timestamp")

@@ -218,3 +218,21 @@ def test_bytes_pass_through_a_given_codec(spark):
 
     got = images.transcoded(spark.createDataFrame([(1, b"ab"), (2, b"bad"), (3, None)], "id int, content binary"), "content", make_codec).collect()
     assert [(r.id, r.content and bytes(r.content), r.width, r.height, r.reason) for r in got] == [(1, b"AB", 2, 1, None), (2, None, None, None, "not_decodable"), (3, None, None, None, "empty_body")]
+
+
+def test_a_store_reads_only_the_shards_that_come_in(spark, tmp_path):
+    path = str(tmp_path / "images")
+    rows = store.addressed(spark.createDataFrame([(f"content {k}".encode(),) for k in range(300)], "content binary"), "content").cache()
+    numbers = rows.filter("shard rlike '^0[0-9]$'")  # shards that look like numbers only
+    assert store.write_contents(numbers, path).count() == numbers.count() > 0
+    assert {r.shard for r in store.stored(spark, path).collect()} == {r.shard for r in numbers.collect()}
+    assert store.write_contents(rows, path).count() == 300 - numbers.count()
+    plan = store._entries(spark, path, ["07", "a1"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [shard" in plan and "IN (07,a1)" in plan
+    kept = rows.filter("shard <> '07' AND sha256 > '3'").select("sha256")
+    before = {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (tmp_path / "images").glob("shard=*")}
+    gone = store.collect(spark, path, kept, dry_run=False)
+    assert {r.sha256 for r in store.stored(spark, path).collect()} == {r.sha256 for r in kept.collect()} and gone.count() == 300 - kept.count()
+    after = {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in (tmp_path / "images").glob("shard=*")}
+    touched = {f"shard={r.shard}" for r in gone.collect()}
+    assert "shard=07" not in after and all(after[k] == before[k] for k in after if k not in touched)
