@@ -10,7 +10,7 @@ from granary.operators import claims, domain, matcher, nested, store
 from granary.plans import matching
 from granary.plans.query import Registry
 from granary.session import cut, table
-from granary.sources import cache, fetching, files, tables
+from granary.sources import cache, fetching, files, responses, tables
 
 R = Registry()
 
@@ -295,3 +295,22 @@ def reread_reports(spark, sf_dir):
     triple = lambda c, *names: F.array_join(F.transform(c, lambda x: F.concat_ws(":", *[x[n] for n in names])), ",").alias(c)
     tiers = F.array_join(F.transform(F.map_entries("by_tier"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("by_tier")
     return found.select("event_id", "agreement", "no_source", tiers, triple("conflicts", "name", "first", "second"), triple("single_source", "name", "source", "value"), F.array_join("excluded", ",").alias("excluded"))
+
+
+@R.query("""SELECT DISTINCT c_nationkey || ':' || c_mktsegment AS key, 1 + c_nationkey % 2 AS projection_version, c_mktsegment AS segment FROM customer WHERE c_nationkey % 3 = 1 AND c_nationkey % 2 = 0""")
+def response_source(spark, sf_dir):
+    """Responses written and read again through their data source, which opens one endpoint's files and hands on one version's entries."""
+    responses.register(spark)
+    path = files.scratch(spark, "responses")
+    asked = table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment").distinct()
+    endpoint = F.element_at(F.array(*[F.lit(x) for x in ("observations", "taxa_by_id", "species_counts")]), F.col("c_nationkey").cast("int") % 3 + 1)
+    rows = asked.select(
+        F.concat_ws(":", "c_nationkey", "c_mktsegment").alias("key"), endpoint.alias("endpoint"), F.create_map(F.lit("segment"), F.col("c_mktsegment")).alias("params"),
+        (1 + F.col("c_nationkey") % 2).cast("int").alias("projection_version"), F.lit("2026-01-01").alias("fetched_at"), F.lit("{}").alias("response"),
+    )
+    try:
+        rows.write.format(responses.NAME).mode("append").save(path)
+        found = spark.read.format(responses.NAME).load(path).filter("endpoint = 'taxa_by_id' AND projection_version = 1")
+        return cut(found.select("key", "projection_version", F.col("params")["segment"].alias("segment")))
+    finally:
+        files.delete(spark, path)
