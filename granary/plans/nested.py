@@ -90,7 +90,7 @@ _DEEP = """'{"k": ' || user_id || ', "meta": {"type": "' || event_type || '"' ||
 || '}, "rows": [{"v": 1}, {"v": 2' || CASE WHEN event_id % 7 = 0 THEN ', "w": 3' ELSE '' END || '}]' || CASE WHEN event_id % 11 = 0 THEN ', "extra": null' ELSE '' END || '}'"""
 
 
-@R.query(f"""SELECT event_id, t.fullkey || ' is unknown' AS fault FROM (SELECT event_id, ({_DEEP})::JSON AS body FROM events) e, json_tree(e.body) t
+@R.query(rf"""SELECT event_id, t.fullkey || ' is unknown' AS fault FROM (SELECT event_id, ({_DEEP})::JSON AS body FROM events) e, json_tree(e.body) t
 WHERE regexp_replace(t.fullkey, '\[\d+\]', '[*]', 'g') NOT IN ('$', '$.k', '$.meta', '$.meta.type', '$.rows', '$.rows[*]', '$.rows[*].v')
 AND regexp_replace(t.path, '\[\d+\]', '[*]', 'g') IN ('$', '$.meta', '$.rows', '$.rows[*]')""")
 def closed_schema(spark, sf_dir):

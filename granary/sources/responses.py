@@ -8,6 +8,7 @@ moved in place once all its tasks have ended; one that fails leaves nothing.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -88,6 +89,9 @@ class _Reader(DataSourceReader):
 class _Writer(DataSourceArrowWriter):
     def __init__(self, path: str):
         self.path, self.run = path, uuid.uuid4().hex
+        store, root = _store(path)
+        # made once, before any task: one that still runs when the others are aborted finds no folder to write to
+        store.create_dir(self._staged(root), recursive=True)
 
     def _staged(self, root: str) -> str:
         return f"{root}/_staged-{self.run}"
@@ -104,7 +108,6 @@ class _Writer(DataSourceArrowWriter):
         names = []
         for endpoint, found in lines.items():
             name = f"{uuid.uuid4().hex}.jsonl"
-            store.create_dir(self._staged(root), recursive=True)
             with store.open_output_stream(f"{self._staged(root)}/{name}") as f:
                 f.write("\n".join(found).encode())
             names.append((endpoint, name))
@@ -121,8 +124,13 @@ class _Writer(DataSourceArrowWriter):
         from pyarrow import fs
 
         store, root = _store(self.path)
-        if store.get_file_info(self._staged(root)).type == fs.FileType.Directory:
-            store.delete_dir(self._staged(root))
+        for _ in range(3):  # a task may have put a file there while the folder was being emptied
+            if store.get_file_info(self._staged(root)).type != fs.FileType.Directory:
+                return
+            try:
+                store.delete_dir(self._staged(root))
+            except OSError:
+                time.sleep(0.5)
 
 
 class Responses(DataSource):
