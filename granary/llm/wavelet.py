@@ -236,7 +236,7 @@ def read_tokens(spark, path: str, finish=None, columns: str = "ids binary") -> D
     """part, seq, nth, doc_id, first, n_tokens of every document in the files, and what finish makes of its ids.
 
     finish takes a document's ids (a NumPy array of unsigned 32-bit integers); by default they are
-    returned as bytes. first is the place of the document's first id in its shard.
+    returned as bytes. first is the place of the document's first id in its shard. A folder without files gives no rows.
     """
     import pyarrow as pa
 
@@ -268,13 +268,13 @@ def shard_starts(spark, path: str) -> DataFrame:
 
 
 def token_index(spark, path: str, finish=None, columns: str = "ids binary") -> DataFrame:
-    """read_tokens with start: the number of ids of all documents before."""
+    """read_tokens with start: the number of ids of all documents before. A folder without files gives no rows."""
     rows = read_tokens(spark, path, finish, columns).join(sent(shard_starts(spark, path)), ["part", "seq"])
     return rows.select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", columns.split()[0])
 
 
 def id_counts(spark, path: str, ids: list[int]) -> DataFrame:
-    """id and n: how often each of a few ids is in the files, by two ranks a plane and shard."""
+    """id and n: how often each of a few ids is in the files, by two ranks a plane and shard; 0 for an id that isn't there. A folder without files gives no rows."""
     import pyarrow as pa
 
     def run(batches):
