@@ -311,11 +311,12 @@ damaged AS (
   SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
          CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
          unnest(range(CASE WHEN kind = 0 THEN 0 WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM crc),
+numbered AS (SELECT *, row_number() OVER () AS rid FROM damaged),
 ordered AS (
   SELECT *, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS words,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
-         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM damaged),
-faults AS (
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, rid) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, rid) AS nth FROM numbered),
+faults AS MATERIALIZED (
   SELECT *, left(role, 1) AS initial, CASE WHEN words = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN right(words, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
          left(role, 1) || lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS pair FROM ordered),
 counts AS (

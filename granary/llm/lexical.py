@@ -228,11 +228,11 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, id_col: str = "doc_i
 
 
 ORACLE = r"""
-WITH docs AS (
+WITH docs AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, doc_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
   FROM documents),
-items AS (
+items AS MATERIALIZED (
   SELECT row_number() OVER () AS iid, item_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
   FROM benchmark),

@@ -270,3 +270,18 @@ def test_simhash_query(spark):
     got = registry.queries()["op13_simhash_near_dedup"](spark, oracle.SF_DIR).collect()
     rows = [(r.doc_id, r.text) for r in common.documents(spark, oracle.SF_DIR).collect()]
     assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=repr) == _components(rows)
+
+
+def test_the_repair_oracle_equals_plain_python(spark):
+    """The SQL over the same rows, repeated rows and nulls among them."""
+    import duckdb
+    import pyarrow as pa
+
+    rows = [r for r in _conversations(7, 90) if r[0] not in (1001, 1002)]
+    conversations_table = pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate((("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())))})
+    con = duckdb.connect()
+    con.register("conversations", conversations_table)
+    found = con.execute(conversations.ORACLE)
+    names = [d[0] for d in found.description]
+    got = {r[names.index("conv_id")]: tuple(r[names.index(c)] for c in ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")) for r in found.fetchall()}
+    assert got == {k: v[:-1] for k, v in _reported(rows).items()}
