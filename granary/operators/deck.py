@@ -50,7 +50,7 @@ def prefix_bound(df: DataFrame, order: str, kept: Column, limit: int) -> int | N
     """A value of the order up to which about limit kept rows lie, rather more than fewer; None if the sketch can't leave anything out."""
     sketch = df.filter(kept).select(_leading(df, order).alias("_at")).agg(F.kll_sketch_agg_bigint("_at", F.lit(SKETCH)).alias("k"))
     row = sketch.select("k", F.kll_sketch_get_n_bigint("k").alias("n")).first()
-    share = limit / row["n"] + OFF if row["n"] else 1.0
+    share = max(limit / row["n"] + OFF, 0.0) if row["n"] else 1.0
     if share >= 1:
         return None
     return df.sparkSession.range(1).select(F.kll_sketch_get_quantile_bigint(F.lit(bytes(row["k"])), F.lit(share)).alias("bound")).first()["bound"]

@@ -255,3 +255,34 @@ def test_misspellings_equal_comparing_all_pairs(spark):
     for within, most in rules:
         got = {(r.answer, r.accepted): r.distance for r in matcher.misspelled(frame(answers, "answer"), frame(names, "accepted"), within).collect()}
         assert got == {(a, n): d for a in answers for n in names if (d := edits_within(a, n, most(n))) is not None}
+
+
+@pytest.mark.parametrize("off", [0.004, -0.05])
+def test_prefixes_of_orders_of_several_numbers(spark, monkeypatch, off):
+    """Orders that are structs, and a sketch whose bound falls short: then every row is counted."""
+    monkeypatch.setattr(deck, "OFF", off)
+    rnd = random.Random(15)
+    rows = [((page, place), rnd.choice([None, "x"])) for page in range(40) for place in range(30)]
+    df = spark.createDataFrame(rows, "ord struct<page:int,place:int>, reason string").repartition(6)
+    for limit in (1, 100, 590, 5000):
+        want, kept = [], 0
+        for at, reason in rows:
+            if kept >= limit:
+                break
+            want.append(at)
+            kept += reason is None
+        assert sorted(tuple(r.ord) for r in deck.ranked_prefix(df, "ord", "reason", limit).collect()) == want
+        assert sorted(tuple(r.ord) for r in deck.short_prefix(df, "ord", "reason", limit).collect()) == want
+    bound = deck.prefix_bound(df, "ord", F.col("reason").isNull(), 100)
+    assert bound is not None and bound < 39
+    assert deck.ranked_prefix(df.limit(0), "ord", "reason", 5).count() == 0
+
+
+def test_facts_count_keys_of_all_tables_at_once(spark):
+    a = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k long")
+    b = spark.createDataFrame([(2,), (3,), (3,)], "k long")
+    said = [constraints.facts(a, ("both", "left", F.col("k")), ("big", "left", F.col("k"), F.col("k") > 1)), constraints.facts(b, ("both", "right", F.col("k")))]
+    rules = {"twice": ("both", constraints.repeated()), "twice_right": ("both", constraints.repeated("right")), "left": ("both", constraints.alone("left")), "right": ("both", constraints.alone("right")), "both": ("both", constraints.on_both()), "big": ("big", constraints.alone("left"))}
+    assert sorted(map(tuple, constraints.broken(said, rules).collect())) == [("big", "2"), ("both", "2"), ("left", "1"), ("right", "3"), ("twice", "2"), ("twice_right", "3")]
+    found = constraints.checks(a, "k", {"small": F.col("k") < 2, "known": F.col("k").isNotNull()}).collect()
+    assert sorted((r.constraint, str(r.key)) for r in found) == [("known", "None"), ("small", "2"), ("small", "2"), ("small", "None")]
