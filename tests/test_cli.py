@@ -21,7 +21,7 @@ def taxon(i, name, means):
 def home(spark, tmp_path_factory):
     home = tmp_path_factory.mktemp("home")
     first, second = home / "cache" / "entries", home / "second" / "entries"
-    names = {1: "Acer rubrum", 2: "Mentha x lost", 3: "Carex intumescens", 4: "Robinia pseudoacacia", 5: "Tilia thin"}
+    names = {1: "Acer campestre", 2: "Mentha x lost", 3: "Carex riparia", 4: "Robinia viscosa", 5: "Tilia thin"}
     hits = [{"count": 900 - i, "taxon": {"id": i, "name": n, "rank": "species", "preferred_common_name": n.lower()}} for i, n in names.items()] + [{"count": 1, "taxon": {"id": 9}}, 7]
     entry(first, "counts", "species_counts", {"page": "1"}, {"results": hits})
     here = {"id": 29, "name": "Michigan", "admin_level": 10}
@@ -87,12 +87,12 @@ def test_stages(spark, home, run, capsys):
     assert run("promote-pack", *more) == 0
     assert "1 promoted, 2 unmatched, 1 genus-demoted, 1 excluded" in capsys.readouterr().out
     pack = spark.read.json(str(home / "packs" / "manifest_MI")).collect()
-    assert [(r.name, r.answer_rank, r.claim.value, r.claim.confidence, len(r.claim.sources), len(r.image_hashes)) for r in pack] == [("Acer rubrum", "genus", "native", "high", 2, 7)]
+    assert [(r.name, r.answer_rank, r.claim.value, r.claim.confidence, len(r.claim.sources), len(r.image_hashes)) for r in pack] == [("Acer campestre", "genus", "native", "high", 2, 7)]
     unmatched = {r.name: (r.reason, r.detail) for r in spark.read.option("header", True).csv(str(home / "work" / "unmatched_MI")).collect()}
-    assert unmatched["Robinia pseudoacacia"][0] == "source_conflict" and unmatched["Carex intumescens"][0] == "curated_exclusion" and "made for 'Carex old'" in unmatched["Carex intumescens"][1]
+    assert unmatched["Robinia viscosa"][0] == "source_conflict" and unmatched["Carex riparia"][0] == "curated_exclusion" and "made for 'Carex old'" in unmatched["Carex riparia"][1]
     audit = spark.read.json(str(home / "work" / "promotion_MI")).first()
-    assert (audit.promoted, audit.unmatched, audit.agreement, audit.no_source, audit.demoted, audit.excluded) == (1, 2, 1, 0, ["Acer rubrum"], ["Carex intumescens"])
-    assert [tuple(x) for x in audit.conflicts] == [("Robinia pseudoacacia", "native", "introduced")] or {x.name for x in audit.conflicts} == {"Robinia pseudoacacia"}
+    assert (audit.promoted, audit.unmatched, audit.agreement, audit.no_source, audit.demoted, audit.excluded) == (1, 2, 1, 0, ["Acer campestre"], ["Carex riparia"])
+    assert [tuple(x) for x in audit.conflicts] == [("Robinia viscosa", "native", "introduced")] or {x.name for x in audit.conflicts} == {"Robinia viscosa"}
     assert run("stats", "--stage", "manifest") == 0
     assert "cards: taxa 1, images 7" in capsys.readouterr().out
     assert run("promote-pack", "--place", "40", "--exclusions", str(home / "exclusions.json")) == 0  # another place's answers aren't used

@@ -30,10 +30,10 @@ def test_kinds(spark):
     {"id": 1, "name": 5, "rank": "species"}, {"id": 1, "name": "x", "rank": ["species"]}, {"id": 0, "name": "x", "rank": "species"}, {"id": 1, "name": "", "rank": "species"}, {"id": 1.0, "name": "x", "rank": "species"}, "x", None,
 ])
 def test_a_summary_is_skipped_and_never_guessed(spark, taxon):
-    good = {"count": 60, "taxon": {"id": 9, "name": "Acer rubrum", "rank": "species", "preferred_common_name": 7}}
+    good = {"count": 60, "taxon": {"id": 9, "name": "Acer campestre", "rank": "species", "preferred_common_name": 7}}
     bodies = _texts(spark, {"results": ["no object", 42, None, {"count": 100, "taxon": taxon}, {"count": "100", "taxon": good["taxon"]}, {"count": -1, "taxon": good["taxon"]}, good]}).withColumnsRenamed({"id": "ord", "body": "response"})
     kept, skipped = P.ranked_summaries(bodies)
-    assert [(r.id, r.name, r["count"], r.common_name, r.ord.place) for r in kept.collect()] == [(9, "Acer rubrum", 60, None, 6)]
+    assert [(r.id, r.name, r["count"], r.common_name, r.ord.place) for r in kept.collect()] == [(9, "Acer campestre", 60, None, 6)]
     assert skipped.first().skipped == 6
 
 
