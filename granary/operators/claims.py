@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.session import cut
+
 CONFIDENCE = ("medium", "high")
 OUTCOMES = ("agreement", "conflict", "single_source", "no_source")
 TIER_CONFIDENCE = {1: "high", 2: "high", 3: "medium"}
@@ -41,6 +43,44 @@ def best_tier(matches: DataFrame, key: str, tier: str = "tier") -> DataFrame:
     return matches.withColumn("_best", F.min(tier).over(Window.partitionBy(key))).filter(F.col(tier) == F.col("_best")).drop("_best")
 
 
+def best_groups(asked: DataFrame, offered: DataFrame, key: str) -> DataFrame:
+    """key, tier, group, alone: of the groups that every key asks for those of its lowest tier, if anything is offered in them.
+
+    asked: key, tier, group. offered: tier, group, any number of rows. Groups are looked up and not their rows, so this grows with
+    the keys and not with the pairs. alone says that the key has no other group: what holds of the group holds of the key.
+    """
+    known = offered.select("tier", "group").distinct()
+    best = best_tier(asked.select(key, "tier", "group").distinct().join(known, ["tier", "group"], "left_semi"), key)
+    return cut(best.withColumn("alone", F.count(F.lit(1)).over(Window.partitionBy(key)) == 1))
+
+
+#: About how many keys of a group meet its offers in one part.
+PART = 1000
+
+
+def expanded(groups: DataFrame, offered: DataFrame, key: str, *columns: str) -> DataFrame:
+    """key, tier and columns, each combination once: what the groups of best_groups offer to every key.
+
+    There may be many more pairs than keys. A group goes to the tasks in parts of its keys, each with all that is offered, and only
+    keys with several groups are looked through for repetitions.
+    """
+    spark = groups.sparkSession
+    parts = groups.groupBy("tier", "group").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("_parts"))
+    tasks, by = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), ["tier", "group", "_part"]
+    left = groups.join(parts, ["tier", "group"]).withColumn("_part", F.pmod(F.xxhash64(key), F.col("_parts")).cast("int")).drop("_parts")
+    right = offered.select("tier", "group", *columns).distinct().join(parts, ["tier", "group"]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    # a number of tasks of its own: by the size of what is shuffled, Spark would give all pairs to a few
+    met = lambda rows: rows.repartition(tasks, *by).join(right.repartition(tasks, *by), by).select(key, "tier", *columns)
+    return met(left.filter("alone")).unionByName(met(left.filter("NOT alone")).distinct())
+
+
+def group_consensus(groups: DataFrame, offered: DataFrame, key: str, target: str, value: str) -> DataFrame:
+    """consensus of what the groups of best_groups offer to every key, found once a group."""
+    found = consensus(offered.withColumn("_of", F.struct("tier", "group")), "_of", target, value)
+    agreed = groups.filter("alone").join(found, F.struct("tier", "group") == F.col("_of")).select(key, *found.drop("_of").columns)
+    return agreed.unionByName(consensus(expanded(groups.filter("NOT alone"), offered, key, target, value), key, target, value))
+
+
 def consensus(matches: DataFrame, key: str, target: str, value: str) -> DataFrame:
     """key, symbol, value, n_targets, reason: accepted if all distinct targets agree, a missing value being a value of its own."""
     distinct = matches.select(key, target, value).distinct()

@@ -53,12 +53,26 @@ def _wanted(spark, sf_dir):
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_name", F.col("p_brand").alias("brand"))
 
 
+def _group(brand: str, name):
+    return F.struct(F.col(brand).alias("brand"), name.alias("name")).alias("group")
+
+
+def _offered(spark, sf_dir):
+    """The records by the groups they may be found in: tiers 1 and 2 by their own spelling, 3 by the loose one. A brand's name alike is one group."""
+    records = _records(spark, sf_dir).filter("name IS NOT NULL AND p_brand IS NOT NULL")
+    exact = F.struct(F.when(~F.col("is_synonym"), 1).otherwise(2).alias("tier"), _group("p_brand", F.col("name")))
+    loose = F.struct(F.lit(3).alias("tier"), _group("p_brand", loose_name(F.col("name"))))
+    value = F.when(~F.col("p_type").isin("PROMO", "SMALL"), F.col("p_type")).alias("value")
+    return records.select("target", value, F.explode(F.array(exact, loose)).alias("g")).select("g.*", "target", "value")
+
+
 def _matches(spark, sf_dir):
-    records, wanted = _records(spark, sf_dir), _wanted(spark, sf_dir)
-    met = wanted.join(records, (loose_name(F.col("p_name")) == loose_name(F.col("name"))) & (F.col("brand") == F.col("p_brand")))
-    exact = F.col("name") == F.col("p_name")
-    tier = F.when(exact & ~F.col("is_synonym"), 1).when(exact, 2).otherwise(3)
-    return claims.best_tier(met.withColumn("tier", tier), "id")
+    """(ids with the groups of their lowest tier, the records of all groups)."""
+    names = _wanted(spark, sf_dir).filter("p_name IS NOT NULL AND brand IS NOT NULL")
+    exact, loose = _group("brand", F.col("p_name")), _group("brand", loose_name(F.col("p_name")))
+    tiers = F.explode(F.array(F.struct(F.lit(1).alias("tier"), exact), F.struct(F.lit(2).alias("tier"), exact), F.struct(F.lit(3).alias("tier"), loose)))
+    offered = _offered(spark, sf_dir)
+    return claims.best_groups(names.select("id", tiers.alias("g")).select("id", "g.*"), offered, "id"), offered
 
 
 _MATCHES = """records AS (SELECT p_partkey AS symbol, CASE WHEN p_size % 3 = 0 THEN upper(p_name) ELSE p_name END AS name, p_size % 5 = 0 AS is_synonym,
@@ -71,7 +85,7 @@ matches AS (SELECT * FROM met QUALIFY tier = min(tier) OVER (PARTITION BY id))""
 @R.query(f"WITH {_MATCHES} SELECT DISTINCT id, tier::INT AS tier, target, CASE WHEN tier = 3 THEN 'medium' ELSE 'high' END AS confidence FROM matches")
 def tiered_match(spark, sf_dir):
     confidence = F.when(F.col("tier") == 3, claims.TIER_CONFIDENCE[3]).otherwise(claims.TIER_CONFIDENCE[1])
-    return _matches(spark, sf_dir).select("id", "tier", "target", confidence.alias("confidence")).distinct()
+    return claims.expanded(*_matches(spark, sf_dir), "id", "target").select("id", "tier", "target", confidence.alias("confidence"))
 
 
 _CONSENSUS = f"""{_MATCHES}, outcomes AS (SELECT DISTINCT id, target, CASE WHEN p_type IN ('PROMO', 'SMALL') THEN NULL ELSE p_type END AS value FROM matches),
@@ -81,14 +95,13 @@ agreed AS (SELECT id, min(target) AS symbol, count(*) AS n_targets, count(DISTIN
 @R.query(f"""WITH {_CONSENSUS} SELECT id, symbol, CASE WHEN n = 1 THEN v END AS value, n_targets, CASE WHEN n <> 1 THEN 'ambiguous_match' WHEN v IS NULL THEN 'no_status' END AS reason FROM agreed""")
 def homonym_consensus(spark, sf_dir):
     """Homonyms are accepted if all agree; no value is a value of its own."""
-    valued = _matches(spark, sf_dir).withColumn("value", F.when(~F.col("p_type").isin("PROMO", "SMALL"), F.col("p_type")))
-    return claims.consensus(valued, "id", "target", "value")
+    return claims.group_consensus(*_matches(spark, sf_dir), "id", "target", "value")
 
 
 @R.query(f"WITH {_MATCHES}, v AS (SELECT unnest([1, 2, 3]) AS tier), ids AS (SELECT DISTINCT id, tier FROM matches) SELECT v.tier, count(i.id) AS n FROM v LEFT JOIN ids i USING (tier) GROUP BY 1")
 def tier_counts(spark, sf_dir):
     tiers = spark.createDataFrame([(t,) for t in claims.TIER_CONFIDENCE], "tier int")
-    found = _matches(spark, sf_dir).select("id", "tier").distinct().groupBy("tier").agg(F.count(F.lit(1)).alias("n"))
+    found = _matches(spark, sf_dir)[0].select("id", "tier").distinct().groupBy("tier").agg(F.count(F.lit(1)).alias("n"))
     return tiers.join(found, "tier", "left").select("tier", F.coalesce("n", F.lit(0)).alias("n"))
 
 
