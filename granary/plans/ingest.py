@@ -84,10 +84,10 @@ def response_faults(spark, sf_dir):
 
 @R.query("""SELECT event_id, '{"at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","days":["' || strftime(ts, '%Y-%m-%d') || '"],"of":{"user":' || user_id || '}}' AS json FROM events""")
 def plain_events(spark, sf_dir):
-    """Times and dates at any depth as ISO text, so that a value read back equals the one that was written."""
+    """Times and dates at any depth as ISO text, so that a value read back equals the one that was written. Times have six digits always."""
     events = table(spark, sf_dir, "events")
     rows = events.select("event_id", F.struct(F.col("ts").alias("at"), F.array(F.to_date("ts")).alias("days"), F.struct(F.col("user_id").alias("user")).alias("of")).alias("v"))
-    return rows.select("event_id", F.to_json(fetching.plain_json(F.col("v"), rows.schema["v"].dataType)).alias("json"))
+    return rows.select("event_id", F.to_json(fetching.plain_json(F.col("v"), rows.schema["v"].dataType, fraction="always")).alias("json"))
 
 
 @R.query("""SELECT p_partkey, sha256('{"endpoint":"search","key":"' || p_name || '","projection":2}') AS key FROM part""")

@@ -129,21 +129,25 @@ def json_fault(status: Column, content_type: Column, body: Column) -> Column:
     )
 
 
-def plain_json(value: Column, kind: T.DataType, path: str = "$") -> Column:
-    """The value in kinds that JSON keeps: dates and times as ISO text. A kind that has no JSON form is an error that names its place."""
+def plain_json(value: Column, kind: T.DataType, path: str = "$", fraction: str = "auto") -> Column:
+    """The value in kinds that JSON keeps: dates and times as ISO text. A kind that has no JSON form is an error that names its place.
+
+    fraction: auto leaves out microseconds that are all zero, always writes them.
+    """
     if isinstance(kind, T.StructType):
-        return F.when(value.isNotNull(), F.struct(*[plain_json(value[f.name], f.dataType, f"{path}.{f.name}").alias(f.name) for f in kind.fields]))
+        return F.when(value.isNotNull(), F.struct(*[plain_json(value[f.name], f.dataType, f"{path}.{f.name}", fraction).alias(f.name) for f in kind.fields]))
     if isinstance(kind, T.ArrayType):
-        return F.transform(value, lambda x: plain_json(x, kind.elementType, f"{path}[*]"))
+        return F.transform(value, lambda x: plain_json(x, kind.elementType, f"{path}[*]", fraction))
     if isinstance(kind, T.MapType):
         if not isinstance(kind.keyType, T.StringType):
             raise TypeError(f"{path} has keys of type {kind.keyType.simpleString()}, which have no JSON form")
-        return F.transform_values(value, lambda k, x: plain_json(x, kind.valueType, f"{path}.*"))
+        return F.transform_values(value, lambda k, x: plain_json(x, kind.valueType, f"{path}.*", fraction))
     if isinstance(kind, T.DateType):
         return F.date_format(value, "yyyy-MM-dd")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         zone = "XXX" if isinstance(kind, T.TimestampType) else ""
-        return F.when(F.date_format(value, "SSSSSS") == "000000", F.date_format(value, f"yyyy-MM-dd'T'HH:mm:ss{zone}")).otherwise(F.date_format(value, f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS{zone}"))
+        full = F.date_format(value, f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS{zone}")
+        return full if fraction == "always" else F.when(F.date_format(value, "SSSSSS") == "000000", F.date_format(value, f"yyyy-MM-dd'T'HH:mm:ss{zone}")).otherwise(full)
     if isinstance(kind, (T.StringType, T.BooleanType, T.NullType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)):
         return value
     raise TypeError(f"{path} has type {kind.simpleString()}, which has no JSON form")

@@ -1,5 +1,6 @@
-"""Queries on tables with very large groups of equal names, against their oracles or known rows."""
+"""Queries on tables with very large groups of equal names, and on times without microseconds, against their oracles or known rows."""
 
+import datetime
 import time
 
 import duckdb
@@ -41,3 +42,11 @@ def test_names_in_parts_equal_the_oracle(spark, tmp_path, monkeypatch, name, par
     con = duckdb.connect()
     con.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
     oracle.assert_same(spark, con, catalog.queries()[name], catalog.oracle_sql()[name], str(tmp_path))
+
+
+def test_times_without_microseconds_equal_the_oracle(spark, tmp_path):
+    rows = [(1, datetime.datetime(2024, 1, 2, 3, 4, 5), 7), (2, datetime.datetime(2024, 1, 2, 3, 4, 5, 60), 8), (3, datetime.datetime(2024, 1, 2), 9)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    oracle.assert_same(spark, con, catalog.queries()["plain_events"], catalog.oracle_sql()["plain_events"], str(tmp_path))
