@@ -24,11 +24,23 @@ def _counted_rank(df: DataFrame, keys: list[str], value: str, fraction: float, n
 SKETCH, OFF = 2000, 0.01
 
 
+#: Groups whose brackets are sent to the rows, by their number and the bytes of their keys; more of them meet the rows in a shuffle.
+SENT, SENT_BYTES = 100_000, 32 << 20
+
+
+def _sent(groups: DataFrame) -> DataFrame:
+    """groups, marked for a broadcast if they are few: rows of a few large groups must not be shuffled to as many tasks."""
+    keys = [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in groups.columns if k.startswith("_of_")]
+    size = groups.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(reduce(Column.__add__, keys)), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(groups) if size.n <= SENT and size.bytes <= SENT_BYTES else groups
+
+
 def nearest_rank(df: DataFrame, keys: list[str], value: str, fraction: float, name: str) -> DataFrame:
     """The value at the rank round-half-even(fraction * (n - 1)) of every group; nulls don't count.
 
     A mergeable sketch of each group brackets the value. Rows below the bracket are counted where they lie and only distinct values inside
-    it are shuffled, a few hundredths of them, so a group of nearly as many values as rows is no larger than others. That the value lies in
+    it are shuffled, a few hundredths of them, so a group of nearly as many values as rows is no larger than others. Brackets are sent to
+    the rows, unless they are very many. That the value lies in
     its bracket follows from the counts; a group for which it doesn't has all its values counted. Values that aren't numbers are counted likewise.
     """
     rows = df.select(*keys, value).filter(F.col(value).isNotNull())
@@ -40,7 +52,7 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, fraction: float, na
     groups = cut(groups.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_rows", at(fraction - OFF).alias("_low"), at(fraction + OFF).alias("_high")))
 
     same = reduce(Column.__and__, [rows[k].eqNullSafe(F.col(f"_of_{k}")) for k in keys])
-    met = rows.join(groups, same).filter(number <= F.col("_high"))
+    met = rows.join(_sent(groups), same).filter(number <= F.col("_high"))
     inside = F.when(number >= F.col("_low"), F.col(value))
     counts = met.groupBy(*keys, inside.alias("_value")).agg(F.count(F.lit(1)).alias("_n"), F.any_value("_rows").alias("_rows"))
     upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_value")).rowsBetween(Window.unboundedPreceding, 0))

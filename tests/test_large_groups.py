@@ -5,6 +5,7 @@ import time
 
 import duckdb
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from granary.operators import claims
 from granary.plans import catalog
@@ -50,3 +51,23 @@ def test_times_without_microseconds_equal_the_oracle(spark, tmp_path):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
     oracle.assert_same(spark, con, catalog.queries()["plain_events"], catalog.oracle_sql()["plain_events"], str(tmp_path))
+
+
+@pytest.mark.parametrize("sent", [100_000, 0])
+def test_rows_of_few_groups_are_not_shuffled(spark, monkeypatch, sent):
+    """A group's rows stay where they lie; only values inside its bracket move. With very many groups rows meet their brackets in a shuffle."""
+    from granary.operators import stats
+
+    monkeypatch.setattr(stats, "SENT", sent)
+    met, join = [], DataFrame.join
+    monkeypatch.setattr(DataFrame, "join", lambda self, *a, **k: met.append(join(self, *a, **k)) or met[-1])
+    df = spark.range(20_000).selectExpr("id % 3 AS g", "cast(pmod(id * 7919, 20011) AS double) AS v")
+    want = {g: sorted(k * 7919 % 20011 for k in range(g, 20_000, 3)) for g in range(3)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with a table whose groups Spark takes for large
+    try:
+        got = {r.g: r.p for r in stats.nearest_rank(df, ["g"], "v", 0.9, "p").collect()}
+        plan = met[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {g: v[round(0.9 * (len(v) - 1))] for g, v in want.items()}
+    assert ("BroadcastHashJoin" in plan) == (sent > 0)
