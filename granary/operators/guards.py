@@ -36,18 +36,39 @@ def items(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
+def _opened(wanted: T.DataType) -> str:
+    """The wanted type with a VARIANT in place of every single value."""
+    if isinstance(wanted, T.StructType):
+        return f"struct<{', '.join(f'`{f.name}`: {_opened(f.dataType)}' for f in wanted.fields)}>"
+    if isinstance(wanted, T.ArrayType):
+        return f"array<{_opened(wanted.elementType)}>"
+    return f"map<string, {_opened(wanted.valueType)}>" if isinstance(wanted, T.MapType) else "variant"
+
+
+def _of_kind(value: Column, wanted: T.DataType) -> Column:
+    """The opened value with every VARIANT as the wanted type, null if it is of another kind."""
+    if isinstance(wanted, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*[_of_kind(value[f.name], f.dataType).alias(f.name) for f in wanted.fields]))
+    if isinstance(wanted, T.ArrayType):
+        return F.transform(value, lambda x: _of_kind(x, wanted.elementType))
+    if isinstance(wanted, T.MapType):
+        return F.transform_values(value, lambda k, x: _of_kind(x, wanted.valueType))
+    if isinstance(wanted, (T.DoubleType, T.FloatType)):
+        allowed = kind(value).isin("number", "integer")
+    else:
+        allowed = F.schema_of_variant(value) == ("BIGINT" if isinstance(wanted, _WHOLE) else {T.StringType: "STRING", T.BooleanType: "BOOLEAN"}[type(wanted)])
+    return F.when(allowed, F.try_variant_get(value, "$", wanted.simpleString()))
+
+
 def read(value: Column, wanted: T.DataType) -> Column:
     """The VARIANT as the wanted type: fields and items of another kind are null, others aren't affected by them.
 
-    Items keep their number and places. Whole numbers are integers in JSON; 5.0 isn't one, and true is no number.
+    Items keep their number and places. Whole numbers are integers in JSON; 5.0 isn't one, and true is no number. The value is
+    opened once, down to its single values; maps have text as keys.
     """
-    if isinstance(wanted, T.StructType):
-        return F.when(fields(value).isNotNull(), F.struct(*[read(at(value, f.name), f.dataType).alias(f.name) for f in wanted.fields]))
-    if isinstance(wanted, T.ArrayType):
-        return F.transform(items(value), lambda x: read(x, wanted.elementType))
-    names = {T.StringType: ("string",), T.BooleanType: ("boolean",), T.DoubleType: ("number", "integer"), T.FloatType: ("number", "integer")}
-    allowed = ("integer",) if isinstance(wanted, _WHOLE) else names[type(wanted)]
-    return F.when(kind(value).isin(*allowed), F.try_variant_get(value, "$", wanted.simpleString()))
+    opened = F.try_variant_get(value, "$", _opened(wanted)) if isinstance(wanted, (T.StructType, T.ArrayType, T.MapType)) else value
+    # in an array of one, as Spark would open a struct anew for each of its fields
+    return F.transform(F.array(opened), lambda x: _of_kind(x, wanted))[0] if isinstance(wanted, T.StructType) else _of_kind(opened, wanted)
 
 
 def faults(value: Column, closed: T.DataType, path: Column | str = "$") -> Column:

@@ -27,7 +27,7 @@ def project(body: Column, endpoint: str) -> Column:
     """
     parsed = F.try_parse_json(body)
     element = T._parse_datatype_string(SCHEMAS[endpoint])
-    results = F.transform(guards.items(guards.at(parsed, "results")), lambda x: guards.read(x, element))
+    results = guards.read(guards.at(parsed, "results"), T.ArrayType(element))
     total = guards.read(guards.at(parsed, "total_results"), T.LongType())
     return F.struct(total.alias("total_results"), F.coalesce(results, F.array().cast(T.ArrayType(element))).alias("results"))
 

@@ -50,21 +50,25 @@ def read_report(rows: DataFrame, json: str, *keep: str) -> DataFrame:
     What is malformed is left out and the rest stays: entries of a list that lack a name or have one of another kind, tiers without a
     whole number. Counts that can't be read are 0, text that is no object is an empty report.
     """
-    report = F.try_parse_json(json)
-    whole = lambda k: F.coalesce(guards.read(guards.at(report, k), T.LongType()), F.lit(0)).alias(k)
-
-    def entries(k: str, *names: str) -> Column:
-        kind = T.StructType([T.StructField(x, T.StringType()) for x in names])
-        found = F.filter(F.transform(guards.items(guards.at(report, k)), lambda x: guards.read(x, kind)), lambda x: F.concat(*[x[n] for n in names]).isNotNull())
-        return F.coalesce(found, F.array().cast(T.ArrayType(kind))).alias(k)
-
-    def texts(k: str) -> Column:
-        found = F.array_compact(guards.read(guards.at(report, k), T.ArrayType(T.StringType())))
-        return F.coalesce(found, F.array().cast("array<string>")).alias(k)
-
-    tiers = F.map_filter(F.transform_values(guards.fields(guards.at(report, "by_tier")), lambda k, v: guards.read(v, T.LongType())), lambda k, v: v.isNotNull())
-    tiers = F.coalesce(tiers, F.create_map().cast("map<string,bigint>")).alias("by_tier")
-    return rows.select(*keep, whole("agreement"), whole("no_source"), tiers, entries("conflicts", "name", "first", "second"), entries("single_source", "name", "source", "value"), texts("excluded"), texts("demoted"))
+    entry = lambda *names: T.ArrayType(T.StructType([T.StructField(x, T.StringType()) for x in names]))
+    texts, whole = T.ArrayType(T.StringType()), T.LongType()
+    kinds = {
+        "agreement": whole, "no_source": whole, "by_tier": T.MapType(T.StringType(), whole), "conflicts": entry("name", "first", "second"),
+        "single_source": entry("name", "source", "value"), "excluded": texts, "demoted": texts,
+    }
+    found = rows.select(*keep, guards.read(F.try_parse_json(json), T.StructType([T.StructField(k, v) for k, v in kinds.items()])).alias("_report"))
+
+    def readable(k: str, kind: T.DataType) -> Column:
+        part = F.col("_report")[k]
+        if kind == whole:
+            return F.coalesce(part, F.lit(0)).alias(k)
+        if isinstance(kind, T.MapType):
+            return F.coalesce(F.map_filter(part, lambda k, v: v.isNotNull()), F.create_map().cast("map<string,bigint>")).alias(k)
+        names = kind.elementType.names if isinstance(kind.elementType, T.StructType) else []
+        whole_ones = F.filter(part, lambda x: F.concat(*[x[n] for n in names]).isNotNull()) if names else F.array_compact(part)
+        return F.coalesce(whole_ones, F.array().cast(kind)).alias(k)
+
+    return found.select(*keep, *[readable(k, kind) for k, kind in kinds.items()])
 
 
 def report_lines(report: DataFrame) -> list[str]:

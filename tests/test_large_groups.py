@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql.classic.dataframe import DataFrame
 
 from granary.operators import claims
-from granary.plans import catalog
+from granary.plans import catalog, curation
+from granary.plans import pool as P
+from granary.sources import tables
 from tests import oracle
 
 PART = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -71,3 +73,11 @@ def test_rows_of_few_groups_are_not_shuffled(spark, monkeypatch, sent):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == {g: v[round(0.9 * (len(v) - 1))] for g, v in want.items()}
     assert ("BroadcastHashJoin" in plan) == (sent > 0)
+
+
+def test_a_report_is_parsed_once(spark):
+    rows = spark.createDataFrame([(1, '{"agreement": 3, "by_tier": {"1": 2, "2": "x"}, "conflicts": [{"name": "n", "first": "a", "second": "b"}, 5, {"name": "n"}], "excluded": ["x", null]}'), (2, "5"), (3, None)], "id long, body string")
+    found = tables.read_report(rows, "body", "id")
+    assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson") == 1
+    got = {r.id: (r.agreement, r.no_source, r.by_tier, [tuple(x) for x in r.conflicts], r.single_source, r.excluded, r.demoted) for r in found.collect()}
+    assert got == {1: (3, 0, {"1": 2}, [("n", "a", "b")], [], ["x"], []), **{k: (0, 0, {}, [], [], [], []) for k in (2, 3)}}
