@@ -277,8 +277,12 @@ def reconciled_taxa(spark, sf_dir):
 
 
 def _established(spark, sf_dir, taxa):
-    """Checklist answers from cached responses: the last answer of a taxon counts, some are of another place, some silent."""
-    part = table(spark, sf_dir, "part").filter("p_size % 9 <> 0")
+    """Checklist answers from the responses to a request for every taxon: the last answer of a taxon counts, some are of another place, some silent.
+
+    Only taxa of the pool, at most LIMIT, are asked for: their ids are sent to the scan.
+    """
+    asked = F.broadcast(taxa.select(F.col("id").alias("p_partkey")).distinct())
+    part = table(spark, sf_dir, "part").filter("p_size % 9 <> 0").join(asked, "p_partkey", "left_semi")
     means = F.when(F.col("p_type") == "ECONOMY", "introduced").when(F.col("p_type") == "SMALL", "endemic").when(F.col("p_type") == "MEDIUM", "naturalised").otherwise("native")
     place = F.when(F.col("p_size") % 8 != 0, F.struct(F.when(F.col("p_size") % 7 == 0, F.lit(1)).otherwise(F.lit(PLACE)).cast("long").alias("id"), F.lit("x").alias("name"), F.lit(10).alias("admin_level")))
     listed = F.when(F.col("p_size") % 5 != 0, F.struct(means.alias("establishment_means"), place.alias("place")))

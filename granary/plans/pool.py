@@ -139,14 +139,15 @@ def resolve(photos: DataFrame, responses: DataFrame, known: DataFrame, size: str
 
 def establishment(requested: DataFrame, details: DataFrame, place_id: int) -> DataFrame:
     """id, value, reason for every requested id: the last answer of an id counts, and only for the place asked."""
-    answers = claims.last_wins(details.select("id", "ord", "establishment_means"), ["id"], "ord")
+    asked = requested.select("id").distinct()
+    answers = claims.last_wins(details.select("id", "ord", "establishment_means").join(asked, "id", "left_semi"), ["id"], "ord")
     means = F.col("establishment_means")
     right_place = means["place"]["id"].eqNullSafe(F.lit(place_id).cast("long"))
     value = F.coalesce(*[F.when(means["establishment_means"] == k, F.lit(v)) for k, v in {"native": "native", "endemic": "native", "introduced": "introduced"}.items()])
     reason = (
         F.when(F.col("found").isNull(), "absent_from_response").when(means.isNull(), "no_listing").when(~right_place, "place_not_state_scoped").when(value.isNull(), "uninterpretable_establishment_means")
     )
-    rows = requested.select("id").distinct().join(answers.withColumn("found", F.lit(True)), "id", "left").withColumn("reason", reason)
+    rows = asked.join(answers.withColumn("found", F.lit(True)), "id", "left").withColumn("reason", reason)
     return rows.select("id", F.when(F.col("reason").isNull(), value).alias("value"), "reason")
 
 
@@ -163,8 +164,9 @@ def reconcile(taxa: DataFrame, records: DataFrame, statuses: DataFrame, region:
     met = taxa.select("id", "name").join(species, loose_name(F.col("name")) == loose_name(F.col("binomial")))
     exact = F.col("name") == F.col("binomial")
     best = claims.best_tier(met.withColumn("tier", F.when(exact & ~F.col("is_synonym"), 1).when(exact, 2).otherwise(3)), "id")
-    targets = best.select("id", "tier", F.coalesce(F.nullif("accepted_symbol", F.lit("")), F.col("symbol")).alias("target")).distinct()
-    last = claims.last_wins(statuses, ["symbol", "region"], "pos").filter(F.col("region") == region)
+    targets = cut(best.select("id", "tier", F.coalesce(F.nullif("accepted_symbol", F.lit("")), F.col("symbol")).alias("target")).distinct())
+    asked = targets.select(F.col("target").alias("symbol")).distinct()
+    last = claims.last_wins(statuses.filter(F.col("region") == region).join(asked, "symbol", "left_semi"), ["symbol"], "pos")
     valued = targets.join(last.select(F.col("symbol").alias("target"), classify_status(F.col("status")).alias("s")), "target", "left")
     why = F.when(F.col("s").isNull(), "no_native_status").otherwise(F.col("s.reason"))
     valued = valued.select("id", "tier", "target", F.col("s.value").alias("value"), why.alias("why"))

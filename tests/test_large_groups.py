@@ -81,3 +81,15 @@ def test_a_report_is_parsed_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson") == 1
     got = {r.id: (r.agreement, r.no_source, r.by_tier, [tuple(x) for x in r.conflicts], r.single_source, r.excluded, r.demoted) for r in found.collect()}
     assert got == {1: (3, 0, {"1": 2}, [("n", "a", "b")], [], ["x"], []), **{k: (0, 0, {}, [], [], [], []) for k in (2, 3)}}
+
+
+def test_only_the_pools_taxa_are_asked_for(spark, monkeypatch):
+    """Responses and statuses of the whole part table must not meet in windows if a few taxa are asked for."""
+    seen, details, last = [], P.taxon_details, claims.last_wins
+    monkeypatch.setattr(P, "taxon_details", lambda bodies: seen.append(bodies.count()) or details(bodies))
+    monkeypatch.setattr(claims, "last_wins", lambda df, *a: seen.append(df.count()) or last(df, *a))
+    taxa = spark.range(50, 60).selectExpr("id", "'name' AS name")
+    assert curation._established(spark, oracle.SF_DIR, taxa).count() == 10
+    names = spark.read.parquet(f"{oracle.SF_DIR}/part.parquet").filter("p_partkey BETWEEN 50 AND 59").selectExpr("p_partkey AS id", "p_name || ' ' || p_brand AS name")
+    assert P.reconcile(names, curation._records(spark, oracle.SF_DIR), curation._statuses(spark, oracle.SF_DIR)).count() == 10
+    assert len(seen) == 3 and 0 < seen[0] <= 20 and 0 < seen[1] <= 20 and 0 < seen[2] <= 60
